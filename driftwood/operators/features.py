@@ -67,7 +67,7 @@ def sql_stage(statement: str) -> SQLTransformer:
 
 
 def feature_pipeline(df: DataFrame, target: str, exclude=(), categorical_booleans: bool = False,
-                     features_col: str = "features") -> Pipeline:
+                     features_col: str = "features", passthrough=()) -> Pipeline:
     """The feature pipeline of the training job.
 
     Projection → numerics and booleans cast to double → mean imputation of
@@ -77,8 +77,9 @@ def feature_pipeline(df: DataFrame, target: str, exclude=(), categorical_boolean
     not assembled; ``categorical_booleans`` turns them into categories
     instead (notebook variant).
     """
-    roles = feature_roles(df, target, exclude)
-    keep = [c for c in df.columns if c not in set(exclude)]
+    roles = feature_roles(df, target, set(exclude) | set(passthrough))
+    # passthrough columns (row identifiers) are kept but get no feature role
+    keep = [c for c in df.columns if c not in set(exclude) or c in set(passthrough)]
     numeric, boolean, categorical = roles["numeric"], roles["boolean"], list(roles["categorical"])
     stages = [_select_stage(keep, {})]
     stages.append(_select_stage(keep, {c: f"CAST({_q(c)} AS DOUBLE)" for c in numeric}))
@@ -137,26 +138,38 @@ def linear_regression(label: str, features_col: str = "features", max_iter: int
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """RMSE and r² in one aggregate (M11): rows ``(n, rmse, r2)``."""
+    """RMSE and r² in one aggregate (M11): rows ``(n, rmse, r2)``.
+
+    The total sum of squares is ``n · var_pop(label)`` (a numerically stable
+    one-pass moment), not ``Σy² − n·ȳ²``.
+    """
     err = F.col(_q(label)) - F.col(_q(prediction))
     stats = df.agg(F.count(F.lit(1)).alias("n"),
                    F.sum(err * err).alias("sse"),
-                   F.avg(F.col(_q(label))).alias("mean_y"),
-                   F.sum(F.col(_q(label)) * F.col(_q(label))).alias("syy"))
-    sst = F.col("syy") - F.col("n") * F.col("mean_y") * F.col("mean_y")
+                   F.var_pop(F.col(_q(label))).alias("var_y"))
     return stats.select("n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-                        (F.lit(1.0) - F.col("sse") / sst).alias("r2"))
+                        (F.lit(1.0) - F.col("sse") / (F.col("var_y") * F.col("n"))).alias("r2"))
+
+
+def cast_stage(columns, to_double) -> SQLTransformer:
+    """``SQLTransformer`` casting ``to_double`` columns to double, rest unchanged (M2)."""
+    return _select_stage(list(columns), {c: f"CAST({_q(c)} AS DOUBLE)" for c in to_double})
+
+
+def unknown_stage(columns, categorical) -> SQLTransformer:
+    """``SQLTransformer`` replacing null categories by ``UNKNOWN`` (M4)."""
+    return _select_stage(list(columns), {c: f"COALESCE({_q(c)}, '{UNKNOWN}')" for c in categorical})
 
 
 def train(df: DataFrame, target: str, exclude=(), fit_on_all: bool = False,
-          split_keys=None, seed: int = 42, **lr_params):
+          split_keys=None, seed: int = 42, passthrough=(), **lr_params):
     """The training job body.
 
     By default the feature pipeline is fitted on the training rows only;
     ``fit_on_all`` keeps the reference order (fit on all rows, then split).
     Returns ``(pipeline_model, lr_model, metrics)``, metrics on train and test.
     """
-    pipeline = feature_pipeline(df, target, exclude)
+    pipeline = feature_pipeline(df, target, exclude, passthrough=passthrough)
     if split_keys:
         labelled = hash_split(df, split_keys)
         tr = labelled.where("split = 'train'").drop("split")

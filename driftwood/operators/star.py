@@ -88,15 +88,17 @@ def star_join(fact: DataFrame, dims) -> DataFrame:
 
     ``dims`` is a list of ``(dim_df, fact_key, dim_key)``; a dimension may
     join a column brought in by an earlier dimension (day → month → year).
+    Dimension attributes whose name is already taken get a ``_<dim_key>``
+    suffix.
     """
     out = fact
     for dim, fk, dk in dims:
-        d = bounded_broadcast(dim)
-        extra = [c for c in dim.columns if c != dk and c in out.columns]
-        d = d.select(*[F.col(_q(c)).alias(f"{c}_{dk}") if c in extra else F.col(_q(c)) for c in dim.columns])
-        out = out.join(d, F.col(_q(fk)) == d[_q(dk)], "inner")
-        if dk != fk:
-            out = out.drop(d[_q(dk)])
+        taken = set(out.columns)
+        d = dim.select(F.col(_q(dk)).alias("_dim_key"),
+                       *[F.col(_q(c)).alias(f"{c}_{dk}" if c in taken else c)
+                         for c in dim.columns if c != dk])
+        d = bounded_broadcast(d)
+        out = out.join(d, F.col(_q(fk)) == F.col("_dim_key"), "inner").drop("_dim_key")
     return out
 
 

@@ -655,3 +655,382 @@ def flagship(spark, sf):
 
 
 query("flagship_outlier_audit", _report_sql("orders", ["o_totalprice"], 3.0))(flagship)
+
+
+# ------------------------------------------------------------------------
+# Star schema on the driver tables.
+# Days come from orders, months from events, years from lineitem; locations
+# are nations with their region; the listing fact is orders resolved to a
+# location through two partial lookups, the income fact is customers.
+# ------------------------------------------------------------------------
+
+DAYS_SQL = "SELECT strftime(o_orderdate, '%Y_%m_%d') AS day FROM orders"
+DIM_YEAR_SQL = """
+SELECT DISTINCT year FROM (
+  SELECT CAST(year(l_shipdate) AS VARCHAR) AS year FROM lineitem
+  UNION ALL SELECT split_part(strftime(o_orderdate, '%Y_%m_%d'), '_', 1) FROM orders
+  UNION ALL SELECT split_part(strftime(ts, '%Y_%m'), '_', 1) FROM events) WHERE year IS NOT NULL"""
+DIM_MONTH_SQL = f"""
+SELECT DISTINCT month, split_part(month, '_', 1) AS year FROM (
+  SELECT split_part(day, '_', 1) || '_' || split_part(day, '_', 2) AS month FROM ({DAYS_SQL})
+  UNION ALL SELECT strftime(ts, '%Y_%m') FROM events) WHERE month IS NOT NULL"""
+DIM_DAY_SQL = f"""
+SELECT DISTINCT day, split_part(day, '_', 1) || '_' || split_part(day, '_', 2) AS month
+FROM ({DAYS_SQL}) WHERE day IS NOT NULL"""
+DIM_LOCATION_SQL = "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"
+FACT_LISTING_SQL = """
+SELECT DISTINCT o_orderkey, strftime(o_orderdate, '%Y_%m_%d') AS day,
+       coalesce(a.n_name, b.n_name) AS location_id, o_totalprice
+FROM orders JOIN customer ON o_custkey = c_custkey
+LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey IN (0, 1)) a ON c_nationkey = a.n_nationkey
+LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey IN (1, 2, 3)) b ON c_nationkey = b.n_nationkey
+WHERE o_orderstatus = 'F' AND coalesce(a.n_name, b.n_name) IS NOT NULL"""
+FACT_INCOME_SQL = """
+SELECT DISTINCT c_mktsegment AS segment, n_name AS location_id, c_acctbal AS balance
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"""
+
+
+def days_frame(spark, sf):
+    return T(spark, sf, "orders").select(period_key("o_orderdate", "yyyy_MM_dd").alias("day"))
+
+
+def months_frame(spark, sf):
+    return T(spark, sf, "events").select(period_key("ts", "yyyy_MM").alias("month"))
+
+
+def dim_year_frame(spark, sf):
+    years = T(spark, sf, "lineitem").select(F.year("l_shipdate"))
+    return st.dim_year(years, days_frame(spark, sf).select(key_part("day", 0)),
+                       months_frame(spark, sf).select(key_part("month", 0)))
+
+
+def location_lookup(spark, sf):
+    return mt.lookup_join(T(spark, sf, "nation"), T(spark, sf, "region"),
+                          "n_regionkey", "r_regionkey", "inner")
+
+
+def dim_location_frame(spark, sf):
+    return st.dim_location(location_lookup(spark, sf), drop=["n_regionkey", "r_regionkey"])
+
+
+def fact_listing_frame(spark, sf):
+    orders = T(spark, sf, "orders")
+    cust = T(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    src = orders.join(cust, orders["o_custkey"] == cust["c_custkey"])
+    src = src.withColumn("day", period_key("o_orderdate", "yyyy_MM_dd"))
+    return st.fact_with_fallback(
+        src, "c_nationkey", nation_lookups(spark, sf), "location_id",
+        {"o_orderkey": "o_orderkey", "day": "day", "location_id": "location_id",
+         "o_totalprice": "o_totalprice"},
+        row_filter=F.col("o_orderstatus") == "F")
+
+
+def fact_income_frame(spark, sf):
+    return st.fact_from_lookup(
+        T(spark, sf, "customer"), T(spark, sf, "nation"), "c_nationkey", "n_nationkey",
+        {"c_mktsegment": "segment", "n_name": "location_id", "c_acctbal": "balance"})
+
+
+@query("dim_year", DIM_YEAR_SQL)
+def q_dim_year(spark, sf):
+    return dim_year_frame(spark, sf)
+
+
+@query("dim_month", DIM_MONTH_SQL)
+def q_dim_month(spark, sf):
+    return st.dim_month(days_frame(spark, sf), months_frame(spark, sf))
+
+
+@query("dim_day", DIM_DAY_SQL)
+def q_dim_day(spark, sf):
+    return st.dim_day(days_frame(spark, sf))
+
+
+@query("dim_location", DIM_LOCATION_SQL)
+def q_dim_location(spark, sf):
+    return dim_location_frame(spark, sf)
+
+
+@query("fact_listing", FACT_LISTING_SQL)
+def q_fact_listing(spark, sf):
+    return fact_listing_frame(spark, sf)
+
+
+@query("fact_income", FACT_INCOME_SQL)
+def q_fact_income(spark, sf):
+    return fact_income_frame(spark, sf)
+
+
+@query("star_join", f"""
+WITH f AS ({FACT_LISTING_SQL}), dd AS ({DIM_DAY_SQL}), dm AS ({DIM_MONTH_SQL}),
+dy AS ({DIM_YEAR_SQL}), dl AS ({DIM_LOCATION_SQL})
+SELECT f.o_orderkey, f.day, dd.month, dm.year, f.location_id, dl.r_name, f.o_totalprice
+FROM f JOIN dd ON f.day = dd.day JOIN dm ON dd.month = dm.month JOIN dy ON dm.year = dy.year
+JOIN dl ON f.location_id = dl.n_name""")
+def q_star_join(spark, sf):
+    joined = st.star_join(fact_listing_frame(spark, sf), [
+        (st.dim_day(days_frame(spark, sf)), "day", "day"),
+        (st.dim_month(days_frame(spark, sf), months_frame(spark, sf)), "month", "month"),
+        (dim_year_frame(spark, sf), "year", "year"),
+        (dim_location_frame(spark, sf).select("n_name", "r_name"), "location_id", "n_name")])
+    return joined.select("o_orderkey", "day", "month", "year", "location_id", "r_name", "o_totalprice")
+
+
+@query("kpi_price_size", """
+SELECT CAST(l_orderkey AS VARCHAR) || '_' || strftime(l_shipdate, '%Y_%m_%d') AS row_id,
+       round(avg(l_extendedprice), 6) AS avg_l_extendedprice, round(avg(l_quantity), 6) AS avg_l_quantity,
+       CAST(sum(l_linenumber) AS BIGINT) AS sum_l_linenumber
+FROM lineitem GROUP BY 1""")
+def q_kpi_price_size(spark, sf):
+    li = T(spark, sf, "lineitem")
+    row_id = composite_key([F.col("l_orderkey"), period_key("l_shipdate", "yyyy_MM_dd")])
+    k = st.kpi_per_row(li, row_id, ["l_extendedprice", "l_quantity"], ["l_linenumber"])
+    return k.select("row_id", F.round("avg_l_extendedprice", 6).alias("avg_l_extendedprice"),
+                    F.round("avg_l_quantity", 6).alias("avg_l_quantity"), "sum_l_linenumber")
+
+
+@query("kpi_price_income", f"""
+WITH f AS ({FACT_LISTING_SQL}), i AS ({FACT_INCOME_SQL}),
+a AS (SELECT location_id, avg(o_totalprice) AS avg_price FROM f GROUP BY 1),
+b AS (SELECT location_id, avg(balance) AS avg_balance FROM i GROUP BY 1)
+SELECT coalesce(a.location_id, b.location_id) AS location_id, round(a.avg_price, 6) AS avg_price,
+       round(b.avg_balance, 6) AS avg_balance
+FROM a FULL OUTER JOIN b ON a.location_id = b.location_id WHERE a.avg_price IS NOT NULL""")
+def q_kpi_price_income(spark, sf):
+    d = st.drill_across(fact_listing_frame(spark, sf), fact_income_frame(spark, sf), "location_id",
+                        [F.avg("o_totalprice").alias("avg_price")], [F.avg("balance").alias("avg_balance")])
+    return d.where(F.col("avg_price").isNotNull()).select(
+        "location_id", F.round("avg_price", 6).alias("avg_price"), F.round("avg_balance", 6).alias("avg_balance"))
+
+
+@query("kpi_rows_per_day", f"""
+SELECT CAST(strptime(day, '%Y_%m_%d') AS DATE) AS date, count(*) AS n_rows
+FROM ({FACT_LISTING_SQL}) GROUP BY 1""")
+def q_kpi_rows_per_day(spark, sf):
+    return st.kpi_rows_per_day(fact_listing_frame(spark, sf))
+
+
+@query("kpi_income_population", f"""
+SELECT r_name, n_name, round(avg(balance), 6) AS avg_balance, count(*) AS n_rows
+FROM ({FACT_INCOME_SQL}) i JOIN ({DIM_LOCATION_SQL}) l ON i.location_id = l.n_name GROUP BY ALL""")
+def q_kpi_income_population(spark, sf):
+    joined = st.star_join(fact_income_frame(spark, sf),
+                          [(dim_location_frame(spark, sf), "location_id", "n_name")])
+    # the join key is dropped; the dimension name equals the fact's location id
+    return joined.groupBy("r_name", F.col("location_id").alias("n_name")).agg(
+        F.round(F.avg("balance"), 6).alias("avg_balance"), F.count(F.lit(1)).alias("n_rows"))
+
+
+# ------------------------------------------------------------------------
+# Features and regression on lineitem and events
+# ------------------------------------------------------------------------
+
+@query("feature_roles", """
+SELECT column_name,
+       CASE WHEN data_type IN ('DOUBLE', 'INTEGER') THEN 'numeric'
+            WHEN data_type = 'BOOLEAN' THEN 'boolean' ELSE 'categorical' END AS role
+FROM information_schema.columns
+WHERE table_name = 'lineitem' AND column_name <> 'l_extendedprice'
+  AND data_type IN ('DOUBLE', 'INTEGER', 'BOOLEAN', 'VARCHAR')""")
+def q_feature_roles(spark, sf):
+    from driftwood.operators.features import feature_roles_report
+    return feature_roles_report(T(spark, sf, "lineitem"), "l_extendedprice")
+
+
+@query("sql_stage", """
+SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber, l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem""")
+def q_sql_stage(spark, sf):
+    from driftwood.operators.features import cast_stage, feature_roles
+    li = T(spark, sf, "lineitem")
+    return cast_stage(li.columns, feature_roles(li, "l_extendedprice")["numeric"]).transform(li)
+
+
+IMPUTE_SQL = """
+WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+                  CASE WHEN value > 100 THEN NULL ELSE event_type END AS event_type FROM events)
+SELECT event_id, round(coalesce(value, avg(value) OVER ()), 6) AS value,
+       coalesce(event_type, 'UNKNOWN') AS event_type FROM e"""
+
+
+@query("impute_fill", IMPUTE_SQL)
+def q_impute_fill(spark, sf):
+    from pyspark.ml.feature import Imputer
+
+    from driftwood.operators.features import unknown_stage
+    ev = T(spark, sf, "events").select(
+        "event_id",
+        F.when(F.col("event_type") == "error", None).otherwise(F.col("value")).alias("value"),
+        F.when(F.col("value") > 100, None).otherwise(F.col("event_type")).alias("event_type"))
+    imputed = Imputer(inputCols=["value"], outputCols=["value"], strategy="mean").fit(ev).transform(ev)
+    filled = unknown_stage(imputed.columns, ["event_type"]).transform(imputed)
+    return filled.select("event_id", F.round("value", 6).alias("value"), "event_type")
+
+
+STRING_INDEX_SQL = """
+SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type ASC) - 1 AS DOUBLE) AS event_type_index
+FROM (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1)"""
+
+
+def indexed_events(spark, sf):
+    from pyspark.ml.feature import StringIndexer
+    ev = T(spark, sf, "events")
+    model = StringIndexer(inputCols=["event_type"], outputCols=["event_type_index"],
+                          handleInvalid="skip", stringOrderType="frequencyDesc").fit(ev)
+    return model.transform(ev)
+
+
+@query("string_index", STRING_INDEX_SQL)
+def q_string_index(spark, sf):
+    return indexed_events(spark, sf).select("event_type", "event_type_index").distinct()
+
+
+ONE_HOT_SQL = f"""
+WITH idx AS ({STRING_INDEX_SQL}), k AS (SELECT count(*) AS k FROM idx)
+SELECT event_id, value, user_id,
+       list_transform(range(k.k - 1), lambda i: CASE WHEN i = idx.event_type_index THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS event_type_vec
+FROM events JOIN idx USING (event_type), k"""
+
+
+def one_hot_events(spark, sf):
+    from pyspark.ml.feature import OneHotEncoder
+    idx = indexed_events(spark, sf)
+    enc = OneHotEncoder(inputCols=["event_type_index"], outputCols=["event_type_encoded"], dropLast=True)
+    return enc.fit(idx).transform(idx)
+
+
+@query("one_hot", f"SELECT event_id, event_type_vec FROM ({ONE_HOT_SQL})")
+def q_one_hot(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    return one_hot_events(spark, sf).select("event_id", vector_to_array("event_type_encoded").alias("event_type_vec"))
+
+
+@query("feature_vector", f"""
+SELECT event_id, list_concat(event_type_vec, [value, CAST(user_id AS DOUBLE)]) AS features
+FROM ({ONE_HOT_SQL})""")
+def q_feature_vector(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    enc = one_hot_events(spark, sf).withColumn("user_id", F.col("user_id").cast("double"))
+    vec = VectorAssembler(inputCols=["event_type_encoded", "value", "user_id"], outputCol="features").transform(enc)
+    return vec.select("event_id", vector_to_array("features").alias("features"))
+
+
+@query("ols_fit", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""")
+def q_ols_fit(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    from driftwood.operators.features import linear_regression
+    li = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(T(spark, sf, "lineitem"))
+    model = linear_regression("l_extendedprice", reg_param=0.0, elastic_net=0.0, max_iter=100,
+                              solver="normal").fit(li)
+    # model coefficients are driver-side scalars; the result frame derives from the fit
+    return li.agg(F.count(F.lit(1)).alias("n")).select(
+        F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
+        F.round(F.lit(float(model.intercept)), 4).alias("intercept"))
+
+
+@query("regression_metrics", """
+SELECT count(*) AS n, round(sqrt(avg((l_extendedprice - l_quantity * 1000) ^ 2)), 6) AS rmse,
+       round(1 - sum((l_extendedprice - l_quantity * 1000) ^ 2) / (var_pop(l_extendedprice) * count(*)), 6) AS r2
+FROM lineitem""")
+def q_regression_metrics(spark, sf):
+    from driftwood.operators.features import regression_metrics
+    li = T(spark, sf, "lineitem").withColumn("prediction", F.col("l_quantity") * 1000)
+    m = regression_metrics(li, "l_extendedprice")
+    return m.select("n", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+@query("hash_split", """
+WITH h AS (SELECT l_orderkey, l_linenumber,
+                  md5(CAST(l_orderkey AS VARCHAR) || chr(1) || CAST(l_linenumber AS VARCHAR)) AS h FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN (instr('0123456789abcdef', substr(h, 1, 1)) - 1) * 16
+                 + (instr('0123456789abcdef', substr(h, 2, 1)) - 1) < 205 THEN 'train' ELSE 'test' END AS split
+FROM h""")
+def q_hash_split(spark, sf):
+    from driftwood.operators.features import hash_split
+    return hash_split(T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"),
+                      ["l_orderkey", "l_linenumber"])
+
+
+def _lineitem_training(spark, sf):
+    li = T(spark, sf, "lineitem")
+    return li.drop("l_shipdate")
+
+
+@query("elastic_net_score")
+def q_elastic_net_score(spark, sf):
+    from driftwood.operators.features import score, train
+    data = _lineitem_training(spark, sf)
+    pm, lr, _ = train(data, "l_extendedprice", exclude=["l_orderkey", "l_partkey", "l_suppkey"],
+                      split_keys=["l_orderkey", "l_linenumber"],
+                      passthrough=["l_orderkey", "l_linenumber"])
+    return score(data, pm, lr).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    from driftwood.operators.features import (load_pipeline, load_regression, save_model,
+                                              score, train)
+    data = _lineitem_training(spark, sf)
+    pm, lr, _ = train(data, "l_extendedprice", exclude=["l_orderkey", "l_partkey", "l_suppkey"],
+                      split_keys=["l_orderkey", "l_linenumber"],
+                      passthrough=["l_orderkey", "l_linenumber"])
+    base = scratch_path(spark, "models")
+    save_model(pm, base, "features", 1)
+    save_model(lr, base, "price", 1)
+    return score(data, load_pipeline(base, "features", 1), load_regression(base, "price", 1)) \
+        .select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("train_metrics")
+def q_train_metrics(spark, sf):
+    from driftwood.operators.features import train
+    data = _lineitem_training(spark, sf)
+    _, _, metrics = train(data, "l_extendedprice", exclude=["l_orderkey", "l_partkey", "l_suppkey"],
+                          split_keys=["l_orderkey", "l_linenumber"],
+                      passthrough=["l_orderkey", "l_linenumber"])
+    return metrics
+
+
+# ------------------------------------------------------------------------
+# Files in a drop folder, refresh, CSV
+# ------------------------------------------------------------------------
+
+@query("read_with_key", "SELECT *, strftime(o_orderdate, '%Y') AS file_key FROM orders")
+def q_read_with_key(spark, sf):
+    from driftwood.sources.files import read_keyed
+    from driftwood.sources.sinks import write_table
+    orders = T(spark, sf, "orders")
+    root = scratch_path(spark, "drops")
+    for y in _years(orders, "o_orderdate"):
+        write_table(orders.where(_year_range("o_orderdate", y)), f"{root}/{y}_orders.parquet")
+    return read_keyed(spark, root, 4, key_col="file_key")
+
+
+@query("partition_refresh", FACT_LISTING_SQL)
+def q_partition_refresh(spark, sf):
+    from driftwood.sources.sinks import refresh_star
+    base = scratch_path(spark, "star")
+    tables = OrderedDict([
+        ("dim_year", dim_year_frame(spark, sf)),
+        ("dim_day", st.dim_day(days_frame(spark, sf))),
+        ("fact_listing", fact_listing_frame(spark, sf))])
+    refresh_star(spark, tables, base)
+    paths = refresh_star(spark, tables, base)  # a second full refresh replaces, never appends
+    return spark.read.parquet(paths["fact_listing"])
+
+
+@query("outlier_csv", f"""
+WITH b AS ({_bounds_sql('events', 'value', 1.5)})
+SELECT e.*, 'value' AS outlier_column FROM events e, b
+WHERE e.value < b.lower_bound OR e.value > b.upper_bound""")
+def q_outlier_csv(spark, sf):
+    from driftwood.sources.sinks import write_csv
+    ev = T(spark, sf, "events")
+    rows = ol.outlier_rows(ev, ol.iqr_bounds(ev, ["value"], 1.5, exact=True))
+    path = write_csv(rows, scratch_path(spark, "outliers"), header=True)
+    from driftwood.sources.files import read_csv
+    return read_csv(spark, path, rows.schema, header=True)

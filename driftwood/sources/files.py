@@ -73,6 +73,13 @@ def read_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet") ->
     return spark.table(path_or_name)
 
 
+def read_csv(spark: SparkSession, path: str, schema, header: bool = False) -> DataFrame:
+    """Read a CSV dump written by :func:`driftwood.sources.sinks.write_csv`."""
+    from driftwood.sources.sinks import CSV_TIME_OPTIONS
+    return (spark.read.schema(schema).options(**CSV_TIME_OPTIONS)
+            .option("header", str(header).lower()).csv(path))
+
+
 def values(spark: SparkSession, rows, schema) -> DataFrame:
     """A literal relation with an explicit schema."""
     return spark.createDataFrame(rows, schema)

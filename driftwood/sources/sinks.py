@@ -30,9 +30,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     return path
 
 
+# Text formats that keep microseconds in CSV files.
+CSV_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> str:
-    """CSV dump, e.g. of outlier rows."""
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+    """CSV dump, e.g. of outlier rows (A8); timestamps keep microseconds."""
+    df.write.mode(mode).options(**CSV_TIME_OPTIONS).option("header", str(header).lower()).csv(path)
     return path
 
 
