@@ -169,23 +169,40 @@ def train(df: DataFrame, target: str, exclude=(), fit_on_all: bool = False,
     ``fit_on_all`` keeps the reference order (fit on all rows, then split).
     Returns ``(pipeline_model, lr_model, metrics)``, metrics on train and test.
     """
+    if split_keys:
+        # split keys survive the projection, so the split label can be
+        # recomputed from the scored rows (the hash is deterministic)
+        passthrough = list(passthrough) + [k for k in split_keys
+                                           if k in set(exclude) and k not in set(passthrough)]
     pipeline = feature_pipeline(df, target, exclude, passthrough=passthrough)
     if split_keys:
-        labelled = hash_split(df, split_keys)
-        tr = labelled.where("split = 'train'").drop("split")
-        te = labelled.where("split = 'test'").drop("split")
-    else:
-        tr, te = random_split(df, seed=seed)
+        tr = hash_split(df, split_keys).where("split = 'train'").drop("split")
+        pm = pipeline.fit(df if fit_on_all else tr)
+        lr = linear_regression(target, **lr_params).fit(pm.transform(tr))
+        # one scoring pass; train and test metrics come from one grouped aggregate
+        scored = hash_split(lr.transform(pm.transform(df)), split_keys)
+        metrics = grouped_regression_metrics(scored, target, "split")
+        return pm, lr, metrics
+    tr, te = random_split(df, seed=seed)
     pm = pipeline.fit(df if fit_on_all else tr)
     lr = linear_regression(target, **lr_params).fit(pm.transform(tr))
-    scored = {"train": lr.transform(pm.transform(tr)), "test": lr.transform(pm.transform(te))}
     metrics = None
-    for name, sdf in scored.items():
-        m = regression_metrics(sdf, target).select(F.lit(name).alias("split"), "*")
+    for name, part in (("train", tr), ("test", te)):
+        m = regression_metrics(lr.transform(pm.transform(part)), target).select(F.lit(name).alias("split"), "*")
         metrics = m if metrics is None else metrics.unionByName(m)
     return pm, lr, metrics
 
 
+def grouped_regression_metrics(df: DataFrame, label: str, group: str,
+                               prediction: str = "prediction") -> DataFrame:
+    """:func:`regression_metrics` per value of ``group`` in one aggregate."""
+    err = F.col(_q(label)) - F.col(_q(prediction))
+    stats = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("sse"),
+                                  F.var_pop(F.col(_q(label))).alias("var_y"))
+    return stats.select(group, "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
+                        (F.lit(1.0) - F.col("sse") / (F.col("var_y") * F.col("n"))).alias("r2"))
+
+
 # ----------------------------------------------------------- A10, M12 --
 
 def model_path(base_dir: str, name: str, version) -> str:

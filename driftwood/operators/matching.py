@@ -31,12 +31,19 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      materialize: bool = False) -> DataFrame:
     """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
 
     The proof is a bounded count (``limit(max_rows + 1)``), which stops early
     on a large input; a larger side is returned unhinted and Spark shuffles.
+    ``materialize`` first writes a derived side (e.g. a dimension built by a
+    distinct over a fact) to the shared checkpoint folder, so the count and
+    the join read that small result instead of computing it twice.
     """
+    if materialize:
+        from driftwood.session import cut_lineage
+        df = cut_lineage(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

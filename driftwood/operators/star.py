@@ -83,13 +83,15 @@ def fact_with_fallback(df: DataFrame, on: str, lookups, id_col: str, columns: di
 
 # ------------------------------------------------------------- D8, D9 --
 
-def star_join(fact: DataFrame, dims) -> DataFrame:
+def star_join(fact: DataFrame, dims, materialize_dims: bool = True) -> DataFrame:
     """Inner joins of a fact with dimensions on unique keys.
 
     ``dims`` is a list of ``(dim_df, fact_key, dim_key)``; a dimension may
     join a column brought in by an earlier dimension (day → month → year).
     Dimension attributes whose name is already taken get a ``_<dim_key>``
-    suffix.
+    suffix.  Each dimension is computed once (written to the shared
+    checkpoint folder), its size is checked, and a small one is broadcast so
+    the fact is never shuffled for the join.
     """
     out = fact
     for dim, fk, dk in dims:
@@ -97,7 +99,7 @@ def star_join(fact: DataFrame, dims) -> DataFrame:
         d = dim.select(F.col(_q(dk)).alias("_dim_key"),
                        *[F.col(_q(c)).alias(f"{c}_{dk}" if c in taken else c)
                          for c in dim.columns if c != dk])
-        d = bounded_broadcast(d)
+        d = bounded_broadcast(d, materialize=materialize_dims)
         out = out.join(d, F.col(_q(fk)) == F.col("_dim_key"), "inner").drop("_dim_key")
     return out
 
