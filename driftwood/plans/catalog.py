@@ -1034,3 +1034,146 @@ def q_outlier_csv(spark, sf):
     path = write_csv(rows, scratch_path(spark, "outliers"), header=True)
     from driftwood.sources.files import read_csv
     return read_csv(spark, path, rows.schema, header=True)
+
+
+# ------------------------------------------------------------------------
+# The jobs end to end on the driver tables
+# ------------------------------------------------------------------------
+
+@query("job_formatted_orders", """
+SELECT o_custkey, o_orderdate, o_orderkey,
+       CASE WHEN year(o_orderdate) % 2 = 1 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       o_orderstatus, o_totalprice, CAST(year(o_orderdate) AS VARCHAR) AS year
+FROM orders""")
+def q_job_formatted_orders(spark, sf):
+    """Yearly drops with drift (upper-case names, a missing column, price as
+    text) → J3/J4-style load into a stored table, read back."""
+    from driftwood.plans.jobs import SourceConfig, format_and_load
+    from driftwood.sources.sinks import write_table
+    orders = T(spark, sf, "orders")
+    root = scratch_path(spark, "order-drops")
+    for y in _years(orders, "o_orderdate"):
+        f = orders.where(_year_range("o_orderdate", y))
+        if y % 2 == 1:
+            f = f.drop("o_orderpriority")
+        if y == 1996:
+            f = f.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+        write_table(f.toDF(*[c.upper() for c in f.columns]), f"{root}/{y}_orders.parquet")
+    target = scratch_path(spark, "formatted-orders")
+    cfg = SourceConfig(root=root, target=target, keys=["o_orderkey"], key_len=4, key_col="year",
+                       overrides={"o_totalprice": "double"}, outliers=True,
+                       outlier_exclude=["o_orderkey", "o_custkey"], factor=3.0,
+                       report_dir=scratch_path(spark, "order-outliers"))
+    format_and_load(spark, cfg)
+    return spark.read.parquet(target)
+
+
+RECONCILE_LOOKUP_SQL = """
+SELECT p_partkey AS id,
+       CASE WHEN p_size <= 25 THEN p_name
+            ELSE split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) END AS reconciled_name
+FROM part WHERE p_type = 'SMALL'"""
+
+# Manual corrections applied by the reconciliation job.
+RECONCILE_OVERRIDES = [("blue bolt", -1, None, None), ("rusty sprocket", -2, "rusty sprocket", 1.0)]
+
+
+@query("job_reconcile", f"""
+WITH lk AS ({RECONCILE_LOOKUP_SQL}),
+names AS (SELECT DISTINCT p_name FROM part p WHERE p_type = 'ECONOMY'
+          AND NOT EXISTS (SELECT 1 FROM lk WHERE lk.reconciled_name = p.p_name)),
+s AS (SELECT n.p_name, lk.id, lk.reconciled_name,
+             {TOKENS_SQL.format(x='n.p_name')} AS a, {TOKENS_SQL.format(x='lk.reconciled_name')} AS b
+      FROM names n CROSS JOIN lk WHERE n.p_name IS NOT NULL AND lk.reconciled_name IS NOT NULL),
+j AS (SELECT p_name, id, reconciled_name,
+             CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN 0.0
+                  ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END AS similarity FROM s),
+f AS (SELECT * FROM j WHERE similarity >= 0.3),
+b AS (SELECT p_name, id, reconciled_name, similarity FROM (
+        SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY similarity DESC, id ASC, reconciled_name ASC) AS rn
+        FROM f) WHERE rn = 1),
+o AS (SELECT * FROM (VALUES ('blue bolt', -1, NULL, NULL), ('rusty sprocket', -2, 'rusty sprocket', 1.0))
+        v(p_name, id, reconciled_name, similarity))
+SELECT b.p_name, coalesce(o.id, b.id) AS id, coalesce(o.reconciled_name, b.reconciled_name) AS reconciled_name,
+       coalesce(o.similarity, b.similarity) AS similarity
+FROM b LEFT JOIN o ON b.p_name = o.p_name
+UNION ALL SELECT p_name, id, reconciled_name, similarity FROM o WHERE p_name NOT IN (SELECT p_name FROM b)""")
+def q_job_reconcile(spark, sf):
+    """J6 on part names: the lookup spells some names with their words swapped."""
+    from driftwood.plans.jobs import ReconcileConfig, reconcile
+    part = T(spark, sf, "part")
+    words = F.split("p_name", " ")
+    lookup = part.where(F.col("p_type") == "SMALL").select(
+        F.col("p_partkey").alias("id"),
+        F.when(F.col("p_size") <= 25, F.col("p_name"))
+         .otherwise(F.concat(F.get(words, 1), F.lit(" "), F.get(words, 0))).alias("reconciled_name"))
+    overrides = spark.createDataFrame(RECONCILE_OVERRIDES,
+                                      "p_name string, id long, reconciled_name string, similarity double")
+    cfg = ReconcileConfig(name_col="p_name", lookup_name_col="reconciled_name", lookup_id_col="id",
+                          row_filter="p_type = 'ECONOMY'", threshold=0.3, overrides=overrides,
+                          target=scratch_path(spark, "resolved-names"))
+    resolved, _ = reconcile(part, lookup, cfg)
+    return spark.read.parquet(cfg.target)
+
+
+def _pk_sql(name, sql, keys):
+    return (f"SELECT 'pk' AS check_name, '{name}' AS table_name, (SELECT count(*) FROM "
+            f"(SELECT {keys} FROM ({sql}) GROUP BY {keys} HAVING count(*) > 1)) AS n_violations")
+
+
+def _fk_sql(child, csql, fk, parent, psql, pk):
+    return (f"SELECT 'fk:{parent}' AS check_name, '{child}' AS table_name, (SELECT count(*) FROM ({csql}) c "
+            f"WHERE c.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({psql}) p WHERE p.{pk} = c.{fk})) AS n_violations")
+
+
+@query("job_star", " UNION ALL ".join([
+    _pk_sql("dim_year", DIM_YEAR_SQL, "year"),
+    _pk_sql("dim_month", DIM_MONTH_SQL, "month"),
+    _pk_sql("dim_day", DIM_DAY_SQL, "day"),
+    _pk_sql("dim_location", DIM_LOCATION_SQL, "n_name"),
+    _pk_sql("fact_listing", FACT_LISTING_SQL, "o_orderkey, day, location_id"),
+    _pk_sql("fact_income", FACT_INCOME_SQL, "segment, location_id"),
+    f"SELECT 'not_null' AS check_name, 'fact_listing' AS table_name, (SELECT count(*) FROM ({FACT_LISTING_SQL}) "
+    f"WHERE location_id IS NULL) AS n_violations",
+    f"SELECT 'not_null' AS check_name, 'fact_income' AS table_name, (SELECT count(*) FROM ({FACT_INCOME_SQL}) "
+    f"WHERE location_id IS NULL) AS n_violations",
+    _fk_sql("fact_listing", FACT_LISTING_SQL, "day", "dim_day", DIM_DAY_SQL, "day"),
+    _fk_sql("dim_day", DIM_DAY_SQL, "month", "dim_month", DIM_MONTH_SQL, "month"),
+    _fk_sql("dim_month", DIM_MONTH_SQL, "year", "dim_year", DIM_YEAR_SQL, "year"),
+    _fk_sql("fact_listing", FACT_LISTING_SQL, "location_id", "dim_location", DIM_LOCATION_SQL, "n_name"),
+    _fk_sql("fact_income", FACT_INCOME_SQL, "location_id", "dim_location", DIM_LOCATION_SQL, "n_name"),
+]))
+def q_job_star(spark, sf):
+    """Refresh the star (dimensions, then facts) and check its constraints (C11)."""
+    from driftwood.plans.jobs import build_star, star_constraints
+    dims = OrderedDict([
+        ("dim_year", dim_year_frame(spark, sf)),
+        ("dim_month", st.dim_month(days_frame(spark, sf), months_frame(spark, sf))),
+        ("dim_day", st.dim_day(days_frame(spark, sf))),
+        ("dim_location", dim_location_frame(spark, sf))])
+    facts = OrderedDict([("fact_listing", fact_listing_frame(spark, sf)),
+                         ("fact_income", fact_income_frame(spark, sf))])
+    paths = build_star(spark, dims, facts, scratch_path(spark, "star-job"))
+    tables = {n: spark.read.parquet(p) for n, p in paths.items()}
+    report = star_constraints(
+        tables,
+        pks={"dim_year": ["year"], "dim_month": ["month"], "dim_day": ["day"], "dim_location": ["n_name"],
+             "fact_listing": ["o_orderkey", "day", "location_id"], "fact_income": ["segment", "location_id"]},
+        not_null={"fact_listing": ["location_id"], "fact_income": ["location_id"]},
+        fks=[("fact_listing", ["day"], "dim_day", ["day"]), ("dim_day", ["month"], "dim_month", ["month"]),
+             ("dim_month", ["year"], "dim_year", ["year"]),
+             ("fact_listing", ["location_id"], "dim_location", ["n_name"]),
+             ("fact_income", ["location_id"], "dim_location", ["n_name"])])
+    return report
+
+
+@query("job_train_predict")
+def q_job_train_predict(spark, sf):
+    """J8 then J9: train, store version 1, score the table with the stored version."""
+    from driftwood.plans.jobs import predict_job, train_job
+    data = _lineitem_training(spark, sf)
+    model_dir = scratch_path(spark, "registry")
+    train_job(data, "l_extendedprice", model_dir, "price", 1,
+              exclude=["l_orderkey", "l_partkey", "l_suppkey"], split_keys=["l_orderkey", "l_linenumber"],
+              passthrough=["l_orderkey", "l_linenumber"]).collect()
+    return predict_job(data, model_dir, "price", 1).select("l_orderkey", "l_linenumber", "prediction")

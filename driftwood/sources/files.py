@@ -17,10 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Fixed value: a drop file's name starts with a four-digit year.
+KEY_DIGITS = 4
+
+
 def key_from_path(path: Column, key_len: int) -> Column:
-    """Period key: the first ``key_len`` characters of the first path part
-    (file or its folder) that starts with ``key_len`` digits (A2)."""
-    pattern = r"/(\d{%d})[^/]*(/[^/]+)?$" % key_len
+    """Period key: the first ``key_len`` characters (``YYYY``, ``YYYY_MM``,
+    ``YYYY_MM_DD``) of the file, or the folder holding it, whose name starts
+    with a four-digit year (A2)."""
+    pattern = r"/(\d{%d})[^/]*(/[^/]+)?$" % KEY_DIGITS
     raw = F.regexp_extract(path, pattern, 0)
     name = F.regexp_extract(raw, r"^/([^/]+)", 1)
     return F.when(raw != "", F.substring(name, 1, key_len))
@@ -29,7 +34,7 @@ def key_from_path(path: Column, key_len: int) -> Column:
 def key_of_name(name: str, key_len: int) -> str | None:
     """Driver-side twin of :func:`key_from_path` for one path (A2)."""
     base = name.rstrip("/").rsplit("/", 1)[-1]
-    return base[:key_len] if re.match(r"^\d{%d}" % key_len, base) else None
+    return base[:key_len] if re.match(r"^\d{%d}" % KEY_DIGITS, base) else None
 
 
 def read_keyed(spark: SparkSession, root: str, key_len: int, key_col: str = "key",
@@ -40,7 +45,7 @@ def read_keyed(spark: SparkSession, root: str, key_len: int, key_col: str = "key
     ``prefix`` selects files by a name prefix instead of a digit key.  Files
     of the same key are united (the reference kept only the last one).
     """
-    pattern = f"{prefix}*" if prefix else "[0-9]" * key_len + "*"
+    pattern = f"{prefix}*" if prefix else "[0-9]" * KEY_DIGITS + "*"
     reader = spark.read.format(fmt).options(**(options or {}))
     if fmt == "parquet" and merge_schema:
         reader = reader.option("mergeSchema", "true")
