@@ -56,3 +56,22 @@ def test_upsert_twice_equals_once(spark):
     upsert_table(spark, path, batch, ["id"])
     twice = sorted(tuple(r) for r in spark.read.parquet(path).collect())
     assert once == twice and len(once) == 4
+
+
+def test_partitioned_upsert_touches_only_batch_partitions(spark):
+    stored = spark.createDataFrame([(1, "2020_01", 1.0), (2, "2020_01", 2.0), (1, "2020_02", 3.0), (5, "2020_03", 5.0)],
+                                   "id int, month string, v double")
+    batch = spark.createDataFrame([(2, "2020_01", 20.0), (9, "2020_02", 9.0)], "id int, month string, v double")
+    part = scratch_path(spark, "upsert-part")
+    flat = scratch_path(spark, "upsert-flat")
+    stored.write.partitionBy("month").parquet(part)
+    stored.write.parquet(flat)
+    # a marker file in an untouched partition must survive
+    untouched = spark.read.parquet(f"{part}/month=2020_03").inputFiles()
+    for _ in range(2):
+        upsert_table(spark, part, batch, ["id", "month"], partition_by="month")
+        upsert_table(spark, flat, batch, ["id", "month"])
+    a = sorted(tuple(r) for r in spark.read.parquet(part).select("id", "month", "v").collect())
+    b = sorted(tuple(r) for r in spark.read.parquet(flat).select("id", "month", "v").collect())
+    assert a == b and len(a) == 5
+    assert spark.read.parquet(f"{part}/month=2020_03").inputFiles() == untouched
