@@ -2,12 +2,14 @@
 
 Every statistic over many columns is one aggregate (one Spark job), not one
 job per column.  Quantiles are approximate by default (Greenwald–Khanna with
-relative error 0.01, mergeable per partition); ``exact=True`` uses
-``percentile_disc`` and gives the same numbers as SQL ``quantile_disc``.
+relative error 0.01, mergeable per partition); ``exact=True`` finds the
+``percentile_disc`` value (equal to SQL ``quantile_disc``) by histogram
+narrowing, so no task ever holds all distinct values of a column.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,54 +75,106 @@ def continuous_columns(df: DataFrame, threshold: int = DEFAULT_DISTINCT_THRESHOL
 
 # ------------------------------------------------------------------ E5 --
 
-def _quantile_input(df: DataFrame, c: str) -> str:
-    """SQL text of the value to rank: NaN is left out like null."""
-    if _is_fractional(df, c):
-        return f"CASE WHEN isnan({_q(c)}) THEN NULL ELSE {_q(c)} END"
-    return _q(c)
+# Largest candidate set an exact quantile search hands to the final top-k step.
+EXACT_FINAL_ROWS = 200_000
+# Histogram bins per narrowing pass of the exact quantile search.
+EXACT_BINS = 4096
 
 
-def quartile_frame(df: DataFrame, columns) -> DataFrame:
-    """One-row frame with exact ``q1_i``/``q3_i`` for every column, one job."""
+def _values(df: DataFrame, c: str) -> DataFrame:
+    """Column ``v`` with the values to rank: null and NaN left out."""
+    v = F.col(_q(c))
+    keep = v.isNotNull() & ~F.isnan(v) if _is_fractional(df, c) else v.isNotNull()
+    return df.select(v.alias("v")).where(keep)
+
+
+def exact_quantiles(df: DataFrame, columns, probs, final_rows: int = EXACT_FINAL_ROWS,
+                    bins: int = EXACT_BINS) -> dict:
+    """Exact discrete quantiles (the ``percentile_disc`` value) without ever
+    holding a column's distinct values in one task.
+
+    The value of quantile ``p`` is the ``k = max(1, ceil(p·n))``-th smallest
+    non-null, non-NaN value.  One aggregate gives ``n``, ``min`` and ``max``
+    per column; then each pass counts a ``bins``-wide equal-width histogram of
+    the current value range (a partial aggregate with at most ``bins`` output
+    rows) and keeps the bin holding rank ``k``.  Bins split values by a
+    monotone formula, so the kept range holds exactly that bin's rows.  Once
+    at most ``final_rows`` rows remain (or one distinct value), a distributed
+    top-k picks the value.  Returns ``{column: [value per p]}``; ``None`` for
+    empty columns.
+    """
+    columns = list(columns)
     exprs = []
     for i, c in enumerate(columns):
-        v = _quantile_input(df, c)
-        exprs.append(f"CAST(percentile_disc(0.25) WITHIN GROUP (ORDER BY {v}) AS DOUBLE) AS q1_{i}")
-        exprs.append(f"CAST(percentile_disc(0.75) WITHIN GROUP (ORDER BY {v}) AS DOUBLE) AS q3_{i}")
-    return df.selectExpr(*exprs)
+        v = F.col(_q(c))
+        ok = v.isNotNull() & ~F.isnan(v) if _is_fractional(df, c) else v.isNotNull()
+        exprs += [F.count_if(ok).alias(f"n{i}"), F.min(F.when(ok, v)).alias(f"lo{i}"),
+                  F.max(F.when(ok, v)).alias(f"hi{i}")]
+    row = df.agg(*exprs).first()
+    out = {}
+    for i, c in enumerate(columns):
+        n, lo0, hi0 = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
+        if not n:
+            out[c] = [None for _ in probs]
+            continue
+        vals = _values(df, c)
+        res = []
+        for p in probs:
+            k = max(1, math.ceil(p * n))
+            lo, hi, below, count = lo0, hi0, 0, n
+            while lo != hi and count > final_rows:
+                v = F.col("v").cast("double")
+                width = (float(hi) - float(lo)) or 1.0
+                b = F.least(F.floor((v - F.lit(float(lo))) / F.lit(width) * F.lit(bins)),
+                            F.lit(bins - 1)).cast("int")
+                hist = (vals.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+                        .groupBy(b.alias("b"))
+                        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                        .orderBy("b").collect())
+                for h in hist:
+                    if below + h["n"] >= k:
+                        lo, hi, count = h["lo"], h["hi"], h["n"]
+                        break
+                    below += h["n"]
+            if lo == hi:
+                res.append(lo)
+                continue
+            r = k - below
+            top = (vals.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+                   .orderBy("v").limit(r).agg(F.max("v")).first()[0])
+            res.append(top)
+        out[c] = res
+    return out
 
 
 def iqr_bounds(df: DataFrame, columns, factor: float = DEFAULT_FACTOR,
                relative_error: float = DEFAULT_RELATIVE_ERROR,
                exact: bool = False) -> dict[str, Bounds]:
-    """Quartiles and IQR bounds of all columns in one job (E5).
+    """Quartiles and IQR bounds of all columns (E5).
 
-    Empty or all-null columns get null bounds (and no outliers).
+    Approximate: one Greenwald–Khanna job for all columns (bounded sketch
+    per task).  Exact: :func:`exact_quantiles`.  Empty or all-null columns
+    get null bounds (and no outliers).
     """
     columns = list(columns)
     if not columns:
         return {}
     if exact:
-        row = quartile_frame(df, columns).first()
-        return {c: Bounds(row[f"q1_{i}"], row[f"q3_{i}"], factor) for i, c in enumerate(columns)}
+        qs = exact_quantiles(df, columns, [0.25, 0.75])
+        return {c: Bounds(None if q[0] is None else float(q[0]),
+                          None if q[1] is None else float(q[1]), factor) for c, q in qs.items()}
     qs = df.approxQuantile(columns, [0.25, 0.75], relative_error)
     return {c: (Bounds(q[0], q[1], factor) if q else Bounds(None, None, factor))
             for c, q in zip(columns, qs)}
 
 
-def iqr_bounds_frame(df: DataFrame, columns, factor: float = DEFAULT_FACTOR) -> DataFrame:
-    """Exact IQR bounds as rows, without any driver round trip (E5).
-
-    Columns ``column_name, q1, q3, iqr, lower_bound, upper_bound``.
-    """
-    columns = list(columns)
-    wide = quartile_frame(df, columns)
-    pieces = ", ".join(f"'{c}', q1_{i}, q3_{i}" for i, c in enumerate(columns))
-    long = wide.selectExpr(f"stack({len(columns)}, {pieces}) AS (column_name, q1, q3)")
-    iqr = F.col("q3") - F.col("q1")
-    return long.select("column_name", "q1", "q3", iqr.alias("iqr"),
-                       (F.col("q1") - F.lit(factor) * iqr).alias("lower_bound"),
-                       (F.col("q3") + F.lit(factor) * iqr).alias("upper_bound"))
+def iqr_bounds_frame(df: DataFrame, columns, factor: float = DEFAULT_FACTOR,
+                     exact: bool = True, relative_error: float = DEFAULT_RELATIVE_ERROR) -> DataFrame:
+    """IQR bounds as rows ``column_name, q1, q3, iqr, lower_bound, upper_bound`` (E5)."""
+    bounds = iqr_bounds(df, columns, factor, relative_error, exact)
+    rows = [(c, b.q1, b.q3, b.iqr, b.lower, b.upper) for c, b in bounds.items()]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, q1 double, q3 double, iqr double, lower_bound double, upper_bound double")
 
 
 # ------------------------------------------------------------- E5, E7 --

@@ -54,3 +54,17 @@ def test_bounds_frame_matches_driver_bounds(spark):
     b = ol.iqr_bounds(df, ["v"], 3.0, exact=True)["v"]
     r = ol.iqr_bounds_frame(df, ["v"], 3.0).first()
     assert (r.lower_bound, r.upper_bound) == (b.lower, b.upper)
+
+
+def test_exact_quantiles_match_percentile_disc_with_narrowing(spark):
+    import random
+    rnd = random.Random(3)
+    vals = [rnd.choice([rnd.gauss(0, 1), rnd.expovariate(0.01), 5.0]) for _ in range(5000)] + [float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    # tiny final set and few bins force several narrowing passes
+    got = ol.exact_quantiles(df, ["x"], probs, final_rows=7, bins=4)["x"]
+    want = [df.where("NOT isnan(x)").selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)").first()[0]
+            for p in probs]
+    assert got == want
+    assert ol.exact_quantiles(df.where("x IS NULL"), ["x"], [0.5]) == {"x": [None]}
