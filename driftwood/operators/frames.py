@@ -231,16 +231,30 @@ def align(frames, key_col: str | None = None, overrides: dict | None = None,
 
 # ------------------------------------------------------------ B12, B13 --
 
-def drop_degenerate(frames, min_columns: int = 2) -> "OrderedDict[str, DataFrame]":
-    """Drop frames with fewer than ``min_columns`` columns."""
-    return OrderedDict((k, df) for k, df in frames.items() if len(df.columns) >= min_columns)
+def drop_degenerate(frames, min_columns: int = 2, key_col: str | None = None) -> "OrderedDict[str, DataFrame]":
+    """Drop frames with fewer than ``min_columns`` columns.
+
+    A frame may be a keyed schema group (many drops in one scan); its key
+    column does not count.
+    """
+    def width(df):
+        return len([c for c in df.columns if c != key_col])
+    return OrderedDict((k, df) for k, df in frames.items() if width(df) >= min_columns)
 
 
-def split_frames(frames, bound: str):
-    """Split a family at a text key bound: ``(key <= bound, key > bound)``."""
-    old = OrderedDict((k, df) for k, df in frames.items() if k <= bound)
-    new = OrderedDict((k, df) for k, df in frames.items() if k > bound)
-    return old, new
+def split_frames(frames, bound: str, key_col: str | None = None):
+    """Split a family at a text key bound: ``(key <= bound, key > bound)``.
+
+    Without ``key_col`` frames are split by their dictionary key; with it,
+    every frame (a keyed schema group) is split by a filter on that column.
+    """
+    if key_col is None:
+        old = OrderedDict((k, df) for k, df in frames.items() if k <= bound)
+        new = OrderedDict((k, df) for k, df in frames.items() if k > bound)
+        return old, new
+    key = F.col(_q(key_col)).cast("string")
+    return (OrderedDict((k, df.where(key <= bound)) for k, df in frames.items()),
+            OrderedDict((k, df.where(key > bound)) for k, df in frames.items()))
 
 
 def key_matches(df: DataFrame, column: str, key) -> DataFrame:

@@ -194,17 +194,16 @@ def q_drop_constant(spark, sf):
 SELECT *, strftime(l_shipdate, '%Y_%m') AS month FROM lineitem
 WHERE strftime(l_shipdate, '%Y_%m') > '1998_03' AND month(l_shipdate) <> 1""")
 def q_drop_and_split_frames(spark, sf):
-    li = T(spark, sf, "lineitem")
-    month = period_key("l_shipdate", "yyyy_MM")
-    keys = sorted(r[0] for r in li.select(month.alias("m")).distinct().collect() if r[0])
-    frames = OrderedDict()
-    for m in keys:
-        f = li.where(month == m)
-        # January drops arrive broken: a single column
-        frames[m] = f.select("l_orderkey") if m.endswith("_01") else f
-    frames = fr.drop_degenerate(frames)
-    _, new = fr.split_frames(frames, "1998_03")
-    return fr.union_frames(OrderedDict((k, fr.with_key(df, "month", k)) for k, df in new.items()))
+    """Monthly lineitem drops as a keyed family: one scan per schema group.
+    January drops arrive broken (a single column) and are dropped; only
+    months after the bound are kept."""
+    li = T(spark, sf, "lineitem").withColumn("month", period_key("l_shipdate", "yyyy_MM"))
+    january = F.month("l_shipdate") == 1
+    family = OrderedDict([("full", li.where(~january)),
+                          ("broken", li.where(january).select("l_orderkey", "month"))])
+    family = fr.drop_degenerate(family, key_col="month")
+    _, new = fr.split_frames(family, "1998_03", key_col="month")
+    return fr.union_frames(new)
 
 
 # ------------------------------------------------------------------------
@@ -1177,3 +1176,30 @@ def q_job_train_predict(spark, sf):
               exclude=["l_orderkey", "l_partkey", "l_suppkey"], split_keys=["l_orderkey", "l_linenumber"],
               passthrough=["l_orderkey", "l_linenumber"]).collect()
     return predict_job(data, model_dir, "price", 1).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("feature_pipeline_variant", """
+WITH e AS (SELECT event_id, event_type, value, CASE WHEN value > 100 THEN 'true' ELSE 'false' END AS hv FROM events),
+i1 AS (SELECT event_type, row_number() OVER (ORDER BY n DESC, event_type) - 1 AS idx
+       FROM (SELECT event_type, count(*) AS n FROM e GROUP BY 1)),
+i2 AS (SELECT hv, row_number() OVER (ORDER BY n DESC, hv) - 1 AS idx FROM (SELECT hv, count(*) AS n FROM e GROUP BY 1)),
+k1 AS (SELECT count(*) AS k FROM i1), k2 AS (SELECT count(*) AS k FROM i2)
+SELECT event_id,
+       list_concat(
+         list_transform(range(k1.k - 1), lambda j: CASE WHEN j = i1.idx THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END),
+         list_transform(range(k2.k - 1), lambda j: CASE WHEN j = i2.idx THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END),
+         [value]) AS features
+FROM e JOIN i1 USING (event_type) JOIN i2 USING (hv), k1, k2""")
+def q_feature_pipeline_variant(spark, sf):
+    """Booleans become categories, constant categories are dropped (E9),
+    one pipeline from projection to assembled vector."""
+    from pyspark.ml.functions import vector_to_array
+
+    from driftwood.operators.features import feature_pipeline
+    ev = T(spark, sf, "events").select(
+        "event_id", "event_type", "value", (F.col("value") > 100).alias("high_value"),
+        F.when(F.col("event_id").isNotNull(), F.lit("web")).alias("channel"))
+    ev = qa.drop_constant(ev, ["event_type", "channel"])
+    model = feature_pipeline(ev, "target_none", exclude=["event_id"], categorical_booleans=True,
+                             passthrough=["event_id"]).fit(ev)
+    return model.transform(ev).select("event_id", vector_to_array("features").alias("features"))
