@@ -79,3 +79,37 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+               broadcast_bytes: int = 64 << 20) -> dict:
+    """Session settings sized for an input of ``input_bytes``.
+
+    Scan splits and shuffle partitions of about ``partition_bytes`` each so
+    a task's data fits executor memory without spilling; AQE coalesces small
+    shuffle partitions back and splits skewed ones (a key holding a large
+    share of the rows is cut into several tasks).  Broadcasts stay below
+    ``broadcast_bytes`` when Spark decides on its own; the operators add
+    their own row-bounded broadcasts on top.
+    """
+    shuffle = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    """Set runtime SQL settings on a running session."""
+    for key, value in conf.items():
+        spark.conf.set(key, value)
