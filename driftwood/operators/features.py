@@ -177,15 +177,13 @@ def train(df: DataFrame, target: str, exclude=(), fit_on_all: bool = False,
     pipeline = feature_pipeline(df, target, exclude, passthrough=passthrough)
     if split_keys:
         tr = hash_split(df, split_keys).where("split = 'train'").drop("split")
-        pm = pipeline.fit(df if fit_on_all else tr)
-        lr = linear_regression(target, **lr_params).fit(pm.transform(tr))
+        pm, lr = _fit(pipeline, df if fit_on_all else tr, tr, df, target, exclude, passthrough, lr_params)
         # one scoring pass; train and test metrics come from one grouped aggregate
         scored = hash_split(lr.transform(pm.transform(df)), split_keys)
         metrics = grouped_regression_metrics(scored, target, "split")
         return pm, lr, metrics
     tr, te = random_split(df, seed=seed)
-    pm = pipeline.fit(df if fit_on_all else tr)
-    lr = linear_regression(target, **lr_params).fit(pm.transform(tr))
+    pm, lr = _fit(pipeline, df if fit_on_all else tr, tr, df, target, exclude, passthrough, lr_params)
     metrics = None
     for name, part in (("train", tr), ("test", te)):
         m = regression_metrics(lr.transform(pm.transform(part)), target).select(F.lit(name).alias("split"), "*")
@@ -193,6 +191,32 @@ def train(df: DataFrame, target: str, exclude=(), fit_on_all: bool = False,
     return pm, lr, metrics
 
 
+def _fit(pipeline: Pipeline, fit_rows: DataFrame, train_rows: DataFrame, df: DataFrame, target: str,
+         exclude, passthrough, lr_params):
+    """Fit the feature pipeline, then the regression, on persisted inputs.
+
+    The pipeline's fitting jobs read the projected training rows once from
+    cache; the regression's iterations read only ``(features, label)``.
+    Without this every optimizer pass would recompute the feature pipeline
+    from the source.  Caches are released after the fit; a lost block is
+    recomputed from lineage (the split is a deterministic hash).
+    """
+    from pyspark import StorageLevel
+    used = [c for c in df.columns if c not in set(exclude) or c in set(passthrough)]
+    fit_in = fit_rows.select(*[F.col(_q(c)) for c in used]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        pm = pipeline.fit(fit_in)
+        source = fit_in if fit_rows is train_rows else train_rows
+        feats = pm.transform(source).select("features", _q(target)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            lr = linear_regression(target, **lr_params).fit(feats)
+        finally:
+            feats.unpersist()
+    finally:
+        fit_in.unpersist()
+    return pm, lr
+
+
 def grouped_regression_metrics(df: DataFrame, label: str, group: str,
                                prediction: str = "prediction") -> DataFrame:
     """:func:`regression_metrics` per value of ``group`` in one aggregate."""

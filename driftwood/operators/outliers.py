@@ -95,7 +95,9 @@ def exact_quantiles(df: DataFrame, columns, probs, final_rows: int = EXACT_FINAL
 
     The value of quantile ``p`` is the ``k = max(1, ceil(p·n))``-th smallest
     non-null, non-NaN value.  One aggregate gives ``n``, ``min`` and ``max``
-    per column; then each pass counts a ``bins``-wide equal-width histogram of
+    per column.  A column with at most ``final_rows`` values is answered by
+    one bounded ``percentile_disc`` aggregate.  Otherwise each pass counts a
+    ``bins``-wide equal-width histogram of
     the current value range (a partial aggregate with at most ``bins`` output
     rows) and keeps the bin holding rank ``k``.  Bins split values by a
     monotone formula, so the kept range holds exactly that bin's rows.  Once
@@ -112,8 +114,21 @@ def exact_quantiles(df: DataFrame, columns, probs, final_rows: int = EXACT_FINAL
                   F.max(F.when(ok, v)).alias(f"hi{i}")]
     row = df.agg(*exprs).first()
     out = {}
+    # columns with few values: one percentile_disc aggregate for all of them;
+    # its buffer holds at most ``final_rows`` values per column
+    small = [(i, c) for i, c in enumerate(columns) if row[f"n{i}"] and row[f"n{i}"] <= final_rows]
+    if small:
+        sel = []
+        for i, c in small:
+            v = f"CASE WHEN isnan({_q(c)}) THEN NULL ELSE {_q(c)} END" if _is_fractional(df, c) else _q(c)
+            sel += [f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {v}) AS p{i}_{j}" for j, p in enumerate(probs)]
+        prow = df.selectExpr(*sel).first()
+        for i, c in small:
+            out[c] = [prow[f"p{i}_{j}"] for j in range(len(probs))]
     for i, c in enumerate(columns):
         n, lo0, hi0 = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
+        if c in out:
+            continue
         if not n:
             out[c] = [None for _ in probs]
             continue
