@@ -25,7 +25,7 @@ from driftwood.operators import matching as mt
 from driftwood.operators import outliers as ol
 from driftwood.operators import quality as qa
 from driftwood.operators import star as st
-from driftwood.session import read_test_table, scratch_path
+from driftwood.session import cut_lineage, read_test_table, scratch_path
 
 QUERIES: dict = OrderedDict()
 ORACLE: dict = {}
@@ -648,7 +648,8 @@ def q_upsert(spark, sf):
 
 def flagship(spark, sf):
     """align → union → keyed dedupe → continuous columns → IQR (exact) → report."""
-    merged = dd.dedupe(aligned_orders(spark, sf), ["o_orderkey"])
+    # three actions follow: materialize the united, de-duplicated frame once
+    merged = cut_lineage(dd.dedupe(aligned_orders(spark, sf), ["o_orderkey"]))
     cols = ol.continuous_columns(merged, 10, exclude=["o_orderkey", "o_custkey"])
     return ol.outlier_report(merged, ol.iqr_bounds(merged, cols, 3.0, exact=True))
 

@@ -28,6 +28,7 @@ from driftwood.operators import outliers as ol
 from driftwood.operators import quality as qa
 from driftwood.operators import star as st
 from driftwood.sources.files import key_from_path, key_of_name
+from driftwood.session import cut_lineage
 from driftwood.sources.sinks import refresh_star, upsert_table, write_csv, write_table
 
 
@@ -111,6 +112,7 @@ class SourceConfig:
     relative_error: float = 0.01
     report_dir: str | None = None       # A8: CSV of outlier rows
     partition_by: str | None = None     # A5: partition the stored table by its key
+    materialize: bool = True            # checkpoint the merged frame before the audit
 
 
 def repair_strings(df: DataFrame) -> DataFrame:
@@ -142,6 +144,10 @@ def _finish(df: DataFrame, cfg: SourceConfig, target: str) -> dict:
     if cfg.repair_text:                                           # X2
         df = repair_strings(df)
     result = {"target": target, "bounds": {}, "report": None}
+    if cfg.outliers and cfg.materialize:
+        # several actions follow (probe, quantiles, report, dump, upsert):
+        # compute the united, de-duplicated frame once, into shared storage
+        df = cut_lineage(df)
     if cfg.outliers:
         cols = ol.continuous_columns(df, cfg.distinct_threshold, cfg.outlier_exclude)   # E4
         df, bounds, report = ol.treat_outliers(df, cols, cfg.factor, cfg.delete_outliers,
