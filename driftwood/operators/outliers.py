@@ -220,17 +220,17 @@ def inside(c: str, b: Bounds) -> Column:
 def outlier_report(df: DataFrame, bounds: dict[str, Bounds], nan_is_outlier: bool = True) -> DataFrame:
     """Outlier count per column in one aggregate.
 
-    Rows ``column_name, lower_bound, upper_bound, n_outliers``.
+    Rows ``column_name, n_outliers, lower_bound, upper_bound``; the bounds
+    are literals, so the report is the single aggregate and nothing else.
     """
     cols = list(bounds)
     wide = df.agg(*[F.count_if(outside(c, bounds[c], nan_is_outlier, _is_fractional(df, c))).alias(f"c{i}")
                     for i, c in enumerate(cols)])
-    counts = _to_long(wide, cols, "n_outliers")
-    limits = df.sparkSession.createDataFrame(
-        [(c, bounds[c].lower, bounds[c].upper) for c in cols],
-        "column_name string, lower_bound double, upper_bound double")
-    # a frame with one row per column: broadcast is bounded by the column count
-    return counts.join(F.broadcast(limits), "column_name")
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n_outliers"),
+                     F.lit(bounds[c].lower).cast("double").alias("lower_bound"),
+                     F.lit(bounds[c].upper).cast("double").alias("upper_bound"))
+            for i, c in enumerate(cols)]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def outlier_rows(df: DataFrame, bounds: dict[str, Bounds], nan_is_outlier: bool = True,

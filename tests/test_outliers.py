@@ -68,3 +68,31 @@ def test_exact_quantiles_match_percentile_disc_with_narrowing(spark):
             for p in probs]
     assert got == want
     assert ol.exact_quantiles(df.where("x IS NULL"), ["x"], [0.5]) == {"x": [None]}
+
+
+def test_one_job_per_statistic(spark):
+    from tests.conftest import SF_SMALL
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+
+    import itertools
+    counter = itertools.count()
+
+    def jobs(fn):
+        group = f"one-job-test-{next(counter)}"
+        sc.setJobGroup(group, group)
+        try:
+            fn()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    from pyspark.sql import functions as F
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey"]
+    # a statistic over six columns costs what one aggregate over one column costs
+    one = jobs(lambda: li.agg(F.approx_count_distinct("l_quantity")).first())
+    assert jobs(lambda: ol.continuous_columns(li.select(*cols), 10)) == one
+    bounds = {}
+    assert jobs(lambda: bounds.update(ol.iqr_bounds(li, cols, 3.0))) <= one
+    assert jobs(lambda: ol.outlier_report(li, bounds).collect()) == one
