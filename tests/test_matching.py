@@ -54,7 +54,7 @@ def names_fixture(spark):
         [("Q1", "el Poble Sec"), ("Q2", "Sant Andreu"), ("Q3", "la Vila de Gràcia"),
          ("Q4", "Gràcia Nova"), ("Q5", "Horta")], "id string, name string")
     unmatched = spark.createDataFrame(
-        [("El Poble-sec",), ("Vila de Gràcia",), ("Sant Andreu",), (None,), ("",), ("Les Corts",)],
+        [("El Poble-sec",), ("Vila de Gràcia",), ("Sant\u00a0Andreu",), (None,), ("",), ("Les Corts",)],
         "name string")
     return lookup, unmatched
 
@@ -62,8 +62,8 @@ def names_fixture(spark):
 def test_fuzzy_join_best_match_overrides_unresolved(spark):
     lookup, unmatched = names_fixture(spark)
     pairs = mt.fuzzy_join(unmatched, lookup, "name", "name", 0.3, score_col="score")
-    # NBSP is whitespace as in Python's split()
-    assert ("Sant Andreu", "Q2") in {(r.name, r.id) for r in pairs.collect()}
+    # a no-break space separates tokens, as in Python's split()
+    assert ("Sant\u00a0Andreu", "Q2", 1.0) in {(r.name, r.id, r.score) for r in pairs.collect()}
     best = mt.best_match(pairs, "name", "score", "id")
     got = {r.name: (r.id, r.score) for r in best.collect()}
     assert got["Vila de Gràcia"] == ("Q3", 0.75)
