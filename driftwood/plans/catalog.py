@@ -1204,3 +1204,79 @@ def q_feature_pipeline_variant(spark, sf):
     model = feature_pipeline(ev, "target_none", exclude=["event_id"], categorical_booleans=True,
                              passthrough=["event_id"]).fit(ev)
     return model.transform(ev).select("event_id", vector_to_array("features").alias("features"))
+
+
+@query("job_lookup_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_job_lookup_load(spark, sf):
+    """Two lookup drops selected by name prefix (overlapping rows, columns
+    in another order) → united by name → one row per key → repaired → upsert."""
+    from driftwood.plans.jobs import SourceConfig, format_and_load
+    from driftwood.sources.sinks import write_table
+    nation = T(spark, sf, "nation")
+    root = scratch_path(spark, "lookup-drops")
+    write_table(nation.where(F.col("n_regionkey") <= 2), f"{root}/lookup_a.parquet")
+    write_table(nation.where(F.col("n_regionkey") >= 2).select("n_regionkey", "n_name", "n_nationkey"),
+                f"{root}/lookup_b.parquet")
+    write_table(nation, f"{root}/other.parquet")  # not a lookup drop: not selected
+    target = scratch_path(spark, "lookup-table")
+    format_and_load(spark, SourceConfig(root=root, target=target, keys=["n_nationkey"], prefix="lookup",
+                                        align=False, lowercase=False))
+    return spark.read.parquet(target)
+
+
+def _station_drops(spark, sf):
+    """Suppliers as yearly station drops with upper-case names: nations 0–4
+    in 2018, 5–14 in 2019, 15 and above in 2020."""
+    from driftwood.sources.sinks import write_table
+    sup = T(spark, sf, "supplier")
+    root = scratch_path(spark, "station-drops")
+    for year, cond in ((2018, F.col("s_nationkey") < 5),
+                       (2019, (F.col("s_nationkey") >= 5) & (F.col("s_nationkey") < 15)),
+                       (2020, F.col("s_nationkey") >= 15)):
+        part = sup.where(cond)
+        write_table(part.toDF(*[c.upper() for c in part.columns]), f"{root}/{year}_stations.parquet")
+    return root
+
+
+@query("job_year_lookup", """
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal, CASE WHEN s_nationkey < 15 THEN 2019 ELSE 2020 END AS year
+FROM supplier WHERE s_nationkey >= 5""")
+def q_job_year_lookup(spark, sf):
+    """Yearly drops, integer year key, the 2018 drop loaded to its own table."""
+    from driftwood.plans.jobs import SourceConfig, format_and_load
+    root = _station_drops(spark, sf)
+    target = scratch_path(spark, "stations")
+    format_and_load(spark, SourceConfig(root=root, target=target, keys=["s_suppkey", "year"], key_len=4,
+                                        key_col="year", key_type="int", separate_keys=["2018"]))
+    return spark.read.parquet(target)
+
+
+@query("job_monthly_drops", """
+SELECT o_custkey, o_orderdate, o_orderkey, o_orderpriority, o_orderstatus, o_totalprice, month FROM (
+  SELECT *, strftime(o_orderdate, '%Y') || '_' ||
+            lpad(CAST(((month(o_orderdate) - 1) // 3) * 3 + 1 AS VARCHAR), 2, '0') AS month FROM orders)
+WHERE month(o_orderdate) >= 4 AND month > '1998_03'""")
+def q_job_monthly_drops(spark, sf):
+    """Quarterly drops keyed ``YYYY_MM``; the January drops are broken
+    (one column), 1999 carries prices as text; only keys after ``1998_03``
+    are loaded, every column cast to the family's type."""
+    from driftwood.plans.jobs import SourceConfig, format_and_load
+    from driftwood.sources.sinks import write_table
+    orders = T(spark, sf, "orders")
+    root = scratch_path(spark, "monthly-drops")
+    for y in _years(orders, "o_orderdate"):
+        for m in (1, 4, 7, 10):
+            lo = F.lit(dt.datetime(y, m, 1)).cast("timestamp_ntz")
+            hi = F.lit(dt.datetime(y + (m == 10), 1 if m == 10 else m + 3, 1)).cast("timestamp_ntz")
+            part = orders.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
+            if m == 1:
+                part = part.select("o_orderkey")
+            elif y == 1999:
+                part = part.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+            write_table(part, f"{root}/{y}_{m:02d}_orders.parquet")
+    target = scratch_path(spark, "monthly-table")
+    format_and_load(spark, SourceConfig(root=root, target=target, keys=["o_orderkey"], key_len=7,
+                                        key_col="month", min_columns=2, split_bound="1998_03",
+                                        cast_all=True, outliers=True,
+                                        outlier_exclude=["o_orderkey", "o_custkey"]))
+    return spark.read.parquet(target)
