@@ -44,10 +44,13 @@ def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_test_table(spark, sf, name)
 
 
+def _ntz(d: dt.datetime):
+    """A wall-clock timestamp literal, independent of any time zone setting."""
+    return F.lit(d.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def _year_range(col: str, y: int):
-    lo = dt.datetime(y, 1, 1)
-    hi = dt.datetime(y + 1, 1, 1)
-    return (F.col(col) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(col) < F.lit(hi).cast("timestamp_ntz"))
+    return (F.col(col) >= _ntz(dt.datetime(y, 1, 1))) & (F.col(col) < _ntz(dt.datetime(y + 1, 1, 1)))
 
 
 def _years(df: DataFrame, col: str) -> list[int]:
@@ -1266,8 +1269,8 @@ def q_job_monthly_drops(spark, sf):
     root = scratch_path(spark, "monthly-drops")
     for y in _years(orders, "o_orderdate"):
         for m in (1, 4, 7, 10):
-            lo = F.lit(dt.datetime(y, m, 1)).cast("timestamp_ntz")
-            hi = F.lit(dt.datetime(y + (m == 10), 1 if m == 10 else m + 3, 1)).cast("timestamp_ntz")
+            lo = _ntz(dt.datetime(y, m, 1))
+            hi = _ntz(dt.datetime(y + (m == 10), 1 if m == 10 else m + 3, 1))
             part = orders.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
             if m == 1:
                 part = part.select("o_orderkey")
