@@ -154,7 +154,8 @@ def _finish(df: DataFrame, cfg: SourceConfig, target: str) -> dict:
                                                cfg.relative_error)                     # E5-E7
         result.update(bounds=bounds, report=report)
         if cfg.report_dir and bounds:                            # A8
-            write_csv(ol.outlier_rows(df, bounds), cfg.report_dir, header=True)
+            write_csv(ol.outlier_rows(df, bounds), cfg.report_dir, header=True,
+                      partition_by="outlier_column")
     upsert_table(df.sparkSession, target, df, cfg.keys, cfg.fmt, cfg.partition_by)     # A4
     return result
 

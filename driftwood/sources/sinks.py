@@ -37,9 +37,16 @@ CSV_TIME_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> str:
-    """CSV dump, e.g. of outlier rows (A8); timestamps keep microseconds."""
-    df.write.mode(mode).options(**CSV_TIME_OPTIONS).option("header", str(header).lower()).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite",
+              partition_by: str | None = None) -> str:
+    """CSV dump, e.g. of outlier rows (A8); timestamps keep microseconds.
+
+    ``partition_by`` writes one folder per value (one per outlier column).
+    """
+    w = df.write.mode(mode).options(**CSV_TIME_OPTIONS).option("header", str(header).lower())
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.csv(path)
     return path
 
 

@@ -64,3 +64,18 @@ def test_reconcile(spark):
     got = {r.neighborhood: r.id for r in best.collect()}
     assert got == {"Vila de Gràcia": "Q3", "Sant Andreu": "Q2"}
     assert [r.neighborhood for r in left.collect()] == [None]
+
+
+def test_read_keyed_and_read_frames(spark):
+    from driftwood.sources.files import read_frames, read_keyed
+    root = scratch_path(spark, "keyed-read")
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{root}/2019_01_01_x.parquet")
+    spark.createDataFrame([(2, "b")], "id int, v string").write.parquet(f"{root}/2019_01_01_y.parquet")
+    spark.createDataFrame([(3, "c", 1.5)], "id int, v string, w double").write.parquet(f"{root}/2019_01_02_x.parquet")
+    spark.createDataFrame([(9, "z")], "id int, v string").write.parquet(f"{root}/readme.parquet")
+    one_scan = read_keyed(spark, root, 10, key_col="day")
+    got = sorted((r.id, r.day, r.w) for r in one_scan.collect())
+    assert got == [(1, "2019_01_01", None), (2, "2019_01_01", None), (3, "2019_01_02", 1.5)]
+    frames = read_frames(spark, list_files(spark, root, key_len=10), key_len=10)
+    # two files of the same key are united, not overwritten
+    assert list(frames) == ["2019_01_01", "2019_01_02"] and frames["2019_01_01"].count() == 2
