@@ -83,3 +83,11 @@ def test_keys(spark):
                   composite_key(["id", "day"]).alias("k"),
                   composite_key([F.lit(None), "day"]).alias("nk")).first()
     assert (r.y, r.none, r.m, str(r.d), r.k, r.nk) == ("2019", None, "2019_03", "2019-03-07", "5_2019_03_07", None)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40)), min_size=1, max_size=20))
+def test_mojibake_round_trip_property(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", "t", repair_mojibake(damage_as_latin1("t")).alias("r")).collect()
+    assert all(r.r == r.t for r in out)
