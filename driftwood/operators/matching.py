@@ -13,15 +13,15 @@ distinct shuffle is needed, and the exact similarity is checked afterwards.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwood.functions.text import jaccard_of_sets, tokens
 
 # Largest lookup that is broadcast; larger ones take a shuffled join.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 # Token frequency above which the candidate join salts the token.
 DEFAULT_HOT_TOKEN_ROWS = 10_000
 DEFAULT_SALTS = 32
@@ -31,21 +31,42 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row's values: fixed widths for numbers and dates, the
+    actual UTF-8 length of strings and binaries, the JSON length of nested
+    values (an upper estimate of their in-memory size)."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(_q(f.name))
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(16))
+        else:
+            parts.append(F.lit(8))
+    return sum(parts[1:], parts[0]) if parts else F.lit(0)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialize: bool = False) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
-
-    The proof is a bounded count (``limit(max_rows + 1)``), which stops early
-    on a large input; a larger side is returned unhinted and Spark shuffles.
-    ``materialize`` first writes a derived side (e.g. a dimension built by a
-    distinct over a fact) to the shared checkpoint folder, so the count and
-    the join read that small result instead of computing it twice.
+                      materialize: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only for a side proven small: at most ``max_rows`` rows
+    whose values take at most ``max_bytes``.
+
+    The proof is one bounded job over ``limit(max_rows + 1)`` (it stops early
+    on a large input) that counts the rows and sums their measured sizes.  A
+    larger side is returned unhinted and Spark shuffles.  ``materialize``
+    first writes a derived side (e.g. a dimension built by a distinct over a
+    fact) to the shared checkpoint folder, so the check and the join read
+    that small result instead of computing it twice.
     """
     if materialize:
         from driftwood.session import cut_lineage
         df = cut_lineage(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                       F.sum(_row_bytes(df)).alias("b")).first()
+    small = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 # ---------------------------------------------------------- D1, D2, D7 --

@@ -98,3 +98,10 @@ def test_bounded_broadcast_respects_bound(spark):
         .analyzed().toString().lower()
     hinted = big.join(mt.bounded_broadcast(big, 50), "id")._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in hinted
+
+
+def test_bounded_broadcast_respects_byte_bound(spark):
+    wide = spark.range(100).selectExpr("id", "repeat('x', 1000) AS payload")
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in plan(wide.join(mt.bounded_broadcast(wide, 1000, max_bytes=200_000), "id"))
+    assert "broadcast" not in plan(wide.join(mt.bounded_broadcast(wide, 1000, max_bytes=50_000), "id"))
