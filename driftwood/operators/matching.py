@@ -198,12 +198,13 @@ def best_match(pairs: DataFrame, key: str, score: str, tie_break) -> DataFrame:
 
 # ------------------------------------------------------------------ D5 --
 
-def apply_overrides(matches: DataFrame, key: str, overrides: DataFrame) -> DataFrame:
+def apply_overrides(matches: DataFrame, key: str, overrides: DataFrame, append: bool = True) -> DataFrame:
     """Manual corrections (D5): override values win, new keys are appended.
 
     ``overrides`` holds ``key`` and any subset of the other columns; a
     non-null override value replaces the matched one.  The result keeps one
     row per key (an override of an already matched key does not duplicate it).
+    With ``append=False`` overrides only correct keys that are present.
     """
     ocols = [c for c in overrides.columns if c != key]
     o = overrides.select(F.col(_q(key)), *[F.col(_q(c)).alias(f"_o_{c}") for c in ocols])
@@ -211,6 +212,8 @@ def apply_overrides(matches: DataFrame, key: str, overrides: DataFrame) -> DataF
     fixed = matches.join(o, key, "left").select(
         *[F.coalesce(F.col(f"_o_{c}"), F.col(_q(c))).alias(c) if c in ocols else F.col(_q(c))
           for c in matches.columns])
+    if not append:
+        return fixed
     added = overrides.join(matches.select(key), key, "left_anti")
     return fixed.unionByName(added, allowMissingColumns=True)
 

@@ -224,6 +224,8 @@ def outlier_report(df: DataFrame, bounds: dict[str, Bounds], nan_is_outlier: boo
     are literals, so the report is the single aggregate and nothing else.
     """
     cols = list(bounds)
+    if not cols:
+        return _empty_report(df)
     wide = df.agg(*[F.count_if(outside(c, bounds[c], nan_is_outlier, _is_fractional(df, c))).alias(f"c{i}")
                     for i, c in enumerate(cols)])
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n_outliers"),
@@ -233,6 +235,11 @@ def outlier_report(df: DataFrame, bounds: dict[str, Bounds], nan_is_outlier: boo
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _empty_report(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame(
+        [], "column_name string, n_outliers long, lower_bound double, upper_bound double")
+
+
 def outlier_rows(df: DataFrame, bounds: dict[str, Bounds], nan_is_outlier: bool = True,
                  column_name: str = "outlier_column") -> DataFrame:
     """All outlier rows of all columns in one scan, tagged with the column (E5).
@@ -289,6 +296,8 @@ def sequential_report(df: DataFrame, bounds: dict[str, Bounds]) -> DataFrame:
     which is what each deletion pass saw.
     """
     cols = list(bounds)
+    if not cols:
+        return _empty_report(df).select("column_name", "n_outliers")
     exprs, kept = [], F.lit(True)
     for i, c in enumerate(cols):
         exprs.append(F.count_if(kept & outside(c, bounds[c], True, _is_fractional(df, c))).alias(f"c{i}"))

@@ -50,7 +50,7 @@ def list_files(spark: SparkSession, root: str, key_len: int | None = None,
         name = status.getPath().getName()
         if name.startswith(("_", ".")):
             continue
-        if prefix is not None and name.startswith(prefix):
+        if prefix is not None and name.startswith(tuple(prefix) if isinstance(prefix, (list, tuple)) else prefix):
             out.append(status.getPath().toString())
         elif prefix is None and key_len and key_of_name(name, key_len) is not None:
             out.append(status.getPath().toString())
@@ -91,7 +91,7 @@ class SourceConfig:
     key_len: int | None = None          # digit key length of file names (4, 7, 10)
     key_col: str | None = None          # period column added from the file name
     key_type: str = "string"            # "int" for years (B10)
-    prefix: str | None = None           # select files by prefix instead of a key (J1)
+    prefix: str | tuple | None = None   # select files by name prefix(es) instead of a key (J1)
     fmt: str = "parquet"
     lowercase: bool = True              # B1
     flatten: bool = False               # B2
@@ -131,15 +131,16 @@ def _prepare(family, cfg: SourceConfig):
             df = fr.lowercase_columns(df)
         if cfg.flatten:                                           # B2
             df = fr.flatten_structs(df)
+        for c, (lo, hi) in cfg.ranges.items():                   # C1, per frame
+            df = qa.valid_range(df, {c: (lo, hi)})
+        for c in cfg.parse_double_cols:                           # X1, per frame, so
+            if c in df.columns:                                   # text and numbers unite
+                df = df.withColumn(c, parse_double(F.col(_q(c)).cast("string")))
         out[sid] = df
     return out
 
 
 def _finish(df: DataFrame, cfg: SourceConfig, target: str) -> dict:
-    for c, (lo, hi) in cfg.ranges.items():                       # C1
-        df = qa.valid_range(df, {c: (lo, hi)})
-    for c in cfg.parse_double_cols:                               # X1
-        df = df.withColumn(c, parse_double(F.col(_q(c)).cast("string")))
     df = dd.dedupe(df, cfg.keys)                                  # E3
     if cfg.repair_text:                                           # X2
         df = repair_strings(df)

@@ -23,7 +23,7 @@ def test_format_and_load_paths(spark):
     assert len(list_files(spark, root, key_len=4)) == 4
     target = scratch_path(spark, "job-target")
     cfg = SourceConfig(root=root, target=target, keys=["codi_districte", "codi_barri", "year"], key_len=4,
-                       key_col="year", key_type="int", overrides={"valor": "string"}, min_columns=2,
+                       key_col="year", key_type="int", min_columns=2,
                        separate_keys=["2018"], ranges={"codi_districte": (1, 10), "codi_barri": (1, 73)},
                        parse_double_cols=["valor"])
     res = format_and_load(spark, cfg)

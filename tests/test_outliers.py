@@ -96,3 +96,12 @@ def test_one_job_per_statistic(spark):
     bounds = {}
     assert jobs(lambda: bounds.update(ol.iqr_bounds(li, cols, 3.0))) <= one
     assert jobs(lambda: ol.outlier_report(li, bounds).collect()) == one
+
+
+def test_no_continuous_columns_gives_empty_report(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 2.0)], "k int, v double")
+    kept, bounds, report = ol.treat_outliers(df, [], 3.0)
+    assert bounds == {} and report.count() == 0 and kept.count() == 2
+    kept, bounds, report = ol.treat_outliers(df, [], 3.0, delete=True)
+    assert report.count() == 0 and kept.count() == 2
+    assert ol.outlier_rows(df, {}).count() == 0
