@@ -1283,3 +1283,25 @@ def q_job_monthly_drops(spark, sf):
                                         cast_all=True, outliers=True,
                                         outlier_exclude=["o_orderkey", "o_custkey"]))
     return spark.read.parquet(target)
+
+
+@query("stream_drop_load", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       strftime(o_orderdate, '%Y') AS year FROM orders""")
+def q_stream_drop_load(spark, sf):
+    """Yearly order drops arriving in two waves, loaded incrementally with
+    Structured Streaming (each run picks up only the new drops) → stored table."""
+    from driftwood.sources.sinks import write_table
+    from driftwood.streaming.drops import load_new_drops
+    orders = T(spark, sf, "orders")
+    root = scratch_path(spark, "stream-drops")
+    target = scratch_path(spark, "stream-table")
+    years = _years(orders, "o_orderdate")
+    half = len(years) // 2
+    checkpoint = None
+    for wave in (years[:half], years[half:]):
+        for y in wave:
+            write_table(orders.where(_year_range("o_orderdate", y)), f"{root}/{y}_orders.parquet")
+        checkpoint = load_new_drops(spark, root, orders.schema, 4, "year", target,
+                                    ["o_orderkey", "year"], checkpoint=checkpoint)
+    return spark.read.parquet(target)
