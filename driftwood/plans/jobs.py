@@ -80,6 +80,27 @@ def read_family(spark: SparkSession, paths, key_len: int | None, key_col: str |
     return family
 
 
+def drop_reports(spark: SparkSession, paths, key_len: int | None, fmt: str = "parquet",
+                 lowercase: bool = True, flatten: bool = False):
+    """Per-file schema reports of a drop family (B5, B7), from footers only.
+
+    Returns ``(missing, conflicts)``: rows ``(frame_key, column_name)`` for
+    columns a file lacks, and ``(column_name, data_type, n_frames)`` for
+    types not shared by every file.  Files of the same key get a suffix.
+    """
+    frames = OrderedDict()
+    for i, p in enumerate(paths):
+        key = (key_of_name(p, key_len) if key_len else None) or str(i)
+        key = key if key not in frames else f"{key}#{i}"
+        df = spark.read.format(fmt).load(p)  # schema only: no Spark job
+        if lowercase:
+            df = fr.lowercase_columns(df)
+        if flatten:
+            df = fr.flatten_structs(df)
+        frames[key] = df
+    return fr.missing_columns_report(spark, frames), fr.type_conflicts_report(spark, frames)
+
+
 # ------------------------------------------------------------- J1 .. J5 --
 
 @dataclass
@@ -164,6 +185,7 @@ def _finish(df: DataFrame, cfg: SourceConfig, target: str) -> dict:
 def format_and_load(spark: SparkSession, cfg: SourceConfig) -> dict:
     """Drops → aligned, united, de-duplicated, repaired, audited → upsert."""
     paths = list_files(spark, cfg.root, cfg.key_len, cfg.prefix)
+    missing, conflicts = drop_reports(spark, paths, cfg.key_len, cfg.fmt, cfg.lowercase, cfg.flatten)
     family = _prepare(read_family(spark, paths, cfg.key_len, cfg.key_col, cfg.fmt), cfg)
     if cfg.key_col and cfg.key_type != "string":
         family = OrderedDict((k, df.withColumn(cfg.key_col, F.col(cfg.key_col).cast(cfg.key_type)))
@@ -182,6 +204,7 @@ def format_and_load(spark: SparkSession, cfg: SourceConfig) -> dict:
         family = fr.align(family, overrides=cfg.overrides, cast_all=cfg.cast_all)
     merged = fr.union_frames(family, allow_missing=not cfg.align)  # U1
     results["main"] = _finish(merged, cfg, cfg.target)
+    results["missing_columns"], results["type_conflicts"] = missing, conflicts
     return results
 
 

@@ -32,7 +32,9 @@ def test_format_and_load_paths(spark):
     assert main == {(1, 2019): ("Gràcia", 61.5), (3, 2019): ("Sants", None), (4, 2020): ("Horta", 70.0)}
     sep = spark.read.parquet(f"{target}_2018").collect()
     assert [(r.codi_districte, r.codi_barri, r.valor) for r in sep] == [(1, 1, 60.3)]
-    assert set(res) == {"2018", "main"}
+    assert set(res) == {"2018", "main", "missing_columns", "type_conflicts"}
+    conflicts = {(r.column_name, r.data_type) for r in res["type_conflicts"].collect()}
+    assert ("valor", "string") in conflicts and ("valor", "double") in conflicts
 
 
 def test_format_and_load_split_bound_and_outliers(spark):

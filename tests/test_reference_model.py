@@ -66,6 +66,11 @@ def test_reference_pipeline_end_to_end(spark):
     assert dict(listings.dtypes)["distance"] == "int" and listings.count() == 55
     assert listings.where(F.col("neighborhood") == "Vila de Gràcia").count() > 0
     assert res["main"]["report"] is not None
+    # per-file reports like the reference's log: the second day lacks "district"
+    assert [tuple(r) for r in res["missing_columns"].collect()] == [("2020_01_06", "district")]
+    # a column one file lacks is a (column, type) pair not shared by every file
+    assert [(r.column_name, r.data_type, r.n_frames) for r in res["type_conflicts"].collect()] == \
+        [("district", "string", 1)]
     # Only months after the bound, the broken drop dropped
     air_t = f"{root}/t_air"
     format_and_load(spark, cf.air_quality_job(aq, air_t, ["estacio", "codi_contaminant", "month", "dia"]))
