@@ -57,42 +57,50 @@ def list_files(spark: SparkSession, root: str, key_len: int | None = None,
     return sorted(out)
 
 
+def file_schemas(spark: SparkSession, paths, fmt: str = "parquet",
+                 options: dict | None = None) -> "OrderedDict[str, T.StructType]":
+    """The schema of every drop, read once from its footer (no Spark job)."""
+    return OrderedDict((p, spark.read.format(fmt).options(**(options or {})).load(p).schema) for p in paths)
+
+
 def read_family(spark: SparkSession, paths, key_len: int | None, key_col: str | None,
-                fmt: str = "parquet", options: dict | None = None) -> "OrderedDict[str, DataFrame]":
+                fmt: str = "parquet", options: dict | None = None,
+                schemas: dict | None = None) -> "OrderedDict[str, DataFrame]":
     """One DataFrame per distinct schema of the drops, keyed by a schema id (A1).
 
     Files sharing a schema are read together in one scan; the period key
     of every row comes from its file path.  Only footers are read here.
     """
+    schemas = schemas or file_schemas(spark, paths, fmt, options)
     groups: OrderedDict[str, list[str]] = OrderedDict()
-    schemas: dict[str, T.StructType] = {}
+    by_id: dict[str, T.StructType] = {}
     for p in paths:
-        schema = spark.read.format(fmt).options(**(options or {})).load(p).schema
-        sid = hashlib.sha1(schema.json().encode()).hexdigest()[:10]
+        sid = hashlib.sha1(schemas[p].json().encode()).hexdigest()[:10]
         groups.setdefault(sid, []).append(p)
-        schemas[sid] = schema
+        by_id[sid] = schemas[p]
     family = OrderedDict()
     for sid, group in groups.items():
-        df = spark.read.format(fmt).options(**(options or {})).schema(schemas[sid]).load(group)
+        df = spark.read.format(fmt).options(**(options or {})).schema(by_id[sid]).load(group)
         if key_col and key_len:
             df = df.withColumn(key_col, key_from_path(F.col("_metadata.file_path"), key_len))
         family[sid] = df
     return family
 
 
-def drop_reports(spark: SparkSession, paths, key_len: int | None, fmt: str = "parquet",
+def drop_reports(spark: SparkSession, schemas: dict, key_len: int | None,
                  lowercase: bool = True, flatten: bool = False):
     """Per-file schema reports of a drop family (B5, B7), from footers only.
 
-    Returns ``(missing, conflicts)``: rows ``(frame_key, column_name)`` for
-    columns a file lacks, and ``(column_name, data_type, n_frames)`` for
-    types not shared by every file.  Files of the same key get a suffix.
+    ``schemas`` maps each drop path to its schema.  Returns ``(missing,
+    conflicts)``: rows ``(frame_key, column_name)`` for columns a file lacks,
+    and ``(column_name, data_type, n_frames)`` for types not shared by every
+    file.  Files of the same key get a suffix.
     """
     frames = OrderedDict()
-    for i, p in enumerate(paths):
+    for i, (p, schema) in enumerate(schemas.items()):
         key = (key_of_name(p, key_len) if key_len else None) or str(i)
         key = key if key not in frames else f"{key}#{i}"
-        df = spark.read.format(fmt).load(p)  # schema only: no Spark job
+        df = spark.createDataFrame([], schema)  # metadata only
         if lowercase:
             df = fr.lowercase_columns(df)
         if flatten:
@@ -185,8 +193,9 @@ def _finish(df: DataFrame, cfg: SourceConfig, target: str) -> dict:
 def format_and_load(spark: SparkSession, cfg: SourceConfig) -> dict:
     """Drops → aligned, united, de-duplicated, repaired, audited → upsert."""
     paths = list_files(spark, cfg.root, cfg.key_len, cfg.prefix)
-    missing, conflicts = drop_reports(spark, paths, cfg.key_len, cfg.fmt, cfg.lowercase, cfg.flatten)
-    family = _prepare(read_family(spark, paths, cfg.key_len, cfg.key_col, cfg.fmt), cfg)
+    schemas = file_schemas(spark, paths, cfg.fmt)
+    missing, conflicts = drop_reports(spark, schemas, cfg.key_len, cfg.lowercase, cfg.flatten)
+    family = _prepare(read_family(spark, paths, cfg.key_len, cfg.key_col, cfg.fmt, schemas=schemas), cfg)
     if cfg.key_col and cfg.key_type != "string":
         family = OrderedDict((k, df.withColumn(cfg.key_col, F.col(cfg.key_col).cast(cfg.key_type)))
                              for k, df in family.items())
