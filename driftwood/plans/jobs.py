@@ -58,9 +58,18 @@ def list_files(spark: SparkSession, root: str, key_len: int | None = None,
 
 
 def file_schemas(spark: SparkSession, paths, fmt: str = "parquet",
-                 options: dict | None = None) -> "OrderedDict[str, T.StructType]":
-    """The schema of every drop, read once from its footer (no Spark job)."""
-    return OrderedDict((p, spark.read.format(fmt).options(**(options or {})).load(p).schema) for p in paths)
+                 options: dict | None = None, threads: int = 16) -> "OrderedDict[str, T.StructType]":
+    """The schema of every drop, read once from its footer (no Spark job);
+    footers are read by a small thread pool, so thousands of drops take
+    seconds."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def schema_of(p):
+        return spark.read.format(fmt).options(**(options or {})).load(p).schema
+
+    paths = list(paths)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
+        return OrderedDict(zip(paths, pool.map(schema_of, paths)))
 
 
 def read_family(spark: SparkSession, paths, key_len: int | None, key_col: str | None,
