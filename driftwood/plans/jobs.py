@@ -26,7 +26,6 @@ from driftwood.operators import frames as fr
 from driftwood.operators import matching as mt
 from driftwood.operators import outliers as ol
 from driftwood.operators import quality as qa
-from driftwood.operators import star as st
 from driftwood.sources.files import key_from_path, key_of_name
 from driftwood.session import cut_lineage
 from driftwood.sources.sinks import refresh_star, upsert_table, write_csv, write_table

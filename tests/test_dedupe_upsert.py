@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from driftwood.operators.dedupe import dedupe, row_counts
 from driftwood.session import scratch_path

@@ -1,7 +1,6 @@
 from collections import OrderedDict
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftwood.operators import frames as fr

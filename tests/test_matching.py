@@ -2,7 +2,6 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from driftwood.operators import matching as mt
 from tests.test_text import py_jaccard

@@ -1,4 +1,3 @@
-from collections import OrderedDict
 
 from pyspark.sql import functions as F
 
