@@ -828,13 +828,16 @@ def q_kpi_income_population(spark, sf):
 # Features and regression on lineitem and events
 # ------------------------------------------------------------------------
 
-@query("feature_roles", """
+# roles from the column types as the oracle sees them in the table itself
+FEATURE_ROLES_SQL = """
 SELECT column_name,
-       CASE WHEN data_type IN ('DOUBLE', 'INTEGER') THEN 'numeric'
-            WHEN data_type = 'BOOLEAN' THEN 'boolean' ELSE 'categorical' END AS role
-FROM information_schema.columns
-WHERE table_name = 'lineitem' AND column_name <> 'l_extendedprice'
-  AND data_type IN ('DOUBLE', 'INTEGER', 'BOOLEAN', 'VARCHAR')""")
+       CASE WHEN t IN ('DOUBLE', 'INTEGER') THEN 'numeric'
+            WHEN t = 'BOOLEAN' THEN 'boolean' ELSE 'categorical' END AS role
+FROM (SELECT 'l_orderkey' AS column_name, typeof(any_value(l_orderkey)) AS t FROM lineitem UNION ALL SELECT 'l_partkey' AS column_name, typeof(any_value(l_partkey)) AS t FROM lineitem UNION ALL SELECT 'l_suppkey' AS column_name, typeof(any_value(l_suppkey)) AS t FROM lineitem UNION ALL SELECT 'l_linenumber' AS column_name, typeof(any_value(l_linenumber)) AS t FROM lineitem UNION ALL SELECT 'l_quantity' AS column_name, typeof(any_value(l_quantity)) AS t FROM lineitem UNION ALL SELECT 'l_discount' AS column_name, typeof(any_value(l_discount)) AS t FROM lineitem UNION ALL SELECT 'l_tax' AS column_name, typeof(any_value(l_tax)) AS t FROM lineitem UNION ALL SELECT 'l_returnflag' AS column_name, typeof(any_value(l_returnflag)) AS t FROM lineitem UNION ALL SELECT 'l_linestatus' AS column_name, typeof(any_value(l_linestatus)) AS t FROM lineitem UNION ALL SELECT 'l_shipdate' AS column_name, typeof(any_value(l_shipdate)) AS t FROM lineitem)
+WHERE t IN ('DOUBLE', 'INTEGER', 'BOOLEAN', 'VARCHAR')"""
+
+
+@query("feature_roles", FEATURE_ROLES_SQL)
 def q_feature_roles(spark, sf):
     from driftwood.operators.features import feature_roles_report
     return feature_roles_report(T(spark, sf, "lineitem"), "l_extendedprice")
