@@ -33,17 +33,23 @@ def drop_stream(spark: SparkSession, root: str, schema, key_len: int, key_col: s
 
 def load_new_drops(spark: SparkSession, root: str, schema, key_len: int, key_col: str,
                    target: str, keys, checkpoint: str | None = None, fmt: str = "parquet",
-                   repair_text: bool = True):
-    """Process all drops that arrived since the last run, then stop."""
+                   repair_text: bool = True, partition_by: str | None = None,
+                   max_files_per_trigger: int | None = None):
+    """Process all drops that arrived since the last run, then stop.
+
+    With ``partition_by`` (a key column, e.g. the period key) the stored
+    table is partitioned and each micro-batch rewrites only the partitions
+    it touches; ``max_files_per_trigger`` bounds the size of a micro-batch.
+    """
     checkpoint = checkpoint or scratch_path(spark, "drops-stream")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         merged = dedupe(batch, keys)
         if repair_text:
             merged = repair_strings(merged)
-        upsert_table(batch.sparkSession, target, merged, keys, fmt)
+        upsert_table(batch.sparkSession, target, merged, keys, fmt, partition_by)
 
-    query = (drop_stream(spark, root, schema, key_len, key_col, fmt)
+    query = (drop_stream(spark, root, schema, key_len, key_col, fmt, max_files_per_trigger)
              .writeStream.foreachBatch(apply)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
