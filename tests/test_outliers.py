@@ -104,3 +104,16 @@ def test_no_continuous_columns_gives_empty_report(spark):
     kept, bounds, report = ol.treat_outliers(df, [], 3.0, delete=True)
     assert report.count() == 0 and kept.count() == 2
     assert ol.outlier_rows(df, {}).count() == 0
+
+
+def test_approximate_quartiles_within_rank_error(spark):
+    from tests.conftest import SF_SMALL
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    n = li.count()
+    err = 0.01
+    b = ol.iqr_bounds(li, ["l_extendedprice"], 1.5, relative_error=err)["l_extendedprice"]
+    for p, v in ((0.25, b.q1), (0.75, b.q3)):
+        below = li.where(f"l_extendedprice < {v!r}").count()
+        at_most = li.where(f"l_extendedprice <= {v!r}").count()
+        # the value's rank range must meet the target rank p·n within err·n
+        assert below - err * n <= p * n <= at_most + err * n
