@@ -34,7 +34,9 @@ def main():
     spark = get_spark("local[8]", shuffle_partitions=16,
                       conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                             "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false",
-                            "spark.sql.adaptive.enabled": "false", "spark.driver.memory": "8g"})
+                            "spark.sql.adaptive.enabled": "false", "spark.driver.memory": "8g",
+                            # large inputs: candidate joins are shuffle joins, as on a cluster
+                            "spark.sql.autoBroadcastJoinThreshold": "-1"})
     sc = spark.sparkContext
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     hot = li.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey"))) \
@@ -49,6 +51,15 @@ def main():
         "dedupe_partial_min_struct": lambda: dd.dedupe(hot, keys),
         "pk_check_groupby_count": lambda: qa.check_pk(hot, keys),
     }
+    # fuzzy join where every name shares one token ("de"): all pairs qualify
+    from driftwood.operators import matching as mt
+    names = (li.where(F.col("l_orderkey") % 100 == 0)
+             .select(F.concat(F.lit("de "), F.col("l_orderkey").cast("string")).alias("n"))
+             .distinct().repartition(16))
+    lnames = names.select(F.col("n").alias("l_name"))
+    rnames = names.select(F.concat(F.col("n"), F.lit("x")).alias("r_name"))
+    forms["fuzzy_hot_token_unsalted"] = lambda: mt.fuzzy_name_pairs(lnames, rnames, 0.3, hot_token_rows=10 ** 12)
+    forms["fuzzy_hot_token_salted"] = lambda: mt.fuzzy_name_pairs(lnames, rnames, 0.3, hot_token_rows=100, salts=16)
     n_hot = hot.where("l_orderkey = 0").count()
     for name, fn in forms.items():
         sc.setJobGroup(name, name)
@@ -70,12 +81,16 @@ def main():
                 elif kind == "SparkListenerTaskEnd":
                     m = ev.get("Task Metrics") or {}
                     r = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
-                    reads.setdefault(ev["Stage ID"], []).append(r)
+                    info = ev.get("Task Info") or {}
+                    ms = info.get("Finish Time", 0) - info.get("Launch Time", 0)
+                    reads.setdefault(ev["Stage ID"], []).append((r, ms))
     result = {"hot_key_rows": n_hot}
     for name in forms:
         per_task = [r for sid, rs in reads.items() if stage_group.get(sid) == name for r in rs]
-        result[name] = {"max_shuffle_records_per_task": max(per_task or [0]),
-                        "total_shuffle_records": sum(per_task)}
+        result[name] = {"max_shuffle_records_per_task": max([r for r, _ in per_task] or [0]),
+                        "total_shuffle_records": sum(r for r, _ in per_task),
+                        "max_task_ms": max([t for _, t in per_task] or [0]),
+                        "total_task_ms": sum(t for _, t in per_task)}
     print(json.dumps(result))
 
 
