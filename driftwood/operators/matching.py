@@ -24,7 +24,7 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 256 << 20
 # Token frequency above which the candidate join salts the token.
 DEFAULT_HOT_TOKEN_ROWS = 10_000
-DEFAULT_SALTS = 32
+DEFAULT_SALTS = 64
 
 
 def _q(name: str) -> str:
@@ -139,9 +139,12 @@ def fuzzy_name_pairs(left_names: DataFrame, right_names: DataFrame, threshold: f
     lsets = _token_sets(left, "l_name", freq, threshold)
     rsets = _token_sets(right, "r_name", freq, threshold)
 
-    # salt hot prefix tokens: a left row goes to one salt, a right row to all
+    # salt hot prefix tokens: a left row goes to one salt, a right row to all;
+    # about one salt per ``hot_token_rows`` names holding the token, at most ``salts``
     def salt_count(p: Column) -> Column:
-        return F.when(p["freq"] > F.lit(hot_token_rows), F.lit(salts)).otherwise(F.lit(1))
+        n = F.ceil(p["freq"] / F.lit(hot_token_rows)).cast("int")
+        return F.when(p["freq"] > F.lit(hot_token_rows), F.least(F.lit(salts), F.greatest(n, F.lit(2)))) \
+            .otherwise(F.lit(1))
 
     lp = lsets.select("l_name", "tokens", "prefix", F.explode("prefix").alias("p")) \
         .withColumn("salt", F.pmod(F.xxhash64("l_name"), salt_count(F.col("p"))))
