@@ -1185,7 +1185,7 @@ def q_job_train_predict(spark, sf):
     return predict_job(data, model_dir, "price", 1).select("l_orderkey", "l_linenumber", "prediction")
 
 
-@query("feature_pipeline_variant", """
+@query("notebook_features", """
 WITH e AS (SELECT event_id, event_type, value, CASE WHEN value > 100 THEN 'true' ELSE 'false' END AS hv FROM events),
 i1 AS (SELECT event_type, row_number() OVER (ORDER BY n DESC, event_type) - 1 AS idx
        FROM (SELECT event_type, count(*) AS n FROM e GROUP BY 1)),
@@ -1197,7 +1197,7 @@ SELECT event_id,
          list_transform(range(k2.k - 1), lambda j: CASE WHEN j = i2.idx THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END),
          [value]) AS features
 FROM e JOIN i1 USING (event_type) JOIN i2 USING (hv), k1, k2""")
-def q_feature_pipeline_variant(spark, sf):
+def q_notebook_features(spark, sf):
     """Booleans become categories, constant categories are dropped (E9),
     one pipeline from projection to assembled vector."""
     from pyspark.ml.functions import vector_to_array
