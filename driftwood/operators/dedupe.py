@@ -54,3 +54,7 @@ def observed(df: DataFrame, name: str):
     from pyspark.sql import Observation
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("n_rows")), obs
+
+
+# names of the operator inventory
+audit = row_counts                # E1: row counts of named stages

@@ -251,3 +251,8 @@ def load_regression(base_dir: str, name: str, version) -> LinearRegressionModel:
 def score(df: DataFrame, pipeline_model: PipelineModel, model) -> DataFrame:
     """Batch scoring with a stored pipeline and model: adds ``prediction``."""
     return model.transform(pipeline_model.transform(df))
+
+
+def load_model(base_dir: str, name: str, version, kind: str = "pipeline"):
+    """A10: load a stored ``pipeline`` or ``regression`` model by name and version."""
+    return (load_pipeline if kind == "pipeline" else load_regression)(base_dir, name, version)

@@ -228,3 +228,7 @@ def unresolved(keys: DataFrame, resolved: DataFrame, key: str, resolved_key: str
     rk = resolved_key or key
     r = resolved.select(F.col(_q(rk)).alias("_rk")).distinct()
     return keys.join(r, F.col(_q(key)) == F.col("_rk"), "left_anti")
+
+
+# names of the operator inventory
+map_lookup = lookup_join          # D7: dictionary lookup as a (broadcast) left join

@@ -303,3 +303,7 @@ def sequential_report(df: DataFrame, bounds: dict[str, Bounds]) -> DataFrame:
         exprs.append(F.count_if(kept & outside(c, bounds[c], True, _is_fractional(df, c))).alias(f"c{i}"))
         kept = kept & inside(c, bounds[c])
     return _to_long(df.agg(*exprs), cols, "n_outliers")
+
+
+# names of the operator inventory
+iqr_outliers = outlier_rows       # E5: the outlier rows of every column, tagged

@@ -93,3 +93,7 @@ def values(spark: SparkSession, rows, schema) -> DataFrame:
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """First ``n`` rows for display."""
     return df.limit(n)
+
+
+# names of the operator inventory
+partition_key = key_from_path     # A2: period key of a drop from its path

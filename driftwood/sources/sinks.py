@@ -185,3 +185,7 @@ def refresh_star(spark: SparkSession, tables: "OrderedDict[str, DataFrame]", bas
     fs, p = _fs(spark, f"{base.rstrip('/')}/_staged_{run}")
     fs.delete(p, True)
     return {name: f"{base.rstrip('/')}/{name}" for name in tables}
+
+
+# names of the operator inventory
+upsert = merge_upsert             # A4: keyed upsert of a batch into a stored table (as a frame)
