@@ -155,3 +155,37 @@ def train_listings(listings: DataFrame, model_dir: str, version, split_keys=("pr
     return train_job(listings, TRAIN_TARGET, model_dir, "price", version, exclude=exclude,
                      split_keys=list(split_keys), passthrough=list(split_keys))
 
+
+
+# ------------------------------------------------------------ E11–E14 --
+# The four workbook sheets as queries on the star tables.
+
+def kpi_price_size(fact_idealista: DataFrame) -> DataFrame:
+    """Average price and size, summed rooms, per listing-day row id."""
+    from driftwood.functions.keys import composite_key
+    return st.kpi_per_row(fact_idealista, composite_key(["propertycode", "day"]),
+                          ["price", "size"], ["rooms"])
+
+
+def kpi_price_income(fact_idealista: DataFrame, fact_income: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """Per neighbourhood, listing price and size next to the income
+    index — the two facts meet at the location after each is aggregated."""
+    both = st.drill_across(fact_idealista, fact_income, "neighborhood_id",
+                           [F.avg("price").alias("avg_price"), F.avg("size").alias("avg_size")],
+                           [F.avg("rfd_index").alias("avg_rfd_index")])
+    named = st.star_join(both.where(F.col("avg_price").isNotNull()),
+                         [(dim_location.select("neighborhood_id", "neighborhood"), "neighborhood_id",
+                           "neighborhood_id")])
+    return named
+
+
+def kpi_rows_per_day(fact_idealista: DataFrame) -> DataFrame:
+    """Listing rows per calendar day."""
+    return st.kpi_rows_per_day(fact_idealista, "day")
+
+
+def kpi_income_population(fact_income: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """Average income index and population per district and neighbourhood."""
+    return st.kpi_by_dimension(fact_income, dim_location.select("neighborhood_id", "district", "neighborhood"),
+                               "neighborhood_id", "neighborhood_id", ["district", "neighborhood"],
+                               ["rfd_index", "population"])

@@ -99,6 +99,17 @@ def test_reference_pipeline_end_to_end(spark):
     fact = tables["fact_idealista"]
     assert fact.where(F.col("neighborhood_id") == "Q15225338").count() > 0
     assert fact.count() == listings.where("municipality = 'Barcelona'").count()
+    # workbook sheets on the star
+    k11 = {r.row_id: r.avg_price for r in cf.kpi_price_size(fact).collect()}
+    assert len(k11) == fact.count() and all(v is not None for v in k11.values())
+    k12 = {r.neighborhood: (r.avg_price is not None, r.avg_rfd_index) for r in
+           cf.kpi_price_income(fact, tables["fact_income"], tables["dim_location"]).collect()}
+    assert k12["el Raval"] == (True, 102.25)
+    k13 = {str(r.date): r.n_rows for r in cf.kpi_rows_per_day(fact).collect()}
+    assert set(k13) == {"2020-01-05", "2020-01-06"} and sum(k13.values()) == fact.count()
+    k14 = {(r.district, r.neighborhood): r.avg_population for r in
+           cf.kpi_income_population(tables["fact_income"], tables["dim_location"]).collect()}
+    assert k14[("Ciutat Vella", "el Raval")] == 47250.0
     # Train, store, predict with the stored version
     metrics = cf.train_listings(listings, f"{root}/models", 1)
     assert {r.split for r in metrics.collect()} <= {"train", "test"}
