@@ -74,3 +74,39 @@ def test_partitioned_upsert_touches_only_batch_partitions(spark):
     b = sorted(tuple(r) for r in spark.read.parquet(flat).select("id", "month", "v").collect())
     assert a == b and len(a) == 5
     assert spark.read.parquet(f"{part}/month=2020_03").inputFiles() == untouched
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ROWS = st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
+                          st.one_of(st.none(), st.integers(-2, 2))), max_size=25)
+
+
+def _py_key(t):
+    # ascending, nulls first
+    return tuple((x is not None, x) for x in t)
+
+
+@settings(max_examples=20, deadline=None)
+@given(ROWS)
+def test_dedupe_property_matches_python(spark, rows):
+    df = spark.createDataFrame(rows, "k int, s string, v int")
+    got = sorted(tuple(r) for r in dedupe(df, ["k"]).collect())
+    want = {}
+    for k, s, v in rows:
+        if k not in want or _py_key((s, v)) < _py_key(want[k]):
+            want[k] = (s, v)
+    assert got == sorted((k, s, v) for k, (s, v) in want.items())
+
+
+@settings(max_examples=15, deadline=None)
+@given(ROWS, ROWS)
+def test_upsert_property_twice_equals_once(spark, stored_rows, batch_rows):
+    stored = dedupe(spark.createDataFrame(stored_rows, "k int, s string, v int"), ["k"])
+    batch = spark.createDataFrame([(k, s) for k, s, _ in batch_rows], "k int, s string")
+    once = merge_upsert(stored, batch, ["k"])
+    twice = merge_upsert(once, batch, ["k"])
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    keys = [r.k for r in once.collect()]
+    assert len(keys) == len(set(keys))
