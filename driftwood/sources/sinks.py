@@ -101,6 +101,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """A stored table is there when its folder exists and holds readable data
+    (a folder left by an empty write has no schema to read)."""
+    if not path_exists(spark, path):
+        return False
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.format(fmt).load(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Replace ``path`` by the fully written ``staged`` folder."""
     fs, p = _fs(spark, path)
@@ -129,7 +142,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, fmt: st
     cost of a daily batch does not grow with the stored history.
     """
     staged = f"{path.rstrip('/')}._staged_{uuid.uuid4().hex[:8]}"
-    exists = path_exists(spark, path)
+    exists = table_exists(spark, path, fmt)
     if partition_by and exists and partition_by in list(keys):
         # the touched period values: bounded by the number of partitions
         touched = [r[0] for r in batch.select(partition_by).distinct().collect()]

@@ -44,6 +44,8 @@ def load_new_drops(spark: SparkSession, root: str, schema, key_len: int, key_col
     checkpoint = checkpoint or scratch_path(spark, "drops-stream")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # e.g. a batch of only empty part files
+            return
         merged = dedupe(batch, keys)
         if repair_text:
             merged = repair_strings(merged)

@@ -110,3 +110,11 @@ def test_upsert_property_twice_equals_once(spark, stored_rows, batch_rows):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
     keys = [r.k for r in once.collect()]
     assert len(keys) == len(set(keys))
+
+
+def test_upsert_into_folder_left_by_an_empty_write(spark):
+    path = scratch_path(spark, "upsert-empty")
+    spark.createDataFrame([], "id int, month string, v double").write.partitionBy("month").parquet(path)
+    batch = spark.createDataFrame([(1, "2020_01", 1.0)], "id int, month string, v double")
+    upsert_table(spark, path, batch, ["id", "month"], partition_by="month")
+    assert [tuple(r) for r in spark.read.parquet(path).select("id", "month", "v").collect()] == [(1, "2020_01", 1.0)]
