@@ -775,7 +775,7 @@ def q_star_join(spark, sf):
         (st.dim_day(days_frame(spark, sf)), "day", "day"),
         (st.dim_month(days_frame(spark, sf), months_frame(spark, sf)), "month", "month"),
         (dim_year_frame(spark, sf), "year", "year"),
-        (dim_location_frame(spark, sf).select("n_name", "r_name"), "location_id", "n_name")])
+        (dim_location_frame(spark, sf).select("n_name", "r_name"), "location_id", "n_name", False)])
     return joined.select("o_orderkey", "day", "month", "year", "location_id", "r_name", "o_totalprice")
 
 
