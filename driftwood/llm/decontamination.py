@@ -30,10 +30,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Words per window, separators of words, the two cases of A-Z.
+# Words per window, the two cases of A-Z, the ASCII characters
+# that separate words (all but digits and letters).
 WINDOW = 13
-NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SEPARATORS = "".join(chr(c) for c in range(0x80) if not chr(c).isalnum())
 
 GRAM = 5
 # benchmark words up to which its fingerprints and windows are broadcast
@@ -41,15 +42,11 @@ GRAM = 5
 BROADCAST_WORDS = 500_000
 
 
-def plain(text: Column) -> Column:
-    """Words separated by one space, none at the ends; null is empty."""
-    lower = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.btrim(F.regexp_replace(lower, NOT_A_WORD, " "))
-
-
 def words_of(text: Column) -> Column:
-    p = plain(text)
-    return F.when(p == "", F.array().cast("array<string>")).otherwise(F.split(p, " "))
+    """Lower-cased words; null has none.  One ``translate`` lowers A-Z and
+    turns separators into spaces (no regular expression on the hot path)."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), UPPER + SEPARATORS, LOWER + " " * len(SEPARATORS))
+    return F.filter(F.split(spaced, " "), lambda w: w != "")
 
 
 def let(value: Column, body) -> Column:
@@ -67,16 +64,18 @@ def _upto(n: Column) -> Column:
 
 
 def gram_hashes(words: Column, k: int) -> Column:
-    """Hash of the ``k`` words from each position on."""
-    return F.transform(_upto(F.size(words) - (k - 1)), lambda i: F.xxhash64(F.slice(words, i + 1, k)))
+    """Hash of the ``k`` words from each position on (fewer at the end)."""
+    return F.transform(words, lambda _, i: F.xxhash64(F.slice(words, i + 1, k)))
 
 
 def winnow(hashes: Column, w: int) -> Column:
-    """The distinct smallest hashes of every ``w`` consecutive ones."""
+    """The distinct smallest hashes of every ``w`` consecutive ones.
+
+    At the end the windows run short, which adds fingerprints but loses none.
+    """
     if w == 1:
         return F.array_distinct(hashes)
-    return F.array_distinct(F.transform(_upto(F.size(hashes) - (w - 1)),
-                                        lambda i: F.array_min(F.slice(hashes, i + 1, w))))
+    return F.array_distinct(F.transform(hashes, lambda _, i: F.array_min(F.slice(hashes, i + 1, w))))
 
 
 def fingerprints(text: Column, k: int, w: int) -> Column:
