@@ -41,3 +41,48 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     off = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[off[0]:off[-1]] if len(off) else raw[:0], off - off[0] if len(off) else np.zeros(1, np.int64)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.Table]:
+    """Re-cut a stream sorted by column ``key`` so that no group of equal keys
+    straddles two tables."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cut = np.flatnonzero(keys[1:] != keys[:-1])
+        first_new = held and held[-1].column(key)[held[-1].num_rows - 1].as_py() != batch.column(key)[0].as_py()
+        if len(cut):
+            at = int(cut[-1]) + 1
+            yield pa.Table.from_batches([*held, batch.slice(0, at)])
+            held = [batch.slice(at)]
+        elif first_new:
+            yield pa.Table.from_batches(held)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_bounds(keys: np.ndarray) -> np.ndarray:
+    """Start of each run of equal keys, and the end of the last."""
+    return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
+
+
+def longs(x: np.ndarray) -> pa.Array:
+    """Unsigned 64-bit values as signed ones of the same bits."""
+    return pa.array(np.ascontiguousarray(x, np.uint64).view(np.int64))
+
+
+def lists(x: np.ndarray) -> pa.Array:
+    """One list of longs per row of a matrix."""
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), longs(x.reshape(-1)))
+
+
+def ragged(x: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Lists of longs of the given lengths."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), longs(x))
