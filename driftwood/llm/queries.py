@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import (bpe, decontamination, language_id, line_dedup, near_dedup, secret_ledger, token_counts,
-                           url_cascade)
+from driftwood.llm import (bpe, decontamination, embedding_dedup, language_id, line_dedup, near_dedup,
+                           secret_ledger, token_counts, url_cascade)
 from driftwood.session import read_test_table as table
 from driftwood.session import scratch_path
 
@@ -56,6 +56,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -73,6 +77,7 @@ QUERIES = {
     "op5_url_cascade": op5_url_cascade,
     "op6_near_dedup": op6_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
