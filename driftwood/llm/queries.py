@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.llm import (bpe, decontamination, embedding_dedup, language_id, line_dedup, near_dedup,
-                           secret_ledger, token_counts, url_cascade)
+                           secret_ledger, substring_dedup, token_counts, url_cascade)
 from driftwood.session import read_test_table as table
 from driftwood.session import scratch_path
 
@@ -32,6 +32,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = secret_ledger.scan(docs, scratch_path(spark, "secret-ledger"), "doc_id", ["doc_id"])
@@ -73,6 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_secret_ledger": op4_secret_ledger,
     "op5_url_cascade": op5_url_cascade,
     "op6_near_dedup": op6_near_dedup,
