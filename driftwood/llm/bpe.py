@@ -28,6 +28,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -275,6 +276,11 @@ def tokenizer(rank_path: str, pattern: str) -> Tokenizer:
     return Tokenizer(rank_path, pattern)
 
 
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+
+
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str, text: str = "text",
                      keep=("doc_id",), with_ids: bool = True) -> DataFrame:
     """Ids, their digest and the digest of the decoded bytes for every text.
@@ -299,13 +305,13 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, text: str =
                     joined = " ".join([ids_ for ids_, _ in groups])
                     counts.append(joined.count(" ") + 1 if joined else 0)
                     if with_ids:
-                        ids.append([int(x) for x in joined.split(" ")] if joined else [])
+                        ids.append(np.fromstring(joined, np.int32, sep=" "))
                     id_sha.append(hashlib.sha256(joined.encode()).hexdigest())
                     out_sha.append(hashlib.sha256(b"".join([raw for _, raw in groups])).hexdigest())
                 cols = [part.column(i) for i in range(len(keep))] + [pa.array(counts, pa.int64())] + \
-                    ([pa.array(ids, pa.list_(pa.int32()))] if with_ids else []) + \
+                    ([_id_lists(ids)] if with_ids else []) + \
                     [pa.array(id_sha, pa.string()), pa.array(out_sha, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=keep + [f.name for f in extra])
 
-    return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("_text")) \
+    return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("_dw_text")) \
         .mapInArrow(run, T.StructType(fields + extra))

@@ -30,6 +30,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftwood.llm.components import stored
+from driftwood.llm.linking import maybe_in
+
 # Words per window, the two cases of A-Z, the ASCII characters
 # that separate words (all but digits and letters).
 WINDOW = 13
@@ -149,21 +152,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
             "items")
         hits = exact if hits is None else hits.unionByName(exact)
 
-    rows = docs.select(F.col(f"`{doc_id}`"), *[F.col(f"`{c}`") for c in keep if c != doc_id],
-                       F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_md"),
+    added = ("n_words", "n_hit", "n_items", "items", "contaminated")
+    outs = [c for c in dict.fromkeys([doc_id, *keep]) if c not in added]
+    rows = docs.select(*[F.col(f"`{c}`") for c in outs],
+                       F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_dw_md"),
                        F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("n_words"))
-    outs = [c for c in [doc_id, *[c for c in keep if c != doc_id]]
-            if c not in ("n_words", "n_hit", "n_items", "items", "contaminated")]
     if hits is None:
         out = rows.withColumn("n_hit", F.lit(0).cast("long")).withColumn("items", F.array().cast("array<string>"))
     else:
         per = hits.groupBy("id", "md").agg(
             covered(F.sort_array(F.collect_set("span"))).alias("n_hit"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")) \
-            .select(F.col("id").alias("_i"), F.col("md").alias("_m"), "n_hit", "items")
-        out = rows.join(per, F.col(f"`{doc_id}`").eqNullSafe(F.col("_i")) & (F.col("_md") == F.col("_m")), "left") \
+            .select(F.col("id").alias("_dw_i"), F.col("md").alias("_dw_m"), "n_hit", "items")
+        out = rows.join(per, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_md") == F.col("_dw_m")), "left") \
             .withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long"))) \
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return out.select(*[F.col(f"`{c}`") for c in outs], "n_words", "n_hit",
                       F.size("items").cast("long").alias("n_items"), "items",
                       ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
+    """The documents (all columns) that are not contaminated."""
+    keyed = docs.withColumn("_dw_row", F.xxhash64(F.col(f"`{text}`")))
+    gone = stored(decontaminate(keyed, benchmark, doc_id, text, keep=("_dw_row",), **kw).where("contaminated")
+                  .select(F.col(f"`{doc_id}`").alias("_dw_i"), F.col("_dw_row").alias("_dw_r")).distinct(), "contaminated")
+    hit = maybe_in(gone, "_dw_r")(F.col("_dw_row"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    checked = keyed.where(hit).join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left_anti")
+    return keyed.where(~hit).select(*columns).unionByName(checked.select(*columns))

@@ -155,4 +155,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
                     pa.array([g[2] for g in got], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(cols, names=keep + added)
 
-    return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("_dw_text")).mapInArrow(run, schema)

@@ -125,13 +125,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     gone = stored(places.where(maybe_in(keep, "cid")(F.col("cid"))).join(keep, "cid")
                   .where(~F.struct("id", "no", "row").eqNullSafe(F.col("keep")))
                   .groupBy("id", "row").agg(F.collect_set("no").alias("gone")), "line-gone")
-    keyed = docs.withColumn("_row", F.xxhash64(t))
-    hit = maybe_in(gone, "row")(F.col("_row"))
-    changed = keyed.where(hit).join(gone.select(F.col("id").alias("_id"), F.col("row").alias("_r"), "gone"),
-                                    F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r")), "left")
+    keyed = docs.withColumn("_dw_row", F.xxhash64(t))
+    hit = maybe_in(gone, "row")(F.col("_dw_row"))
+    changed = keyed.where(hit).join(gone.select(F.col("id").alias("_dw_id"), F.col("row").alias("_dw_r"), F.col("gone").alias("_dw_gone")),
+                                    F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_id")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
     lines = F.coalesce(F.size(_lines(t)), F.lit(0)).cast("long")
     lines = F.when(t.isNull(), F.lit(0).cast("long")).otherwise(lines)
-    left = F.array_join(F.filter(_lines(t), lambda _, i: ~F.array_contains(F.col("gone"), i)), "\n")
+    left = F.array_join(F.filter(_lines(t), lambda _, i: ~F.array_contains(F.col("_dw_gone"), i)), "\n")
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
 
     def result(df: DataFrame, new_text: Column, removed: Column) -> DataFrame:
@@ -139,4 +139,4 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
                          lines.alias("n_lines"), removed.cast("long").alias("n_removed"))
 
     return result(keyed.where(~hit), t, F.lit(0)).unionByName(
-        result(changed, F.when(F.col("gone").isNull(), t).otherwise(left), F.coalesce(F.size("gone"), F.lit(0))))
+        result(changed, F.when(F.col("_dw_gone").isNull(), t).otherwise(left), F.coalesce(F.size("_dw_gone"), F.lit(0))))

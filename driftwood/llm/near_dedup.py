@@ -48,20 +48,21 @@ def _shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def describe(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """``id, n, h1, h2, bands`` per document."""
+    """``id, row, n, h1, h2, bands`` per document (``row``: digest of the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices_by_chars(batch, 1, BYTES_AT_A_TIME):
-                values, counts = _shingle_sets(part.column(1), shingle)
+            for part in slices_by_chars(batch, 2, BYTES_AT_A_TIME):
+                values, counts = _shingle_sets(part.column(2), shingle)
                 h1, h2 = mh.set_digests(values, counts)
                 sig = mh.signatures(values, counts, BANDS * ROWS)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), longs(h1), longs(h2), lists(mh.band_keys(sig, BANDS, ROWS))],
-                    names=["id", "n", "h1", "h2", "bands"])
+                    [part.column(0), part.column(1), pa.array(counts), longs(h1), longs(h2),
+                     lists(mh.band_keys(sig, BANDS, ROWS))], names=["id", "row", "n", "h1", "h2", "bands"])
 
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")) \
-        .mapInArrow(run, "id long, n long, h1 long, h2 long, bands array<long>")
+    t = F.col(f"`{text}`")
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(t).alias("row"), t.alias("text")) \
+        .mapInArrow(run, "id long, row long, n long, h1 long, h2 long, bands array<long>")
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -82,7 +83,8 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``,
+    and ``row``, the ``xxhash64`` of its text (which tells repeated ids apart)."""
     rows = stored(describe(docs, doc_id, text, shingle), "near-docs")
     # a class is known by its digests (ids may be repeated with other texts)
     node = F.xxhash64("h1", "h2", "n")
@@ -104,8 +106,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     smallest = linked.groupBy("component").agg(F.min("id").alias("component_id"))
     grouped = linked.select("cid", "component").join(smallest, "component").select("cid", "component_id")
     alone = classes.join(grouped.select("cid"), "cid", "left_anti").select("cid", F.col("id").alias("component_id"))
-    out = rows.select("id", "n", node.alias("cid")) \
+    out = rows.select("id", "row", "n", node.alias("cid")) \
         .join(grouped.unionByName(alone), "cid", "left")
     mine = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), mine.alias("component_id"),
-                      F.coalesce(F.col("id") == mine, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("id") == mine, F.lit(True)).alias("kept"), "row")
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                         percent: int = PERCENT) -> DataFrame:
+    """The documents (all columns) of which one of each group is left; of rows
+    that repeat id and text one stays."""
+    judged = near_duplicates(docs, doc_id, text, shingle, percent)
+    gone = stored(judged.groupBy(F.col(doc_id).alias("_dw_i"), F.col("row").alias("_dw_r"))
+                  .agg(F.min("kept").alias("_dw_kept"), F.count(F.lit(1)).alias("m"))
+                  .where("not _dw_kept or m > 1").drop("m"), "near-gone")
+    keyed = docs.withColumn("_dw_row", F.xxhash64(F.col(f"`{text}`")))
+    hit = maybe_in(gone, "_dw_r")(F.col("_dw_row"))
+    left = keyed.where(hit).join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
+    rest = left.where("_dw_kept is null").select(*[F.col(f"`{c}`") for c in docs.columns])
+    once = left.where("_dw_kept").dropDuplicates(["_dw_i", "_dw_r"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.where(~hit).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(rest).unionByName(once)

@@ -56,7 +56,8 @@ def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4) \
+        .select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,10 +113,9 @@ def _scan(todo: DataFrame, rules) -> DataFrame:
     return scanned
 
 
-def with_blob(versions: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with null text made empty and ``blob`` added."""
-    return versions.withColumn(text, F.coalesce(F.col(f"`{text}`"), F.lit(""))) \
-        .withColumn("blob", F.sha2(F.col(f"`{text}`"), 256))
+def blob_of(text: Column) -> Column:
+    """The content address of a text."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
@@ -135,7 +134,8 @@ def update_ledger(versions: DataFrame, ledger: str, key: str, text: str = "text"
     per task and no text but the chosen one is read twice.
     """
     spark = versions.sparkSession
-    rows = with_blob(versions, text).select("blob", F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
+    t = F.col(f"`{text}`")
+    rows = versions.select(blob_of(t).alias("blob"), F.col(f"`{key}`").alias("k"), F.coalesce(t, F.lit("")).alias("text"))
     wanted = F.array(*[F.lit(r.key) for r in rules])
     known = read_ledger(spark, ledger).groupBy("blob").agg(F.collect_set("rule").alias("done"))
     chosen = rows.groupBy("blob").agg(F.min(F.struct("k")).alias("s")).join(known, "blob", "left") \
@@ -153,15 +153,15 @@ def findings(versions: DataFrame, ledger: str, keep, text: str = "text", rules=R
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     found = read_ledger(spark, ledger).where(F.col("rule").isin([r.key for r in rules]) & (F.size("spans") > 0)) \
         .groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")) \
-        .select(F.col("blob").alias("b"), F.transform(
+        .select(F.col("blob").alias("_dw_b"), F.transform(
             F.array_sort(F.transform("spans", lambda s: F.struct(
                 s["start"].alias("start"), F.element_at(order, s["kind"]).alias("o"),
                 s["end"].alias("end"), s["kind"].alias("kind")))),
             lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
     keep = [c for c in keep if c != "spans"]
     rows = versions.select(*[F.col(f"`{c}`") for c in keep],
-                           F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256).alias("_blob"))
-    return rows.join(found, F.col("_blob") == F.col("b"), "left").select(
+                           blob_of(F.col(f"`{text}`")).alias("_dw_blob"))
+    return rows.join(found, F.col("_dw_blob") == F.col("_dw_b"), "left").select(
         *[F.col(f"`{c}`") for c in keep], F.coalesce("spans", F.array().cast(T.ArrayType(SPAN))).alias("spans"))
 
 

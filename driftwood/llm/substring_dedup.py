@@ -310,16 +310,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                                      "t1 int, string binary") \
         .repartition("key").sortWithinPartitions("key") \
         .mapInArrow(_repeats(length, gram), "row long, first int, last int")
-    ranges = stored(whole.unionByName(partly).groupBy(F.col("row").alias("r"))
-                    .agg(F.collect_set(F.struct("first", "last")).alias("ranges")), "repeat-ranges")
+    ranges = stored(whole.unionByName(partly).groupBy(F.col("row").alias("_dw_r"))
+                    .agg(F.collect_set(F.struct("first", "last")).alias("_dw_ranges")), "repeat-ranges")
 
     keep = [c for c in keep if c not in ("n_bytes", "spans", "kept")]
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField("n_bytes", T.LongType()), T.StructField("spans", SPANS), T.StructField("kept", T.BinaryType())])
-    every = docs.select(*[F.col(f"`{c}`") for c in keep], t.alias("_text"), row.alias("_row"))
-    hit = maybe_in(ranges, "r")(F.col("_row"))
-    same = every.where(~hit).select(*[F.col(f"`{c}`") for c in keep], F.octet_length("_text").cast("long").alias("n_bytes"),
-                                    F.array().cast(SPANS).alias("spans"), F.encode("_text", "UTF-8").alias("kept"))
-    cut = every.where(hit).join(ranges, F.col("_row") == F.col("r"), "left") \
-        .select(*[F.col(f"`{c}`") for c in keep], "_text", "ranges").mapInArrow(_cut(keep, schema, length), schema)
+    every = docs.select(*[F.col(f"`{c}`") for c in keep], t.alias("_dw_text"), row.alias("_dw_row"))
+    hit = maybe_in(ranges, "_dw_r")(F.col("_dw_row"))
+    same = every.where(~hit).select(*[F.col(f"`{c}`") for c in keep], F.octet_length("_dw_text").cast("long").alias("n_bytes"),
+                                    F.array().cast(SPANS).alias("spans"), F.encode("_dw_text", "UTF-8").alias("kept"))
+    cut = every.where(hit).join(ranges, F.col("_dw_row") == F.col("_dw_r"), "left") \
+        .select(*[F.col(f"`{c}`") for c in keep], "_dw_text", "_dw_ranges").mapInArrow(_cut(keep, schema, length), schema)
     return same.unionByName(cut)

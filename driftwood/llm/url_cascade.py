@@ -117,9 +117,9 @@ def _admits(df: DataFrame, key: str, level: Level, out: str) -> DataFrame:
         at = (_word(k, level.number, level.words) * 8 + 1).cast("int")
         bits = F.conv(F.hex(F.substring(F.lit(bytearray(level.literal)), at, F.lit(8))), 16, -10).cast("long")
         return df.withColumn(out, bits.bitwiseAND(mask) == mask)
-    words = level.table.select(F.col("word").alias("_w"), F.col("bits").alias("_b"))
-    return df.join(words, _word(k, level.number, level.words) == F.col("_w"), "left") \
-        .withColumn(out, F.coalesce(F.col("_b").bitwiseAND(mask) == mask, F.lit(False))).drop("_w", "_b")
+    words = level.table.select(F.col("word").alias("_dw_w"), F.col("bits").alias("_dw_b"))
+    return df.join(words, _word(k, level.number, level.words) == F.col("_dw_w"), "left") \
+        .withColumn(out, F.coalesce(F.col("_dw_b").bitwiseAND(mask) == mask, F.lit(False))).drop("_dw_w", "_dw_b")
 
 
 def build_cascade(universe: DataFrame, literal_words: int = LITERAL_WORDS) -> list[Level]:
@@ -150,7 +150,7 @@ def is_listed(df: DataFrame, key: str, levels: list[Level], out: str) -> DataFra
     not listed, an even one listed.  A key all levels admit is listed when
     the number of levels is odd.
     """
-    names = [f"_in{level.number}" for level in levels]
+    names = [f"_dw_in{level.number}" for level in levels]
     for level, name in zip(levels, names):
         df = _admits(df, key, level, name)
     answer = F.lit(len(levels) % 2 == 1)
@@ -169,11 +169,11 @@ def judge(pages: DataFrame, keep, url: str = "url", rules=RULES, literal_words:
     keep = [c for c in keep if c not in ("host", "path", "rule", "verdict")]
     u = F.col(f"`{url}`")
     parsed = pages.select(*[F.col(f"`{c}`") for c in keep], host_of(u).alias("host"), path_of(u).alias("path")) \
-        .withColumn("_r", rule_of(F.col("host"), F.col("path"), rules))
+        .withColumn("_dw_rule", rule_of(F.col("host"), F.col("path"), rules))
     universe = pages.select(host_of(u).alias("key"), path_of(u).alias("path")) \
         .withColumn("r", rule_of(F.col("key"), F.col("path"), rules)) \
         .groupBy("key").agg(F.max(F.coalesce(F.col("r.verdict") == "block", F.lit(False))).alias("listed"))
     levels = build_cascade(universe, literal_words)
-    return is_listed(parsed, "host", levels, "_listed").select(
-        *[F.col(f"`{c}`") for c in keep], "host", "path", F.col("_r.rule").alias("rule"),
-        F.coalesce(F.col("_r.verdict"), F.when(F.col("_listed"), "block").otherwise("allow")).alias("verdict"))
+    return is_listed(parsed, "host", levels, "_dw_listed").select(
+        *[F.col(f"`{c}`") for c in keep], "host", "path", F.col("_dw_rule.rule").alias("rule"),
+        F.coalesce(F.col("_dw_rule.verdict"), F.when(F.col("_dw_listed"), "block").otherwise("allow")).alias("verdict"))
