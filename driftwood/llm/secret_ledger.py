@@ -95,10 +95,14 @@ def _scan(todo: DataFrame, rules) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = {k: compile_rule(r) for k, r in by_key.items()}
         span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+        seen = set()             # rows that repeat key and text come to one task
         for batch in batches:
             for part in slices_by_chars(batch, 2, CHARS_AT_A_TIME):
                 blobs, names, spans = [], [], []
                 for blob, keys, text in zip(*(c.to_pylist() for c in part.columns)):
+                    if blob in seen:
+                        continue
+                    seen.add(blob)
                     for key in keys:
                         rule = by_key[key]
                         blobs.append(blob)
@@ -109,8 +113,7 @@ def _scan(todo: DataFrame, rules) -> DataFrame:
                     [pa.array(blobs, pa.string()), pa.array(names, pa.string()), pa.array(spans, pa.list_(span))],
                     names=["blob", "rule", "spans"])
 
-    scanned = todo.select("blob", "rules", "text").mapInArrow(run, SCAN)
-    return scanned
+    return todo.select("blob", "rules", "text").mapInArrow(run, SCAN)
 
 
 def blob_of(text: Column) -> Column:
