@@ -39,19 +39,32 @@ def is_non_numeric(c) -> Column:
     return _col(c).rlike(NON_NUMERIC_PATTERN)
 
 
+# The characters Windows-1252 has where Latin-1 has the control
+# characters U+0080 to U+009F, and those control characters.
+CP1252_BYTES = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+CP1252_CHARS = bytes(CP1252_BYTES).decode("cp1252")
+CP1252_CONTROLS = "".join(map(chr, CP1252_BYTES))
+
+
+def _strict_repair(c: Column) -> Column:
+    """The text whose UTF-8 bytes were read as Latin-1; null if it is not such."""
+    fits = c.rlike(LATIN1_ONLY_PATTERN)
+    safe = F.when(fits, c).otherwise(F.lit(""))
+    return F.when(fits, F.try_validate_utf8(F.encode(safe, "ISO-8859-1").cast("string")))
+
+
 def repair_mojibake(c) -> Column:
-    """Undo UTF-8 bytes that were decoded as Latin-1.
+    """Undo UTF-8 bytes that were decoded as Latin-1 or Windows-1252.
 
     Text whose characters all fit in Latin-1 is re-encoded and decoded as
     UTF-8; if the bytes are not valid UTF-8 the text was clean and is kept.
-    Text with characters outside Latin-1 cannot be such damage and is kept
-    unchanged (the guard also keeps ``encode`` from raising under ANSI).
+    Where that does not apply because of characters that only Windows-1252
+    has, those are first put back to the bytes they stand for.  Text that is
+    damaged in neither way is kept unchanged (the guard also keeps ``encode``
+    from raising under ANSI).
     """
     c = _col(c)
-    fits = c.rlike(LATIN1_ONLY_PATTERN)
-    safe = F.when(fits, c).otherwise(F.lit(""))
-    repaired = F.try_validate_utf8(F.encode(safe, "ISO-8859-1").cast("string"))
-    return F.when(c.isNull(), c).when(fits, F.coalesce(repaired, c)).otherwise(c)
+    return F.coalesce(_strict_repair(c), _strict_repair(F.translate(c, CP1252_CHARS, CP1252_CONTROLS)), c)
 
 
 def damage_as_latin1(c) -> Column:
@@ -59,6 +72,28 @@ def damage_as_latin1(c) -> Column:
     return F.decode(F.encode(_col(c), "UTF-8"), "ISO-8859-1")
 
 
+def damage_as_cp1252(c) -> Column:
+    """Read the UTF-8 bytes of the text as Windows-1252 (bytes without a
+    character there become control characters, as in browsers)."""
+    return F.translate(damage_as_latin1(c), CP1252_CONTROLS, CP1252_CHARS)
+
+
+def plain_quotes(c) -> Column:
+    """Typographic quotes as plain ones."""
+    single, double = "\u2018\u2019\u201a\u201b", "\u201c\u201d\u201e\u201f"
+    return F.translate(_col(c), single + double, "'" * 4 + '"' * 4)
+
+
+def unix_lines(c) -> Column:
+    """Line breaks of any kind as line feeds."""
+    return F.regexp_replace(_col(c), "\r\n|\r|\u0085|\u2028|\u2029", "\n")
+
+
+def without_controls(c) -> Column:
+    """Control characters other than tab, line feed and carriage return removed."""
+    return F.regexp_replace(_col(c), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
+
+
 def tokens(c) -> Column:
     """Distinct lowercase whitespace tokens, empty strings removed."""
     parts = F.split(F.lower(_col(c)), WHITESPACE_PATTERN)

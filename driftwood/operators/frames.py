@@ -8,8 +8,10 @@ frames are united into one DataFrame.
 
 from __future__ import annotations
 
+import json
 from collections import OrderedDict
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,7 +85,8 @@ def merged_columns(frames) -> list[str]:
 def resolve_types(frames, overrides: dict | None = None) -> dict[str, T.DataType]:
     """First non-void type met in frame order; overrides win.
 
-    A column that is void in every frame defaults to string.
+    A column that is void in every frame defaults to string.  An override of
+    a column that no frame has adds nothing.
     """
     types: dict[str, T.DataType] = {}
     for df in frames.values():
@@ -94,7 +97,8 @@ def resolve_types(frames, overrides: dict | None = None) -> dict[str, T.DataType
         for c in df.columns:
             types.setdefault(c, T.StringType())
     for c, t in (overrides or {}).items():
-        types[c] = _parse_type(t)
+        if c in types:
+            types[c] = _parse_type(t)
     return types
 
 
@@ -135,32 +139,33 @@ def type_conflicts_report(spark: SparkSession, frames) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, data_type string, n_frames long")
 
 
-def schema_diff(frames) -> list[tuple]:
-    """Differences between consecutive frames, matched by column name.
+def schema_diff(frames, all_pairs: bool = False) -> list[tuple]:
+    """Differences between consecutive frames, or all pairs of frames,
+    matched by column name (B16).
 
     Rows ``(frame_a, frame_b, column, attribute, value_a, value_b)`` where the
-    attribute is ``type`` (``missing`` if absent) or ``nullable``.
+    attribute is ``type`` (``missing`` if absent), ``nullable`` or
+    ``metadata``; each that differs has a row of its own.
     """
     keys = list(frames)
     rows = []
-    for a, b in zip(keys, keys[1:]):
+    for a, b in combinations(keys, 2) if all_pairs else zip(keys, keys[1:]):
         fa = {f.name: f for f in frames[a].schema.fields}
         fb = {f.name: f for f in frames[b].schema.fields}
         for name in sorted(set(fa) | set(fb)):
             x, y = fa.get(name), fb.get(name)
-            ta = x.dataType.simpleString() if x else "missing"
-            tb = y.dataType.simpleString() if y else "missing"
-            if ta != tb:
-                rows.append((a, b, name, "type", ta, tb))
-            elif x.nullable != y.nullable:
-                rows.append((a, b, name, "nullable", str(x.nullable), str(y.nullable)))
+            seen = [("type", *(f.dataType.simpleString() if f else "missing" for f in (x, y)))]
+            if x and y:
+                seen += [("nullable", str(x.nullable), str(y.nullable)),
+                         ("metadata", *(json.dumps(f.metadata, sort_keys=True) for f in (x, y)))]
+            rows += [(a, b, name, what, va, vb) for what, va, vb in seen if va != vb]
     return rows
 
 
-def schema_diff_report(spark: SparkSession, frames) -> DataFrame:
+def schema_diff_report(spark: SparkSession, frames, all_pairs: bool = False) -> DataFrame:
     schema = ("frame_a string, frame_b string, column_name string, "
               "attribute string, value_a string, value_b string")
-    return spark.createDataFrame(schema_diff(frames), schema)
+    return spark.createDataFrame(schema_diff(frames, all_pairs), schema)
 
 
 def add_missing(frames, types: dict[str, T.DataType]) -> "OrderedDict[str, DataFrame]":

@@ -19,67 +19,47 @@ from pyspark.sql import types as T
 
 from driftwood.functions.text import jaccard_of_sets, tokens
 
-# Largest lookup that is broadcast; larger ones take a shuffled join.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 256 << 20
+# Largest lookup that is broadcast, in bytes by Spark's own statistics (files
+# are compressed: about ten times that in memory); larger ones are shuffled.
+DEFAULT_BROADCAST_BYTES = 32 << 20
 # Token frequency above which the candidate join salts the token.
 DEFAULT_HOT_TOKEN_ROWS = 10_000
-DEFAULT_SALTS = 64
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row's values: fixed widths for numbers and dates, the
-    actual UTF-8 length of strings and binaries, the JSON length of nested
-    values (an upper estimate of their in-memory size)."""
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(_q(f.name))
-        t = f.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
-        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(16))
-        else:
-            parts.append(F.lit(8))
-    return sum(parts[1:], parts[0]) if parts else F.lit(0)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialize: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only for a side proven small: at most ``max_rows`` rows
-    whose values take at most ``max_bytes``.
-
-    The proof is one bounded job over ``limit(max_rows + 1)`` (it stops early
-    on a large input) that counts the rows and sums their measured sizes.  A
-    larger side is returned unhinted and Spark shuffles.  ``materialize``
-    first writes a derived side (e.g. a dimension built by a distinct over a
-    fact) to the shared checkpoint folder, so the check and the join read
-    that small result instead of computing it twice.
+# operators whose size Spark can put no upper bound to
+_UNBOUNDED = ("Generate", "Join", "Expand", "Arrow", "Pandas", "Python")
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only for a side that is small by what Spark already
+    knows of it: the optimized plan's size, for plans that cannot grow beyond
+    their inputs (scans, filters, projections, aggregates).
+
+    No job runs.  Every other side is returned without a hint: adaptive
+    execution measures its finished shuffle and broadcasts it if it is small.
     """
-    if materialize:
-        from driftwood.session import cut_lineage
-        df = cut_lineage(df)
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                       F.sum(_row_bytes(df)).alias("b")).first()
-    small = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    if any(name in text for name in _UNBOUNDED):
+        return df
+    small = int(str(plan.stats().sizeInBytes())) <= max_bytes
     return F.broadcast(df) if small else df
 
 
 # ---------------------------------------------------------- D1, D2, D7 --
 
 def lookup_join(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
-                how: str = "left", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                how: str = "left") -> DataFrame:
     """Left equi-join to a lookup table (D1); also the dictionary lookup."""
-    lk = bounded_broadcast(lookup, max_broadcast_rows)
+    lk = bounded_broadcast(lookup)
     return df.join(lk, F.col(_q(left_on)) == lk[_q(right_on)], how)
 
 
-def lookup_fallback(df: DataFrame, on: str, lookups, out_col: str,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup_fallback(df: DataFrame, on: str, lookups, out_col: str) -> DataFrame:
     """Resolve ``out_col`` through a list of lookups, first non-null wins.
 
     ``lookups`` is a list of ``(lookup_df, key_column, id_column)``.  Each
@@ -91,7 +71,7 @@ def lookup_fallback(df: DataFrame, on: str, lookups, out_col: str,
         small = (lk.select(F.col(_q(key)).alias(f"_k{i}"), F.col(_q(id_col)).alias(f"_id{i}"))
                  .where(F.col(f"_k{i}").isNotNull())
                  .groupBy(f"_k{i}").agg(F.min(f"_id{i}").alias(f"_id{i}")))
-        small = bounded_broadcast(small, max_broadcast_rows)
+        small = bounded_broadcast(small)
         result = result.join(small, F.col(_q(on)) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
         ids.append(F.col(f"_id{i}"))
     return result.withColumn(out_col, F.coalesce(*ids)).drop(*[f"_id{i}" for i in range(len(lookups))])
@@ -118,9 +98,7 @@ def _token_sets(names: DataFrame, name_col: str, freq: DataFrame, threshold: flo
 
 
 def fuzzy_name_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
-                     hot_token_rows: int = DEFAULT_HOT_TOKEN_ROWS,
-                     salts: int = DEFAULT_SALTS,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     hot_token_rows: int = DEFAULT_HOT_TOKEN_ROWS) -> DataFrame:
     """All pairs of distinct names with token Jaccard ``>= threshold``.
 
     Inputs have one column each, ``l_name`` and ``r_name``.  Output columns
@@ -135,16 +113,13 @@ def fuzzy_name_pairs(left_names: DataFrame, right_names: DataFrame, threshold: f
     freq = (left.select(F.explode(tokens("l_name")).alias("token"))
             .unionByName(right.select(F.explode(tokens("r_name")).alias("token")))
             .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    freq = bounded_broadcast(freq, max_broadcast_rows)
     lsets = _token_sets(left, "l_name", freq, threshold)
     rsets = _token_sets(right, "r_name", freq, threshold)
 
     # salt hot prefix tokens: a left row goes to one salt, a right row to all;
-    # about one salt per ``hot_token_rows`` names holding the token, at most ``salts``
+    # one salt per ``hot_token_rows`` names holding the token
     def salt_count(p: Column) -> Column:
-        n = F.ceil(p["freq"] / F.lit(hot_token_rows)).cast("int")
-        return F.when(p["freq"] > F.lit(hot_token_rows), F.least(F.lit(salts), F.greatest(n, F.lit(2)))) \
-            .otherwise(F.lit(1))
+        return F.ceil(p["freq"] / F.lit(hot_token_rows)).cast("int")
 
     lp = lsets.select("l_name", "tokens", "prefix", F.explode("prefix").alias("p")) \
         .withColumn("salt", F.pmod(F.xxhash64("l_name"), salt_count(F.col("p"))))

@@ -75,91 +75,120 @@ def continuous_columns(df: DataFrame, threshold: int = DEFAULT_DISTINCT_THRESHOL
 
 # ------------------------------------------------------------------ E5 --
 
-# Largest candidate set an exact quantile search hands to the final top-k step.
-EXACT_FINAL_ROWS = 200_000
-# Histogram bins per narrowing pass of the exact quantile search.
-EXACT_BINS = 4096
+# Rows that the last step of an exact quantile search gathers per quantile.
+EXACT_FINAL_ROWS = 10_000
+# Accuracy (1 / rank error) of the sketches that bracket a quantile.
+EXACT_ACCURACY = 10_000
 
 
-def _values(df: DataFrame, c: str) -> DataFrame:
-    """Column ``v`` with the values to rank: null and NaN left out."""
+def _ranked(df: DataFrame, c: str):
+    """The value to rank; null for null and NaN."""
     v = F.col(_q(c))
-    keep = v.isNotNull() & ~F.isnan(v) if _is_fractional(df, c) else v.isNotNull()
-    return df.select(v.alias("v")).where(keep)
+    return F.when(~F.isnan(v), v) if _is_fractional(df, c) else v
+
+
+class _Search:
+    """The open interval (lo, hi) that holds the ``k``-th smallest value, with
+    the number of values below and in it."""
+
+    def __init__(self, column: str, k: int, n: int):
+        self.column, self.k, self.lo, self.hi, self.below, self.inside = column, k, None, None, 0, n
+        self.value, self.found = None, False
+
+    def within(self, v):
+        """Whether a value is in the interval (null for a null value)."""
+        out = v.isNotNull()
+        if self.lo is not None:
+            out = out & (v > F.lit(self.lo))
+        if self.hi is not None:
+            out = out & (v < F.lit(self.hi))
+        return out
+
+    def narrow(self, x, y, lt: int, eq_x: int, mid: int, eq_y: int) -> None:
+        """Given the counts (over the interval) below ``x``, at ``x``, between, and at ``y``."""
+        r = self.k - self.below
+        if r <= lt:
+            self.hi, self.inside = x, lt
+        elif r <= lt + eq_x:
+            self.value, self.found = x, True
+        elif r <= lt + eq_x + mid:
+            self.lo, self.hi, self.below, self.inside = x, y, self.below + lt + eq_x, mid
+        elif r <= lt + eq_x + mid + eq_y:
+            self.value, self.found = y, True
+        else:
+            gone = lt + eq_x + mid + eq_y
+            self.lo, self.below, self.inside = y, self.below + gone, self.inside - gone
 
 
 def exact_quantiles(df: DataFrame, columns, probs, final_rows: int = EXACT_FINAL_ROWS,
-                    bins: int = EXACT_BINS) -> dict:
+                    accuracy: int = EXACT_ACCURACY) -> dict:
     """Exact discrete quantiles (the ``percentile_disc`` value) without ever
-    holding a column's distinct values in one task.
+    holding a column's values in one task.
 
     The value of quantile ``p`` is the ``k = max(1, ceil(p·n))``-th smallest
-    non-null, non-NaN value.  One aggregate gives ``n``, ``min`` and ``max``
-    per column.  A column with at most ``final_rows`` values is answered by
-    one bounded ``percentile_disc`` aggregate.  Otherwise each pass counts a
-    ``bins``-wide equal-width histogram of
-    the current value range (a partial aggregate with at most ``bins`` output
-    rows) and keeps the bin holding rank ``k``.  Bins split values by a
-    monotone formula, so the kept range holds exactly that bin's rows.  Once
-    at most ``final_rows`` rows remain (or one distinct value), a distributed
-    top-k picks the value.  Returns ``{column: [value per p]}``; ``None`` for
-    empty columns.
+    non-null, non-NaN value.  A sketch brackets every rank of every column in
+    one job; the next job counts around all brackets, which either hits the
+    value or leaves an open interval holding a few ten-thousandths of the
+    rows; this repeats until every interval holds at most ``final_rows``
+    values, and one last job picks them.  Each pass excludes the bracket's
+    ends and shrinks by rank, so infinities, wide ranges and heavy ties end
+    as well.  Returns ``{column: [value per p]}``; ``None`` for empty columns.
     """
-    columns = list(columns)
-    exprs = []
-    for i, c in enumerate(columns):
-        v = F.col(_q(c))
-        ok = v.isNotNull() & ~F.isnan(v) if _is_fractional(df, c) else v.isNotNull()
-        exprs += [F.count_if(ok).alias(f"n{i}"), F.min(F.when(ok, v)).alias(f"lo{i}"),
-                  F.max(F.when(ok, v)).alias(f"hi{i}")]
-    row = df.agg(*exprs).first()
-    out = {}
-    # columns with few values: one percentile_disc aggregate for all of them;
-    # its buffer holds at most ``final_rows`` values per column
-    small = [(i, c) for i, c in enumerate(columns) if row[f"n{i}"] and row[f"n{i}"] <= final_rows]
-    if small:
-        sel = []
-        for i, c in small:
-            v = f"CASE WHEN isnan({_q(c)}) THEN NULL ELSE {_q(c)} END" if _is_fractional(df, c) else _q(c)
-            sel += [f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {v}) AS p{i}_{j}" for j, p in enumerate(probs)]
-        prow = df.selectExpr(*sel).first()
-        for i, c in small:
-            out[c] = [prow[f"p{i}_{j}"] for j in range(len(probs))]
+    columns, probs = list(columns), list(probs)
+    if not columns or not probs:
+        return {c: [] for c in columns}
+
+    def sketch(values, shares):
+        return F.percentile_approx(values, shares, accuracy)
+
+    delta = 2.0 / accuracy
+    around = [min(1.0, max(0.0, q)) for p in probs for q in (p - delta, p + delta)]
+    first = df.agg(*[F.count(_ranked(df, c)).alias(f"n{i}") for i, c in enumerate(columns)],
+                   *[sketch(_ranked(df, c), around).alias(f"b{i}") for i, c in enumerate(columns)]).first()
+    searches, brackets = [], {}
     for i, c in enumerate(columns):
-        n, lo0, hi0 = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
-        if c in out:
-            continue
-        if not n:
-            out[c] = [None for _ in probs]
-            continue
-        vals = _values(df, c)
-        res = []
-        for p in probs:
-            k = max(1, math.ceil(p * n))
-            lo, hi, below, count = lo0, hi0, 0, n
-            while lo != hi and count > final_rows:
-                v = F.col("v").cast("double")
-                width = (float(hi) - float(lo)) or 1.0
-                b = F.least(F.floor((v - F.lit(float(lo))) / F.lit(width) * F.lit(bins)),
-                            F.lit(bins - 1)).cast("int")
-                hist = (vals.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-                        .groupBy(b.alias("b"))
-                        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                        .orderBy("b").collect())
-                for h in hist:
-                    if below + h["n"] >= k:
-                        lo, hi, count = h["lo"], h["hi"], h["n"]
-                        break
-                    below += h["n"]
-            if lo == hi:
-                res.append(lo)
-                continue
-            r = k - below
-            top = (vals.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-                   .orderBy("v").limit(r).agg(F.max("v")).first()[0])
-            res.append(top)
-        out[c] = res
-    return out
+        for j, p in enumerate(probs):
+            n = first[f"n{i}"]
+            s = _Search(c, max(1, math.ceil(p * n)), n)
+            s.found = not n
+            searches.append(s)
+            if n:
+                brackets[s] = tuple(first[f"b{i}"][2 * j:2 * j + 2])
+
+    while brackets:
+        active = list(brackets)
+        exprs = []
+        for i, s in enumerate(active):
+            v, (x, y) = _ranked(df, s.column), map(F.lit, brackets[s])
+            here = s.within(v)
+            exprs += [F.count_if(here & (v < x)).alias(f"a{i}"), F.count_if(here & (v == x)).alias(f"b{i}"),
+                      F.count_if(here & (v > x) & (v < y)).alias(f"c{i}"),
+                      F.count_if(here & (v == y) & (y > x)).alias(f"d{i}")]
+        row = df.agg(*exprs).first()
+        for i, s in enumerate(active):
+            s.narrow(*brackets[s], *(row[f"{k}{i}"] for k in "abcd"))
+        wide = [s for s in active if not s.found and s.inside > final_rows]
+        brackets = {}
+        if wide:
+            exprs = []
+            for i, s in enumerate(wide):
+                q, v = (s.k - s.below) / s.inside, _ranked(df, s.column)
+                exprs.append(sketch(F.when(s.within(v), v),
+                                    [max(0.0, q - delta), min(1.0, q + delta)]).alias(f"b{i}"))
+            row = df.agg(*exprs).first()
+            brackets = {s: tuple(row[f"b{i}"]) for i, s in enumerate(wide)}
+
+    last = [s for s in searches if not s.found]
+    if last:
+        exprs = []
+        for i, s in enumerate(last):
+            v = _ranked(df, s.column)
+            # at most ``final_rows`` values each
+            exprs.append(F.get(F.sort_array(F.collect_list(F.when(s.within(v), v))), F.lit(s.k - s.below - 1)).alias(f"v{i}"))
+        row = df.agg(*exprs).first()
+        for i, s in enumerate(last):
+            s.value = row[f"v{i}"]
+    return {c: [s.value for s in searches[i * len(probs):(i + 1) * len(probs)]] for i, c in enumerate(columns)}
 
 
 def iqr_bounds(df: DataFrame, columns, factor: float = DEFAULT_FACTOR,

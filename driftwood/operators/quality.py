@@ -123,15 +123,20 @@ def histogram(df: DataFrame, columns, bins: int = 50) -> DataFrame:
 
     Min and max come from one aggregate (scalars); bins are counted in one
     scan and one partial aggregation for all columns.  The maximum falls in
-    the last bin.
+    the last bin; null, NaN and infinite values are in no bin.
     """
     columns = list(columns)
-    ext = df.agg(*[F.min(F.col(_q(c))).cast("double").alias(f"lo{i}") for i, c in enumerate(columns)],
-                 *[F.max(F.col(_q(c))).cast("double").alias(f"hi{i}") for i, c in enumerate(columns)]).first()
+
+    def finite(c: str):
+        v = F.col(_q(c)).cast("double")
+        return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+
+    ext = df.agg(*[F.min(finite(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+                 *[F.max(finite(c)).alias(f"hi{i}") for i, c in enumerate(columns)]).first()
     entries = []
     for i, c in enumerate(columns):
         lo, hi = ext[f"lo{i}"], ext[f"hi{i}"]
-        v = F.col(_q(c)).cast("double")
+        v = finite(c)
         if lo is None:
             continue
         width = (hi - lo) if hi != lo else 1.0

@@ -83,28 +83,23 @@ def fact_with_fallback(df: DataFrame, on: str, lookups, id_col: str, columns: di
 
 # ------------------------------------------------------------- D8, D9 --
 
-def star_join(fact: DataFrame, dims, materialize_dims: bool = True) -> DataFrame:
+def star_join(fact: DataFrame, dims) -> DataFrame:
     """Inner joins of a fact with dimensions on unique keys.
 
-    ``dims`` is a list of ``(dim_df, fact_key, dim_key)`` or
-    ``(dim_df, fact_key, dim_key, materialize)``; a dimension may join a
-    column brought in by an earlier dimension (day → month → year).
+    ``dims`` is a list of ``(dim_df, fact_key, dim_key)``; a dimension may
+    join a column brought in by an earlier dimension (day → month → year).
     Dimension attributes whose name is already taken get a ``_<dim_key>``
-    suffix.  A derived dimension is computed once (written to the shared
-    checkpoint folder; pass ``materialize=False`` for one that is a plain
-    scan), its size is checked, and a small one is broadcast so the fact is
-    never shuffled for the join.
+    suffix.  Nothing runs while the plan is built: a dimension that is a
+    small scan is broadcast, and of a derived one adaptive execution sees the
+    size once it is computed.
     """
     out = fact
-    for entry in dims:
-        dim, fk, dk = entry[:3]
-        materialize = entry[3] if len(entry) > 3 else materialize_dims
+    for dim, fk, dk in (entry[:3] for entry in dims):
         taken = set(out.columns)
         d = dim.select(F.col(_q(dk)).alias("_dim_key"),
                        *[F.col(_q(c)).alias(f"{c}_{dk}" if c in taken else c)
                          for c in dim.columns if c != dk])
-        d = bounded_broadcast(d, materialize=materialize)
-        out = out.join(d, F.col(_q(fk)) == F.col("_dim_key"), "inner").drop("_dim_key")
+        out = out.join(bounded_broadcast(d), F.col(_q(fk)) == F.col("_dim_key"), "inner").drop("_dim_key")
     return out
 
 

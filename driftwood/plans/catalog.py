@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.functions.keys import composite_key, key_part, period_key
-from driftwood.functions.text import (damage_as_latin1, is_non_numeric, parse_double,
+from driftwood.functions.text import (damage_as_cp1252, damage_as_latin1, is_non_numeric, parse_double,
                                       repair_mojibake)
 from driftwood.operators import dedupe as dd
 from driftwood.operators import frames as fr
@@ -619,10 +619,49 @@ def q_mojibake_clean_unchanged(spark, sf):
     return docs.select("doc_id", repair_mojibake("text").alias("text"))
 
 
+@query("mojibake_cp1252", "SELECT doc_id, text || ' “it’s 5€”' AS text FROM documents")
+def q_mojibake_cp1252(spark, sf):
+    """Clean, Latin-1-damaged and Windows-1252-damaged texts in one column."""
+    docs = T(spark, sf, "documents").select("doc_id", F.concat("text", F.lit(" “it’s 5€”")).alias("text"))
+    damaged = F.when(F.col("doc_id") % 3 == 0, damage_as_cp1252("text")) \
+        .when(F.col("doc_id") % 3 == 1, damage_as_latin1("text")).otherwise(F.col("text"))
+    return docs.select("doc_id", repair_mojibake(damaged).alias("text"))
+
+
 # ------------------------------------------------------------------------
 # A4: keyed upsert
 # ------------------------------------------------------------------------
 
+@query("upsert_partitioned", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE strftime(o_orderdate, '%m') END AS month,
+                  o_totalprice, o_orderstatus FROM orders),
+stored AS (SELECT o_orderkey, month, o_totalprice FROM o),
+batch AS (SELECT o_orderkey, month, -o_totalprice AS o_totalprice, o_orderstatus AS extra FROM o
+          WHERE o_orderkey % 5 = 0 AND (month IS NULL OR month <= '03')
+          UNION ALL SELECT -o_orderkey, month, o_totalprice, 'new' FROM o WHERE o_orderkey % 7 = 0 AND month = '01')
+SELECT coalesce(b.o_orderkey, s.o_orderkey) AS o_orderkey, coalesce(b.month, s.month) AS month,
+       CASE WHEN b.o_orderkey IS NULL THEN s.o_totalprice ELSE b.o_totalprice END AS o_totalprice, b.extra
+FROM stored s FULL JOIN batch b ON s.o_orderkey = b.o_orderkey AND s.month IS NOT DISTINCT FROM b.month""")
+def q_upsert_partitioned(spark, sf):
+    """Orders stored by month (text keys ``01`` … ``12`` and null); a batch that
+    touches three months and the null one, with a new column, applied twice."""
+    from driftwood.sources.sinks import read_stored, upsert_table
+    month = F.when(F.col("o_orderkey") % 11 != 0, F.date_format("o_orderdate", "MM"))
+    o = T(spark, sf, "orders").select("o_orderkey", month.alias("month"), "o_totalprice", "o_orderstatus")
+    changed = o.where((F.col("o_orderkey") % 5 == 0) & (F.col("month").isNull() | (F.col("month") <= "03"))) \
+        .select("o_orderkey", "month", (-F.col("o_totalprice")).alias("o_totalprice"), F.col("o_orderstatus").alias("extra"))
+    new = o.where((F.col("o_orderkey") % 7 == 0) & (F.col("month") == "01")) \
+        .select((-F.col("o_orderkey")).alias("o_orderkey"), "month", "o_totalprice", F.lit("new").alias("extra"))
+    batch = changed.unionByName(new)
+    path = scratch_path(spark, "by-month")
+    keys = ["o_orderkey", "month"]
+    upsert_table(spark, path, o.drop("o_orderstatus"), keys, partition_by="month")
+    for _ in range(2):
+        upsert_table(spark, path, batch, keys, partition_by="month")
+    return read_stored(spark, path, "parquet", "month", batch.schema["month"].dataType) \
+        .select("o_orderkey", "month", "o_totalprice", "extra")
+
+
 @query("upsert", """
 WITH t AS (SELECT *, CASE WHEN c_acctbal > 5000 THEN 'gold' ELSE 'std' END AS c_tier FROM customer),
 b AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal + 100 END AS c_acctbal, c_mktsegment

@@ -46,6 +46,12 @@ TRAIN_EXCLUDED = ["_id", "province", "country", "operation", "haslift", "newdeve
 
 # ------------------------------------------------------------ J1 .. J5 --
 
+def _period(column: str, keys) -> str | None:
+    """Partition the stored table by its period, if that is part of the key:
+    a load then touches the periods of its drops only."""
+    return column if column in keys else None
+
+
 def location_lookup_job(root: str, target: str, keys) -> SourceConfig:
     """Lookup files by prefix, united as they are, one row per key."""
     return SourceConfig(root=root, target=target, keys=list(keys), prefix=LOOKUP_PREFIXES,
@@ -65,7 +71,8 @@ def income_job(root: str, target: str, keys, delete_outliers: bool = False,
     return SourceConfig(root=root, target=target, keys=list(keys), key_len=4, align=False,
                         ranges=INCOME_RANGES, parse_double_cols=[INCOME_INDEX], outliers=True,
                         distinct_threshold=DISTINCT_THRESHOLD, outlier_exclude=INCOME_OUTLIER_EXCLUDE,
-                        factor=OUTLIER_FACTOR, delete_outliers=delete_outliers, report_dir=report_dir)
+                        factor=OUTLIER_FACTOR, delete_outliers=delete_outliers, report_dir=report_dir,
+                        partition_by=_period("any", keys))
 
 
 def listings_job(root: str, target: str, keys, delete_outliers: bool = False,
@@ -74,7 +81,8 @@ def listings_job(root: str, target: str, keys, delete_outliers: bool = False,
     return SourceConfig(root=root, target=target, keys=list(keys), key_len=10, key_col="day",
                         flatten=True, overrides=LISTING_TYPES, outliers=True,
                         distinct_threshold=DISTINCT_THRESHOLD, outlier_exclude=LISTING_OUTLIER_EXCLUDE,
-                        factor=OUTLIER_FACTOR, delete_outliers=delete_outliers, report_dir=report_dir)
+                        factor=OUTLIER_FACTOR, delete_outliers=delete_outliers, report_dir=report_dir,
+                        partition_by=_period("day", keys))
 
 
 def air_quality_job(root: str, target: str, keys, delete_outliers: bool = False,
@@ -84,7 +92,8 @@ def air_quality_job(root: str, target: str, keys, delete_outliers: bool = False,
     return SourceConfig(root=root, target=target, keys=list(keys), key_len=7, key_col="month",
                         min_columns=2, split_bound=AIR_QUALITY_BOUND, cast_all=True, outliers=True,
                         distinct_threshold=DISTINCT_THRESHOLD, outlier_exclude=AIR_QUALITY_OUTLIER_EXCLUDE,
-                        factor=OUTLIER_FACTOR, delete_outliers=delete_outliers, report_dir=report_dir)
+                        factor=OUTLIER_FACTOR, delete_outliers=delete_outliers, report_dir=report_dir,
+                        partition_by=_period("month", keys))
 
 
 # ------------------------------------------------------------------ J6 --
@@ -107,10 +116,12 @@ def reconcile_listings(spark: SparkSession, listings: DataFrame, lookup: DataFra
         "neighborhood", F.col("reconciled_name").alias("neighborhood_n_reconciled"),
         F.col("id").cast("string").alias("neighborhood_id"),
         F.col("similarity").alias("jaccard_similarity"))
-    from driftwood.operators.matching import apply_overrides
+    from driftwood.operators.matching import apply_overrides, unresolved
     resolved = apply_overrides(resolved, "neighborhood", fixes, append=False)
     resolved = apply_overrides(resolved, "neighborhood", added).withColumnsRenamed(
         {"neighborhood": "neighborhood_", "neighborhood_id": "neighborhood_id_"})
+    # what the fixed and added rows resolve is no longer open (D6 after the union)
+    left = unresolved(left, resolved, "neighborhood", "neighborhood_")
     if target:
         from driftwood.sources.sinks import write_table
         write_table(resolved, target)

@@ -56,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if "/" in current else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="driftwood-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

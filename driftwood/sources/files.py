@@ -23,12 +23,14 @@ KEY_DIGITS = 4
 
 def key_from_path(path: Column, key_len: int) -> Column:
     """Period key: the first ``key_len`` characters (``YYYY``, ``YYYY_MM``,
-    ``YYYY_MM_DD``) of the file, or the folder holding it, whose name starts
-    with a four-digit year (A2)."""
-    pattern = r"/(\d{%d})[^/]*(/[^/]+)?$" % KEY_DIGITS
-    raw = F.regexp_extract(path, pattern, 0)
-    name = F.regexp_extract(raw, r"^/([^/]+)", 1)
-    return F.when(raw != "", F.substring(name, 1, key_len))
+    ``YYYY_MM_DD``) of the file if its name starts with a four-digit year,
+    else of the folder that holds it (a drop written as a folder of part
+    files); folders further up never count (A2)."""
+    digits = r"^\d{%d}" % KEY_DIGITS
+    name = F.regexp_extract(path, r"([^/]+)/*$", 1)
+    folder = F.regexp_extract(path, r"([^/]+)/+[^/]+/*$", 1)
+    return F.when(name.rlike(digits), F.substring(name, 1, key_len)) \
+        .when(folder.rlike(digits), F.substring(folder, 1, key_len))
 
 
 def key_of_name(name: str, key_len: int) -> str | None:

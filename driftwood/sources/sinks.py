@@ -12,6 +12,7 @@ from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwood.operators.dedupe import dedupe
 
@@ -62,7 +63,8 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
 
     For a key present in the batch, every batch column takes the batch value
     (null included) and stored columns the batch lacks keep their value; new
-    keys are inserted; stored keys absent from the batch are unchanged.  The
+    keys are inserted; stored keys absent from the batch are unchanged.  A
+    null in a key is a value like any other (it matches a stored null).  The
     batch is first made unique per key (deterministically), so applying the
     same batch twice equals applying it once.  Both sides are shuffled on the
     keys once; the per-key dedupe reuses that partitioning.
@@ -72,7 +74,7 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
     b = batch.select(*[F.col(_q(c)).alias(f"_b_{c}") for c in batch.columns]).withColumn("_in_b", F.lit(True))
     cond = None
     for k in keys:
-        c = F.col(_q(k)) == F.col(f"_b_{k}")
+        c = F.col(_q(k)).eqNullSafe(F.col(_q(f"_b_{k}")))
         cond = c if cond is None else cond & c
     joined = target.join(b, cond, "full")
     in_b = F.coalesce(F.col("_in_b"), F.lit(False))
@@ -80,11 +82,11 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
     exprs = []
     for c in out_cols:
         if c in keys:
-            exprs.append(F.coalesce(F.col(f"_b_{c}"), F.col(_q(c))).alias(c))
+            exprs.append(F.coalesce(F.col(_q(f"_b_{c}")), F.col(_q(c))).alias(c))
         elif c in batch.columns and c in target.columns:
-            exprs.append(F.when(in_b, F.col(f"_b_{c}")).otherwise(F.col(_q(c))).alias(c))
+            exprs.append(F.when(in_b, F.col(_q(f"_b_{c}"))).otherwise(F.col(_q(c))).alias(c))
         elif c in batch.columns:
-            exprs.append(F.col(f"_b_{c}").alias(c))
+            exprs.append(F.col(_q(f"_b_{c}")).alias(c))
         else:
             exprs.append(F.col(_q(c)))
     return joined.select(*exprs)
@@ -114,22 +116,59 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise IOError(f"could not move {source} to {target}")
+
+
+def _aside(spark: SparkSession, path: str):
+    """Move a live folder out of the way; its new place, or ``None`` if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}._old_{uuid.uuid4().hex[:8]}")
+    _move(fs, p, old)
+    return old
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace ``path`` by the fully written ``staged`` folder."""
+    """Replace ``path`` by the fully written ``staged`` folder.
+
+    The live folder is moved aside, the staged one put in its place, and the
+    old one deleted last; when a move fails the old one is put back.
+    """
     fs, p = _fs(spark, path)
     _, s = _fs(spark, staged)
-    old = None
-    if fs.exists(p):
-        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}._old_{uuid.uuid4().hex[:8]}")
-        fs.rename(p, old)
-    if not fs.rename(s, p):
+    old = _aside(spark, path)
+    try:
+        _move(fs, s, p)
+    except Exception:
         if old is not None:
             fs.rename(old, p)
-        raise IOError(f"could not move {staged} to {path}")
+        raise
     if old is not None:
         fs.delete(old, True)
 
 
+def read_stored(spark: SparkSession, path: str, fmt: str = "parquet", partition_by: str | None = None,
+                partition_type=None) -> DataFrame:
+    """A stored table whose partitions may have been written at different times.
+
+    Columns are the union over all files; the partition column has the given
+    type (its values are read from the folder names, so ``01`` stays ``01``
+    for text).
+    """
+    reader = spark.read.format(fmt)
+    if fmt == "parquet":
+        reader = reader.option("mergeSchema", "true")
+    df = reader.load(path)
+    if partition_by and partition_type is not None:
+        schema = T.StructType([T.StructField(f.name, partition_type if f.name == partition_by else f.dataType, True)
+                               for f in df.schema.fields])
+        df = spark.read.format(fmt).schema(schema).load(path)
+    return df
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, fmt: str = "parquet",
                  partition_by: str | None = None) -> str:
     """Upsert a batch into the stored table at ``path`` (A4).
@@ -140,22 +179,34 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, fmt: st
     partitions the batch touches are read (partition pruning), merged and
     replaced; all other partitions are neither read nor rewritten, so the
     cost of a daily batch does not grow with the stored history.
+
+    Null periods have a partition of their own; folders cannot tell empty
+    text from null, so an empty text period is stored as null.  Columns that
+    only the batch has are added to the partitions it touches and read as
+    null elsewhere (:func:`read_stored`).  Partitions are swapped one by one;
+    a run that dies between two of them is completed by running it again.
     """
     staged = f"{path.rstrip('/')}._staged_{uuid.uuid4().hex[:8]}"
     exists = table_exists(spark, path, fmt)
-    if partition_by and exists and partition_by in list(keys):
-        # the touched period values: bounded by the number of partitions
-        touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
-        stored = spark.read.format(fmt).load(path)
-        part_type = stored.schema[partition_by].dataType
-        current = stored.where(F.col(_q(partition_by)).isin(touched))
-        merged = merge_upsert(current, batch.withColumn(partition_by, F.col(_q(partition_by)).cast(part_type)),
-                              keys).select(*stored.columns)
-        write_table(merged, staged, "overwrite", fmt, partition_by)
-        swap_partitions(spark, staged, path)
-        return path
+    if partition_by and partition_by in list(keys):
+        period = F.col(_q(partition_by))
+        if isinstance(batch.schema[partition_by].dataType, T.StringType):
+            batch = batch.withColumn(partition_by, F.nullif(period, F.lit("")))
+        if exists:
+            # the touched period values: bounded by the number of partitions
+            touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+            known = [v for v in touched if v is not None]
+            hit = period.isin(known) if known else F.lit(False)
+            if len(known) < len(touched):
+                hit = hit | period.isNull()
+            stored = read_stored(spark, path, fmt, partition_by, batch.schema[partition_by].dataType)
+            write_table(merge_upsert(stored.where(hit), batch, keys), staged, "overwrite", fmt, partition_by)
+            swap_partitions(spark, staged, path)
+            return path
     if exists:
-        merged = merge_upsert(spark.read.format(fmt).load(path), batch, keys)
+        stored = read_stored(spark, path, fmt, partition_by,
+                             batch.schema[partition_by].dataType if partition_by else None)
+        merged = merge_upsert(stored, batch, keys)
     else:
         merged = dedupe(batch, keys)
     write_table(merged, staged, "overwrite", fmt, partition_by)
@@ -176,28 +227,53 @@ def swap_partitions(spark: SparkSession, staged: str, path: str) -> None:
 
 # ------------------------------------------------------------------ A7 --
 
-def refresh_star(spark: SparkSession, tables: "OrderedDict[str, DataFrame]", base: str,
-                 fmt: str = "parquet") -> dict:
-    """Full refresh of a star schema.
+def refresh_star(spark: SparkSession, tables: "OrderedDict[str, DataFrame]", base: str | None = None,
+                 fmt: str = "parquet", jdbc: dict | None = None) -> dict:
+    """Full refresh of a star schema (A7) in a folder, or over JDBC.
 
     ``tables`` is ordered parents first (dimensions, then facts).  All tables
-    are written to one staged folder first; only when every write succeeded
-    they are swapped in, children removed before parents as in the ordered
-    delete of the reference, parents placed before children.
+    are written to one staged folder first.  Only when every write succeeded
+    each live table is moved aside and its successor put in place; the old
+    tables are deleted after the last one is in place, and put back if any
+    move fails, so a crash never leaves the star without a copy of a table.
+
+    ``jdbc`` (``url``, ``properties``) empties the tables children first and
+    appends parents first instead, from the staged copies if there is a
+    ``base``.
     """
+    if jdbc is not None:
+        for name in reversed(list(tables)):
+            tables[name].limit(0).write.option("truncate", "true") \
+                .jdbc(url=jdbc["url"], table=name, mode="overwrite", properties=jdbc.get("properties", {}))
+        for name, df in tables.items():
+            write_jdbc(df, name, jdbc["url"], jdbc.get("properties", {}))
+        return {name: name for name in tables}
+    root = base.rstrip("/")
     run = uuid.uuid4().hex[:8]
     staged = OrderedDict()
     for name, df in tables.items():
-        staged[name] = write_table(df, f"{base.rstrip('/')}/_staged_{run}/{name}", "overwrite", fmt)
+        staged[name] = write_table(df, f"{root}/_staged_{run}/{name}", "overwrite", fmt)
+    old, placed = {}, []
+    try:
+        for name in tables:
+            old[name] = _aside(spark, f"{root}/{name}")
+            fs, p = _fs(spark, f"{root}/{name}")
+            _move(fs, _fs(spark, staged[name])[1], p)
+            placed.append(name)
+    except Exception:
+        for name in reversed(list(old)):
+            fs, p = _fs(spark, f"{root}/{name}")
+            if name in placed:
+                fs.delete(p, True)
+            if old[name] is not None:
+                fs.rename(old[name], p)
+        raise
     for name in reversed(list(tables)):
-        fs, p = _fs(spark, f"{base.rstrip('/')}/{name}")
-        if fs.exists(p):
-            fs.delete(p, True)
-    for name in tables:
-        swap_in(spark, staged[name], f"{base.rstrip('/')}/{name}")
-    fs, p = _fs(spark, f"{base.rstrip('/')}/_staged_{run}")
+        if old[name] is not None:
+            _fs(spark, f"{root}/{name}")[0].delete(old[name], True)
+    fs, p = _fs(spark, f"{root}/_staged_{run}")
     fs.delete(p, True)
-    return {name: f"{base.rstrip('/')}/{name}" for name in tables}
+    return {name: f"{root}/{name}" for name in tables}
 
 
 # names of the operator inventory

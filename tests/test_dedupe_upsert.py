@@ -1,7 +1,8 @@
+import pytest
 
 from driftwood.operators.dedupe import dedupe, row_counts
 from driftwood.session import scratch_path
-from driftwood.sources.sinks import merge_upsert, upsert_table
+from driftwood.sources.sinks import merge_upsert, read_stored, swap_in, upsert_table
 
 
 def keys_fixture(spark):
@@ -118,3 +119,57 @@ def test_upsert_into_folder_left_by_an_empty_write(spark):
     batch = spark.createDataFrame([(1, "2020_01", 1.0)], "id int, month string, v double")
     upsert_table(spark, path, batch, ["id", "month"], partition_by="month")
     assert [tuple(r) for r in spark.read.parquet(path).select("id", "month", "v").collect()] == [(1, "2020_01", 1.0)]
+
+
+def test_null_keys_match_and_upsert_is_idempotent(spark, tmp_path):
+    stored = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    batch = spark.createDataFrame([(None, "x"), (2, "y")], "k int, v string")
+    once = merge_upsert(stored, batch, ["k"])
+    twice = merge_upsert(once, batch, ["k"])
+    want = [(None, "x"), (1, "b"), (2, "y")]
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(map(tuple, twice.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_partitioned_upsert_keeps_null_periods_new_columns_and_leading_zeros(spark):
+    path, keys = scratch_path(spark, "periods"), ["k", "m"]
+    upsert_table(spark, path, spark.createDataFrame([(1, "01", "a"), (2, None, "b"), (3, None, "c"), (4, "12", "d")],
+                                                    "k int, m string, v string"), keys, partition_by="m")
+    batch = spark.createDataFrame([(1, "01", "A", 7), (2, None, "B", 8), (5, "", "E", 9)], "k int, m string, v string, extra int")
+    for _ in range(2):
+        upsert_table(spark, path, batch, keys, partition_by="m")
+    out = read_stored(spark, path, "parquet", "m", batch.schema["m"].dataType).select("k", "m", "v", "extra")
+    assert sorted(map(tuple, out.collect())) == [(1, "01", "A", 7), (2, None, "B", 8), (3, None, "c", None),
+                                                 (4, "12", "d", None), (5, None, "E", 9)]
+
+
+def test_a_failed_swap_puts_the_old_table_back(spark):
+    path = scratch_path(spark, "swap")
+    upsert_table(spark, path, spark.createDataFrame([(1, "a")], "k int, v string"), ["k"])
+    with pytest.raises(Exception):
+        swap_in(spark, path + "_not_there", path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_star_refresh_replaces_and_restores(spark, monkeypatch):
+    from collections import OrderedDict
+
+    from driftwood.sources import sinks
+    base = scratch_path(spark, "star")
+    frame = lambda n: spark.range(n)
+    sinks.refresh_star(spark, OrderedDict(dim=frame(2), fact=frame(5)), base)
+    sinks.refresh_star(spark, OrderedDict(dim=frame(3), fact=frame(6)), base)
+    sizes = lambda: [spark.read.parquet(f"{base}/{t}").count() for t in ("dim", "fact")]
+    assert sizes() == [3, 6]
+    move, calls = sinks._move, []
+
+    def failing(fs, a, b):
+        calls.append(b)
+        if len(calls) == 4:
+            raise IOError("no")
+        move(fs, a, b)
+
+    monkeypatch.setattr(sinks, "_move", failing)
+    with pytest.raises(IOError):
+        sinks.refresh_star(spark, OrderedDict(dim=frame(4), fact=frame(7)), base)
+    assert sizes() == [3, 6]

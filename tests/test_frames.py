@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from collections import OrderedDict
 
 import pytest
@@ -102,3 +103,26 @@ def test_distinct_values_mixed_types(spark):
     ints = spark.createDataFrame([(2019,), (2020,), (None,)], "y int")
     text = spark.createDataFrame([("2020",), ("2021",)], "y string")
     assert sorted(r.value for r in fr.distinct_values(ints, text).collect()) == ["2019", "2020", "2021"]
+
+
+def test_override_of_an_absent_column_adds_nothing(spark):
+    frames = {"a": spark.createDataFrame([("1",)], "x string"), "b": spark.createDataFrame([(2,)], "x int")}
+    out = fr.align(frames, overrides={"x": "int", "distance": "int"})
+    assert all(df.columns == ["x"] for df in out.values())
+
+
+def test_schema_diff_reports_every_difference(spark):
+    a = T.StructType([T.StructField("x", T.IntegerType(), True, {"u": 1}), T.StructField("y", T.StringType(), True)])
+    b = T.StructType([T.StructField("x", T.LongType(), False), T.StructField("y", T.StringType(), True)])
+    frames = {k: spark.createDataFrame([], s) for k, s in (("a", a), ("b", b), ("c", a))}
+    assert [r[2:4] for r in fr.schema_diff({k: frames[k] for k in "ab"})] == [("x", "type"), ("x", "nullable"), ("x", "metadata")]
+    assert {r[:2] for r in fr.schema_diff(frames, all_pairs=True)} == {("a", "b"), ("b", "c")}
+
+
+def test_period_key_comes_from_the_file_not_from_folders_above(spark):
+    from driftwood.sources.files import key_from_path, key_of_name
+    paths = {"/lake/2024_landing/2019_05_air.parquet": "2019_05", "/lake/2024_landing/2019_05_air.parquet/part-0.parquet": "2019_05",
+             "/lake/2024_landing/air.parquet": "2024_la", "/lake/2024_landing/x/air.parquet": None, "/2019_05/y/z": None}
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert {r.p: r.k for r in df.select("p", key_from_path(F.col("p"), 7).alias("k")).collect()} == paths
+    assert key_of_name("/lake/2024_landing/2019_05_air.parquet", 7) == "2019_05"

@@ -61,8 +61,8 @@ def test_exact_quantiles_match_percentile_disc_with_narrowing(spark):
     vals = [rnd.choice([rnd.gauss(0, 1), rnd.expovariate(0.01), 5.0]) for _ in range(5000)] + [float("nan"), None]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    # tiny final set and few bins force several narrowing passes
-    got = ol.exact_quantiles(df, ["x"], probs, final_rows=7, bins=4)["x"]
+    # a tiny final set and a coarse sketch force several narrowing passes
+    got = ol.exact_quantiles(df, ["x"], probs, final_rows=7, accuracy=20)["x"]
     want = [df.where("NOT isnan(x)").selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)").first()[0]
             for p in probs]
     assert got == want
@@ -117,3 +117,34 @@ def test_approximate_quartiles_within_rank_error(spark):
         at_most = li.where(f"l_extendedprice <= {v!r}").count()
         # the value's rank range must meet the target rank p·n within err·n
         assert below - err * n <= p * n <= at_most + err * n
+
+
+def test_exact_quantiles_end_with_infinities_ties_and_many_columns(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(float(i % 9), 3 if i % 4 else i, None if i % 3 else nan, 1e300 if i == 5 else float(i), -inf if i % 2 else inf, i)
+            for i in range(400)] + [(inf, 3, -inf, nan, None, -7)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double, e double, f long")
+    probs = [0.25, 0.5, 0.75, 1.0]
+    for final_rows in (5, 10_000):
+        got = ol.exact_quantiles(df, df.columns, probs, final_rows=final_rows, accuracy=30)
+        for c, t in df.dtypes:
+            ok = f"NOT isnan({c})" if t == "double" else "true"
+            want = [df.where(ok).selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {c})").first()[0] for p in probs]
+            assert got[c] == want, c
+
+
+def test_exact_quantiles_take_few_jobs(spark):
+    sc, group = spark.sparkContext, "exact-quantile-jobs"
+    df = spark.range(300_000, numPartitions=4).selectExpr(*[f"hash(id, {i}) AS c{i}" for i in range(6)])
+    sc.setJobGroup(group, group)
+    got = ol.exact_quantiles(df, df.columns, [0.25, 0.75])
+    # adaptive execution runs a map and a result job per aggregate
+    assert len(sc.statusTracker().getJobIdsForGroup(group)) <= 2 * 3
+    want = df.selectExpr(*[f"percentile_disc({p}) WITHIN GROUP (ORDER BY {c})" for c in df.columns for p in (0.25, 0.75)]).first()
+    assert [v for c in df.columns for v in got[c]] == list(want)
+
+
+def test_histogram_leaves_out_what_is_not_finite(spark):
+    from driftwood.operators.quality import histogram
+    df = spark.createDataFrame([(float(x),) for x in range(11)] + [(float("nan"),), (float("inf"),), (None,)], "x double")
+    assert sorted((r.bin, r.n) for r in histogram(df, ["x"], 5).collect()) == [(0, 2), (1, 2), (2, 2), (3, 2), (4, 3)]

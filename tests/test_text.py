@@ -91,3 +91,16 @@ def test_mojibake_round_trip_property(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     out = df.select("i", "t", repair_mojibake(damage_as_latin1("t")).alias("r")).collect()
     assert all(r.r == r.t for r in out)
+
+
+def test_cp1252_damage_is_repaired_next_to_clean_text(spark):
+    from driftwood.functions.text import damage_as_cp1252, damage_as_latin1, plain_quotes, repair_mojibake, unix_lines, without_controls
+    clean = ["it\u2019s \u20ac5", "caf\u00e9", "\u201cquoted\u201d", "plain", "\u4e2d\u6587 \u00c1\u00dd", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(clean)], "i int, t string")
+    for damaged in (damage_as_cp1252("t"), damage_as_latin1("t"), df["t"]):
+        got = [r[0] for r in df.orderBy("i").select(repair_mojibake(damaged)).collect()]
+        assert got == clean
+    known = "it\u00e2\u20ac\u2122s"
+    row = spark.createDataFrame([(known, "\u201ca\u2019\r\nb\rc\x07\t")], "a string, b string").select(
+        repair_mojibake("a"), without_controls(unix_lines(plain_quotes("b")))).first()
+    assert tuple(row) == ("it\u2019s", '"a\'\nb\nc\t')
