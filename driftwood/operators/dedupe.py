@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _q(name: str) -> str:
@@ -15,10 +16,9 @@ def dedupe(df: DataFrame, keys=None, order_by=None) -> DataFrame:
 
     The keyed form is deterministic: among rows of a key it keeps the one
     whose ``order_by`` columns (default: all non-key columns in schema order)
-    are smallest, ascending with nulls first.  It is computed as
-    ``min(struct(...))`` per key, which Spark aggregates partially before the
-    shuffle, so a key holding a third of all rows costs one small partial
-    row per task instead of one huge sorted window partition.
+    are smallest, ascending with nulls first.  Spark cuts each key to its
+    first row before the shuffle already (window group limit), so a key
+    holding a third of all rows costs one row per task.
     """
     if not keys:
         return df.dropDuplicates()
@@ -28,11 +28,8 @@ def dedupe(df: DataFrame, keys=None, order_by=None) -> DataFrame:
     payload = order_by + [c for c in rest if c not in order_by]
     if not payload:
         return df.select(*[F.col(_q(k)) for k in keys]).distinct()
-    fields = [F.col(_q(c)).alias(f"f{i}") for i, c in enumerate(payload)]
-    best = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.min(F.struct(*fields)).alias("_best"))
-    return best.select(*[F.col(_q(c)) for c in df.columns if c in keys],
-                       *[F.col(f"_best.f{payload.index(c)}").alias(c) for c in df.columns if c not in keys]) \
-        .select(*[F.col(_q(c)) for c in df.columns])
+    first = Window.partitionBy(*[F.col(_q(k)) for k in keys]).orderBy(*[F.col(_q(c)).asc_nulls_first() for c in payload])
+    return df.withColumn("_dw_rank", F.row_number().over(first)).where("_dw_rank = 1").drop("_dw_rank")
 
 
 def row_counts(stages: dict) -> DataFrame:

@@ -371,8 +371,8 @@ def q_lookup_fallback(spark, sf):
 TOKENS_SQL = "list_distinct(list_filter(regexp_split_to_array(lower({x}), '\\s+'), lambda t: t <> ''))"
 
 FUZZY_SQL = f"""
-WITH l AS (SELECT DISTINCT p_name FROM part WHERE p_type = 'ECONOMY' AND p_name IS NOT NULL),
-r AS (SELECT p_partkey, p_name AS candidate FROM part WHERE p_type = 'SMALL'),
+WITH l AS (SELECT DISTINCT p_name || ' ' || p_type AS p_name FROM part WHERE p_name IS NOT NULL AND p_type IS NOT NULL),
+r AS (SELECT p_partkey, p_brand || ' ' || p_name AS candidate FROM part),
 s AS (SELECT l.p_name, r.p_partkey, r.candidate,
              {TOKENS_SQL.format(x='l.p_name')} AS a, {TOKENS_SQL.format(x='r.candidate')} AS b
       FROM l CROSS JOIN r),
@@ -390,8 +390,9 @@ SELECT p_name, p_partkey, candidate, jaccard_similarity FROM o WHERE rn = 1"""
 
 def part_names(spark, sf):
     part = T(spark, sf, "part")
-    left = part.where(F.col("p_type") == "ECONOMY").select("p_name")
-    right = part.where(F.col("p_type") == "SMALL").select("p_partkey", F.col("p_name").alias("candidate"))
+    # two spellings of every part: the name with its type against the brand with the name
+    left = part.select(F.concat("p_name", F.lit(" "), "p_type").alias("p_name"))
+    right = part.select("p_partkey", F.concat("p_brand", F.lit(" "), "p_name").alias("candidate"))
     return left, right
 
 
@@ -416,10 +417,10 @@ def q_best_match(spark, sf):
 
 # Manual corrections of the reconciliation (one id override of a
 # matched name, one extra name that no rule finds).
-OVERRIDE_ROWS = [("blue bolt", -1, None, None), ("rusty sprocket", -2, "rusty sprocket", 1.0)]
+OVERRIDE_ROWS = [("blue bolt ECONOMY", -1, None, None), ("rusty sprocket", -2, "rusty sprocket", 1.0)]
 
 OVERRIDES_SQL = """
-SELECT * FROM (VALUES ('blue bolt', -1, NULL, NULL), ('rusty sprocket', -2, 'rusty sprocket', 1.0))
+SELECT * FROM (VALUES ('blue bolt ECONOMY', -1, NULL, NULL), ('rusty sprocket', -2, 'rusty sprocket', 1.0))
   v(p_name, p_partkey, candidate, jaccard_similarity)"""
 
 
@@ -438,13 +439,13 @@ def q_apply_overrides(spark, sf):
 
 
 @query("unresolved_names", """
-SELECT DISTINCT p_name FROM part
-WHERE p_type = 'MEDIUM' AND p_name NOT IN (SELECT p_name FROM part WHERE p_type = 'SMALL' AND p_name IS NOT NULL)""")
+SELECT DISTINCT p_name || ' ' || p_brand AS name FROM part WHERE p_name || ' ' || p_brand NOT IN (
+  SELECT p_name || ' ' || p_brand FROM part WHERE p_size > 12 AND p_name IS NOT NULL AND p_brand IS NOT NULL)""")
 def q_unresolved_names(spark, sf):
-    part = T(spark, sf, "part")
-    keys = part.where(F.col("p_type") == "MEDIUM").select("p_name").distinct()
-    resolved = part.where(F.col("p_type") == "SMALL").select("p_name")
-    return mt.unresolved(keys, resolved, "p_name")
+    """Every name with its brand; those are resolved that come in a size above 12."""
+    named = T(spark, sf, "part").select(F.concat("p_name", F.lit(" "), "p_brand").alias("name"), "p_size")
+    return mt.unresolved(named.select("name").where("name is not null").distinct(),
+                         named.where("p_size > 12").select("name"), "name")
 
 
 # ------------------------------------------------------------------------
@@ -833,16 +834,17 @@ def q_kpi_price_size(spark, sf):
 
 @query("kpi_price_income", f"""
 WITH f AS ({FACT_LISTING_SQL}), i AS ({FACT_INCOME_SQL}),
-a AS (SELECT location_id, avg(o_totalprice) AS avg_price FROM f GROUP BY 1),
+a AS (SELECT location_id, avg(o_totalprice) AS avg_price, avg(o_orderkey % 100) AS avg_size FROM f GROUP BY 1),
 b AS (SELECT location_id, avg(balance) AS avg_balance FROM i GROUP BY 1)
 SELECT coalesce(a.location_id, b.location_id) AS location_id, round(a.avg_price, 6) AS avg_price,
-       round(b.avg_balance, 6) AS avg_balance
+       round(a.avg_size, 6) AS avg_size, round(b.avg_balance, 6) AS avg_balance
 FROM a FULL OUTER JOIN b ON a.location_id = b.location_id WHERE a.avg_price IS NOT NULL""")
 def q_kpi_price_income(spark, sf):
     d = st.drill_across(fact_listing_frame(spark, sf), fact_income_frame(spark, sf), "location_id",
-                        [F.avg("o_totalprice").alias("avg_price")], [F.avg("balance").alias("avg_balance")])
+                        [F.avg("o_totalprice").alias("avg_price"), F.avg(F.col("o_orderkey") % 100).alias("avg_size")],
+                        [F.avg("balance").alias("avg_balance")])
     return d.where(F.col("avg_price").isNotNull()).select(
-        "location_id", F.round("avg_price", 6).alias("avg_price"), F.round("avg_balance", 6).alias("avg_balance"))
+        "location_id", *[F.round(c, 6).alias(c) for c in ("avg_price", "avg_size", "avg_balance")])
 
 
 @query("kpi_rows_per_day", f"""
@@ -1015,8 +1017,17 @@ def q_elastic_net_score(spark, sf):
     return score(data, pm, lr).select("l_orderkey", "l_linenumber", "prediction")
 
 
-@query("model_roundtrip")
+def _differences(one: DataFrame, other: DataFrame) -> DataFrame:
+    """``n_rows`` of the first frame and ``n_different``, the rows (with
+    repetitions) that only one of the two holds."""
+    both = one.withColumn("side", F.lit(1)).unionByName(other.withColumn("side", F.lit(-1)))
+    per_row = both.groupBy(*one.columns).agg(F.sum("side").alias("d"), F.count_if(F.col("side") == 1).alias("n"))
+    return per_row.agg(F.sum("n").alias("n_rows"), F.sum(F.abs("d")).alias("n_different"))
+
+
+@query("model_roundtrip", "SELECT count(*) AS n_rows, 0 AS n_different FROM lineitem")
 def q_model_roundtrip(spark, sf):
+    """Predictions of the stored and reloaded model against those of the model in memory."""
     from driftwood.operators.features import (load_pipeline, load_regression, save_model,
                                               score, train)
     data = _lineitem_training(spark, sf)
@@ -1026,18 +1037,31 @@ def q_model_roundtrip(spark, sf):
     base = scratch_path(spark, "models")
     save_model(pm, base, "features", 1)
     save_model(lr, base, "price", 1)
-    return score(data, load_pipeline(base, "features", 1), load_regression(base, "price", 1)) \
-        .select("l_orderkey", "l_linenumber", "prediction")
+    columns = ["l_orderkey", "l_linenumber", "prediction"]
+    return _differences(score(data, pm, lr).select(columns),
+                        score(data, load_pipeline(base, "features", 1), load_regression(base, "price", 1)).select(columns))
 
 
-@query("train_metrics")
+@query("train_metrics", """
+WITH h AS (SELECT md5(CAST(l_orderkey AS VARCHAR) || chr(1) || CAST(l_linenumber AS VARCHAR)) AS h FROM lineitem),
+s AS (SELECT CASE WHEN (instr('0123456789abcdef', substr(h, 1, 1)) - 1) * 16
+                    + (instr('0123456789abcdef', substr(h, 2, 1)) - 1) < 205 THEN 'train' ELSE 'test' END AS split FROM h)
+SELECT split, count(*) AS n, true AS consistent FROM s GROUP BY split""")
 def q_train_metrics(spark, sf):
-    from driftwood.operators.features import train
+    """Rows per split, and whether the reported errors are those of the scored rows."""
+    from driftwood.operators.features import hash_split, regression_metrics, score, train
     data = _lineitem_training(spark, sf)
-    _, _, metrics = train(data, "l_extendedprice", exclude=["l_orderkey", "l_partkey", "l_suppkey"],
-                          split_keys=["l_orderkey", "l_linenumber"],
-                      passthrough=["l_orderkey", "l_linenumber"])
-    return metrics
+    keys = ["l_orderkey", "l_linenumber"]
+    pm, lr, metrics = train(data, "l_extendedprice", exclude=["l_orderkey", "l_partkey", "l_suppkey"],
+                            split_keys=keys, passthrough=keys)
+    scored = hash_split(score(data, pm, lr), keys)
+    again = None
+    for split in ("train", "test"):
+        m = regression_metrics(scored.where(F.col("split") == split), "l_extendedprice") \
+            .select(F.lit(split).alias("split"), F.col("rmse").alias("rmse2"), F.col("r2").alias("r22"))
+        again = m if again is None else again.unionByName(m)
+    same = (F.abs(F.col("rmse") / F.col("rmse2") - 1) < 1e-9) & (F.abs(F.col("r2") - F.col("r22")) < 1e-9)
+    return metrics.join(again, "split").select("split", "n", same.alias("consistent"))
 
 
 # ------------------------------------------------------------------------
@@ -1212,16 +1236,21 @@ def q_job_star(spark, sf):
     return report
 
 
-@query("job_train_predict")
+@query("job_train_predict", "SELECT count(*) AS n_rows, 0 AS n_different FROM lineitem")
 def q_job_train_predict(spark, sf):
-    """J8 then J9: train, store version 1, score the table with the stored version."""
+    """J8 then J9: train, store version 1, score the table with the stored
+    version; against a model trained the same way that was never stored."""
+    from driftwood.operators.features import score, train
     from driftwood.plans.jobs import predict_job, train_job
     data = _lineitem_training(spark, sf)
     model_dir = scratch_path(spark, "registry")
-    train_job(data, "l_extendedprice", model_dir, "price", 1,
-              exclude=["l_orderkey", "l_partkey", "l_suppkey"], split_keys=["l_orderkey", "l_linenumber"],
-              passthrough=["l_orderkey", "l_linenumber"]).collect()
-    return predict_job(data, model_dir, "price", 1).select("l_orderkey", "l_linenumber", "prediction")
+    keys = ["l_orderkey", "l_linenumber"]
+    options = {"exclude": ["l_orderkey", "l_partkey", "l_suppkey"], "split_keys": keys, "passthrough": keys}
+    train_job(data, "l_extendedprice", model_dir, "price", 1, **options).collect()
+    pm, lr, _ = train(data, "l_extendedprice", **options)
+    # two fits may differ in the last bits of a sum
+    columns = [*keys, F.round("prediction", 4).alias("prediction")]
+    return _differences(predict_job(data, model_dir, "price", 1).select(columns), score(data, pm, lr).select(columns))
 
 
 @query("notebook_features", """
