@@ -48,7 +48,7 @@ def main():
             "_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))),
         "dedupe_window_row_number": lambda: hot.withColumn(
             "_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))).where("_rn = 1"),
-        "dedupe_partial_min_struct": lambda: dd.dedupe(hot, keys),
+        "dedupe_here": lambda: dd.dedupe(hot, keys),
         "pk_check_groupby_count": lambda: qa.check_pk(hot, keys),
     }
     # fuzzy join where every name shares one token ("de"): all pairs qualify
@@ -59,7 +59,7 @@ def main():
     lnames = names.select(F.col("n").alias("l_name"))
     rnames = names.select(F.concat(F.col("n"), F.lit("x")).alias("r_name"))
     forms["fuzzy_hot_token_unsalted"] = lambda: mt.fuzzy_name_pairs(lnames, rnames, 0.3, hot_token_rows=10 ** 12)
-    forms["fuzzy_hot_token_salted"] = lambda: mt.fuzzy_name_pairs(lnames, rnames, 0.3, hot_token_rows=100, salts=16)
+    forms["fuzzy_hot_token_salted"] = lambda: mt.fuzzy_name_pairs(lnames, rnames, 0.3, hot_token_rows=100)
     n_hot = hot.where("l_orderkey = 0").count()
     for name, fn in forms.items():
         sc.setJobGroup(name, name)
