@@ -129,10 +129,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         texts = mine.select("item", F.explode(let(words_of(F.col("text")), lambda words: F.array_distinct(
             _windows(words, length)))).alias("window"))
         # documents that share a fingerprint, with the shared ones
-        shared = base.select("id", "md", F.explode(fingerprints(F.col("text"), k, w)).alias("print")) \
-            .join(sized(prints), "print").groupBy("id", "md").agg(F.collect_set("print").alias("prints")) \
-            .select(F.col("id").alias("i"), F.col("md").alias("m"), "prints")
-        found = base.join(shared, F.col("id").eqNullSafe(F.col("i")) & (F.col("md") == F.col("m")))
+        shared = stored(base.select("id", "md", F.explode(fingerprints(F.col("text"), k, w)).alias("print"))
+                        .join(sized(prints), "print").groupBy("id", "md").agg(F.collect_set("print").alias("prints"))
+                        .select(F.col("id").alias("i"), F.col("md").alias("m"), "prints"), "shared-prints")
+        # only their texts are shuffled
+        found = maybe_in(base, F.col("md"), shared, "m").where("_dw_hit") \
+            .join(shared, F.col("id").eqNullSafe(F.col("i")) & (F.col("md") == F.col("m")))
         # windows around every shared fingerprint
 
         def windows(words: Column) -> Column:
@@ -177,7 +179,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
     keyed = docs.withColumn("_dw_row", F.xxhash64(F.col(f"`{text}`")))
     gone = stored(decontaminate(keyed, benchmark, doc_id, text, keep=("_dw_row",), **kw).where("contaminated")
                   .select(F.col(f"`{doc_id}`").alias("_dw_i"), F.col("_dw_row").alias("_dw_r")).distinct(), "contaminated")
-    hit = maybe_in(gone, "_dw_r")(F.col("_dw_row"))
+    keyed = maybe_in(keyed, F.col("_dw_row"), gone, "_dw_r")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    checked = keyed.where(hit).join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left_anti")
-    return keyed.where(~hit).select(*columns).unionByName(checked.select(*columns))
+    checked = keyed.where("_dw_hit").join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left_anti")
+    return keyed.where("not _dw_hit").select(*columns).unionByName(checked.select(*columns))

@@ -100,7 +100,7 @@ def line_components(docs: DataFrame, text: str = "text", percent: int = PERCENT)
 
     def sets_for(cids: DataFrame) -> DataFrame:
         want = stored(cids, "line-wanted")
-        mine = _distinct_lines(docs, text).where(maybe_in(want, "cid")(F.col("cid"))) \
+        mine = maybe_in(_distinct_lines(docs, text), F.col("cid"), want, "cid").where("_dw_hit") \
             .groupBy("cid").agg(F.first("line").alias("line")).join(want, "cid", "left_semi")
         return _sets(mine.select("cid", "line"))
 
@@ -122,12 +122,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     keep = stored(linked.select("cid", "component").join(keeper, "component").select("cid", "keep")
                   .unionByName(first.where("m > 1").join(labels, F.col("cid") == F.col("id"), "left_anti")
                                .select("cid", F.col("first").alias("keep"))), "line-keep")
-    gone = stored(places.where(maybe_in(keep, "cid")(F.col("cid"))).join(keep, "cid")
+    gone = stored(maybe_in(places, F.col("cid"), keep, "cid").where("_dw_hit").join(keep, "cid")
                   .where(~F.struct("id", "no", "row").eqNullSafe(F.col("keep")))
                   .groupBy("id", "row").agg(F.collect_set("no").alias("gone")), "line-gone")
     keyed = docs.withColumn("_dw_row", F.xxhash64(t))
-    hit = maybe_in(gone, "row")(F.col("_dw_row"))
-    changed = keyed.where(hit).join(gone.select(F.col("id").alias("_dw_id"), F.col("row").alias("_dw_r"), F.col("gone").alias("_dw_gone")),
+    keyed = maybe_in(keyed, F.col("_dw_row"), gone, "row")
+    changed = keyed.where("_dw_hit").join(gone.select(F.col("id").alias("_dw_id"), F.col("row").alias("_dw_r"), F.col("gone").alias("_dw_gone")),
                                     F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_id")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
     lines = F.coalesce(F.size(_lines(t)), F.lit(0)).cast("long")
     lines = F.when(t.isNull(), F.lit(0).cast("long")).otherwise(lines)
@@ -138,5 +138,5 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
         return df.select(*[(new_text.alias(c) if c == text else F.col(f"`{c}`")) for c in columns],
                          lines.alias("n_lines"), removed.cast("long").alias("n_removed"))
 
-    return result(keyed.where(~hit), t, F.lit(0)).unionByName(
+    return result(keyed.where("not _dw_hit"), t, F.lit(0)).unionByName(
         result(changed, F.when(F.col("_dw_gone").isNull(), t).otherwise(left), F.coalesce(F.size("_dw_gone"), F.lit(0))))

@@ -141,30 +141,29 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
         partners *= 8
 
 
-# bits of the filter that spares a join the rows that cannot match
-FILTER_BITS = 1 << 23
+# bits of the filter that spares a join the rows that cannot match: 4 MB
+FILTER_BITS = 1 << 25
+_CHUNK = 32768
 
 
-def maybe_in(ids: DataFrame, column: str, bits: int = FILTER_BITS) -> Callable[[Column], Column]:
-    """A test that admits every value of ``ids`` and few others.
+def maybe_in(df: DataFrame, value: Column, ids: DataFrame, column: str, name: str = "_dw_hit",
+             bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` with a boolean ``name``: true for every ``value`` that ``ids``
+    holds, and for few others.
 
-    One bitmap of ``bits`` bits (1 MB, whatever the table's size) reaches the
-    driver and the plan.  It only thins out the large side before a join; a
-    bitmap too full for its table admits more, and loses nothing.
+    The test is a bitmap of ``bits`` bits, a table of at most ``bits`` / 32768
+    rows of 4 kB whatever the size of ``ids``: that bound is why it is
+    broadcast.  It only thins out the large side before a join; a bitmap too
+    full for its table admits more, and loses nothing.
     """
-    def at(value: Column) -> Column:
-        return F.pmod(F.xxhash64(value, F.lit(7)), F.lit(bits))
-
-    chunk = 32768
-    rows = ids.select(at(F.col(column)).alias("p")).groupBy(F.floor(F.col("p") / chunk).alias("c")) \
-        .agg(F.bitmap_construct_agg((F.col("p") % chunk).cast("int")).alias("b")).collect()
-    data = bytearray(bits // 8)
-    for r in rows:
-        data[r["c"] * chunk // 8:(r["c"] + 1) * chunk // 8] = r["b"]
-
-    def test(value: Column) -> Column:
-        place = at(value)
-        byte = F.conv(F.hex(F.substring(F.lit(data), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-        return byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0
-
-    return test
+    def place(x: Column) -> Column:
+        return F.pmod(F.xxhash64(x, F.lit(7)), F.lit(bits))
+
+    bitmap = stored(ids.select(place(F.col(column)).alias("p")).groupBy(F.floor(F.col("p") / _CHUNK).alias("_dw_c"))
+                    .agg(F.bitmap_construct_agg((F.col("p") % _CHUNK).cast("int")).alias("_dw_b")), "filter")
+    at = F.col("_dw_p") % _CHUNK
+    byte = F.conv(F.hex(F.substring(F.col("_dw_b"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
+    return df.withColumn("_dw_p", place(value)) \
+        .join(F.broadcast(bitmap), F.floor(F.col("_dw_p") / _CHUNK) == F.col("_dw_c"), "left") \
+        .withColumn(name, F.coalesce(bit, F.lit(False))).drop("_dw_p", "_dw_c", "_dw_b")

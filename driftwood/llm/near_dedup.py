@@ -96,7 +96,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def sets_for(cids: DataFrame) -> DataFrame:
         want = stored(classes.join(cids, "cid", "left_semi"), "near-wanted")
         mine = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-        mine = mine.where(maybe_in(want, "id")(F.col("id"))).join(want.select("id"), "id", "left_semi")
+        mine = maybe_in(mine, F.col("id"), want, "id").where("_dw_hit").join(want.select("id"), "id", "left_semi") \
+            .select("id", "text")
         return _sets(mine, shingle).withColumn("cid", node).join(want, ["cid", "id"], "left_semi") \
             .dropDuplicates(["cid"]).select("cid", "n", "sketch", "items")
 
@@ -122,8 +123,8 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
                   .agg(F.min("kept").alias("_dw_kept"), F.count(F.lit(1)).alias("m"))
                   .where("not _dw_kept or m > 1").drop("m"), "near-gone")
     keyed = docs.withColumn("_dw_row", F.xxhash64(F.col(f"`{text}`")))
-    hit = maybe_in(gone, "_dw_r")(F.col("_dw_row"))
-    left = keyed.where(hit).join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
+    keyed = maybe_in(keyed, F.col("_dw_row"), gone, "_dw_r")
+    left = keyed.where("_dw_hit").join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
     rest = left.where("_dw_kept is null").select(*[F.col(f"`{c}`") for c in docs.columns])
     once = left.where("_dw_kept").dropDuplicates(["_dw_i", "_dw_r"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return keyed.where(~hit).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(rest).unionByName(once)
+    return keyed.where("not _dw_hit").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(rest).unionByName(once)

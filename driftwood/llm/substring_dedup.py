@@ -293,7 +293,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # blocks: triggers that occur twice, and their distinct surroundings
     twice = stored(found.groupBy("trigger").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("trigger"), "trigger-keys")
-    blocks = stored(found.where(maybe_in(twice, "trigger")(F.col("trigger"))).join(twice, "trigger"), "trigger-blocks")
+    blocks = stored(maybe_in(found, F.col("trigger"), twice, "trigger").where("_dw_hit").drop("_dw_hit")
+                    .join(twice, "trigger"), "trigger-blocks")
     entries = stored(blocks.groupBy("trigger", "around").agg(
         F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "at")).alias("one")), "trigger-entries")
     whole = blocks.join(entries.where("c > 1").select("trigger", "around"), ["trigger", "around"], "left_semi") \
@@ -304,7 +305,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .where("k > 1 and least = 1").select("trigger", (F.col("k") > HOT).alias("hot"))
     wanted = stored(entries.join(mixed, "trigger").groupBy(F.col("one.row").alias("r")).agg(F.collect_list(F.struct(
         "trigger", F.col("one.at").alias("at"), (F.col("c") == 1).alias("alone"), "hot")).alias("entries")), "trigger-wanted")
-    texts = rows.where(maybe_in(wanted, "r")(F.col("row"))).join(wanted, F.col("row") == F.col("r")) \
+    texts = maybe_in(rows, F.col("row"), wanted, "r").where("_dw_hit").join(wanted, F.col("row") == F.col("r")) \
         .select("row", "text", "entries")
     partly = texts.mapInArrow(_blocks(length, gram), "key long, row long, at int, alone boolean, left int, t0 int, "
                                                      "t1 int, string binary") \
@@ -317,9 +318,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField("n_bytes", T.LongType()), T.StructField("spans", SPANS), T.StructField("kept", T.BinaryType())])
     every = docs.select(*[F.col(f"`{c}`") for c in keep], t.alias("_dw_text"), row.alias("_dw_row"))
-    hit = maybe_in(ranges, "_dw_r")(F.col("_dw_row"))
-    same = every.where(~hit).select(*[F.col(f"`{c}`") for c in keep], F.octet_length("_dw_text").cast("long").alias("n_bytes"),
+    every = maybe_in(every, F.col("_dw_row"), ranges, "_dw_r")
+    same = every.where("not _dw_hit").select(*[F.col(f"`{c}`") for c in keep], F.octet_length("_dw_text").cast("long").alias("n_bytes"),
                                     F.array().cast(SPANS).alias("spans"), F.encode("_dw_text", "UTF-8").alias("kept"))
-    cut = every.where(hit).join(ranges, F.col("_dw_row") == F.col("_dw_r"), "left") \
+    cut = every.where("_dw_hit").join(ranges, F.col("_dw_row") == F.col("_dw_r"), "left") \
         .select(*[F.col(f"`{c}`") for c in keep], "_dw_text", "_dw_ranges").mapInArrow(_cut(keep, schema, length), schema)
     return same.unionByName(cut)
