@@ -36,7 +36,7 @@ from driftwood.llm.linking import maybe_in, near_components
 SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 14, 4
-SKETCH_WORDS = 2
+SKETCH_SAMPLES, SKETCH_WORDS = 512, 8
 CHARS_AT_A_TIME = 1_000_000
 
 
@@ -86,7 +86,7 @@ def _sets(lines: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices_by_chars(batch, 1, CHARS_AT_A_TIME):
                 values, counts = mh.distinct_sets(*mh.char_shingles(part.column(1).to_pylist(), SHINGLE))
-                sketch = mh.odd_sketches(mh.signatures(values, counts, BANDS * ROWS), SKETCH_WORDS)
+                sketch = mh.odd_sketches(mh.signatures(values, counts, SKETCH_SAMPLES), SKETCH_WORDS)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts), lists(sketch), ragged(values, counts)],
                     names=["cid", "n", "sketch", "items"])
@@ -104,7 +104,7 @@ def line_components(docs: DataFrame, text: str = "text", percent: int = PERCENT)
             .groupBy("cid").agg(F.first("line").alias("line")).join(want, "cid", "left_semi")
         return _sets(mine.select("cid", "line"))
 
-    return near_components(classes, sets_for, mh.most_odd_bits(BANDS * ROWS, SKETCH_WORDS, percent / 100),
+    return near_components(classes, sets_for, mh.most_odd_bits(SKETCH_SAMPLES, SKETCH_WORDS, percent / 100),
                            SKETCH_WORDS, percent)
 
 

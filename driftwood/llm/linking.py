@@ -109,9 +109,8 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
 
     tested = stored(members.where("first <> cid").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct(), "pairs")
     links = stored(_check(tested, info, items, most_odd, words, percent), "links")
-    partners = FIRST_PARTNERS
+    partners, labels = FIRST_PARTNERS, connected_components(links)
     while True:
-        labels = connected_components(links)
         named = members.select("key", "cid").join(labels, F.col("cid") == F.col("id"), "left") \
             .select("key", "cid", F.coalesce("component", "cid").alias("label"))
         # buckets that are not one component yet, and were not two classes only
@@ -133,12 +132,11 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
         good = stored(_check(fresh, info, items, most_odd, words, percent), "links")
         if not good.isEmpty():
             links = links.unionByName(good)
-            if not more:
-                return connected_components(links)
-        elif not more:
+            labels = connected_components(links)
+        if not more:
             return labels
         tested = tested.unionByName(fresh)
-        partners *= 8
+        partners *= 64
 
 
 # bits of the filter that spares a join the rows that cannot match: 4 MB

@@ -143,7 +143,7 @@ def odd_sketches(signature: np.ndarray, words: int, seed: int = 41) -> np.ndarra
     return np.packbits(flip, axis=1).view(np.uint64).reshape(len(signature), words)
 
 
-def most_odd_bits(samples: int, words: int, similarity: float, sigmas: float = 5.0) -> int:
+def most_odd_bits(samples: int, words: int, similarity: float, sigmas: float = 4.0) -> int:
     """The population count of the XOR of two odd sketches that sets of at
     least ``similarity`` stay below, but for ``sigmas`` deviations both of
     the samples that differ and of the bits they flip."""

@@ -37,7 +37,9 @@ from driftwood.llm.linking import maybe_in, near_components
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 30, 5
-SKETCH_WORDS = 4
+# samples folded into the sketch of a candidate, and its 64-bit words: precise
+# enough to refuse most pairs below 0.74 without their sets
+SKETCH_SAMPLES, SKETCH_WORDS = 2048, 32
 BYTES_AT_A_TIME = 1_500_000
 
 
@@ -73,7 +75,7 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
             for part in slices_by_chars(batch, 1, BYTES_AT_A_TIME):
                 values, counts = _shingle_sets(part.column(1), shingle)
                 h1, h2 = mh.set_digests(values, counts)
-                sketch = mh.odd_sketches(mh.signatures(values, counts, BANDS * ROWS), SKETCH_WORDS)
+                sketch = mh.odd_sketches(mh.signatures(values, counts, SKETCH_SAMPLES), SKETCH_WORDS)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts), longs(h1), longs(h2), lists(sketch), ragged(values, counts)],
                     names=["id", "n", "h1", "h2", "sketch", "items"])
@@ -101,7 +103,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return _sets(mine, shingle).withColumn("cid", node).join(want, ["cid", "id"], "left_semi") \
             .dropDuplicates(["cid"]).select("cid", "n", "sketch", "items")
 
-    labels = near_components(first, sets_for, mh.most_odd_bits(BANDS * ROWS, SKETCH_WORDS, percent / 100),
+    labels = near_components(first, sets_for, mh.most_odd_bits(SKETCH_SAMPLES, SKETCH_WORDS, percent / 100),
                              SKETCH_WORDS, percent)
     linked = classes.join(labels.withColumnRenamed("id", "node"), F.col("cid") == F.col("node"))
     smallest = linked.groupBy("component").agg(F.min("id").alias("component_id"))
