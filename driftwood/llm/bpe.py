@@ -211,7 +211,7 @@ _COARSE = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|
 
 
 class Tokenizer:
-    """Encoding and decoding of whole texts, with a bounded cache.
+    """Encoding and decoding of whole texts, or counting, with a bounded cache.
 
     A text is first cut into stretches without inner white space (with the
     single space before them): no pre-token crosses such a border.  Each
@@ -225,6 +225,7 @@ class Tokenizer:
         self.queue = RankQueueEncoder(self.ranks)
         self.token_bytes = {str(r): b for b, r in self.ranks.items()}
         self.known: dict[str, tuple[str, bytes]] = {}      # stretch → ids, decoded bytes
+        self.counts: dict[str, int] = {}                   # stretch → number of ids
         self.recent: list[str] = []
 
     @staticmethod
@@ -232,32 +233,42 @@ class Tokenizer:
         """Cut a text; the parts joined give the text."""
         return _COARSE.findall(text)
 
-    def _learn(self, stretches: set[str]) -> None:
-        """Split and merge the stretches not known yet, and decode their ids.
+    def _new(self, known: dict, stretches: set[str]) -> list[str]:
+        """The stretches that ``known`` lacks.
 
-        Once ``CACHE_ENTRIES`` are known, what one call adds is kept for that
+        Once it holds ``CACHE_ENTRIES``, what one call adds is kept for that
         call only: the first, mostly frequent stretches stay.
         """
-        known = self.known
         if len(known) > CACHE_ENTRIES:
             for s in self.recent:
                 del known[s]
-        new = self.recent = list(stretches.difference(known))
+        self.recent = list(stretches.difference(known))
+        return self.recent
+
+    def _merged(self, new: list[str]) -> Iterator[tuple[str, list[list[int]]]]:
+        """Each stretch with the ids of its pre-tokens; every distinct pre-token is merged once."""
         split = self.split
         cut = [split(s) for s in new]
         pieces = list({p for got in cut for p in got})
-        merged = {p: " ".join(map(str, ids)) for p, ids in
-                  zip(pieces, self.queue.encode([p.encode("utf-8", "replace") for p in pieces]))}
-        decode = self.decode_joined
+        ids = dict(zip(pieces, self.queue.encode([p.encode("utf-8", "replace") for p in pieces])))
         for s, got in zip(new, cut):
-            joined = " ".join([merged[p] for p in got])
-            known[s] = (joined, decode(joined))
+            yield s, [ids[p] for p in got]
+
+    def count_tokens(self, texts: list[str]) -> list[int]:
+        """Number of ids of each text."""
+        cut = [self.stretches(t) for t in texts]
+        counts = self.counts
+        for s, ids in self._merged(self._new(counts, set().union(*cut))):
+            counts[s] = sum(map(len, ids))
+        return [sum(map(counts.__getitem__, got)) for got in cut]
 
     def encode_groups(self, texts: list[str]) -> list[list[tuple[str, bytes]]]:
         """Per text and stretch: its ids joined by one space, and those ids decoded."""
         cut = [self.stretches(t) for t in texts]
-        self._learn(set().union(*cut))
-        known = self.known
+        known, decode = self.known, self.decode_joined
+        for s, ids in self._merged(self._new(known, set().union(*cut))):
+            joined = " ".join([str(i) for piece in ids for i in piece])
+            known[s] = (joined, decode(joined))
         return [[known[s] for s in got] for got in cut]
 
     def encode(self, text: str) -> list[int]:
@@ -271,8 +282,8 @@ class Tokenizer:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(rank_path: str, pattern: str) -> Tokenizer:
-    """One tokenizer per worker process and rank file."""
+def tokenizer(rank_path: str, pattern: str, use: str = "encode") -> Tokenizer:
+    """One tokenizer per worker process, rank file and use."""
     return Tokenizer(rank_path, pattern)
 
 

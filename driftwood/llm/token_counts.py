@@ -22,20 +22,20 @@ from pyspark.sql.window import Window
 
 from driftwood.llm.arrowtext import slices_by_chars
 from driftwood.llm.bpe import CHARS_AT_A_TIME, tokenizer
+from driftwood.llm.components import stored
 
 # lengths per block of the two-level suffix sum
-BLOCK = 4096
+BLOCK = 256
 
 
 def encoded_lengths(docs: DataFrame, rank_path: str, pattern: str, text: str = "text") -> DataFrame:
     """One row ``n_tokens`` per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(rank_path, pattern)
+        tok = tokenizer(rank_path, pattern, "count")
         for batch in batches:
             for part in slices_by_chars(batch, 0, CHARS_AT_A_TIME):
-                texts = [t or "" for t in part.column(0).to_pylist()]
-                n = [sum([ids.count(" ") + 1 for ids, _ in groups]) for groups in tok.encode_groups(texts)]
+                n = tok.count_tokens([t or "" for t in part.column(0).to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["n_tokens"])
 
     return docs.select(docs[f"`{text}`"].alias("_text")) \
@@ -52,8 +52,9 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     The suffix sums go in two levels: within blocks of ``BLOCK`` lengths,
     and over the block totals.  No task sees the whole histogram.
     """
-    hist = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")) \
-        .withColumn("block", F.floor(F.col("n_tokens") / F.lit(BLOCK)))
+    # written once: both levels read it, and the texts are encoded once only
+    hist = stored(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+                  .withColumn("block", F.floor(F.col("n_tokens") / F.lit(BLOCK))), "length-histogram")
     totals = hist.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     # one row per block of lengths: at most the longest document / BLOCK
     beyond = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
