@@ -10,18 +10,21 @@ consecutive ones.  Equal strings of ``LENGTH`` bytes trigger at the same
 places, so every repeated string holds a trigger, at the same offset in all
 its occurrences, and phrases are shorter than ``LENGTH``.
 
-**Order.**  A position is known by what stands before the trigger that
-follows it (a suffix of its phrase, out of the dictionary) and what stands
-behind that trigger (a suffix of the parse).  Suffixes of the corpus, cut
-after ``LENGTH`` bytes, are therefore ordered trigger by trigger: all
-occurrences of one trigger string form a block, and within the block the
-suffixes that begin ``t`` bytes before the trigger are sorted, for every
-``t``; neighbours that are equal over ``LENGTH`` bytes are repeats.  Equal
-surroundings are one entry of a block, counted beforehand by a partial
-aggregate: in highly repetitive text nearly everything ends there, and only
-surroundings that differ are sorted byte for byte.  A block of more than
-``HOT`` entries is dealt out by the bytes that its strings must share, in
-``PARTS`` ranges of ``t``, so no task needs a whole hot block.
+**Blocks.**  All occurrences of one trigger string form a block.  An entry of
+a block is a distinct surrounding of the trigger, as far as strings that hold
+it can reach, counted by a partial aggregate: in highly repetitive text nearly
+everything ends there.  Surroundings that differ are gathered per block, and
+for every ``t`` the strings that begin ``t`` bytes before the trigger are
+compared by their hashes.
+
+A block of more than ``HOT`` entries is not gathered.  Its offsets are cut in
+up to ``PARTS`` ranges of ``t``; its entries are dealt out by the bytes that
+all strings of a range share, and those that agree on every byte the strings
+of the range cover are one entry again, counted by a partial aggregate.  What
+still has more than ``HOT`` entries is cut further, down to single values of
+``t``, where the shared bytes are the whole string and one entry is left.  So
+a task never gathers more than ``HOT`` entries of a block, however often a
+passage repeats and however its surroundings differ.
 
 Positions are compared by hashes of 64 bits within blocks of equal 64-bit
 trigger hashes.
@@ -35,7 +38,8 @@ pass through unless they are named like an output.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -141,54 +145,62 @@ def _triggers(length: int, gram: int):
     return run
 
 
-def _blocks(length: int, gram: int):
-    """Rows ``row, text, entries`` → the surroundings of each entry, keyed by
-    block (for hot blocks: by block, range of ``t`` and shared bytes)."""
+def _parts(length: int, gram: int):
+    """Rows ``row, text, entries`` → every entry once per part of its range of
+    ``t``: keyed by block, part and shared bytes, ``around`` by what the
+    strings of the part cover."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, text, entries in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode("utf-8", "replace")
-                keys, rows, ats, single, lefts, froms, tos, strings = [], [], [], [], [], [], [], []
-
-                def emit(key, at, alone, lo, hi, left, string):
-                    keys.append(key)
-                    rows.append(row)
-                    ats.append(at)
-                    single.append(alone)
-                    lefts.append(left)
-                    froms.append(lo)
-                    tos.append(hi)
-                    strings.append(string)
+                out = []
+                for e in entries:
+                    at, n = e["at"], e["t1"] - e["t0"] + 1
+                    left, right = min(at, reach), min(len(data) - at, length)
+                    parts = min(PARTS, n)
+                    for i in range(parts):
+                        t0, t1 = e["t0"] + n * i // parts, e["t0"] + n * (i + 1) // parts - 1
+                        if left >= t0 and right >= length - t1:          # else no string of this part fits
+                            far, near = min(t1, left), max(t0, length - right)
+                            key = _digest(e["key"], (t0, t1), data[at - t0:at + length - t1])
+                            around = _digest(key, (near, far), data[at - far:at - near + length])
+                            out.append((key, around, row, at, at - far, at - near, t0, t1, e["alone"]))
+                if out:
+                    columns = zip(*out)
+                    kinds = [pa.int64()] * 3 + [pa.int32()] * 5 + [pa.bool_()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(columns, kinds)],
+                        names=["key", "around", "row", "at", "first", "last", "t0", "t1", "alone"])
 
+    return run
+
+
+def _blocks(length: int, gram: int):
+    """Rows ``row, text, entries`` → the surroundings of each entry, keyed by block."""
+    reach = length - gram
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, entries in zip(*(c.to_pylist() for c in batch.columns)):
+                data = text.encode("utf-8", "replace")
+                out = []
                 for e in entries:
                     at = e["at"]
                     lo = max(0, at - reach)
-                    string = data[lo:at + length]
-                    left = at - lo
-                    if not e["hot"]:
-                        emit(e["trigger"], at, e["alone"], 0, reach, left, string)
-                        continue
-                    right = len(string) - left
-                    for i in range(PARTS):
-                        t0, t1 = reach * i // PARTS + (i > 0), reach * (i + 1) // PARTS
-                        if left >= t0 and right >= length - t1:      # else no string of this range fits
-                            shared = string[left - t0:left + length - t1]
-                            emit(_digest(e["trigger"], i, shared), at, e["alone"], t0, t1, left, string)
-                if keys:
+                    out.append((e["key"], row, at, e["alone"], at - lo, e["t0"], e["t1"], data[lo:at + length]))
+                if out:
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.int64()), pa.array(rows, pa.int64()), pa.array(ats, pa.int32()),
-                         pa.array(single, pa.bool_()), pa.array(lefts, pa.int32()), pa.array(froms, pa.int32()),
-                         pa.array(tos, pa.int32()), pa.array(strings, pa.binary())],
+                        [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                         names=["key", "row", "at", "alone", "left", "t0", "t1", "string"])
 
     return run
 
 
-def _digest(trigger: int, part: int, shared: bytes) -> int:
-    from hashlib import blake2b
-    h = blake2b(shared, digest_size=8, key=b"%d:%d" % (trigger, part))
+def _digest(key: int, part: tuple[int, int], string: bytes) -> int:
+    h = blake2b(string, digest_size=8, key=b"%d:%d:%d" % (key, *part))
     return int.from_bytes(h.digest(), "big", signed=True)
 
 
@@ -295,23 +307,39 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     twice = stored(found.groupBy("trigger").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("trigger"), "trigger-keys")
     blocks = stored(maybe_in(found, F.col("trigger"), twice, "trigger").where("_dw_hit").drop("_dw_hit")
                     .join(twice, "trigger"), "trigger-blocks")
-    entries = stored(blocks.groupBy("trigger", "around").agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "at")).alias("one")), "trigger-entries")
-    whole = blocks.join(entries.where("c > 1").select("trigger", "around"), ["trigger", "around"], "left_semi") \
-        .select("row", "first", "last")
-
-    # blocks whose surroundings differ: sort them byte for byte
-    mixed = entries.groupBy("trigger").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least")) \
-        .where("k > 1 and least = 1").select("trigger", (F.col("k") > HOT).alias("hot"))
-    wanted = stored(entries.join(mixed, "trigger").groupBy(F.col("one.row").alias("r")).agg(F.collect_list(F.struct(
-        "trigger", F.col("one.at").alias("at"), (F.col("c") == 1).alias("alone"), "hot")).alias("entries")), "trigger-wanted")
-    texts = maybe_in(rows, F.col("row"), wanted, "r").where("_dw_hit").join(wanted, F.col("row") == F.col("r")) \
-        .select("row", "text", "entries")
-    partly = texts.mapInArrow(_blocks(length, gram), "key long, row long, at int, alone boolean, left int, t0 int, "
-                                                     "t1 int, string binary") \
+    level = blocks.select(F.col("trigger").alias("key"), "around", "row", "at", "first", "last",
+                          F.lit(0).alias("t0"), F.lit(length - gram).alias("t1"), F.lit(True).alias("alone"))
+
+    def with_texts(entries: DataFrame) -> DataFrame:
+        wanted = stored(entries.groupBy(F.col("row").alias("r"))
+                        .agg(F.collect_list(F.struct("key", "at", "alone", "t0", "t1")).alias("entries")), "trigger-wanted")
+        return maybe_in(rows, F.col("row"), wanted, "r").where("_dw_hit").join(wanted, F.col("row") == F.col("r")) \
+            .select("row", "text", "entries").dropDuplicates(["row"])     # rows that repeat have one entry
+
+    whole, small = [], []
+    while True:
+        entries = stored(level.groupBy("key", "around").agg(
+            F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "at")).alias("one"), F.min("alone").alias("alone"),
+            F.min("t0").alias("t0"), F.min("t1").alias("t1")).withColumn("alone", F.col("alone") & (F.col("c") == 1)),
+            "trigger-entries")
+        whole.append(level.join(entries.where("c > 1").select("key", "around"), ["key", "around"], "left_semi")
+                     .select("row", "first", "last"))
+        # surroundings that differ: gathered while they are few, else cut into ranges
+        mixed = entries.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max("alone").alias("some")) \
+            .where("k > 1 and some").select("key", (F.col("k") > HOT).alias("hot"))
+        rest = stored(entries.join(mixed, "key").select("key", F.col("one.row").alias("row"), F.col("one.at").alias("at"),
+                                                        "alone", "t0", "t1", "hot"), "trigger-mixed")
+        small.append(rest.where("not hot"))
+        hot = rest.where("hot")
+        if hot.isEmpty():
+            break
+        level = stored(with_texts(hot).mapInArrow(_parts(length, gram), "key long, around long, row long, at int, first int, "
+                                                                        "last int, t0 int, t1 int, alone boolean"), "trigger-parts")
+    partly = with_texts(reduce(DataFrame.unionByName, small)).mapInArrow(
+        _blocks(length, gram), "key long, row long, at int, alone boolean, left int, t0 int, t1 int, string binary") \
         .repartition("key").sortWithinPartitions("key") \
         .mapInArrow(_repeats(length, gram), "row long, first int, last int")
-    ranges = stored(whole.unionByName(partly).groupBy(F.col("row").alias("_dw_r"))
+    ranges = stored(reduce(DataFrame.unionByName, whole, partly).groupBy(F.col("row").alias("_dw_r"))
                     .agg(F.collect_set(F.struct("first", "last")).alias("_dw_ranges")), "repeat-ranges")
 
     keep = [c for c in keep if c not in ("n_bytes", "spans", "kept")]
