@@ -1,14 +1,19 @@
-"""Removal of long repeated byte strings by prefix-free parsing.
+"""Removal of long repeated byte strings by fingerprints.
+
+This stands in for prefix-free parsing with suffix arrays: there is no phrase
+dictionary, parse or rank.  Only equality of strings of ``LENGTH`` bytes
+decides what is removed, and grouping by hashes finds that with partial
+aggregates; an order of all suffixes is not needed for it.
 
 A byte is removed when a string of ``LENGTH`` bytes that covers it also
 starts anywhere else in the corpus, the same document included.  Matches
 never cross documents, and strings are judged on the input.
 
-**Parse.**  A rolling hash over ``GRAM`` bytes triggers phrase ends: a
+**Triggers.**  A rolling hash over ``GRAM`` bytes marks fingerprints: a
 position triggers when its hash is the smallest of some ``LENGTH - GRAM + 1``
 consecutive ones.  Equal strings of ``LENGTH`` bytes trigger at the same
 places, so every repeated string holds a trigger, at the same offset in all
-its occurrences, and phrases are shorter than ``LENGTH``.
+its occurrences.
 
 **Blocks.**  All occurrences of one trigger string form a block.  An entry of
 a block is a distinct surrounding of the trigger, as far as strings that hold
