@@ -21,8 +21,8 @@ and content, and no pair of documents is ever formed.
 Null text has no words; such a document, and one with only empty text, has
 no hits.  Null or wordless items have no windows.  Repeated rows (also of
 one id) are judged each by its own text.  Item ids are compared as strings;
-a null item id is ignored.  Empty tables give empty or unhit results.
-Columns other than id and text are not read.
+an item without an id hits like any other, only its id is not in ``items``.
+Empty tables give empty or unhit results.  Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -107,8 +107,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                   gram: int = GRAM, keep=()) -> DataFrame:
     """Per document: id, ``n_words``, ``n_hit``, ``items`` (sorted strings),
     ``n_items``, ``contaminated`` and the further input columns ``keep``."""
-    items = benchmark.where(F.col(f"`{item_id}`").isNotNull()) \
-        .select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text")) \
+    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text")) \
         .withColumn("n", F.size(words_of(F.col("text")))).where("n > 0")
     # one small job over the benchmark: which window lengths occur, and how large it is
     sizes = {r["len"]: r["n"] for r in items.groupBy(F.least("n", F.lit(window)).alias("len"))
@@ -147,7 +146,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
         around = found.select("id", "md", F.explode(let(words_of(F.col("text")), windows)).alias("w")) \
             .select("id", "md", F.col("w.s").alias("s"), F.col("w.window").alias("window"))
-        # a window may be in many items: they are gathered once, not per document
+        # a window may be in many items: they are gathered once, not per document (null ids are left out)
         groups = texts.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
         exact = around.join(sized(groups), "window").select(
             "id", "md", F.struct(F.col("s").cast("long").alias("s"), (F.col("s") + length).cast("long").alias("e")).alias("span"),
