@@ -15,6 +15,8 @@ rejected.  Ties go to the first language in alphabetical order and are
 rejected.  Repeated rows give repeated results; an empty table gives an
 empty result; columns of the input that clash with an output name are
 replaced.  Without any labelled row every text is ``und``.
+More than ``MOST_LANGUAGES`` distinct labels are refused with a
+``ValueError``, and no row comes.
 """
 
 from __future__ import annotations
