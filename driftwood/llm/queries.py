@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import (bpe, decontamination, embedding_dedup, language_id, line_dedup, near_dedup,
+from driftwood.llm import (bpe, collocations, decontamination, embedding_dedup, language_id, line_dedup, near_dedup,
                            secret_ledger, substring_dedup, token_counts, url_cascade)
 from driftwood.session import read_test_table as table
 from driftwood.session import scratch_path
@@ -78,6 +78,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(lengths)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
@@ -89,9 +93,39 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE = {
+    "op13_collocations": """
+WITH d AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT d, lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4])::INT AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+    (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM c, (SELECT unnest([1, 2, 3])::INT AS cut) g, f x, f y
+  WHERE cut < c.k AND x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+    AND y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, a, unnest(list_transform(range(1, k - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM c, (SELECT unnest([2, 3])::INT AS size) WHERE size < k),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN n USING (lang)
+QUALIFY rank <= 2000
+""",
     "op5_url_cascade": """
 WITH p AS (
   SELECT page_id,
