@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import (bpe, collocations, decontamination, embedding_dedup, language_id, line_dedup, near_dedup,
+from driftwood.llm import (bpe, collocations, decontamination, embedding_dedup, hard_negatives, language_id,
+                           license_templates, line_dedup, near_dedup,
                            secret_ledger, substring_dedup, token_counts, url_cascade)
 from driftwood.session import read_test_table as table
 from driftwood.session import scratch_path
@@ -78,6 +79,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(lengths)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op12_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_templates.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"])
+    return out.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+                      F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                      license_templates.labels_of(base).alias("base_labels"),
+                      license_templates.labels_of(F.col("matches")).alias("labels"), "score")
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -93,10 +110,31 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_license_templates": op12_license_templates,
     "op13_collocations": op13_collocations,
 }
 
 ORACLE = {
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+pos AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""",
     "op13_collocations": """
 WITH d AS (
   SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
