@@ -67,6 +67,63 @@ def repair_mojibake(c) -> Column:
     return F.coalesce(_strict_repair(c), _strict_repair(F.translate(c, CP1252_CHARS, CP1252_CONTROLS)), c)
 
 
+# A damaged character is a run of characters that stand for the bytes of one
+# UTF-8 sequence: a first one that says how many follow, and these.
+_FIRST = "\u00C2-\u00F4"
+_NEXT = "\u0080-\u00BF" + CP1252_CHARS
+_UNIT = f"[\u00C2-\u00DF][{_NEXT}]|[\u00E0-\u00EF][{_NEXT}]{{2}}|[\u00F0-\u00F4][{_NEXT}]{{3}}"
+# Characters that may well follow an accented letter in clean text: no-break
+# space, closing quotes, dashes, marks, superscripts, and letters.
+_COMMON = "\u00A0\u00AB\u00BB\u00A9\u00AE\u00B0\u00B7\u00AA\u00BA\u00B2\u00B3\u00B9\u2018\u2019\u201C\u201D\u2026\u2013\u2014\u2122" \
+          "\u2039\u203A\u0160\u0152\u017D\u0161\u0153\u017E\u0178\u0192"
+_RARE = f"[{_NEXT}&&[^{_COMMON}]]"
+# What shows that a stretch is damaged: a sequence that begins as those of
+# western accented letters and signs do, or that holds a rare follower.
+_EVIDENT = f"[\u00C2\u00C3][{_NEXT}]|[\u00C4-\u00DF]{_RARE}" \
+           f"|[\u00E0-\u00EF](?:{_RARE}[{_NEXT}]|[{_NEXT}]{_RARE})" \
+           f"|[\u00F0-\u00F4](?:{_RARE}[{_NEXT}]{{2}}|[{_NEXT}]{_RARE}[{_NEXT}]|[{_NEXT}]{{2}}{_RARE})"
+_STRETCHES = f"(?s)[{_FIRST}{_NEXT}]+|[^{_FIRST}{_NEXT}]+"
+_UNITS = f"(?s){_UNIT}|."
+
+
+def _repair_once(c: Column) -> Column:
+    def unit(u: Column) -> Column:
+        bytes_of = F.translate(u, CP1252_CHARS, CP1252_CONTROLS)
+        return F.when(F.length(u) > 1, F.coalesce(_strict_repair(bytes_of), u)).otherwise(u)
+
+    def stretch(s: Column) -> Column:
+        units = F.regexp_extract_all(s, F.lit(_UNITS), F.lit(0))
+        return F.when(s.rlike(_EVIDENT), F.array_join(F.transform(units, unit), "")).otherwise(s)
+
+    parts = F.regexp_extract_all(c, F.lit(_STRETCHES), F.lit(0))
+    return F.when(c.rlike(_EVIDENT), F.array_join(F.transform(parts, stretch), "")).otherwise(c)
+
+
+def repair_segments(c) -> Column:
+    """Undo wrong decoding inside a text that is damaged only in part.
+
+    Stretches of characters that can stand for bytes are looked at one by
+    one.  In a stretch that shows damage every run that is a valid UTF-8
+    sequence, read as Latin-1 or Windows-1252, becomes its character; all
+    else stays, so clean characters beside a damaged word block nothing.  A
+    stretch of only such sequences as clean text may hold (an accented
+    letter before a no-break space, a closing quote, …) is left alone.
+
+    Text damaged several times is repaired as often: a character that comes
+    out of k repairs was 2**k characters, so log2(length) rounds reach the
+    fixpoint.  Text without evident damage costs one pattern search.
+    """
+    c = _col(c)
+    rounds = F.greatest(F.lit(1), F.ceil(F.log2(F.length(c) + F.lit(1.0)))).cast("int")
+    return F.when(c.rlike(_EVIDENT), F.aggregate(F.sequence(F.lit(1), rounds), c, lambda text, _: _repair_once(text))) \
+        .otherwise(c)
+
+
+def repair_text(c) -> Column:
+    """Encoding repair of a whole text, then of its parts."""
+    return repair_segments(repair_mojibake(c))
+
+
 def damage_as_latin1(c) -> Column:
     """Read the UTF-8 bytes of the text as Latin-1 (the damage X2 repairs)."""
     return F.decode(F.encode(_col(c), "UTF-8"), "ISO-8859-1")

@@ -53,5 +53,11 @@ def observed(df: DataFrame, name: str):
     return df.observe(obs, F.count(F.lit(1)).alias("n_rows")), obs
 
 
+def counted(observation) -> int:
+    """What an :func:`observed` counter has seen, after its action has run.
+    Where nothing was left to run (an empty relation), no row has passed."""
+    return int(observation.get.get("n_rows") or 0)
+
+
 # names of the operator inventory
 audit = row_counts                # E1: row counts of named stages

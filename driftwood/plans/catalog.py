@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from driftwood.functions.keys import composite_key, key_part, period_key
 from driftwood.functions.text import (damage_as_cp1252, damage_as_latin1, is_non_numeric, parse_double,
-                                      repair_mojibake)
+                                      repair_mojibake, repair_segments)
 from driftwood.operators import dedupe as dd
 from driftwood.operators import frames as fr
 from driftwood.operators import matching as mt
@@ -629,6 +629,27 @@ def q_mojibake_cp1252(spark, sf):
     return docs.select("doc_id", repair_mojibake(damaged).alias("text"))
 
 
+# Clean text that a single-byte reading could take for damage.
+CLEAN_MARKS = " « LIBERTÉ\u00a0! », là\u00a0», Á\u2019, 日本語 Ωé"
+
+
+@query("mojibake_segments", f"""
+SELECT doc_id, md5(a || ' – 日本 ' || b || ' | ' || a || ' | ' || c || '{CLEAN_MARKS}') AS repaired,
+       md5(text || '{CLEAN_MARKS}') AS clean
+FROM (SELECT doc_id, text, substr(text, 1, 300) AS a, substr(text, 301, 300) AS b, substr(text, 601) AS c FROM documents)""")
+def q_mojibake_segments(spark, sf):
+    """Texts of a stretch damaged as Latin-1, a clean one, one damaged twice and
+    one damaged as Windows-1252, between clean words outside either code page;
+    and clean texts that look damaged at single places."""
+    docs = T(spark, sf, "documents").select("doc_id", "text", F.substring("text", 1, 300).alias("a"),
+                                            F.substring("text", 301, 300).alias("b"),
+                                            F.expr("substring(text, 601)").alias("c"))
+    mixed = F.concat(damage_as_latin1("a"), F.lit(" – 日本 "), F.col("b"), F.lit(" | "),
+                     damage_as_cp1252(damage_as_cp1252("a")), F.lit(" | "), damage_as_cp1252("c"), F.lit(CLEAN_MARKS))
+    return docs.select("doc_id", F.md5(repair_segments(mixed)).alias("repaired"),
+                       F.md5(repair_segments(F.concat("text", F.lit(CLEAN_MARKS)))).alias("clean"))
+
+
 # ------------------------------------------------------------------------
 # A4: keyed upsert
 # ------------------------------------------------------------------------

@@ -12,6 +12,7 @@ statistics (bounds, continuous-column detection).
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections import OrderedDict
 from dataclasses import dataclass, field
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwood.functions.text import parse_double, repair_mojibake
+from driftwood.functions.text import parse_double, repair_text
 from driftwood.operators import dedupe as dd
 from driftwood.operators import features as ft
 from driftwood.operators import frames as fr
@@ -27,8 +28,8 @@ from driftwood.operators import matching as mt
 from driftwood.operators import outliers as ol
 from driftwood.operators import quality as qa
 from driftwood.sources.files import key_from_path, key_of_name
-from driftwood.session import cut_lineage
-from driftwood.sources.sinks import refresh_star, upsert_table, write_csv, write_table
+from driftwood.sources.sinks import (ROWS_PER_FILE, delete_path, publish_star, refresh_star, upsert_table,
+                                     write_csv, write_table)
 
 
 def _q(name: str) -> str:
@@ -149,12 +150,14 @@ class SourceConfig:
     relative_error: float = 0.01
     report_dir: str | None = None       # A8: CSV of outlier rows
     partition_by: str | None = None     # A5: partition the stored table by its key
-    materialize: bool = True            # checkpoint the merged frame before the audit
+    materialize: bool = True            # write the merged frame once before the audit
+    rows_per_file: int = ROWS_PER_FILE  # A5: a larger period is written by several tasks
 
 
-def repair_strings(df: DataFrame) -> DataFrame:
-    """Encoding repair on every string column (X2), one projection."""
-    return df.select(*[repair_mojibake(_q(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
+def repair_strings(df: DataFrame, repair=repair_text) -> DataFrame:
+    """Encoding repair on every string column (X2), one projection: of whole
+    texts, then of the damaged parts of others."""
+    return df.select(*[repair(_q(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
                        else F.col(_q(f.name)) for f in df.schema.fields])
 
 
@@ -177,29 +180,67 @@ def _prepare(family, cfg: SourceConfig):
     return out
 
 
-def _finish(df: DataFrame, cfg: SourceConfig, target: str) -> dict:
+def _united(family, cfg: SourceConfig):
+    """The frames of a family as one (U1), with counters of the rows read from
+    every schema and of the rows united (E1)."""
+    reads = {}
+    for sid, df in family.items():
+        family[sid], reads[sid] = dd.observed(df, f"read-{sid}-{uuid.uuid4().hex[:8]}")
+    if cfg.align:                                                 # B3..B11
+        family = fr.align(family, overrides=cfg.overrides, cast_all=cfg.cast_all)
+    united, counter = dd.observed(fr.union_frames(family, allow_missing=not cfg.align), f"united-{uuid.uuid4().hex[:8]}")
+    return united, {"read": reads, "united": counter}
+
+
+def _finish(df: DataFrame, cfg: SourceConfig, target: str, counters: dict) -> dict:
+    spark = df.sparkSession
     df = dd.dedupe(df, cfg.keys)                                  # E3
     if cfg.repair_text:                                           # X2
         df = repair_strings(df)
+    df, counters["unique"] = dd.observed(df, f"unique-{uuid.uuid4().hex[:8]}")
     result = {"target": target, "bounds": {}, "report": None}
-    if cfg.outliers and cfg.materialize:
-        # several actions follow (probe, quantiles, report, dump, upsert):
-        # compute the united, de-duplicated frame once, into shared storage
-        df = cut_lineage(df)
+    # when several actions follow (probe, quantiles, report, dump, upsert) the
+    # united, de-duplicated frame is computed once and written beside the
+    # target; each action then reads the columns it needs
+    staged = f"{target.rstrip('/')}._loaded_{uuid.uuid4().hex[:8]}" if cfg.materialize and cfg.outliers else None
+    if staged:
+        schema = df.schema
+        df = spark.read.schema(schema).parquet(write_table(df, staged))
     if cfg.outliers:
         cols = ol.continuous_columns(df, cfg.distinct_threshold, cfg.outlier_exclude)   # E4
         df, bounds, report = ol.treat_outliers(df, cols, cfg.factor, cfg.delete_outliers,
                                                cfg.relative_error)                     # E5-E7
-        result.update(bounds=bounds, report=report)
+        # a row per column, kept as values: the staged rows go in the end
+        result.update(bounds=bounds, report=spark.createDataFrame(report.collect(), report.schema))
         if cfg.report_dir and bounds:                            # A8
             write_csv(ol.outlier_rows(df, bounds), cfg.report_dir, header=True,
                       partition_by="outlier_column")
-    upsert_table(df.sparkSession, target, df, cfg.keys, cfg.fmt, cfg.partition_by)     # A4
+    written = upsert_table(spark, target, df, cfg.keys, cfg.fmt, cfg.partition_by, cfg.rows_per_file,
+                           staged_batch=staged is not None)["written"]                 # A4
+    if staged:
+        delete_path(spark, staged)
+    reads = {sid: dd.counted(o) for sid, o in counters["read"].items()}                 # E1
+    result["counts"] = {"read": sum(reads.values()), "united": dd.counted(counters["united"]),
+                        "unique": dd.counted(counters["unique"]), "written": written}
+    result["read_by_schema"] = reads
     return result
 
 
+def load_counts(spark: SparkSession, results: dict) -> DataFrame:
+    """Row counts of a finished load as rows ``(target, stage, n_rows)``."""
+    rows = [(name, stage, n) for name, r in results.items() if isinstance(r, dict) and "counts" in r
+            for stage, n in r["counts"].items()]
+    return spark.createDataFrame(rows, "target string, stage string, n_rows long")
+
+
 def format_and_load(spark: SparkSession, cfg: SourceConfig) -> dict:
-    """Drops → aligned, united, de-duplicated, repaired, audited → upsert."""
+    """Drops → aligned, united, de-duplicated, repaired, audited → upsert.
+
+    ``main`` (and each separate key) of the result holds ``bounds``,
+    ``report``, and ``counts``: rows read, united, unique and written.  They
+    are gathered by the writes themselves, no job runs for them; a stage that
+    Spark runs again after a lost executor may count its rows again.
+    """
     paths = list_files(spark, cfg.root, cfg.key_len, cfg.prefix)
     schemas = file_schemas(spark, paths, cfg.fmt)
     missing, conflicts = drop_reports(spark, schemas, cfg.key_len, cfg.lowercase, cfg.flatten)
@@ -211,16 +252,13 @@ def format_and_load(spark: SparkSession, cfg: SourceConfig) -> dict:
     key = F.col(cfg.key_col).cast("string") if cfg.key_col else None
     for sep in cfg.separate_keys:                                 # B13: e.g. one year apart
         part = OrderedDict((k, df.where(key == sep)) for k, df in family.items())
-        merged = fr.union_frames(fr.align(part, overrides=cfg.overrides, cast_all=cfg.cast_all)
-                                 if cfg.align else part, allow_missing=not cfg.align)
-        results[sep] = _finish(merged, cfg, f"{cfg.target}_{sep}")
+        united, counters = _united(part, cfg)
+        results[sep] = _finish(united, cfg, f"{cfg.target}_{sep}", counters)
         family = OrderedDict((k, df.where(~(key == sep))) for k, df in family.items())
     if cfg.split_bound is not None:                               # B13: only the new part
         family = OrderedDict((k, df.where(key > cfg.split_bound)) for k, df in family.items())
-    if cfg.align:                                                 # B3..B11
-        family = fr.align(family, overrides=cfg.overrides, cast_all=cfg.cast_all)
-    merged = fr.union_frames(family, allow_missing=not cfg.align)  # U1
-    results["main"] = _finish(merged, cfg, cfg.target)
+    united, counters = _united(family, cfg)
+    results["main"] = _finish(united, cfg, cfg.target, counters)
     results["missing_columns"], results["type_conflicts"] = missing, conflicts
     return results
 
@@ -265,25 +303,45 @@ def reconcile(listings: DataFrame, lookup: DataFrame, cfg: ReconcileConfig):
 # ------------------------------------------------------------------ J7 --
 
 def build_star(spark: SparkSession, dims: "OrderedDict[str, DataFrame]",
-               facts: "OrderedDict[str, DataFrame]", base: str) -> dict:
+               facts: "OrderedDict[str, DataFrame]", base: str, partition_by: dict | None = None) -> dict:
     """Full refresh of dimensions, then facts (A7); returns table paths."""
-    return refresh_star(spark, OrderedDict(list(dims.items()) + list(facts.items())), base)
+    return refresh_star(spark, OrderedDict(list(dims.items()) + list(facts.items())), base, partition_by=partition_by)
+
+
+def build_checked_star(spark: SparkSession, dims: "OrderedDict[str, DataFrame]", facts: "OrderedDict[str, DataFrame]",
+                       base: str, pks: dict, not_null: dict, fks: list, partition_by: dict | None = None):
+    """J7 with the constraints as a gate (C11): tables are staged, checked and
+    only then published.  Returns ``(published, report)``."""
+    return publish_star(spark, OrderedDict(list(dims.items()) + list(facts.items())), base,
+                        lambda tables: star_constraints(tables, pks, not_null, fks), partition_by=partition_by)
 
 
 def star_constraints(tables: dict, pks: dict, not_null: dict, fks: list) -> DataFrame:
-    """C11 over a star: rows ``(check, table_name, n_violations)``.
+    """C11 over a star: rows ``(check_name, table_name, n_violations)``.
 
-    ``fks`` is a list of ``(child, [fk cols], parent, [pk cols])``.
+    ``fks`` is a list of ``(child, [fk cols], parent, [pk cols])``.  The
+    primary key and the required columns of a table are checked by one
+    aggregate over it.
     """
     parts = []
-    for name, keys in pks.items():
-        n = qa.check_pk(tables[name], keys).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(n.select(F.lit("pk").alias("check_name"), F.lit(name).alias("table_name"),
-                              F.col("n").alias("n_violations")))
-    for name, cols in not_null.items():
-        n = qa.check_not_null(tables[name], cols).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(n.select(F.lit("not_null").alias("check_name"), F.lit(name).alias("table_name"),
-                              F.col("n").alias("n_violations")))
+    for name, df in tables.items():
+        keys, required = pks.get(name), not_null.get(name)
+        if not keys and not required:
+            continue
+        missing = F.lit(False)
+        for c in required or []:
+            missing = missing | F.col(_q(c)).isNull()
+        if keys:
+            per = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias("_dw_n"),
+                                                                F.count_if(missing).alias("_dw_missing"))
+            both = per.agg(F.count_if(F.col("_dw_n") > 1).alias("pk"),
+                           F.coalesce(F.sum("_dw_missing"), F.lit(0)).alias("not_null"))
+        else:
+            both = df.agg(F.lit(0).cast("long").alias("pk"), F.count_if(missing).alias("not_null"))
+        checks = [c for c, wanted in (("pk", keys), ("not_null", required)) if wanted]
+        rows = F.array(*[F.struct(F.lit(c).alias("check_name"), F.lit(name).alias("table_name"),
+                                  F.col(c).cast("long").alias("n_violations")) for c in checks])
+        parts.append(both.select(F.inline(rows)))
     for child, fk, parent, pk in fks:
         n = qa.check_fk(tables[child], fk, tables[parent], pk).agg(F.count(F.lit(1)).alias("n"))
         parts.append(n.select(F.lit(f"fk:{parent}").alias("check_name"), F.lit(child).alias("table_name"),
