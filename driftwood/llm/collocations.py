@@ -4,8 +4,8 @@ Per language, the phrases of 2 to ``LONGEST`` words that occur often enough
 are scored by how much of their parts' occurrences they account for.  Their
 counts come from few passes over the texts:
 
-1. a sample of documents *proposes* phrases: those that reach a lowered
-   count there.  The sample decides nothing, it only proposes;
+1. a sample of the pieces of all texts *proposes* phrases: those that reach
+   a lowered count there.  The sample decides nothing, it only proposes;
 2. one pass over all texts counts, exactly, every proposed phrase and the
    *negative border*: phrases that were not proposed though both phrases
    that lack their last or first word were.  Border phrases are taken as
@@ -15,13 +15,17 @@ counts come from few passes over the texts:
    hold it may be frequent, too, and were not counted.  Another pass counts
    what the phrases known to be frequent now allow and no earlier pass has
    counted.  When no frequent phrase lies outside what was proposed, every
-   frequent phrase has been counted.
-
-A phrase cannot be more frequent than a part of it, so at most one pass per
-phrase length follows.  Proposed sets reach the tasks as bitmaps of their
-hashes, at most ``MOST_BITS`` bits whatever the size of the corpus.  A phrase
-that a bitmap admits by accident counts as proposed: more is counted then,
-and nothing is lost.  Counting itself compares words, not hashes.
+   frequent phrase has been counted;
+4. most of the border is rare, so these passes shuffle a hash for a phrase.
+   Phrases of one hash are counted together, which can only add to a count:
+   no frequent phrase is missed.  The pass after counts, by their words, the
+   phrases whose hash was frequent, and these counts are the result.
+
+A phrase cannot be more frequent than a part of it, so at most one expansion
+pass per phrase length is needed, and one more for the words of the last.  Sets of phrases reach the tasks as bitmaps
+of their hashes, at most ``MOST_BITS`` bits whatever the size of the corpus.
+A phrase that a bitmap admits by accident counts as a member: more is counted
+then, and nothing is lost.
 
 Within a task words are numbered, phrases are pairs of numbers, and each
 slice of texts gives one row per distinct phrase; Spark sums them before and
@@ -30,8 +34,7 @@ after the shuffle, so a very frequent phrase is one row per task.
 Null text has no words; a null language counts as ``und``.  Rows are not
 compared with each other: repeated rows count each.  Ties in the result end
 with the phrase itself, so the order is complete.  An empty table gives an
-empty result.  Columns other than text, language and the sample key are not
-read.
+empty result.  Columns other than text and language are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -54,13 +58,13 @@ TOP = 2000
 CLOSED_PERCENT = 80
 NO_LANGUAGE = "und"
 
-# the sample: one document in SAMPLE_ONE_IN; a phrase that occurs LEAST times
-# reaches a count of SAMPLE_LEAST there with a probability of 0.99
+# the sample: one piece in SAMPLE_ONE_IN; a phrase that occurs LEAST times in
+# as many pieces reaches SAMPLE_LEAST there with a probability of 0.99
 SAMPLE_ONE_IN = 4
 SAMPLE_LEAST = 3
 BITS_PER_PHRASE = 16
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27             # 128 kB to 16 MB
-BYTES_AT_A_TIME = 6_000_000
+BYTES_AT_A_TIME = 3_000_000
 
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -108,10 +112,23 @@ def _hashes(words: pa.Array) -> np.ndarray:
 
 
 def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(8 * len(bitmap) - 1)
+    at = (hashes >> np.uint64(3)) & np.uint64(8 * len(bitmap) - 1)
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number per value, and a place and the count of each number."""
+    ids, values = pd.factorize(codes)
+    first = np.empty(len(values), np.int64)
+    first[ids[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    return ids, first, np.bincount(ids, minlength=len(values))
+
+
+def _tagged(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The low bits of a phrase's hash tell its length."""
+    return (hashes & np.uint64(0xFFFFFFFFFFFFFFF8)) | np.uint64(k)
+
+
 class _Level:
     """The distinct phrases of one length in a slice of texts."""
 
@@ -131,8 +148,8 @@ def _levels(words: pa.DictionaryArray, piece: np.ndarray, lang: np.ndarray, lang
     n = len(words)
     number = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     size = len(words.dictionary)
-    _, first, ids, counts = np.unique(lang * size + number, return_index=True, return_inverse=True, return_counts=True)
-    hashes = mh.mix(_hashes(words.dictionary)[number[first]] + lang_hash[lang[first]])
+    ids, first, counts = _distinct(lang * size + number)
+    hashes = _tagged(mh.mix(_hashes(words.dictionary)[number[first]] + lang_hash[lang[first]]), 1)
     earlier = bitmaps[:-1]
     level = _Level(ids, first, counts, hashes, [np.ones(len(first), bool) for _ in earlier], bitmaps)
     word_ids, word_hashes, distinct = ids, hashes, len(first)
@@ -146,13 +163,12 @@ def _levels(words: pa.DictionaryArray, piece: np.ndarray, lang: np.ndarray, lang
             good = level.inside[-1]
             places = places[good[level.ids[places]] & good[level.ids[places + 1]]]
         last = word_ids[places + k - 1]
-        _, first, inverse, counts = np.unique(level.ids[places] * distinct + last, return_index=True,
-                                              return_inverse=True, return_counts=True)
+        inverse, first, counts = _distinct(level.ids[places] * distinct + last)
         ids = np.full(n, -1, np.int64)
         ids[places] = inverse
         first = places[first]
         left, right = level.ids[first], level.ids[first + 1]
-        hashes = mh.mix(level.hashes[left] * mh._PLACE[k] + word_hashes[word_ids[first + k - 1]] + np.uint64(k))
+        hashes = _tagged(mh.mix(level.hashes[left] * mh._PLACE[k] + word_hashes[word_ids[first + k - 1]]), k)
         counted = [level.counted[b][left] & level.counted[b][right] & level.inside[b][left] & level.inside[b][right]
                    for b in range(len(earlier))]
         level = _Level(ids, first, counts, hashes, counted, bitmaps)
@@ -172,43 +188,71 @@ def _slices(batches: Iterator[pa.RecordBatch]):
 
 
 def _proposals(longest: int):
-    """Hashes of all phrases of up to ``longest`` words, with their counts."""
+    """Hashes of all phrases of up to ``longest`` words of the sampled pieces,
+    with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, piece, lang, names in _slices(batches):
+            seed = mh.mix(np.array([len(words)], np.uint64))
+            drawn = mh.mix(piece.astype(np.uint64) + seed) % np.uint64(SAMPLE_ONE_IN) == 0
+            if not drawn.any():
+                continue
+            words, piece, lang = words.filter(pa.array(drawn)), piece[drawn], lang[drawn]
             for level in _levels(words, piece, lang, _hashes(names), [], longest, prune=False):
                 yield pa.RecordBatch.from_arrays([longs(level.hashes), pa.array(level.counts.astype(np.int64))], names=["h", "n"])
 
     return run
 
 
-def _counts(shared: list, longest: int):
-    """Counts of the proposed phrases and their border that no earlier pass
-    has counted; the first pass adds the number of words (``k`` = 0)."""
+def _fresh(level: _Level) -> np.ndarray:
+    """Phrases that no earlier pass has counted."""
+    out = np.ones(len(level.first), bool)
+    for done in level.counted:
+        out &= ~done
+    return out
+
+
+def _first_counts(proposed, longest: int):
+    """Hashes and counts of the proposed phrases and their border."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(proposed.value, np.uint8)
+        for words, piece, lang, names in _slices(batches):
+            for level in _levels(words, piece, lang, _hashes(names), [bitmap], longest, prune=True):
+                yield pa.RecordBatch.from_arrays([longs(level.hashes), pa.array(level.counts.astype(np.int64))], names=["h", "n"])
+
+    return run
+
+
+def _next_counts(shared: list, frequent, longest: int):
+    """Counts of the phrases whose hash is in ``frequent``, by their words
+    (and of all words, ``k`` = 0), and hashes and counts of the phrases that
+    the last of the bitmaps allows and no pass before it has counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps = [np.frombuffer(b.value, np.uint8) for b in shared]
+        bitmaps, wanted = [np.frombuffer(b.value, np.uint8) for b in shared], np.frombuffer(frequent.value, np.uint8)
+        columns = ["lang", "phrase", "k", "h", "n"]
         for words, piece, lang, names in _slices(batches):
             spelled = words.dictionary.cast(pa.binary()).cast(pa.string())
             number = words.indices.to_numpy(zero_copy_only=False)
-            if len(bitmaps) == 1:
-                total = np.bincount(lang, minlength=len(names)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [names.cast(pa.string()), pa.array([""] * len(names)), pa.array(np.zeros(len(names), np.int32)),
-                     pa.array(np.zeros(len(names), np.int64)), pa.array(total)], names=["lang", "phrase", "k", "h", "n"])
+            names_of = names.cast(pa.string())
+            total, none = np.bincount(lang, minlength=len(names)).astype(np.int64), np.zeros(len(names), np.int64)
+            yield pa.RecordBatch.from_arrays([names_of, pa.array([""] * len(names)), pa.array(none.astype(np.int32)),
+                                              pa.array(none), pa.array(total)], names=columns)
             for k, level in enumerate(_levels(words, piece, lang, _hashes(names), bitmaps, longest, prune=True), 1):
-                fresh = np.ones(len(level.first), bool)
-                for done in level.counted:
-                    fresh &= ~done
-                at = level.first[fresh]
-                if not len(at):
-                    continue
-                parts = [spelled.take(pa.array(number[at + j])) for j in range(k)]
-                phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(lang[at])).cast(pa.string()), phrase, pa.array(np.full(len(at), k, np.int32)),
-                     longs(level.hashes[fresh]), pa.array(level.counts[fresh].astype(np.int64))],
-                    names=["lang", "phrase", "k", "h", "n"])
+                known = _has(wanted, level.hashes)
+                at, counts = level.first[known], pa.array(level.counts[known].astype(np.int64))
+                if len(at):
+                    parts = [spelled.take(pa.array(number[at + j])) for j in range(k)]
+                    yield pa.RecordBatch.from_arrays(
+                        [names_of.take(pa.array(lang[at])), parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " "),
+                         pa.array(np.full(len(at), k, np.int32)), pa.array(np.zeros(len(at), np.int64)), counts], names=columns)
+                fresh = _fresh(level)
+                if fresh.any():
+                    m = int(fresh.sum())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(m, pa.string()), pa.nulls(m, pa.string()), pa.array(np.full(m, k, np.int32)),
+                         longs(level.hashes[fresh]), pa.array(level.counts[fresh].astype(np.int64))], names=columns)
 
     return run
 
@@ -218,54 +262,52 @@ def _bitmap(phrases: DataFrame):
     bits = LEAST_BITS
     while bits < min(MOST_BITS, BITS_PER_PHRASE * phrases.count()):
         bits *= 2
-    place = F.col("h").bitwiseAND(F.lit(bits - 1))
+    place = F.shiftrightunsigned("h", 3).bitwiseAND(F.lit(bits - 1))
     rows = phrases.select(place.alias("p")) \
         .groupBy(F.shiftright("p", 15).alias("c")).agg(F.bitmap_construct_agg((F.col("p") % _CHUNK).cast("int")).alias("b")) \
         .collect()                                                # at most MOST_BITS / 32768 rows of 4 kB
     out = np.zeros(bits // 8, np.uint8)
     for r in rows:
         part = np.frombuffer(bytes(r["b"]), np.uint8)
-        out[r["c"] * (_CHUNK // 8):][:len(part)] = part
+        at = out[r["c"] * (_CHUNK // 8):][:len(part)]
+        at[:] = part[:len(at)]
     return phrases.sparkSession.sparkContext.broadcast(out.tobytes())
 
 
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
+def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang",
                   least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``longest`` words with at least ``least``
     occurrences (``lang, phrase, k, n``), and the words per language
     (``lang, n``)."""
-    t = F.col(f"`{text}`")
-    rows = docs.select(t.alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
-                       F.pmod(F.xxhash64(F.col(f"`{doc_id}`").cast("string"), t), F.lit(SAMPLE_ONE_IN)).alias("part"))
-    everything = rows.select("text", "lang")
-    proposed = stored(rows.where("part = 0").select("text", "lang").mapInArrow(_proposals(longest - 1), "h long, n long")
+    if not 2 <= longest <= 7:
+        raise ValueError("phrases have 2 to 7 words at most")
+    rows = docs.select(F.col(f"`{text}`").alias("text"),
+                       F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"))
+    proposed = stored(rows.mapInArrow(_proposals(longest - 1), "h long, n long")
                       .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= SAMPLE_LEAST).select("h"), "proposed")
     bitmaps = [_bitmap(proposed)]
-    found, known = [], None
-    while True:
-        counted = stored(everything.mapInArrow(_counts(list(bitmaps), longest), "lang string, phrase string, k int, h long, n long")
-                         .groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.max("h").alias("h"), F.sum("n").alias("n"))
-                         .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
-        found.append(counted)
-        known = counted if known is None else known.unionByName(counted)
-        # frequent phrases that were not proposed, and may have longer ones
-        last = bitmaps[-1]
-
-        def missed(batches: Iterator[pa.RecordBatch], last=last) -> Iterator[pa.RecordBatch]:
-            bitmap = np.frombuffer(last.value, np.uint8)
-            for batch in batches:
-                out = ~_has(bitmap, batch.column(0).to_numpy().view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array([int(out.sum())], pa.int64())], names=["n"])
-
-        open_ends = counted.where(F.col("k").between(1, longest - 1))
-        failures = open_ends.select("h").mapInArrow(missed, "n long").agg(F.sum("n")).first()[0]
-        if not failures:
-            break
-        bitmaps.append(_bitmap(known.where(F.col("k").between(1, longest - 1)).select("h")))
-    return known.where("k > 0").select("lang", "phrase", "k", "n"), known.where("k = 0").select("lang", "n")
-
-
-def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", least: int = LEAST,
+    # most hashes come once or twice, so they are dealt out without a sum before
+    new = stored(rows.mapInArrow(_first_counts(bitmaps[0], longest), "h long, n long").repartition("h")
+                 .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), "frequent")
+    known, spelled = new, None
+    open_ends = F.col("h").bitwiseAND(F.lit(7)) < longest
+    while spelled is None or not new.isEmpty():
+        # phrases known to be frequent: what they allow is counted beside their words
+        bitmaps.append(_bitmap(known.where(open_ends)))
+        both = stored(rows.mapInArrow(_next_counts(list(bitmaps), _bitmap(new), longest),
+                                      "lang string, phrase string, k int, h long, n long")
+                      .groupBy("lang", "phrase", "h").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
+                      .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+        named = both.where("phrase is not null").select("lang", "phrase", "k", "n")
+        spelled = named if spelled is None else spelled.unionByName(named)
+        new = both.where("phrase is null").select("h")
+        known = known.unionByName(new)
+    # a phrase that two bitmaps admit was counted twice, with the same result
+    counts = spelled.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.max("n").alias("n"))
+    return counts.where("k > 0").select("lang", "phrase", "k", "n"), counts.where("k = 0").select("lang", "n")
+
+
+def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST,
                  longest: int = LONGEST, top: int = TOP, closed_percent: int = CLOSED_PERCENT) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best ``top`` phrases per
     language.
@@ -275,7 +317,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
     language, ``score`` floor(2,000,000 a / (l + r)).  Left out are phrases
     inside a longer one that has at least ``closed_percent`` % of their count.
     """
-    counts, totals = phrase_counts(docs, text, lang, doc_id, least, longest)
+    counts, totals = phrase_counts(docs, text, lang, least, longest)
+    counts = stored(counts, "collocation-counts")
     words = F.split("phrase", " ")
     candidates = counts.where("k >= 2").select("lang", "phrase", "k", F.col("n").alias("a"))
     cuts = candidates.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1))) \
