@@ -7,10 +7,11 @@ similarity of their shingle sets, and distributed union-find makes
 components.  Of each component the first line in the order of document id
 and line number stays; the others are removed from their documents.
 
-A line of fewer than ``SHINGLE`` characters has one shingle, its whole text,
-so it repeats only lines equal to it: its class needs no band keys.  Shorter
-lines of nothing but white space are blank and always kept.  With ``BANDS`` of ``ROWS`` samples a pair at the similarity of 0.8 is
-missed with a probability of 1e-5, one at 0.85 with 9e-8.
+Trimming removes spaces, tabs and carriage returns; a line of nothing else is
+blank and always kept.  A line of fewer than ``SHINGLE`` characters has one
+shingle, its whole text, so it repeats only lines equal to it: its class
+needs no band keys.  With ``BANDS`` of ``ROWS`` samples a pair at the
+similarity of 0.8 is missed with a probability of 1e-5, one at 0.85 with 9e-8.
 
 Line digests have 64 bits, like shingle hashes.  Null text has no lines;
 empty text has one empty line.  Rows that repeat both id and text count as
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwood.llm import minhash as mh
 from driftwood.llm.arrowtext import lists, ragged, slices_by_chars
@@ -37,6 +39,7 @@ from driftwood.llm.linking import maybe_in, near_components
 SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 22, 4
+TRIMMED = " \t\r"
 SKETCH_SAMPLES, SKETCH_WORDS = 512, 8
 CHARS_AT_A_TIME = 1_000_000
 
@@ -45,17 +48,19 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def _plain(line: Column) -> Column:
+    return F.btrim(line, F.lit(TRIMMED))
+
+
 def _digest(line: Column) -> Column:
     """Digest of a trimmed line; null for a blank one."""
-    plain = F.btrim(line)
-    return F.when((F.length(plain) >= SHINGLE) | plain.rlike(r"\S"), F.xxhash64(plain))
+    return F.when(_plain(line) != "", F.xxhash64(_plain(line)))
 
 
 def _distinct_lines(docs: DataFrame, text: str) -> DataFrame:
     """``cid, line`` for every line that can link with another than its equals."""
-    return docs.select(F.explode(_lines(F.col(f"`{text}`"))).alias("line")) \
-        .where(F.length(F.btrim("line")) >= SHINGLE) \
-        .select(_digest(F.col("line")).alias("cid"), F.btrim("line").alias("line"))
+    return docs.select(F.explode(_lines(F.col(f"`{text}`"))).alias("line")).select(_plain(F.col("line")).alias("line")) \
+        .where(F.length("line") >= SHINGLE).select(F.xxhash64("line").alias("cid"), "line")
 
 
 def _banded(lines: DataFrame) -> DataFrame:
@@ -98,7 +103,7 @@ def _sets(lines: DataFrame) -> DataFrame:
 
 def line_components(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``id, component`` over the digests of lines that link with another line."""
-    classes = stored(_banded(_distinct_lines(docs, text)), "line-bands")
+    classes = _banded(_distinct_lines(docs, text))
 
     def sets_for(cids: DataFrame) -> DataFrame:
         want = stored(cids, "line-wanted")
@@ -131,14 +136,30 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     keyed = maybe_in(keyed, F.col("_dw_row"), gone, "row")
     changed = keyed.where("_dw_hit").join(gone.select(F.col("id").alias("_dw_id"), F.col("row").alias("_dw_r"), F.col("gone").alias("_dw_gone")),
                                     F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_id")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
-    lines = F.coalesce(F.size(_lines(t)), F.lit(0)).cast("long")
-    lines = F.when(t.isNull(), F.lit(0).cast("long")).otherwise(lines)
-    left = F.array_join(F.filter(_lines(t), lambda _, i: ~F.array_contains(F.col("_dw_gone"), i)), "\n")
+    lines = F.when(t.isNull(), F.lit(0)).otherwise(F.size(_lines(t))).cast("long")
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    kept = keyed.where("not _dw_hit").select(*[F.col(f"`{c}`") for c in columns], lines.alias("n_lines"),
+                                             F.lit(0).cast("long").alias("n_removed"))
+    cut = changed.select(*[F.col(f"`{c}`") for c in columns], lines.alias("n_lines"), "_dw_gone")
+    schema = T.StructType([*cut.schema.fields[:-1], T.StructField("n_removed", T.LongType())])
+    return kept.unionByName(cut.mapInArrow(_without(columns.index(text)), schema))
+
 
-    def result(df: DataFrame, new_text: Column, removed: Column) -> DataFrame:
-        return df.select(*[(new_text.alias(c) if c == text else F.col(f"`{c}`")) for c in columns],
-                         lines.alias("n_lines"), removed.cast("long").alias("n_removed"))
+def _without(at: int):
+    """Rows whose last column lists the numbers of the lines to remove from
+    the text in column ``at`` → the rows, with the number removed."""
 
-    return result(keyed.where("not _dw_hit"), t, F.lit(0)).unionByName(
-        result(changed, F.when(F.col("_dw_gone").isNull(), t).otherwise(left), F.coalesce(F.size("_dw_gone"), F.lit(0))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices_by_chars(batch, at, CHARS_AT_A_TIME):
+                texts, removed = part.column(at).to_pylist(), []
+                for i, numbers in enumerate(part.column(part.num_columns - 1).to_pylist()):
+                    gone = set(numbers or ())
+                    if gone:
+                        texts[i] = "\n".join([x for no, x in enumerate(texts[i].split("\n")) if no not in gone])
+                    removed.append(len(gone))
+                columns = list(part.columns)
+                columns[at], columns[-1] = pa.array(texts, pa.string()), pa.array(removed, pa.int64())
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "n_removed"])
+
+    return run

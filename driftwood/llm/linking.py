@@ -6,14 +6,16 @@ are not paired off within a bucket:
 
 1. every class is checked against the first class of each of its buckets;
    most groups become one component this way;
-2. only pairs across components are left to look at, and only where the odd
-   sketches of both allow the similarity.  The best few partners of each
-   class come first, more in each further round, until no allowed pair
-   across components is unchecked.  Nothing is capped for good.
+2. buckets that still hold several components go, with the full sets of their
+   classes, to tasks that look across components only: where the odd sketches
+   allow the similarity, the sets are intersected at once, and what links is
+   one component from there on.  A task returns at most one link fewer than
+   it has components, never the pairs it looked at.
 
 So a bucket of m classes costs about m checks unless its classes really are
-dissimilar.  Buckets larger than ``TILE`` are split into tiles that go to
-different tasks.
+dissimilar, and its links are fewer than its classes.  A bucket of more than
+``TILE`` classes or ``TILE_ITEMS`` items is dealt out into parts, and every
+two parts meet in a task of their own.  Nothing is capped.
 """
 
 from __future__ import annotations
@@ -22,14 +24,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.llm.arrowtext import group_bounds, whole_groups
 from driftwood.llm.components import connected_components, stored
 
 TILE = 2048
-FIRST_PARTNERS = 8
+TILE_ITEMS = 2_000_000
 
 
 def _differing(x: Column, y: Column, words: int) -> Column:
@@ -39,7 +41,7 @@ def _differing(x: Column, y: Column, words: int) -> Column:
 
 def _check(pairs: DataFrame, info: DataFrame, items: DataFrame, most_odd: int, words: int,
            percent: int) -> DataFrame:
-    """``a, b, linked`` for the pairs: sketches first, then the full sets."""
+    """The pairs ``a, b`` that link: sketches first, then the full sets."""
     def side(df, name, **cols):
         return df.select(F.col("cid").alias(name), *[F.col(c).alias(n) for n, c in cols.items()])
 
@@ -49,44 +51,79 @@ def _check(pairs: DataFrame, info: DataFrame, items: DataFrame, most_odd: int, w
     full = sized.where(near).select("a", "b", "na", "nb") \
         .join(side(items, "a", xa="items"), "a").join(side(items, "b", xb="items"), "b")
     both = F.size(F.array_intersect("xa", "xb"))
-    good = full.withColumn("i", both).where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))) \
-        .select("a", "b", F.lit(True).alias("linked"))
-    return good
-
-
-def _cross_pairs(most_odd: int, words: int, percent: int, partners: int):
-    """For rows ``key, cid, label, n, s0…`` sorted by key: pairs of one key
-    with different labels, the ``partners`` nearest per row; ``more`` tells
-    that a row had others."""
+    return full.withColumn("i", both).where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))) \
+        .select("a", "b")
+
+
+def _root(root: list[int], x: int) -> int:
+    while root[x] != x:
+        root[x] = x = root[root[x]]
+    return x
+
+
+def _spanning(cid: np.ndarray, half: np.ndarray, label: np.ndarray, n: np.ndarray, sketch: np.ndarray,
+              items: pa.ListArray, most_odd: int, percent: int) -> list[tuple[int, int]]:
+    """Links across labels (as row numbers) that join what the similarity
+    joins; rows of different halves are compared, or all if there is one."""
+    _, ids = np.unique(label, return_inverse=True)
+    root = list(range(int(ids.max()) + 1))
+    # every item as a small number, so that a row is marked and all others are counted against it
+    _, item = np.unique(items.flatten().to_numpy(), return_inverse=True)
+    ends = np.cumsum(n)
+    begins = ends - n
+    mark = np.zeros(int(item.max(initial=-1)) + 1, bool)
+    links, across = [], bool((half != half[0]).any())
+    seekers = np.flatnonzero(half == half.min()) if across else np.arange(len(cid))
+    if not across:                                # rows of the largest component are found by the others
+        seekers = np.flatnonzero(ids != np.argmax(np.bincount(ids)))
+    now = ids.copy()
+    for i in seekers:
+        small, large = np.minimum(n, n[i]), np.maximum(n, n[i])
+        near = (now != now[i]) & (100 * small >= percent * large)
+        if across:
+            near &= half != half[i]
+        near = np.flatnonzero(near)
+        if not len(near):
+            continue
+        near = near[np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1, dtype=np.int64) <= most_odd]
+        if not len(near):
+            continue
+        mark[item[begins[i]:ends[i]]] = True
+        sizes = n[near]
+        at = np.repeat(begins[near] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        both = np.add.reduceat(mark[item[at]].astype(np.int64), np.cumsum(sizes) - sizes)
+        mark[item[begins[i]:ends[i]]] = False
+        linked = False
+        for j in near[100 * both >= percent * (n[near] + n[i] - both)]:
+            a, b = _root(root, int(ids[i])), _root(root, int(ids[j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                links.append((int(i), int(j)))
+                linked = True
+        if linked:
+            now = np.array([_root(root, x) for x in range(len(root))])[ids]
+    return links
+
+
+def _cross_links(most_odd: int, words: int, percent: int):
+    """For rows ``tile, cid, half, label, n, items, s0…`` sorted by tile: the
+    spanning links ``a, b`` across labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
-            key, cid, label, n = (table.column(i).to_numpy() for i in range(4))
-            sketch = np.stack([table.column(4 + w).to_numpy() for w in range(words)], axis=1).astype(np.uint64)
-            bounds = group_bounds(key)
-            out_a, out_b, out_more = [], [], []
+            tile = table.column(0).to_numpy()
+            bounds = group_bounds(tile)
             for s, e in zip(bounds[:-1], bounds[1:]):
-                labels = label[s:e]
-                names, count = np.unique(labels, return_counts=True)
-                if len(names) < 2:
+                part = table.slice(s, e - s)
+                cid, half, label, n = (part.column(i).to_numpy() for i in range(1, 5))
+                if (label == label[0]).all():
                     continue
-                # rows of the largest component need no search of their own: the others find them
-                rows = np.flatnonzero(labels != names[np.argmax(count)])
-                for i in rows:
-                    odd = np.bitwise_count(sketch[s:e] ^ sketch[s + i]).sum(axis=1, dtype=np.int64)
-                    small, large = np.minimum(n[s:e], n[s + i]), np.maximum(n[s:e], n[s + i])
-                    near = np.flatnonzero((labels != labels[i]) & (odd <= most_odd) & (100 * small >= percent * large))
-                    more = len(near) > partners
-                    if more:
-                        near = near[np.argsort(odd[near], kind="stable")[:partners]]
-                    me, other = cid[s + i], cid[s:e][near]
-                    out_a.append(np.minimum(me, other))
-                    out_b.append(np.maximum(me, other))
-                    out_more.append(np.full(len(near), more))
-            if out_a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b)),
-                     pa.array(np.concatenate(out_more))], names=["a", "b", "more"])
+                sketch = np.stack([part.column(6 + w).to_numpy() for w in range(words)], axis=1).astype(np.uint64)
+                links = _spanning(cid, half, label, n, sketch, part.column(5).combine_chunks(), most_odd, percent)
+                if links:
+                    a, b = np.array(links).T
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[a], cid[b])), pa.array(np.maximum(cid[a], cid[b]))],
+                                                     names=["a", "b"])
 
     return run
 
@@ -96,47 +133,42 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
     """``id, component`` for all classes that link with another one.
 
     ``classes``: ``cid`` (long; repeated rows do no harm) and ``bands`` (array
-    of long).  ``sets_for`` gives ``cid``, ``n``, ``sketch`` and ``items``
-    (the distinct set as array of long) once for each cid of a table; only
-    classes that share a band key are asked for.
+    of long); it is read once.  ``sets_for`` gives ``cid``, ``n``, ``sketch``
+    and ``items`` (the distinct set as array of long) once for each cid of a
+    table; only classes that share a band key are asked for.
     """
+    # one exchange: the rows of a key meet, and keys of one class end there
     keyed = classes.select(F.explode("bands").alias("key"), "cid")
-    shared = keyed.groupBy("key").agg(F.min("cid").alias("first"), F.max("cid").alias("last")) \
-        .where("first < last").drop("last")
-    members = stored(keyed.join(shared, "key").distinct(), "members")
+    bucket = Window.partitionBy("key")
+    shared = keyed.withColumn("first", F.min("cid").over(bucket)).withColumn("last", F.max("cid").over(bucket)) \
+        .where("first < last").select("key", "cid", "first")
+    members = stored(shared.distinct(), "members")
     items = stored(sets_for(members.select("cid").distinct()), "items")
     info = items.select("cid", "n", "sketch")
 
-    tested = stored(members.where("first <> cid").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct(), "pairs")
+    tested = members.where("first <> cid").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct()
     links = stored(_check(tested, info, items, most_odd, words, percent), "links")
-    partners, labels = FIRST_PARTNERS, connected_components(links)
-    while True:
-        named = members.select("key", "cid").join(labels, F.col("cid") == F.col("id"), "left") \
-            .select("key", "cid", F.coalesce("component", "cid").alias("label"))
-        # buckets that are not one component yet, and were not two classes only
-        open_keys = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                             F.count(F.lit(1)).alias("m")) \
-            .where("lo < hi and m > 2").select(F.col("key").alias("k"), "m")
-        tiles = F.ceil(F.col("m") / F.lit(TILE)).cast("int")
-        mine = F.pmod(F.xxhash64("cid"), tiles).cast("int")
-        rows = named.join(open_keys, F.col("key") == F.col("k")).join(info, "cid") \
-            .withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))) \
-            .select(F.when(F.col("m") <= TILE, F.col("key")).otherwise(
-                        F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))).alias("key"),
-                    "cid", "label", "n", *[F.get("sketch", F.lit(w)).alias(f"s{w}") for w in range(words)])
-        found = stored(rows.repartition("key").sortWithinPartitions("key")
-                       .mapInArrow(_cross_pairs(most_odd, words, percent, partners), "a long, b long, more boolean"),
-                       "cross")
-        more = not found.where("more").isEmpty()
-        fresh = stored(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        good = stored(_check(fresh, info, items, most_odd, words, percent), "links")
-        if not good.isEmpty():
-            links = links.unionByName(good)
-            labels = connected_components(links)
-        if not more:
-            return labels
-        tested = tested.unionByName(fresh)
-        partners *= 64
+    labels = connected_components(links)
+    named = members.select("key", "cid").join(labels, F.col("cid") == F.col("id"), "left") \
+        .select("key", "cid", F.coalesce("component", "cid").alias("label"))
+    # buckets that are not one component yet, and were not two classes only
+    open_keys = named.join(items.select("cid", "n"), "cid").groupBy("key") \
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")) \
+        .where("lo < hi and m > 2").select(F.col("key").alias("k"), "m", "total")
+    tiles = F.greatest(F.ceil(F.col("m") / F.lit(TILE)), F.ceil(F.col("total") / F.lit(TILE_ITEMS))).cast("int")
+    mine, other = F.pmod(F.xxhash64("cid"), tiles).cast("int"), F.explode(F.sequence(F.lit(0), tiles - 1))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    dealt = stored(named.join(open_keys, F.col("key") == F.col("k"))
+                   .withColumn("mine", mine).withColumn("other", other)
+                   .select(F.xxhash64("key", low, high).alias("tile"), "cid", "label",
+                           F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("half")), "open")
+    rows = dealt.join(items, "cid") \
+        .select("tile", "cid", "half", "label", "n", "items", *[F.get("sketch", F.lit(w)).alias(f"s{w}") for w in range(words)])
+    found = stored(rows.repartition("tile").sortWithinPartitions("tile")
+                   .mapInArrow(_cross_links(most_odd, words, percent), "a long, b long"), "cross")
+    if found.isEmpty():
+        return labels
+    return connected_components(links.unionByName(found))
 
 
 # bits of the filter that spares a join the rows that cannot match: 4 MB

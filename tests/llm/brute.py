@@ -17,11 +17,11 @@ def decontamination(docs, items):
     windows = defaultdict(set)
     for item, text in items:
         words = ITEM_WORD.findall((text or "").translate(LOWER))
-        if item is None or not words:
+        if not words:
             continue
         n = min(13, len(words))
         for i in range(len(words) - n + 1):
-            windows[tuple(words[i:i + n])].add(str(item))
+            windows[tuple(words[i:i + n])] |= {str(item)} if item is not None else set()
     out = []
     for doc, text in docs:
         words = ITEM_WORD.findall((text or "").translate(LOWER))
@@ -29,7 +29,7 @@ def decontamination(docs, items):
         for n in {len(w) for w in windows}:
             for i in range(len(words) - n + 1):
                 got = windows.get(tuple(words[i:i + n]))
-                if got:
+                if got is not None:
                     hit.update(range(i, i + n))
                     found |= got
         out.append((doc, len(words), len(hit), len(found), digest(",".join(sorted(found))),
@@ -99,12 +99,13 @@ def near_duplicates(docs, k):
 
 
 def lines(docs, k=8, percent=80):
-    """docs sorted by distinct id: text without repeated lines, lines, removed."""
-    every = [(i, no, line.strip(" ")) for i, (_, t) in enumerate(docs) if t is not None
+    """docs sorted by distinct id: text without repeated lines, lines, removed.
+    A line of fewer than k characters has one shingle, its whole text."""
+    every = [(i, no, line.strip(" \t\r")) for i, (_, t) in enumerate(docs) if t is not None
              for no, line in enumerate(t.split("\n"))]
-    every = [x for x in every if len(x[2]) >= k]
+    every = [x for x in every if x[2]]
     distinct = list(dict.fromkeys(line for *_, line in every))
-    sets = [frozenset(x[i:i + k] for i in range(len(x) - k + 1)) for x in distinct]
+    sets = [frozenset(x[i:i + k] for i in range(max(1, len(x) - k + 1))) for x in distinct]
     links = [(i, j) for i in range(len(sets)) for j in range(i) if near(sets[i], sets[j], percent)]
     comp = dict(zip(distinct, components(len(sets), links)))
     seen, gone = set(), set()

@@ -132,9 +132,9 @@ def test_near_duplicates_equal_brute_force(spark, shingle):
 
 
 def test_near_duplicates_in_a_group_that_straddles_the_threshold(spark, monkeypatch):
-    """Members link in chains, not all with the first; tiles and rounds are forced."""
+    """Members link in chains, not all with the first; tiles are forced."""
     monkeypatch.setattr(linking, "TILE", 8)
-    monkeypatch.setattr(linking, "FIRST_PARTNERS", 1)
+    monkeypatch.setattr(linking, "TILE_ITEMS", 300)
     r = random.Random(9)
     words = [f"w{i}" for i in range(100)]
     docs = []
@@ -241,3 +241,29 @@ def test_lines_of_repeated_and_no_rows(spark):
     got = sorted(((r["doc_id"], r["n_removed"]) for r in line_dedup.dedup_lines(df).collect()), key=repr)
     assert got == sorted([(1, 1), (1, 1), (None, 0), (2, 2)], key=repr)
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_spanning_links_join_what_the_similarity_joins():
+    """Whole groups and two halves, against all pairs."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    for trial in range(30):
+        base = [frozenset(rng.sample(range(60), 30)) for _ in range(3)]
+        sets = [frozenset((set(b) - set(rng.sample(sorted(b), k))) | {rng.randrange(60) for _ in range(k)})
+                for b in base for k in (0, 1, 2, 3, 3, 4, 5)]
+        n = len(sets)
+        label = [rng.randrange(6) for _ in range(n)] if trial % 2 else list(range(n))
+        half = [rng.randrange(2) for _ in range(n)] if trial % 3 else [0] * n
+        pairs = [(i, j) for i in range(n) for j in range(i) if label[i] != label[j] and brute.near(sets[i], sets[j])
+                 and (len(set(half)) == 1 or half[i] != half[j])]
+        same = [(i, j) for i in range(n) for j in range(i) if label[i] == label[j]]
+        items = pa.array([sorted(s) for s in sets], pa.list_(pa.int64()))
+        links = linking._spanning(np.arange(n), np.array(half), np.array(label), np.array([len(s) for s in sets]),
+                                  np.zeros((n, 1), np.uint64), items, 64, 80)
+        assert set(map(tuple, map(sorted, links))) <= set(map(tuple, map(sorted, pairs)))
+        assert len(links) < len(set(label))
+        assert brute.components(n, same + links) == brute.components(n, same + pairs)

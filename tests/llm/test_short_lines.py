@@ -1,7 +1,5 @@
 """Lines of fewer characters than a shingle take part in the line de-duplication."""
 
-import re
-
 import corpus_pipeline
 from driftwood.llm import line_dedup
 from driftwood.session import read_test_table
@@ -10,32 +8,10 @@ from tests.llm import brute
 from tests.llm.test_dedup_operators import _lined
 
 
-def _whole(docs, k=8, percent=80):
-    """docs sorted by distinct id: text, lines, removed; a shorter line has one shingle, its whole text."""
-    every = [(i, no, line.strip(" ")) for i, (_, t) in enumerate(docs) if t is not None
-             for no, line in enumerate(t.split("\n"))]
-    every = [x for x in every if len(x[2]) >= k or re.search(r"[^ \t\n\x0b\f\r]", x[2])]
-    distinct = list(dict.fromkeys(line for *_, line in every))
-    sets = [frozenset(x[i:i + k] for i in range(max(1, len(x) - k + 1))) for x in distinct]
-    links = [(i, j) for i in range(len(sets)) for j in range(i) if brute.near(sets[i], sets[j], percent)]
-    comp = dict(zip(distinct, brute.components(len(sets), links)))
-    seen, gone = set(), set()
-    for i, no, line in every:
-        if comp[line] in seen:
-            gone.add((i, no))
-        seen.add(comp[line])
-    out = []
-    for i, (d, t) in enumerate(docs):
-        parts = [] if t is None else t.split("\n")
-        left = [x for no, x in enumerate(parts) if (i, no) not in gone]
-        out.append((d, None if t is None else "\n".join(left), len(parts), len(parts) - len(left)))
-    return out
-
-
 def _same(spark, docs):
     out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
     got = sorted((r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in out.collect())
-    want = _whole(docs)
+    want = brute.lines(docs)
     assert got == want
     return want
 
@@ -51,4 +27,4 @@ def test_short_lines_of_the_pipeline(spark):
     docs = read_test_table(spark, SF_SMALL, "documents")
     before = sorted((r["doc_id"], r["text"]) for r in docs.collect())
     got = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.lines(spark, docs, SF_SMALL).collect())
-    assert got == [(d, t) for d, t, _, gone in _whole(before) if not gone or t.strip("\t\r\n ")]
+    assert got == [(d, t) for d, t, _, gone in brute.lines(before) if not gone or t.strip("\t\r\n ")]
