@@ -6,26 +6,25 @@ counts come from few passes over the texts:
 
 1. a sample of the pieces of all texts *proposes* phrases: those that reach
    a lowered count there.  The sample decides nothing, it only proposes;
-2. one pass over all texts counts, exactly, every proposed phrase and the
-   *negative border*: phrases that were not proposed though both phrases
-   that lack their last or first word were.  Border phrases are taken as
-   they occur, so the border is never written out (among words, it is all
-   words that were not proposed);
+2. one pass over all texts counts every proposed phrase and the *negative
+   border*: phrases that were not proposed though both phrases that lack
+   their last or first word were.  Border phrases are taken as they occur, so
+   the border is never written out (among words, it is all words that were
+   not proposed).  Most of the border is rare, so this pass shuffles a hash
+   for a phrase.  Phrases of one hash are counted together, which can only add
+   to a count: no frequent phrase is missed;
 3. a border phrase that turns out frequent is a failure: longer phrases that
-   hold it may be frequent, too, and were not counted.  Another pass counts
-   what the phrases known to be frequent now allow and no earlier pass has
-   counted.  When no frequent phrase lies outside what was proposed, every
-   frequent phrase has been counted;
-4. most of the border is rare, so these passes shuffle a hash for a phrase.
-   Phrases of one hash are counted together, which can only add to a count:
-   no frequent phrase is missed.  The pass after counts, by their words, the
-   phrases whose hash was frequent, and these counts are the result.
-
-A phrase cannot be more frequent than a part of it, so at most one expansion
-pass per phrase length is needed, and one more for the words of the last.  Sets of phrases reach the tasks as bitmaps
-of their hashes, at most ``MOST_BITS`` bits whatever the size of the corpus.
-A phrase that a bitmap admits by accident counts as a member: more is counted
-then, and nothing is lost.
+   hold it may be frequent, too, and were not counted.  The expansion pass
+   counts, by their words, the phrases whose hash was frequent, and every
+   phrase that was not counted before and of which both such parts are
+   frequent or not counted before either.  A phrase is never more frequent
+   than a part of it, so this one pass closes the border on all lengths, and
+   its counts are the result.
+
+Sets of phrases reach the tasks as bitmaps of their hashes, at most
+``MOST_BITS`` bits whatever the size of the corpus.  A phrase that a bitmap
+admits by accident counts as a member: more is counted then, and nothing is
+lost.
 
 Within a task words are numbered, phrases are pairs of numbers, and each
 slice of texts gives one row per distinct phrase; Spark sums them before and
@@ -59,12 +58,13 @@ CLOSED_PERCENT = 80
 NO_LANGUAGE = "und"
 
 # the sample: one piece in SAMPLE_ONE_IN; a phrase that occurs LEAST times in
-# as many pieces reaches SAMPLE_LEAST there with a probability of 0.99
-SAMPLE_ONE_IN = 4
-SAMPLE_LEAST = 3
+# as many pieces reaches SAMPLE_LEAST there with a probability of 0.9
+SAMPLE_ONE_IN = 8
+SAMPLE_LEAST = 2
 BITS_PER_PHRASE = 16
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27             # 128 kB to 16 MB
-BYTES_AT_A_TIME = 3_000_000
+# text that a task numbers at a time; more where few phrases come out of it
+BYTES_AT_A_TIME, FREQUENT_BYTES_AT_A_TIME = 3_000_000, 10_000_000
 
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -132,53 +132,55 @@ def _tagged(hashes: np.ndarray, k: int) -> np.ndarray:
 class _Level:
     """The distinct phrases of one length in a slice of texts."""
 
-    def __init__(self, ids: np.ndarray, first: np.ndarray, counts: np.ndarray, hashes: np.ndarray,
-                 counted: list[np.ndarray], bitmaps: list[np.ndarray]):
+    def __init__(self, ids: np.ndarray, first: np.ndarray, counts: np.ndarray, hashes: np.ndarray):
         self.ids = ids                    # per place: phrase number, -1 for none
         self.first = first                # per phrase: a place
         self.counts = counts
         self.hashes = hashes
-        self.counted = counted            # per earlier pass: whether it has counted the phrase
-        self.inside = [_has(b, hashes) for b in bitmaps]
+        self.proposed = self.counted = self.open = np.ones(len(first), bool)
 
+    def judge(self, counted: np.ndarray, proposed: np.ndarray | None, frequent: np.ndarray | None) -> None:
+        """``counted``: by the first pass; ``open``: longer phrases may follow."""
+        self.counted = counted
+        if proposed is not None:
+            self.open = self.proposed = _has(proposed, self.hashes)
+        if frequent is not None:
+            self.open = _has(frequent, self.hashes) | ~counted
 
-def _levels(words: pa.DictionaryArray, piece: np.ndarray, lang: np.ndarray, lang_hash: np.ndarray,
-            bitmaps: list[np.ndarray], longest: int, prune: bool) -> Iterator[_Level]:
-    """Phrases of one word, two words … of which both parts are in the last bitmap."""
+
+def _levels(words: pa.DictionaryArray, piece: np.ndarray, lang: np.ndarray, lang_hash: np.ndarray, longest: int,
+            proposed: np.ndarray | None = None, frequent: np.ndarray | None = None) -> Iterator[_Level]:
+    """Phrases of one word, two words … of which both parts are ``open``."""
     n = len(words)
     number = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     size = len(words.dictionary)
     ids, first, counts = _distinct(lang * size + number)
-    hashes = _tagged(mh.mix(_hashes(words.dictionary)[number[first]] + lang_hash[lang[first]]), 1)
-    earlier = bitmaps[:-1]
-    level = _Level(ids, first, counts, hashes, [np.ones(len(first), bool) for _ in earlier], bitmaps)
-    word_ids, word_hashes, distinct = ids, hashes, len(first)
+    level = _Level(ids, first, counts, _tagged(mh.mix(_hashes(words.dictionary)[number[first]] + lang_hash[lang[first]]), 1))
+    level.judge(np.ones(len(first), bool), proposed, frequent)
+    word_ids, word_hashes, distinct = ids, level.hashes, len(first)
     yield level
     for k in range(2, longest + 1):
         if n < k:
             return
         places = np.flatnonzero(piece[:n - k + 1] == piece[k - 1:])
         places = places[(level.ids[places] >= 0) & (level.ids[places + 1] >= 0)]
-        if prune:
-            good = level.inside[-1]
-            places = places[good[level.ids[places]] & good[level.ids[places + 1]]]
-        last = word_ids[places + k - 1]
-        inverse, first, counts = _distinct(level.ids[places] * distinct + last)
+        places = places[level.open[level.ids[places]] & level.open[level.ids[places + 1]]]
+        inverse, first, counts = _distinct(level.ids[places] * distinct + word_ids[places + k - 1])
         ids = np.full(n, -1, np.int64)
         ids[places] = inverse
         first = places[first]
         left, right = level.ids[first], level.ids[first + 1]
         hashes = _tagged(mh.mix(level.hashes[left] * mh._PLACE[k] + word_hashes[word_ids[first + k - 1]]), k)
-        counted = [level.counted[b][left] & level.counted[b][right] & level.inside[b][left] & level.inside[b][right]
-                   for b in range(len(earlier))]
-        level = _Level(ids, first, counts, hashes, counted, bitmaps)
+        both = level.counted & level.proposed
+        level = _Level(ids, first, counts, hashes)
+        level.judge(both[left] & both[right], proposed, frequent)
         yield level
 
 
-def _slices(batches: Iterator[pa.RecordBatch]):
+def _slices(batches: Iterator[pa.RecordBatch], most: int = BYTES_AT_A_TIME):
     """For rows ``text, lang``: numbered words, pieces, languages."""
     for batch in batches:
-        for part in slices_by_chars(batch, 0, BYTES_AT_A_TIME):
+        for part in slices_by_chars(batch, 0, most):
             words, text, piece = _words(part.column(0))
             if not len(words):
                 continue
@@ -198,61 +200,46 @@ def _proposals(longest: int):
             if not drawn.any():
                 continue
             words, piece, lang = words.filter(pa.array(drawn)), piece[drawn], lang[drawn]
-            for level in _levels(words, piece, lang, _hashes(names), [], longest, prune=False):
+            for level in _levels(words, piece, lang, _hashes(names), longest):
                 yield pa.RecordBatch.from_arrays([longs(level.hashes), pa.array(level.counts.astype(np.int64))], names=["h", "n"])
 
     return run
 
 
-def _fresh(level: _Level) -> np.ndarray:
-    """Phrases that no earlier pass has counted."""
-    out = np.ones(len(level.first), bool)
-    for done in level.counted:
-        out &= ~done
-    return out
-
-
 def _first_counts(proposed, longest: int):
     """Hashes and counts of the proposed phrases and their border."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(proposed.value, np.uint8)
         for words, piece, lang, names in _slices(batches):
-            for level in _levels(words, piece, lang, _hashes(names), [bitmap], longest, prune=True):
+            for level in _levels(words, piece, lang, _hashes(names), longest, bitmap):
                 yield pa.RecordBatch.from_arrays([longs(level.hashes), pa.array(level.counts.astype(np.int64))], names=["h", "n"])
 
     return run
 
 
-def _next_counts(shared: list, frequent, longest: int):
-    """Counts of the phrases whose hash is in ``frequent``, by their words
-    (and of all words, ``k`` = 0), and hashes and counts of the phrases that
-    the last of the bitmaps allows and no pass before it has counted."""
+def _last_counts(proposed, frequent, longest: int):
+    """Counts, by their words, of the phrases whose hash is frequent or was
+    not counted before; the number of words has ``k`` = 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps, wanted = [np.frombuffer(b.value, np.uint8) for b in shared], np.frombuffer(frequent.value, np.uint8)
-        columns = ["lang", "phrase", "k", "h", "n"]
-        for words, piece, lang, names in _slices(batches):
+        bitmaps = [np.frombuffer(b.value, np.uint8) for b in (proposed, frequent)]
+        columns = ["lang", "phrase", "k", "n"]
+        for words, piece, lang, names in _slices(batches, FREQUENT_BYTES_AT_A_TIME):
             spelled = words.dictionary.cast(pa.binary()).cast(pa.string())
             number = words.indices.to_numpy(zero_copy_only=False)
             names_of = names.cast(pa.string())
-            total, none = np.bincount(lang, minlength=len(names)).astype(np.int64), np.zeros(len(names), np.int64)
-            yield pa.RecordBatch.from_arrays([names_of, pa.array([""] * len(names)), pa.array(none.astype(np.int32)),
-                                              pa.array(none), pa.array(total)], names=columns)
-            for k, level in enumerate(_levels(words, piece, lang, _hashes(names), bitmaps, longest, prune=True), 1):
-                known = _has(wanted, level.hashes)
-                at, counts = level.first[known], pa.array(level.counts[known].astype(np.int64))
-                if len(at):
-                    parts = [spelled.take(pa.array(number[at + j])) for j in range(k)]
-                    yield pa.RecordBatch.from_arrays(
-                        [names_of.take(pa.array(lang[at])), parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " "),
-                         pa.array(np.full(len(at), k, np.int32)), pa.array(np.zeros(len(at), np.int64)), counts], names=columns)
-                fresh = _fresh(level)
-                if fresh.any():
-                    m = int(fresh.sum())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(m, pa.string()), pa.nulls(m, pa.string()), pa.array(np.full(m, k, np.int32)),
-                         longs(level.hashes[fresh]), pa.array(level.counts[fresh].astype(np.int64))], names=columns)
+            yield pa.RecordBatch.from_arrays(
+                [names_of, pa.array([""] * len(names)), pa.array(np.zeros(len(names), np.int32)),
+                 pa.array(np.bincount(lang, minlength=len(names)).astype(np.int64))], names=columns)
+            for k, level in enumerate(_levels(words, piece, lang, _hashes(names), longest, *bitmaps), 1):
+                at = level.first[level.open]
+                if not len(at):
+                    continue
+                parts = [spelled.take(pa.array(number[at + j])) for j in range(k)]
+                yield pa.RecordBatch.from_arrays(
+                    [names_of.take(pa.array(lang[at])), parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " "),
+                     pa.array(np.full(len(at), k, np.int32)), pa.array(level.counts[level.open].astype(np.int64))], names=columns)
 
     return run
 
@@ -285,25 +272,13 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang",
                        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"))
     proposed = stored(rows.mapInArrow(_proposals(longest - 1), "h long, n long")
                       .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= SAMPLE_LEAST).select("h"), "proposed")
-    bitmaps = [_bitmap(proposed)]
+    proposed = _bitmap(proposed)
     # most hashes come once or twice, so they are dealt out without a sum before
-    new = stored(rows.mapInArrow(_first_counts(bitmaps[0], longest), "h long, n long").repartition("h")
-                 .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), "frequent")
-    known, spelled = new, None
-    open_ends = F.col("h").bitwiseAND(F.lit(7)) < longest
-    while spelled is None or not new.isEmpty():
-        # phrases known to be frequent: what they allow is counted beside their words
-        bitmaps.append(_bitmap(known.where(open_ends)))
-        both = stored(rows.mapInArrow(_next_counts(list(bitmaps), _bitmap(new), longest),
-                                      "lang string, phrase string, k int, h long, n long")
-                      .groupBy("lang", "phrase", "h").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
-                      .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
-        named = both.where("phrase is not null").select("lang", "phrase", "k", "n")
-        spelled = named if spelled is None else spelled.unionByName(named)
-        new = both.where("phrase is null").select("h")
-        known = known.unionByName(new)
-    # a phrase that two bitmaps admit was counted twice, with the same result
-    counts = spelled.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.max("n").alias("n"))
+    frequent = stored(rows.mapInArrow(_first_counts(proposed, longest), "h long, n long").repartition("h")
+                      .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), "frequent")
+    counts = stored(rows.mapInArrow(_last_counts(proposed, _bitmap(frequent), longest), "lang string, phrase string, k int, n long")
+                    .groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
+                    .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     return counts.where("k > 0").select("lang", "phrase", "k", "n"), counts.where("k = 0").select("lang", "n")
 
 
@@ -318,7 +293,6 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     inside a longer one that has at least ``closed_percent`` % of their count.
     """
     counts, totals = phrase_counts(docs, text, lang, least, longest)
-    counts = stored(counts, "collocation-counts")
     words = F.split("phrase", " ")
     candidates = counts.where("k >= 2").select("lang", "phrase", "k", F.col("n").alias("a"))
     cuts = candidates.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1))) \
