@@ -70,8 +70,8 @@ def feature_pipeline(df: DataFrame, target: str, exclude=(), categorical_boolean
                      features_col: str = "features", passthrough=()) -> Pipeline:
     """The feature pipeline of the training job.
 
-    Projection → numerics and booleans cast to double → mean imputation of
-    numerics → null categories to ``UNKNOWN`` → string indexing by frequency
+    One projection (numerics and booleans as double, null categories as
+    ``UNKNOWN``) → mean imputation of numerics → string indexing by frequency
     (unseen categories skipped) → one-hot (last category dropped) → vector of
     one-hots then numerics.  Booleans are cast but, as in the reference job,
     not assembled; ``categorical_booleans`` turns them into categories
@@ -81,16 +81,16 @@ def feature_pipeline(df: DataFrame, target: str, exclude=(), categorical_boolean
     # passthrough columns (row identifiers) are kept but get no feature role
     keep = [c for c in df.columns if c not in set(exclude) or c in set(passthrough)]
     numeric, boolean, categorical = roles["numeric"], roles["boolean"], list(roles["categorical"])
-    stages = [_select_stage(keep, {})]
-    stages.append(_select_stage(keep, {c: f"CAST({_q(c)} AS DOUBLE)" for c in numeric}))
+    rewrite = {c: f"CAST({_q(c)} AS DOUBLE)" for c in numeric}
+    rewrite |= {c: f"COALESCE({_q(c)}, '{UNKNOWN}')" for c in categorical}
     if categorical_booleans:
-        stages.append(_select_stage(keep, {c: f"CAST({_q(c)} AS STRING)" for c in boolean}))
+        rewrite |= {c: f"COALESCE(CAST({_q(c)} AS STRING), '{UNKNOWN}')" for c in boolean}
         categorical += boolean
     else:
-        stages.append(_select_stage(keep, {c: f"CAST({_q(c)} AS DOUBLE)" for c in boolean}))
+        rewrite |= {c: f"CAST({_q(c)} AS DOUBLE)" for c in boolean}
+    stages = [_select_stage(keep, rewrite)]
     if numeric:
         stages.append(Imputer(inputCols=numeric, outputCols=numeric, strategy="mean"))
-    stages.append(_select_stage(keep, {c: f"COALESCE({_q(c)}, '{UNKNOWN}')" for c in categorical}))
     encoded = []
     if categorical:
         idx = [f"{c}_index" for c in categorical]

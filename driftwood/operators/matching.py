@@ -6,9 +6,12 @@ one global token order (rarest first) — they even share a token inside the
 first ``|x| - ceil(t·|x|) + 1`` tokens of each set (the prefix filter of
 set-similarity joins).  Candidates are produced by an equi-join on prefix
 tokens only; frequent tokens (stop words) sort last and so rarely reach a
-prefix, and the few that do are salted across tasks.  Each candidate pair is
-emitted by exactly one token (its first common prefix token), so no
-distinct shuffle is needed, and the exact similarity is checked afterwards.
+prefix, and the few that do are salted across tasks.  Two more bounds refuse
+candidates before any token set is looked at: the sizes of two similar sets
+are close (length filter), and what can still be common behind the last
+common prefix token must be enough (positional filter).  Only names, sizes
+and positions travel with candidates; token sets are joined to what is left,
+and the exact similarity is checked there.
 """
 
 from __future__ import annotations
@@ -19,9 +22,9 @@ from pyspark.sql import types as T
 
 from driftwood.functions.text import jaccard_of_sets, tokens
 
-# Largest lookup that is broadcast, in bytes by Spark's own statistics (files
-# are compressed: about ten times that in memory); larger ones are shuffled.
-DEFAULT_BROADCAST_BYTES = 32 << 20
+# Largest lookup that is broadcast, in bytes by Spark's own statistics; files
+# are compressed, so that is up to 80 MB in memory.  Larger ones are shuffled.
+DEFAULT_BROADCAST_BYTES = 8 << 20
 # Token frequency above which the candidate join salts the token.
 DEFAULT_HOT_TOKEN_ROWS = 10_000
 
@@ -84,26 +87,25 @@ def _prefix_length(n: Column, threshold: float) -> Column:
     return n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + F.lit(1)
 
 
-def _token_sets(names: DataFrame, name_col: str, freq: DataFrame, threshold: float) -> DataFrame:
-    """Per name: all tokens, and the prefix as ``struct(freq, token)`` sorted rarest first."""
+def _token_sets(names: DataFrame, name_col: str, freq: DataFrame) -> DataFrame:
+    """Per name its tokens as ``struct(freq, token)``, rarest first."""
     exploded = names.select(F.col(name_col), F.explode(tokens(name_col)).alias("token"))
     ranked = exploded.join(freq, "token")
-    grouped = ranked.groupBy(name_col).agg(
-        F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("ordered"))
-    n = F.size("ordered")
-    return grouped.select(
-        name_col,
-        F.transform("ordered", lambda s: s["token"]).alias("tokens"),
-        F.slice("ordered", 1, _prefix_length(n, threshold)).alias("prefix"))
+    return ranked.groupBy(name_col).agg(F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("ordered"))
 
 
-def fuzzy_name_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
-                     hot_token_rows: int = DEFAULT_HOT_TOKEN_ROWS) -> DataFrame:
-    """All pairs of distinct names with token Jaccard ``>= threshold``.
+def _fits(size: Column, other: Column, threshold: float) -> Column:
+    """Length filter: the smaller set is at least ``threshold`` of the larger."""
+    return F.least(size, other) >= F.greatest(size, other) * F.lit(threshold) - F.lit(1e-9)
 
-    Inputs have one column each, ``l_name`` and ``r_name``.  Output columns
-    ``l_name, r_name, score``.  Equal to the cross join filtered by score.
-    """
+
+def _least_common(size: Column, other: Column, threshold: float) -> Column:
+    """Common tokens that sets of these sizes need for the threshold."""
+    return F.ceil((size + other) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
+
+
+def _sets_and_candidates(left_names: DataFrame, right_names: DataFrame, threshold: float, hot_token_rows: int,
+                         bounds: bool = True):
     if threshold <= 0:
         raise ValueError("threshold must be > 0: at 0 every pair matches, "
                          "which is a cross product by definition")
@@ -113,25 +115,54 @@ def fuzzy_name_pairs(left_names: DataFrame, right_names: DataFrame, threshold: f
     freq = (left.select(F.explode(tokens("l_name")).alias("token"))
             .unionByName(right.select(F.explode(tokens("r_name")).alias("token")))
             .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    lsets = _token_sets(left, "l_name", freq, threshold)
-    rsets = _token_sets(right, "r_name", freq, threshold)
+    lsets, rsets = _token_sets(left, "l_name", freq), _token_sets(right, "r_name", freq)
 
     # salt hot prefix tokens: a left row goes to one salt, a right row to all;
     # one salt per ``hot_token_rows`` names holding the token
     def salt_count(p: Column) -> Column:
         return F.ceil(p["freq"] / F.lit(hot_token_rows)).cast("int")
 
-    lp = lsets.select("l_name", "tokens", "prefix", F.explode("prefix").alias("p")) \
+    def prefixes(sets: DataFrame, name: str, size: str, place: str) -> DataFrame:
+        n = F.size("ordered")
+        return sets.select(name, n.alias(size), F.posexplode(F.slice("ordered", 1, _prefix_length(n, threshold))).alias(place, "p"))
+
+    lp = prefixes(lsets, "l_name", "l_size", "l_at") \
         .withColumn("salt", F.pmod(F.xxhash64("l_name"), salt_count(F.col("p"))))
-    rp = rsets.select(F.col("r_name"), F.col("tokens").alias("r_tokens"),
-                      F.col("prefix").alias("r_prefix"), F.explode("prefix").alias("p")) \
+    rp = prefixes(rsets, "r_name", "r_size", "r_at") \
         .withColumn("salt", F.explode(F.sequence(F.lit(0), salt_count(F.col("p")) - 1)))
-    cand = lp.join(rp, ["p", "salt"])
-    # emit each pair once: at its first common prefix token
-    first_common = F.array_min(F.array_intersect("prefix", "r_prefix"))
-    cand = cand.where(F.col("p") == first_common)
-    score = jaccard_of_sets(F.col("tokens"), F.col("r_tokens"))
-    return cand.select("l_name", "r_name", score.alias("score")).where(F.col("score") >= F.lit(threshold))
+    met = lp.join(rp, ["p", "salt"])
+    l_size, r_size = F.col("l_size"), F.col("r_size")
+    if bounds:
+        met = met.where(_fits(l_size, r_size, threshold))
+    # a row per pair: the prefix tokens it shares, and the last of them
+    pairs = met.groupBy("l_name", "r_name").agg(F.max("l_size").alias("l_size"), F.max("r_size").alias("r_size"),
+                                                F.count(F.lit(1)).alias("common"), F.max("l_at").alias("l_at"), F.max("r_at").alias("r_at"))
+    if bounds:
+        # every other common token comes after the last common prefix token, in both
+        behind = F.least(l_size - F.col("l_at"), r_size - F.col("r_at")) - 1
+        pairs = pairs.where(F.col("common") + behind >= _least_common(l_size, r_size, threshold))
+    return lsets, rsets, pairs.select("l_name", "r_name")
+
+
+def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: float,
+                     hot_token_rows: int = DEFAULT_HOT_TOKEN_ROWS, bounds: bool = True) -> DataFrame:
+    """The pairs ``l_name, r_name`` whose similarity is looked at; without
+    ``bounds``, those of the prefix filter alone."""
+    return _sets_and_candidates(left_names, right_names, threshold, hot_token_rows, bounds)[2]
+
+
+def fuzzy_name_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
+                     hot_token_rows: int = DEFAULT_HOT_TOKEN_ROWS) -> DataFrame:
+    """All pairs of distinct names with token Jaccard ``>= threshold``.
+
+    Inputs have one column each, ``l_name`` and ``r_name``.  Output columns
+    ``l_name, r_name, score``.  Equal to the cross join filtered by score.
+    """
+    lsets, rsets, cand = _sets_and_candidates(left_names, right_names, threshold, hot_token_rows)
+    full = cand.join(lsets.select("l_name", F.col("ordered.token").alias("l_tokens")), "l_name") \
+        .join(rsets.select("r_name", F.col("ordered.token").alias("r_tokens")), "r_name")
+    score = jaccard_of_sets(F.col("l_tokens"), F.col("r_tokens"))
+    return full.select("l_name", "r_name", score.alias("score")).where(F.col("score") >= F.lit(threshold))
 
 
 def fuzzy_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,

@@ -28,8 +28,9 @@ from driftwood.operators import matching as mt
 from driftwood.operators import outliers as ol
 from driftwood.operators import quality as qa
 from driftwood.sources.files import key_from_path, key_of_name
-from driftwood.sources.sinks import (ROWS_PER_FILE, delete_path, publish_star, refresh_star, upsert_table,
-                                     write_csv, write_table)
+from driftwood.sources.ledger import ledger_missing_columns, ledger_type_conflicts, update_ledger
+from driftwood.sources.sinks import (ROWS_PER_FILE, delete_path, place_tables, publish_star, read_stored, refresh_star,
+                                     table_exists, upsert_table, write_csv, write_table)
 
 
 def _q(name: str) -> str:
@@ -152,6 +153,7 @@ class SourceConfig:
     partition_by: str | None = None     # A5: partition the stored table by its key
     materialize: bool = True            # write the merged frame once before the audit
     rows_per_file: int = ROWS_PER_FILE  # A5: a larger period is written by several tasks
+    ledger: str | None = None           # A1: stored table of drop schemas; only new drops are opened
 
 
 def repair_strings(df: DataFrame, repair=repair_text) -> DataFrame:
@@ -242,8 +244,13 @@ def format_and_load(spark: SparkSession, cfg: SourceConfig) -> dict:
     Spark runs again after a lost executor may count its rows again.
     """
     paths = list_files(spark, cfg.root, cfg.key_len, cfg.prefix)
-    schemas = file_schemas(spark, paths, cfg.fmt)
-    missing, conflicts = drop_reports(spark, schemas, cfg.key_len, cfg.lowercase, cfg.flatten)
+    if cfg.ledger:
+        known = update_ledger(spark, cfg.ledger, paths, cfg.key_len, cfg.fmt, cfg.lowercase, cfg.flatten)
+        schemas, ledger = known["schemas"], read_stored(spark, cfg.ledger)
+        missing, conflicts = ledger_missing_columns(ledger), ledger_type_conflicts(ledger)
+    else:
+        schemas = file_schemas(spark, paths, cfg.fmt)
+        missing, conflicts = drop_reports(spark, schemas, cfg.key_len, cfg.lowercase, cfg.flatten)
     family = _prepare(read_family(spark, paths, cfg.key_len, cfg.key_col, cfg.fmt, schemas=schemas), cfg)
     if cfg.key_col and cfg.key_type != "string":
         family = OrderedDict((k, df.withColumn(cfg.key_col, F.col(cfg.key_col).cast(cfg.key_type)))
@@ -300,6 +307,57 @@ def reconcile(listings: DataFrame, lookup: DataFrame, cfg: ReconcileConfig):
     return best, left
 
 
+def reconcile_incremental(spark: SparkSession, state: str, listings: DataFrame, lookup: DataFrame,
+                          cfg: ReconcileConfig):
+    """J6 over batches: ``(resolved, unresolved)`` for all names so far, as a
+    full run over all listings and lookup rows would give.
+
+    ``state`` holds the names and lookup rows seen, and the best match of each
+    name.  A batch matches its new names against all lookup rows, and the old
+    names against its new lookup rows; no other pair is formed again.  The
+    best of the old and new matches stays, and names that a new lookup row
+    knows exactly leave the result (D1).  The three tables are staged and put
+    in place together.
+    """
+    src = listings.filter(cfg.row_filter) if cfg.row_filter else listings            # C2
+    name = src.select(F.col(_q(cfg.name_col)).alias("name")).distinct()               # E2
+    cand = lookup.select(F.col(_q(cfg.lookup_name_col)).alias("reconciled_name"),
+                         F.col(_q(cfg.lookup_id_col)).alias("id")).distinct()
+    root = state.rstrip("/")
+    seen = {n: spark.read.parquet(f"{root}/{n}") for n in ("names", "lookup", "matches")} \
+        if table_exists(spark, f"{root}/names") else None
+
+    def absent(df: DataFrame, old: DataFrame, keys) -> DataFrame:
+        same = [df[k].eqNullSafe(F.col(f"_dw_{k}")) for k in keys]
+        return df.join(old.select(*[F.col(k).alias(f"_dw_{k}") for k in keys]), same, "left_anti")
+
+    new_names = absent(name, seen["names"], ["name"]) if seen else name
+    new_rows = absent(cand, seen["lookup"], ["reconciled_name", "id"]) if seen else cand
+    names = seen["names"].unionByName(new_names) if seen else new_names
+    rows = seen["lookup"].unionByName(new_rows) if seen else new_rows
+    pairs = mt.fuzzy_join(new_names, rows, "name", "reconciled_name", cfg.threshold, score_col="similarity")       # D3
+    if seen:
+        again = mt.fuzzy_join(seen["names"], new_rows, "name", "reconciled_name", cfg.threshold, score_col="similarity")
+        pairs = seen["matches"].unionByName(pairs).unionByName(again)
+    best = mt.best_match(pairs, "name", "similarity", ["id", "reconciled_name"])                                   # D4
+    work = f"{root}/_staged_{uuid.uuid4().hex[:8]}"
+    tables = OrderedDict([("names", names), ("lookup", rows), ("matches", best)])
+    staged = OrderedDict((n, write_table(df, f"{work}/{n}")) for n, df in tables.items())
+    place_tables(spark, staged, root)
+    delete_path(spark, work)
+    now = {n: spark.read.parquet(f"{root}/{n}") for n in staged}
+    exact = now["lookup"].where(F.col("id").isNotNull()).select(F.col("reconciled_name").alias("known")).distinct()   # D1
+    open_names = now["names"].join(exact, F.col("name") == F.col("known"), "left_anti")                            # C3
+    resolved = now["matches"].join(exact, F.col("name") == F.col("known"), "left_anti").withColumnRenamed("name", cfg.name_col)
+    open_names = open_names.withColumnRenamed("name", cfg.name_col)
+    if cfg.overrides is not None:                                                     # D5
+        resolved = mt.apply_overrides(resolved, cfg.name_col, cfg.overrides)
+    left = mt.unresolved(open_names, resolved, cfg.name_col)                          # D6
+    if cfg.target:                                                                    # A5
+        write_table(resolved, cfg.target)
+    return resolved, left
+
+
 # ------------------------------------------------------------------ J7 --
 
 def build_star(spark: SparkSession, dims: "OrderedDict[str, DataFrame]",
