@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.llm import bpe, decontamination, language_id, line_dedup, near_dedup
-from driftwood.llm.components import stored
+from driftwood.llm.components import discard, stored
 from driftwood.llm.queries import RANKS, held_out
 from driftwood.session import read_test_table
 
@@ -60,7 +60,9 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = read_test_table(spark, sf_dir, "documents")
+    docs, before = read_test_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(*before)                     # what the stage has read is no longer needed
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
