@@ -37,7 +37,7 @@ from driftwood.llm.arrowtext import slices_by_chars
 
 # distinct stretches a worker remembers before it starts over, and the text
 # (in characters) that is cut and merged at a time
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
 CHARS_AT_A_TIME = 4_000_000
 
 # The Unicode property White_Space, as a character class body.
@@ -97,52 +97,67 @@ class RankQueueEncoder:
 
     Many pre-tokens go through one queue together: they lie side by side in
     one linked list without a pair across their borders, so the merges of
-    one never touch another, and a bucket is drained for all of them.
+    one never touch another, and a bucket is drained for all of them.  The
+    list holds ids; the rank of two neighbours, which is the id they merge
+    to, is looked up by both ids.
     """
 
     WORD = 256                                             # ranks per bitmap word
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        n = max(ranks.values(), default=0) + 1
+        self.size = n = max(ranks.values(), default=0) + 1
         self.low = [0] * (-(-n // self.WORD))
+        self.of_byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        self.of_bytes = np.full(1 << 16, -1, np.int64)     # rank of two single bytes
+        self.merged: dict[int, int] = {}                   # rank of two ids, left * size + right
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.of_bytes[token[0] << 8 | token[1]] = rank
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i], -1), ranks.get(token[i:], -1)
+                if left >= 0 and right >= 0:
+                    self.merged[left * n + right] = rank
 
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each pre-token (none empty)."""
-        ranks, get, width = self.ranks, self.ranks.get, self.WORD
-        low, top = self.low, 0                             # words, and one bit per filled word
-        buckets: dict[int, list[int]] = {}
-        parts: list[bytes | None] = []
-        pair: list[int] = []                               # rank of (position, successor); -1: none
-        starts = []
+        ranks, out = self.ranks, []
+        long = []                                          # pre-tokens that are no token themselves
         for piece in pieces:
-            starts.append(at := len(parts))
-            n = len(piece)
-            if piece in ranks:
-                parts.append(piece)
-                pair.append(-1)
-                continue
-            parts += [piece[i:i + 1] for i in range(n)]
-            found = [get(piece[i:i + 2], -1) for i in range(n - 1)]
-            pair += found
-            pair.append(-1)
-            for i, r in enumerate(found, at):
-                if r >= 0:
-                    if r in buckets:
-                        buckets[r].append(i)
-                    else:
-                        buckets[r] = [i]
-                        w = r // width
-                        low[w] |= 1 << r % width
-                        top |= 1 << w
-        total = len(parts)
-        after, before = list(range(1, total + 1)), list(range(-1, total - 1))
-        for s in starts:                                   # no neighbours across pre-tokens
-            before[s] = -1
-            if s:
-                after[s - 1] = -1
-        if total:
-            after[total - 1] = -1
+            rank = ranks.get(piece, -1)
+            out.append([rank])
+            if rank < 0:
+                long.append(len(out) - 1)
+        if long:
+            for i, ids in zip(long, self._merge([pieces[i] for i in long])):
+                out[i] = ids
+        return out
+
+    def _merge(self, pieces: list[bytes]) -> Iterator[list[int]]:
+        get, width, size = self.merged.get, self.WORD, self.size
+        raw = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        total = len(raw)
+        ends = np.cumsum([len(p) for p in pieces])
+        ids = self.of_byte[raw].tolist()
+        ranks = np.full(total, -1, np.int64)               # rank of (position, successor); -1: none
+        ranks[:-1] = self.of_bytes[raw[:-1] << 8 | raw[1:]]
+        ranks[ends - 1] = -1
+        after, before = np.arange(1, total + 1), np.arange(-1, total - 1)
+        after[ends - 1] = -1                               # no neighbours across pre-tokens
+        before[ends[:-1]] = before[0] = -1
+        pair, after, before = ranks.tolist(), after.tolist(), before.tolist()
+        # the bitmap words, one bit per filled word, and the buckets
+        low, top, buckets = self.low, 0, {}
+        filled = np.flatnonzero(ranks >= 0)
+        filled = filled[np.argsort(ranks[filled], kind="stable")]
+        of = ranks[filled]
+        cuts = np.flatnonzero(np.diff(of, prepend=-1)).tolist() + [len(of)]
+        places, of = filled.tolist(), of.tolist()
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            r = of[s]
+            buckets[r] = places[s:e]
+            low[r // width] |= 1 << r % width
+            top |= 1 << r // width
 
         while top:
             # find-first-set, level by level: the lowest filled rank
@@ -158,15 +173,14 @@ class RankQueueEncoder:
                 if pair[i] != rank:                        # stale: this pair is gone
                     continue
                 j = after[i]
-                merged = parts[i] = parts[i] + parts[j]
-                parts[j] = None
-                pair[j] = -1
+                ids[i] = rank
+                ids[j] = pair[j] = -1
                 nxt = after[i] = after[j]
                 lowest = rank
                 r = -1
                 if nxt >= 0:
                     before[nxt] = i
-                    r = get(merged + parts[nxt], -1)
+                    r = get(rank * size + ids[nxt], -1)
                     if r >= 0:
                         if r in buckets:
                             buckets[r].append(i)
@@ -180,7 +194,7 @@ class RankQueueEncoder:
                 pair[i] = r
                 prev = before[i]
                 if prev >= 0:
-                    r = get(parts[prev] + merged, -1)
+                    r = get(ids[prev] * size + rank, -1)
                     if r >= 0 and r != pair[prev]:
                         if r in buckets:
                             buckets[r].append(prev)
@@ -202,12 +216,19 @@ class RankQueueEncoder:
                         low[w] |= 1 << rank % width
                         top |= 1 << w
                     break
-        ends = starts[1:] + [total]
-        return [[ranks[p] for p in parts[s:e] if p is not None] for s, e in zip(starts, ends)]
+        left = np.array(ids, np.int64)
+        kept = np.add.reduceat(left >= 0, np.concatenate([[0], ends[:-1]]), dtype=np.int64)
+        left, at = left[left >= 0].tolist(), 0
+        for n in kept.tolist():
+            yield left[at:at + n]
+            at += n
 
 
-# Pieces that begin and end where pre-tokens do.
+# Pieces that begin and end where pre-tokens of a CUTTABLE pattern do.
 _COARSE = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
+_WHITE = re.compile(f"[{WHITE_SPACE}]")
+# Fixed value: the pattern for which that is known; texts are cut for no other.
+CUTTABLE = ("'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+",)
 
 
 class Tokenizer:
@@ -217,21 +238,30 @@ class Tokenizer:
     single space before them): no pre-token crosses such a border.  Each
     distinct stretch is split by the tokenizer's pattern and merged once.
     Ids of a stretch are kept as decimal numbers joined by one space.
+
+    Cutting at every space is enough where each space is followed by
+    something else than white space; what lies between two spaces is kept as
+    a whole, made of its stretches if it has line breaks inside.  Other texts
+    are cut by a regular expression.  Texts are cut for the patterns
+    ``CUTTABLE`` only; for another pattern a text is one stretch.
     """
 
     def __init__(self, rank_path: str, pattern: str):
         self.ranks = load_ranks(rank_path)
         self.split = compile_pattern(pattern).findall
+        self.cuttable = pattern in CUTTABLE
         self.queue = RankQueueEncoder(self.ranks)
-        self.token_bytes = {str(r): b for b, r in self.ranks.items()}
+        self.raw = {r: b for b, r in self.ranks.items()}
+        self.names = {r: str(r) for r in self.raw}
         self.known: dict[str, tuple[str, bytes]] = {}      # stretch → ids, decoded bytes
+        self.spaced: dict[str, tuple[str, bytes] | None] = {}   # the same of what follows a space
         self.counts: dict[str, int] = {}                   # stretch → number of ids
         self.recent: list[str] = []
+        self.recent_spaced: list[str] = []
 
-    @staticmethod
-    def stretches(text: str) -> list[str]:
+    def stretches(self, text: str) -> list[str]:
         """Cut a text; the parts joined give the text."""
-        return _COARSE.findall(text)
+        return _COARSE.findall(text) if self.cuttable else [text] if text else []
 
     def _new(self, known: dict, stretches: set[str]) -> list[str]:
         """The stretches that ``known`` lacks.
@@ -241,44 +271,93 @@ class Tokenizer:
         """
         if len(known) > CACHE_ENTRIES:
             for s in self.recent:
-                del known[s]
+                known.pop(s, None)
         self.recent = list(stretches.difference(known))
         return self.recent
 
-    def _merged(self, new: list[str]) -> Iterator[tuple[str, list[list[int]]]]:
-        """Each stretch with the ids of its pre-tokens; every distinct pre-token is merged once."""
-        split = self.split
-        cut = [split(s) for s in new]
-        pieces = list({p for got in cut for p in got})
-        ids = dict(zip(pieces, self.queue.encode([p.encode("utf-8", "replace") for p in pieces])))
-        for s, got in zip(new, cut):
-            yield s, [ids[p] for p in got]
+    def _pieces(self, new: list[str]) -> tuple[list[list[str]], dict[str, list[int]]]:
+        """The pre-tokens of each stretch, and the ids of every distinct one, merged once."""
+        cut = list(map(self.split, new))
+        pieces = list(set().union(*cut))
+        return cut, dict(zip(pieces, self.queue.encode([p.encode("utf-8", "replace") for p in pieces])))
 
     def count_tokens(self, texts: list[str]) -> list[int]:
         """Number of ids of each text."""
         cut = [self.stretches(t) for t in texts]
         counts = self.counts
-        for s, ids in self._merged(self._new(counts, set().union(*cut))):
-            counts[s] = sum(map(len, ids))
+        new = self._new(counts, set().union(*cut))
+        pieces, ids = self._pieces(new)
+        size = {p: len(x) for p, x in ids.items()}
+        for s, got in zip(new, pieces):
+            counts[s] = sum([size[p] for p in got])
         return [sum(map(counts.__getitem__, got)) for got in cut]
 
-    def encode_groups(self, texts: list[str]) -> list[list[tuple[str, bytes]]]:
-        """Per text and stretch: its ids joined by one space, and those ids decoded."""
-        cut = [self.stretches(t) for t in texts]
-        known, decode = self.known, self.decode_joined
-        for s, ids in self._merged(self._new(known, set().union(*cut))):
-            joined = " ".join([str(i) for piece in ids for i in piece])
-            known[s] = (joined, decode(joined))
-        return [[known[s] for s in got] for got in cut]
+    def _joined(self, new: list[str]) -> Iterator[tuple[str, tuple[str, bytes]]]:
+        """Each stretch with its ids joined by one space, and those ids decoded."""
+        cut, ids = self._pieces(new)
+        name, raw = self.names.__getitem__, self.raw.__getitem__
+        of = {p: (" ".join(map(name, x)), b"".join(map(raw, x))) for p, x in ids.items()}
+        for s, got in zip(new, cut):
+            if len(got) == 1:
+                yield s, of[got[0]]
+            else:
+                parts = [of[p] for p in got]
+                yield s, (" ".join([x[0] for x in parts]), b"".join([x[1] for x in parts]))
+
+    def _after_space(self, parts: set[str]) -> None:
+        """Make known what follows a space; None if that space belongs elsewhere."""
+        spaced = self.spaced
+        if len(spaced) > CACHE_ENTRIES:
+            for p in self.recent_spaced:
+                spaced.pop(p, None)
+        self.recent_spaced = list(parts.difference(spaced))
+        plain, mixed = [], {}
+        for p in self.recent_spaced:
+            white = _WHITE.search(p)
+            if white is None and p:
+                plain.append(" " + p)
+            elif not p or white.start() == 0:
+                spaced[p] = None
+            else:
+                mixed[p] = _COARSE.findall(" " + p)
+        for s, value in self._joined(plain):
+            spaced[s[1:]] = value
+        if mixed:
+            self._make_known(set().union(*mixed.values()))
+            for p, cut in mixed.items():
+                got = [self.known[s] for s in cut]
+                spaced[p] = (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]))
+
+    def _make_known(self, stretches: set[str]) -> None:
+        known = self.known
+        for s, value in self._joined(self._new(known, stretches)):
+            known[s] = value
+
+    def encode_joined(self, texts: list[str]) -> list[tuple[str, bytes]]:
+        """Per text: its ids joined by one space, and those ids decoded."""
+        out: list = [None] * len(texts)
+        if self.cuttable:
+            cut = [t.split(" ") for t in texts]
+            self._after_space(set().union(*[parts[1:] for parts in cut]))
+            begins = [_COARSE.findall(parts[0]) for parts in cut]
+            spaced = self.spaced
+            after = [[spaced[p] for p in parts[1:]] for parts in cut]
+            slow = [i for i, got in enumerate(after) if None in got]
+        else:
+            begins, after, slow = [[] for _ in texts], [], range(len(texts))
+        whole = {i: self.stretches(texts[i]) for i in slow}
+        self._make_known(set().union(*begins, *whole.values()))
+        known = self.known
+        for i in range(len(texts)):
+            got = [known[s] for s in whole[i]] if i in whole else [known[s] for s in begins[i]] + after[i]
+            out[i] = (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]))
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(x) for ids, _ in self.encode_groups([text])[0] for x in ids.split(" ")]
-
-    def decode_joined(self, joined: str) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, joined.split(" "))) if joined else b""
+        return [int(x) for x in self.encode_joined([text])[0][0].split(" ") if x]
 
     def decode(self, ids) -> bytes:
-        return b"".join(self.token_bytes[str(i)] for i in ids)
+        return b"".join([self.raw[i] for i in ids])
 
 
 @lru_cache(maxsize=2)
@@ -312,13 +391,12 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, text: str =
             for part in slices_by_chars(batch, len(keep), CHARS_AT_A_TIME):
                 counts, ids, id_sha, out_sha = [], [], [], []
                 texts = [t or "" for t in part.column(len(keep)).to_pylist()]
-                for groups in tok.encode_groups(texts):
-                    joined = " ".join([ids_ for ids_, _ in groups])
+                for joined, raw in tok.encode_joined(texts):
                     counts.append(joined.count(" ") + 1 if joined else 0)
                     if with_ids:
                         ids.append(np.fromstring(joined, np.int32, sep=" "))
                     id_sha.append(hashlib.sha256(joined.encode()).hexdigest())
-                    out_sha.append(hashlib.sha256(b"".join([raw for _, raw in groups])).hexdigest())
+                    out_sha.append(hashlib.sha256(raw).hexdigest())
                 cols = [part.column(i) for i in range(len(keep))] + [pa.array(counts, pa.int64())] + \
                     ([_id_lists(ids)] if with_ids else []) + \
                     [pa.array(id_sha, pa.string()), pa.array(out_sha, pa.string())]

@@ -2,8 +2,8 @@
 
 Labels spread along links and shortcut through their own labels until none
 changes: the rounds grow with the logarithm of a component's diameter.
-Every round is written to the shared folder, which cuts the lineage; neither
-links nor labels ever reach the driver, and a hub with any number of links
+Every round is written to the shared folder, which cuts the lineage, and the
+one before is removed; neither links nor labels ever reach the driver, and a hub with any number of links
 is one key of a join (which Spark splits) and of partial aggregates.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwood.session import scratch_path
+from driftwood.sources.sinks import delete_path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -20,7 +21,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of :func:`stored` tables that nothing reads any more."""
+    for table in tables:
+        delete_path(table.sparkSession, table.stored_at)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -37,8 +46,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         best = offers.select("id", F.least("l", "m").alias("l"), F.col("l").alias("was")) \
             .unionByName(offers.select(F.col("l").alias("id"), F.least("l", "m").alias("l"), F.lit(None).cast("long").alias("was"))) \
             .groupBy("id").agg(F.min("l").alias("l"), F.max("was").alias("was"))
-        best = stored(best, "offers")
+        best, old = stored(best, "offers"), labels
         labels = stored(best.join(best.select(F.col("id").alias("j"), F.col("l").alias("ll")), F.col("l") == F.col("j"))
                         .select("id", F.col("ll").alias("l"), (F.col("ll") < F.col("was")).alias("changed")), "labels")
+        discard(best, old)
         if labels.where("changed").isEmpty():
-            return labels.select("id", F.col("l").alias("component"))
+            discard(both)
+            out = labels.select("id", F.col("l").alias("component"))
+            out.stored_at = labels.stored_at
+            return out

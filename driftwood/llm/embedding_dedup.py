@@ -132,28 +132,36 @@ def _linked(cosine: float, least: int):
 
     def pairs_of(x: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Linked pairs (row, column) with row < column where the sides are the same."""
-        dim = x.shape[1]
+        dim, n = x.shape[1], len(cols)
         norm = np.linalg.norm(x, axis=1)
         unit = x / norm[:, None]
         width = WINDOW_SIGMAS * sqrt(2 - 2 * cosine) / sqrt(dim) + slack
         spots = unit @ _directions(dim, DIRECTIONS, 7)
+        # a pair that collides often enough misses fewer windows than this, so it
+        # collides along one of the first directions at least
+        first = DIRECTIONS - least + 1
+        orders = [np.argsort(spots[cols, d], kind="stable") for d in range(first)]
         out_a, out_b = [], []
         same = rows is cols
         for s in range(0, len(rows), 256):                   # queries in blocks
             q = rows[s:s + 256]
-            count = np.zeros((len(q), len(cols)), np.uint8)
-            for d in range(DIRECTIONS):
-                order = np.argsort(spots[cols, d], kind="stable")
-                along = spots[cols, d][order]
-                rank = np.empty(len(cols), np.int32)
-                rank[order] = np.arange(len(cols), dtype=np.int32)
-                lo = np.searchsorted(along, spots[q, d] - width, "left").astype(np.int32)
-                hi = np.searchsorted(along, spots[q, d] + width, "right").astype(np.int32)
-                count += (rank >= lo[:, None]) & (rank < hi[:, None])
-            i, j = np.nonzero(count >= least)
-            i, j = q[i], cols[j]
-            keep = (i < j) if same else slice(None)
-            i, j = i[keep], j[keep]
+            count = np.zeros(len(q) * n, np.uint8)
+            for d in range(first):                            # only what lies in a window is touched
+                along = spots[cols, d][orders[d]]
+                lo = np.searchsorted(along, spots[q, d] - width, "left")
+                inside = np.searchsorted(along, spots[q, d] + width, "right") - lo
+                at = np.arange(int(inside.sum())) + np.repeat(lo - (np.cumsum(inside) - inside), inside)
+                count[orders[d][at] + np.repeat(np.arange(len(q)) * n, inside)] += 1
+            pairs = np.flatnonzero(count)
+            count = count[pairs]
+            i, j = q[pairs // n], cols[pairs % n]
+            if same:
+                keep = i < j
+                i, j, count = i[keep], j[keep], count[keep]
+            for d in range(first, DIRECTIONS):                # what can still collide often enough
+                count = count + (np.abs(spots[i, d] - spots[j, d]) <= width)
+                keep = count >= least - (DIRECTIONS - 1 - d)
+                i, j, count = i[keep], j[keep], count[keep]
             for c in range(0, len(i), 200_000):
                 ii, jj = i[c:c + 200_000], j[c:c + 200_000]
                 close = np.einsum("ij,ij->i", x[ii], x[jj]) / (norm[ii] * norm[jj]) >= cosine

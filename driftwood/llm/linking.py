@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood.llm.arrowtext import group_bounds, whole_groups
-from driftwood.llm.components import connected_components, stored
+from driftwood.llm.components import connected_components, discard, stored
 
 TILE = 2048
 TILE_ITEMS = 2_000_000
@@ -166,9 +166,11 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
         .select("tile", "cid", "half", "label", "n", "items", *[F.get("sketch", F.lit(w)).alias(f"s{w}") for w in range(words)])
     found = stored(rows.repartition("tile").sortWithinPartitions("tile")
                    .mapInArrow(_cross_links(most_odd, words, percent), "a long, b long"), "cross")
-    if found.isEmpty():
-        return labels
-    return connected_components(links.unionByName(found))
+    if not found.isEmpty():
+        first, labels = labels, connected_components(links.unionByName(found))
+        discard(first)
+    discard(members, items, links, dealt, found)
+    return labels
 
 
 # bits of the filter that spares a join the rows that cannot match: 4 MB

@@ -37,7 +37,9 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"),
+                      # what is left, as text (a cut inside a character leaves a replacement character)
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"))
 
 
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
