@@ -15,6 +15,7 @@ from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from driftwood.functions.keys import composite_key, key_part, period_key
 from driftwood.functions.text import (damage_as_cp1252, damage_as_latin1, is_non_numeric, parse_double,
@@ -629,6 +630,16 @@ def q_mojibake_cp1252(spark, sf):
     return docs.select("doc_id", repair_mojibake(damaged).alias("text"))
 
 
+@query("text_cleanup", """
+SELECT doc_id, text || chr(10) || '"plain" ' || chr(39) || 'quotes' || chr(39) || chr(10) || 'end' || chr(9) || '.' AS text FROM documents""")
+def q_text_cleanup(spark, sf):
+    """Typographic quotes, line breaks of other systems and control characters
+    around every text, as the optional cleaning of a load removes them."""
+    from driftwood.plans.jobs import clean_strings
+    noisy = F.concat(F.lit("\x01"), F.col("text"), F.lit("\r\n\u201cplain\u201d \u2018quotes\u2019\u2028\x07end\t."))
+    return clean_strings(T(spark, sf, "documents").select("doc_id", noisy.alias("text")))
+
+
 # Clean text that a single-byte reading could take for damage.
 CLEAN_MARKS = " « LIBERTÉ\u00a0! », là\u00a0», Á\u2019, 日本語 Ωé"
 
@@ -1130,6 +1141,13 @@ def q_outlier_csv(spark, sf):
 # The jobs end to end on the driver tables
 # ------------------------------------------------------------------------
 
+def _stored_by(spark, path: str, period: str) -> DataFrame:
+    """A table stored by a text period; its columns in the order of their names."""
+    from driftwood.sources.sinks import read_stored
+    df = read_stored(spark, path, "parquet", period, StringType())
+    return df.select(*sorted(df.columns))
+
+
 @query("job_formatted_orders", """
 SELECT o_custkey, o_orderdate, o_orderkey,
        CASE WHEN year(o_orderdate) % 2 = 1 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
@@ -1150,12 +1168,12 @@ def q_job_formatted_orders(spark, sf):
             f = f.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
         write_table(f.toDF(*[c.upper() for c in f.columns]), f"{root}/{y}_orders.parquet")
     target = scratch_path(spark, "formatted-orders")
-    cfg = SourceConfig(root=root, target=target, keys=["o_orderkey"], key_len=4, key_col="year",
+    cfg = SourceConfig(root=root, target=target, keys=["o_orderkey", "year"], key_len=4, key_col="year",
                        overrides={"o_totalprice": "double"}, outliers=True,
                        outlier_exclude=["o_orderkey", "o_custkey"], factor=3.0,
-                       report_dir=scratch_path(spark, "order-outliers"))
+                       report_dir=scratch_path(spark, "order-outliers"), partition_by="year")
     format_and_load(spark, cfg)
-    return spark.read.parquet(target)
+    return _stored_by(spark, target, "year")
 
 
 RECONCILE_LOOKUP_SQL = """
@@ -1370,11 +1388,11 @@ def q_job_monthly_drops(spark, sf):
                 part = part.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
             write_table(part, f"{root}/{y}_{m:02d}_orders.parquet")
     target = scratch_path(spark, "monthly-table")
-    format_and_load(spark, SourceConfig(root=root, target=target, keys=["o_orderkey"], key_len=7,
+    format_and_load(spark, SourceConfig(root=root, target=target, keys=["o_orderkey", "month"], key_len=7,
                                         key_col="month", min_columns=2, split_bound="1998_03",
                                         cast_all=True, outliers=True,
-                                        outlier_exclude=["o_orderkey", "o_custkey"]))
-    return spark.read.parquet(target)
+                                        outlier_exclude=["o_orderkey", "o_custkey"], partition_by="month"))
+    return _stored_by(spark, target, "month")
 
 
 @query("stream_drop_load", """
@@ -1395,5 +1413,5 @@ def q_stream_drop_load(spark, sf):
         for y in wave:
             write_table(orders.where(_year_range("o_orderdate", y)), f"{root}/{y}_orders.parquet")
         checkpoint = load_new_drops(spark, root, orders.schema, 4, "year", target,
-                                    ["o_orderkey", "year"], checkpoint=checkpoint)
-    return spark.read.parquet(target)
+                                    ["o_orderkey", "year"], checkpoint=checkpoint, partition_by="year")
+    return _stored_by(spark, target, "year")

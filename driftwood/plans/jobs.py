@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwood.functions.text import parse_double, repair_text
+from driftwood.functions.text import parse_double, plain_quotes, repair_text, unix_lines, without_controls
 from driftwood.operators import dedupe as dd
 from driftwood.operators import features as ft
 from driftwood.operators import frames as fr
@@ -143,6 +143,7 @@ class SourceConfig:
     ranges: dict = field(default_factory=dict)         # C1
     parse_double_cols: list = field(default_factory=list)  # X1
     repair_text: bool = True            # X2
+    clean_text: bool = False            # X2: plain quotes, line feeds, no control characters
     outliers: bool = False              # E4..E7
     distinct_threshold: int = 10
     outlier_exclude: list = field(default_factory=list)
@@ -163,6 +164,12 @@ def repair_strings(df: DataFrame, repair=repair_text) -> DataFrame:
                        else F.col(_q(f.name)) for f in df.schema.fields])
 
 
+def clean_strings(df: DataFrame) -> DataFrame:
+    """Plain quotes, line feeds only and no control characters in every string
+    column (X2, optional), one projection."""
+    return repair_strings(df, lambda c: without_controls(unix_lines(plain_quotes(c))))
+
+
 def _prepare(family, cfg: SourceConfig):
     out = OrderedDict()
     for sid, df in family.items():
@@ -199,6 +206,8 @@ def _finish(df: DataFrame, cfg: SourceConfig, target: str, counters: dict) -> di
     df = dd.dedupe(df, cfg.keys)                                  # E3
     if cfg.repair_text:                                           # X2
         df = repair_strings(df)
+    if cfg.clean_text:
+        df = clean_strings(df)
     df, counters["unique"] = dd.observed(df, f"unique-{uuid.uuid4().hex[:8]}")
     result = {"target": target, "bounds": {}, "report": None}
     # when several actions follow (probe, quantiles, report, dump, upsert) the

@@ -280,6 +280,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys, fmt: st
     merged, written = observed(merged, f"written-{run}")
     if by_period:
         merged = cluster_by_period(merged, partition_by, sizes, keys, rows_per_file)
+    elif partition_by:
+        merged = merged.hint("rebalance", F.col(_q(partition_by)))
     write_table(merged, staged, "overwrite", fmt, partition_by, rows_per_file if by_period else None)
     if by_period and exists:
         swap_partitions(spark, staged, path)
