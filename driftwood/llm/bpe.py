@@ -100,9 +100,15 @@ class RankQueueEncoder:
     one never touch another, and a bucket is drained for all of them.  The
     list holds ids; the rank of two neighbours, which is the id they merge
     to, is looked up by both ids.
+
+    Large buckets are drained with array operations, while many pre-tokens
+    still wait for the frequent, low ranks.  Where a merge would lead to a rank
+    not above its own (trained ranks hardly ever do), which has to go first,
+    that bucket and all after it are drained entry by entry.
     """
 
     WORD = 256                                             # ranks per bitmap word
+    MANY, LARGE, PATIENCE = 20_000, 24, 64                 # bytes, bucket entries, small buckets in a row
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -118,6 +124,9 @@ class RankQueueEncoder:
                 left, right = ranks.get(token[:i], -1), ranks.get(token[i:], -1)
                 if left >= 0 and right >= 0:
                     self.merged[left * n + right] = rank
+        keys = np.array(sorted(self.merged), np.int64)
+        self.keys = np.append(keys, np.iinfo(np.int64).max)
+        self.values = np.array([self.merged[k] for k in keys.tolist()] + [-1], np.int64)
 
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each pre-token (none empty)."""
@@ -138,26 +147,21 @@ class RankQueueEncoder:
         raw = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
         total = len(raw)
         ends = np.cumsum([len(p) for p in pieces])
-        ids = self.of_byte[raw].tolist()
         ranks = np.full(total, -1, np.int64)               # rank of (position, successor); -1: none
         ranks[:-1] = self.of_bytes[raw[:-1] << 8 | raw[1:]]
         ranks[ends - 1] = -1
         after, before = np.arange(1, total + 1), np.arange(-1, total - 1)
         after[ends - 1] = -1                               # no neighbours across pre-tokens
         before[ends[:-1]] = before[0] = -1
-        pair, after, before = ranks.tolist(), after.tolist(), before.tolist()
         # the bitmap words, one bit per filled word, and the buckets
         low, top, buckets = self.low, 0, {}
         filled = np.flatnonzero(ranks >= 0)
-        filled = filled[np.argsort(ranks[filled], kind="stable")]
-        of = ranks[filled]
-        cuts = np.flatnonzero(np.diff(of, prepend=-1)).tolist() + [len(of)]
-        places, of = filled.tolist(), of.tolist()
-        for s, e in zip(cuts[:-1], cuts[1:]):
-            r = of[s]
-            buckets[r] = places[s:e]
-            low[r // width] |= 1 << r % width
-            top |= 1 << r // width
+        top = self._fill(buckets, top, filled, ranks[filled])
+        ids = self.of_byte[raw]
+        if total >= self.MANY:
+            top = self._drain_large(ids, ranks, after, before, buckets, top)
+        buckets = {r: np.concatenate(parts).tolist() for r, parts in buckets.items()}
+        ids, pair, after, before = ids.tolist(), ranks.tolist(), after.tolist(), before.tolist()
 
         while top:
             # find-first-set, level by level: the lowest filled rank
@@ -169,6 +173,7 @@ class RankQueueEncoder:
             if not low[w]:
                 top ^= 1 << w
             bucket.sort()                                  # leftmost first within a pre-token
+            row = rank * size
             for k, i in enumerate(bucket):
                 if pair[i] != rank:                        # stale: this pair is gone
                     continue
@@ -180,7 +185,7 @@ class RankQueueEncoder:
                 r = -1
                 if nxt >= 0:
                     before[nxt] = i
-                    r = get(rank * size + ids[nxt], -1)
+                    r = get(row + ids[nxt], -1)
                     if r >= 0:
                         if r in buckets:
                             buckets[r].append(i)
@@ -224,6 +229,73 @@ class RankQueueEncoder:
             at += n
 
 
+    def _fill(self, buckets: dict, top: int, places: np.ndarray, ranks: np.ndarray) -> int:
+        """Put places into the buckets of their ranks; the new top bits."""
+        order = np.argsort(ranks, kind="stable")
+        places, ranks = places[order], ranks[order]
+        cuts = np.flatnonzero(np.diff(ranks, prepend=-1)).tolist()
+        for r, s, e in zip(ranks[cuts].tolist(), cuts, cuts[1:] + [len(ranks)]):
+            if r in buckets:
+                buckets[r].append(places[s:e])
+            else:
+                buckets[r] = [places[s:e]]
+                w = r // self.WORD
+                self.low[w] |= 1 << r % self.WORD
+                top |= 1 << w
+        return top
+
+    def _drain_large(self, ids, pair, after, before, buckets: dict, top: int) -> int:
+        """Drain buckets, lowest rank first, until they have become small."""
+        low, width, small = self.low, self.WORD, 0
+        while top and small < self.PATIENCE:
+            w = (top & -top).bit_length() - 1
+            rank = w * width + (low[w] & -low[w]).bit_length() - 1
+            low[w] &= low[w] - 1
+            if not low[w]:
+                top ^= 1 << w
+            bucket = buckets.pop(rank)
+            at = bucket[0] if len(bucket) == 1 else np.concatenate(bucket)
+            small = small + 1 if len(at) < self.LARGE else 0
+            at = at[pair[at] == rank]                      # the others are stale
+            if not len(at):
+                continue
+            every = at = np.unique(at)                     # leftmost first
+            chained = np.flatnonzero(after[at[:-1]] == at[1:])
+            if len(chained):                               # a run of one token: every other pair
+                starts = np.ones(len(at), bool)
+                starts[chained + 1] = False
+                first = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
+                at = at[(np.arange(len(at)) - first) % 2 == 0]
+            gone = after[at]
+            ahead = after[gone]
+            some = ahead >= 0
+            was = ids[at], ids[gone], pair[gone]
+            # a neighbour that this bucket merges, too, is met unmerged first
+            early = self._ranks(rank, ids[ahead[some]])
+            ids[at], ids[gone], pair[gone] = rank, -1, -1
+            after[at] = ahead
+            before[ahead[some]] = at[some]
+            behind = before[at]
+            changed = np.unique(np.concatenate([at, behind[behind >= 0]]))
+            follows = after[changed]
+            new = np.where(follows >= 0, self._ranks(ids[changed], ids[follows]), -1)
+            if ((early >= 0) & (early <= rank)).any() or ((new >= 0) & (new <= rank)).any():
+                ids[at], ids[gone], pair[gone] = was
+                after[at] = gone
+                before[ahead[some]] = gone[some]
+                return self._fill(buckets, top, every, np.full(len(every), rank, np.int64))
+            fresh = (new >= 0) & (new != pair[changed])
+            pair[changed] = new
+            top = self._fill(buckets, top, changed[fresh], new[fresh])
+        return top
+
+    def _ranks(self, left, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids, -1 for none."""
+        keys = left * self.size + right
+        found = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[found] == keys, self.values[found], -1)
+
+
 # Pieces that begin and end where pre-tokens of a CUTTABLE pattern do.
 _COARSE = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 _WHITE = re.compile(f"[{WHITE_SPACE}]")
@@ -294,9 +366,13 @@ class Tokenizer:
 
     def _joined(self, new: list[str]) -> Iterator[tuple[str, tuple[str, bytes]]]:
         """Each stretch with its ids joined by one space, and those ids decoded."""
-        cut, ids = self._pieces(new)
+        cut, spaced = list(map(self.split, new)), self.spaced
+        pieces = set().union(*cut)
+        of = {p: spaced.get(p[1:]) for p in pieces if p[0] == " "}      # merged with other stretches before
+        todo = [p for p in pieces if of.get(p) is None]
         name, raw = self.names.__getitem__, self.raw.__getitem__
-        of = {p: (" ".join(map(name, x)), b"".join(map(raw, x))) for p, x in ids.items()}
+        for p, ids in zip(todo, self.queue.encode([p.encode("utf-8", "replace") for p in todo])):
+            of[p] = (" ".join(map(name, ids)), b"".join(map(raw, ids)))
         for s, got in zip(new, cut):
             if len(got) == 1:
                 yield s, of[got[0]]

@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 
 from driftwood.llm import minhash as mh
 from driftwood.llm.arrowtext import longs, slices_by_chars, text_bytes
+from driftwood.llm.bitmaps import LEAST_BITS, MOST_BITS, broadcast_bitmap, has
 from driftwood.llm.components import stored
 
 LONGEST = 4
@@ -61,8 +62,6 @@ NO_LANGUAGE = "und"
 # as many pieces reaches SAMPLE_LEAST there with a probability of 0.9
 SAMPLE_ONE_IN = 8
 SAMPLE_LEAST = 2
-BITS_PER_PHRASE = 16
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27             # 128 kB to 16 MB
 # text that a task numbers at a time; more where few phrases come out of it
 BYTES_AT_A_TIME, FREQUENT_BYTES_AT_A_TIME = 3_000_000, 10_000_000
 
@@ -70,7 +69,6 @@ _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
 _KIND[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = _BREAK
-_CHUNK = 32768
 
 
 def _words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -111,11 +109,6 @@ def _hashes(words: pa.Array) -> np.ndarray:
     return mh.mix(out + lengths.astype(np.uint64) * mh._PLACE[63])
 
 
-def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = (hashes >> np.uint64(3)) & np.uint64(8 * len(bitmap) - 1)
-    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A number per value, and a place and the count of each number."""
     ids, values = pd.factorize(codes)
@@ -143,9 +136,9 @@ class _Level:
         """``counted``: by the first pass; ``open``: longer phrases may follow."""
         self.counted = counted
         if proposed is not None:
-            self.open = self.proposed = _has(proposed, self.hashes)
+            self.open = self.proposed = has(proposed, self.hashes)
         if frequent is not None:
-            self.open = _has(frequent, self.hashes) | ~counted
+            self.open = has(frequent, self.hashes) | ~counted
 
 
 def _levels(words: pa.DictionaryArray, piece: np.ndarray, lang: np.ndarray, lang_hash: np.ndarray, longest: int,
@@ -245,20 +238,7 @@ def _last_counts(proposed, frequent, longest: int):
 
 
 def _bitmap(phrases: DataFrame):
-    """The hashes ``h`` as a bitmap, broadcast: at most ``MOST_BITS`` bits."""
-    bits = LEAST_BITS
-    while bits < min(MOST_BITS, BITS_PER_PHRASE * phrases.count()):
-        bits *= 2
-    place = F.shiftrightunsigned("h", 3).bitwiseAND(F.lit(bits - 1))
-    rows = phrases.select(place.alias("p")) \
-        .groupBy(F.shiftright("p", 15).alias("c")).agg(F.bitmap_construct_agg((F.col("p") % _CHUNK).cast("int")).alias("b")) \
-        .collect()                                                # at most MOST_BITS / 32768 rows of 4 kB
-    out = np.zeros(bits // 8, np.uint8)
-    for r in rows:
-        part = np.frombuffer(bytes(r["b"]), np.uint8)
-        at = out[r["c"] * (_CHUNK // 8):][:len(part)]
-        at[:] = part[:len(at)]
-    return phrases.sparkSession.sparkContext.broadcast(out.tobytes())
+    return broadcast_bitmap(phrases, "h", LEAST_BITS, MOST_BITS)
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang",

@@ -15,17 +15,18 @@ rejected.  Ties go to the first language in alphabetical order and are
 rejected.  Repeated rows give repeated results; an empty table gives an
 empty result; columns of the input that clash with an output name are
 replaced.  Without any labelled row every text is ``und``.
-More than ``MOST_LANGUAGES`` distinct labels are refused with a
-``ValueError``, and no row comes.
+At most ``MOST_LANGUAGES`` labels are learned, those of most rows (ties in
+alphabetical order), and all dictionaries together take ``ALL_BYTES`` at most,
+so a label column of free text bounds no task's memory.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,14 +41,13 @@ UNDETERMINED = "und"
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 1_000
 DICTIONARY_BYTES = 128 << 10
-# more languages than this are refused: the dictionaries go to every task
+# the dictionaries go to every task: languages learned, and bytes of all together
 MOST_LANGUAGES = 500
+ALL_BYTES = 16 << 20
 
+# one setting for texts of every length
 BLOCK_BYTES = 4096
-LEVEL = 3
-# short texts have few matches to find: a thorough search costs little there
-SHORT_BYTES = 512
-SHORT_LEVEL = 12
+LEVEL, MIN_MATCH = 6, 3
 
 # a margin below this many bytes, or below this share of the runner-up's size, is narrow
 MARGIN_BYTES = 1
@@ -55,11 +55,12 @@ MARGIN_SHARE = 0.005
 
 CHARS_AT_A_TIME = 4_000_000
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# marks belong to letters: some scripts write vowels with them
+_NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str) -> str:
-    """Lower-cased text in which everything but letters is one space."""
+    """Lower-cased text in which everything but letters and their marks is one space."""
     return _NOT_LETTERS.sub(" ", text.lower()).strip()
 
 
@@ -74,11 +75,11 @@ def learn(docs: DataFrame, where: Column, key: Column, text: str = "text", lang:
     labelled = docs.where(where & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
         .select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+              .orderBy(F.col("n").desc(), "lang").limit(MOST_LANGUAGES).collect()}
     if not counts:
         return {}
+    labelled = labelled.where(F.col("lang").isin(list(counts)))
+    size = min(size, ALL_BYTES // len(counts))
     # first thin out to about twice the sample by the hash, then rank what is left
     span = 1 << 30
     share = F.create_map(*[F.lit(x) for l, n in counts.items()
@@ -99,17 +100,16 @@ class Classifier:
     """Compresses a text once per language."""
 
     def __init__(self, dictionaries: tuple[tuple[str, bytes], ...]):
-        def compressor(data: bytes, level: int, **more) -> zstandard.ZstdCompressor:
+        def compressor(data: bytes) -> zstandard.ZstdCompressor:
             params = zstandard.ZstdCompressionParameters.from_level(
-                level, dict_size=len(data), source_size=BLOCK_BYTES, write_content_size=0,
-                write_checksum=0, write_dict_id=0, **more)
+                LEVEL, min_match=MIN_MATCH, dict_size=len(data), source_size=BLOCK_BYTES, write_content_size=0,
+                write_checksum=0, write_dict_id=0)
             own = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             own.precompute_compress(compression_params=params)
             return zstandard.ZstdCompressor(dict_data=own, compression_params=params)
 
         self.languages = [l for l, _ in dictionaries]
-        self.long = [compressor(d, LEVEL).compress for _, d in dictionaries]
-        self.short = [compressor(d, SHORT_LEVEL, min_match=3).compress for _, d in dictionaries]
+        self.compress = [compressor(d).compress for _, d in dictionaries]
 
     def classify(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score between 0 and 1, and whether the margin is narrow."""
@@ -117,11 +117,8 @@ class Classifier:
         if not self.languages or not any(map(str.isalpha, plain)):
             return UNDETERMINED, 0.0, True
         data = plain.encode("utf-8", "replace")
-        if len(data) <= SHORT_BYTES:
-            sizes = [len(c(data)) for c in self.short]
-        else:
-            blocks = [data[i:i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
-            sizes = [sum([len(c(b)) for b in blocks]) for c in self.long]
+        blocks = [data[i:i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
+        sizes = [sum([len(c(b)) for b in blocks]) for c in self.compress]
         best = min(sizes)
         at = sizes.index(best)
         others = sizes[:at] + sizes[at + 1:]

@@ -30,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 from driftwood.llm import minhash as mh
-from driftwood.llm.arrowtext import lists, ragged, slices_by_chars
+from driftwood.llm.arrowtext import lists, slices_by_chars
+from driftwood.llm.bitmaps import broadcast_bitmap, has
 from driftwood.llm.components import stored
 from driftwood.llm.linking import maybe_in, near_components
 
@@ -40,7 +42,7 @@ SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 22, 4
 TRIMMED = " \t\r"
-SKETCH_SAMPLES, SKETCH_WORDS = 512, 8
+_SIGN = 1 << 63
 CHARS_AT_A_TIME = 1_000_000
 
 
@@ -48,79 +50,108 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _plain(line: Column) -> Column:
-    return F.btrim(line, F.lit(TRIMMED))
+def _plain(text: str) -> list[str]:
+    """The trimmed lines of a text."""
+    return [line.strip(TRIMMED) for line in text.split("\n")]
 
 
-def _digest(line: Column) -> Column:
-    """Digest of a trimmed line; null for a blank one."""
-    return F.when(_plain(line) != "", F.xxhash64(_plain(line)))
+def _digest(line: str) -> int:
+    """Signed 64-bit digest of a trimmed line."""
+    return (xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42) ^ _SIGN) - _SIGN
 
 
-def _distinct_lines(docs: DataFrame, text: str) -> DataFrame:
-    """``cid, line`` for every line that can link with another than its equals."""
-    return docs.select(F.explode(_lines(F.col(f"`{text}`"))).alias("line")).select(_plain(F.col("line")).alias("line")) \
-        .where(F.length("line") >= SHINGLE).select(F.xxhash64("line").alias("cid"), "line")
+def line_digests(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``id, row, digests`` of every text: the digests of its lines, null for
+    blank ones (``row``: digest of the text)."""
+    schema = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("row", T.LongType()),
+                           T.StructField("digests", T.ArrayType(T.LongType()))])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices_by_chars(batch, 2, CHARS_AT_A_TIME):
+                digests = [[_digest(x) if x else None for x in _plain(t)] for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(digests, pa.list_(pa.int64()))],
+                                                 names=["id", "row", "digests"])
+
+    t = F.col(f"`{text}`")
+    return docs.where(t.isNotNull()).select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(t).alias("row"), t.alias("text")) \
+        .mapInArrow(run, schema)
 
-def _banded(lines: DataFrame) -> DataFrame:
-    """``cid, bands`` for rows ``cid, line``; lines a task has just seen are left out."""
+
+def _banded(texts: DataFrame) -> DataFrame:
+    """``cid, bands`` for the lines of rows ``text``; lines a task has just seen are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for part in slices_by_chars(batch, 1, CHARS_AT_A_TIME):
-                ids, texts = [], []
+            for part in slices_by_chars(batch, 0, CHARS_AT_A_TIME):
                 if len(seen) > 200_000:
                     seen.clear()
-                for cid, line in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if cid not in seen:
-                        seen.add(cid)
-                        ids.append(cid)
-                        texts.append(line)
-                if ids:
-                    values, counts = mh.char_shingles(texts, SHINGLE)
+                lines = {}
+                for t in part.column(0).to_pylist():
+                    for x in _plain(t):
+                        if len(x) >= SHINGLE and (cid := _digest(x)) not in seen:
+                            seen.add(cid)
+                            lines[cid] = x
+                if lines:
+                    values, counts = mh.char_shingles(list(lines.values()), SHINGLE)
                     keys = mh.band_keys(mh.signatures(values, counts, BANDS * ROWS), BANDS, ROWS)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists(keys)], names=["cid", "bands"])
+                    yield pa.RecordBatch.from_arrays([pa.array(list(lines), pa.int64()), lists(keys)], names=["cid", "bands"])
+
+    return texts.mapInArrow(run, "cid long, bands array<long>")
+
+
+def _wanted_lines(texts: DataFrame, wanted) -> DataFrame:
+    """``cid, line`` for the lines of rows ``text`` that the bitmap holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(wanted.value, np.uint8)
+        for batch in batches:
+            for part in slices_by_chars(batch, 0, CHARS_AT_A_TIME):
+                lines = {_digest(x): x for t in part.column(0).to_pylist() for x in _plain(t) if len(x) >= SHINGLE}
+                if lines:
+                    cids = np.array(list(lines), np.int64)
+                    held = pa.array(has(bitmap, cids.view(np.uint64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(cids).filter(held), pa.array(list(lines.values()), pa.string()).filter(held)],
+                                                     names=["cid", "line"])
+
+    return texts.mapInArrow(run, "cid long, line string")
+
 
-    return lines.mapInArrow(run, "cid long, bands array<long>")
+def _unpack(payload: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sets that are kept as their lines, which take an eighth of the shingles' space."""
+    return mh.distinct_sets(*mh.char_shingles(payload.to_pylist(), SHINGLE))
 
 
 def _sets(lines: DataFrame) -> DataFrame:
-    """``cid, n, sketch, items`` for rows ``cid, line``."""
+    """``cid, n, payload`` for rows ``cid, line``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices_by_chars(batch, 1, CHARS_AT_A_TIME):
-                values, counts = mh.distinct_sets(*mh.char_shingles(part.column(1).to_pylist(), SHINGLE))
-                sketch = mh.odd_sketches(mh.signatures(values, counts, SKETCH_SAMPLES), SKETCH_WORDS)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), lists(sketch), ragged(values, counts)],
-                    names=["cid", "n", "sketch", "items"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_unpack(part.column(1))[1]), part.column(1)],
+                                                 names=["cid", "n", "payload"])
 
-    return lines.mapInArrow(run, "cid long, n long, sketch array<long>, items array<long>")
+    return lines.mapInArrow(run, "cid long, n long, payload string")
 
 
 def line_components(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``id, component`` over the digests of lines that link with another line."""
-    classes = _banded(_distinct_lines(docs, text))
+    texts = docs.select(F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull())
 
     def sets_for(cids: DataFrame) -> DataFrame:
         want = stored(cids, "line-wanted")
-        mine = maybe_in(_distinct_lines(docs, text), F.col("cid"), want, "cid").where("_dw_hit") \
-            .groupBy("cid").agg(F.first("line").alias("line")).join(want, "cid", "left_semi")
-        return _sets(mine.select("cid", "line"))
+        mine = _wanted_lines(texts, broadcast_bitmap(want, "cid")).groupBy("cid").agg(F.first("line").alias("line"))
+        return _sets(mine.join(want, "cid", "left_semi").select("cid", "line"))
 
-    return near_components(classes, sets_for, mh.most_odd_bits(SKETCH_SAMPLES, SKETCH_WORDS, percent / 100),
-                           SKETCH_WORDS, percent)
+    return near_components(_banded(texts), sets_for, _unpack, percent)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents without the lines that repeat an earlier line."""
     t = F.col(f"`{text}`")
-    row = [F.col(f"`{doc_id}`").alias("id"), F.xxhash64(t).alias("row")]
-    places = docs.select(*row, F.posexplode(_lines(t)).alias("no", "line")) \
-        .select("id", "row", "no", _digest(F.col("line")).alias("cid")).where("cid is not null")
+    places = stored(line_digests(docs, doc_id, text), "line-places") \
+        .select("id", "row", F.posexplode("digests").alias("no", "cid")).where("cid is not null")
     first = places.groupBy("cid").agg(F.min(F.struct("id", "no", "row")).alias("first"), F.count(F.lit(1)).alias("m"))
     labels = stored(line_components(docs, text, percent), "line-labels")
     # the place that stays: per linked component, and per line that only repeats itself

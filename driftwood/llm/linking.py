@@ -7,8 +7,8 @@ are not paired off within a bucket:
 1. every class is checked against the first class of each of its buckets;
    most groups become one component this way;
 2. buckets that still hold several components go, with the full sets of their
-   classes, to tasks that look across components only: where the odd sketches
-   allow the similarity, the sets are intersected at once, and what links is
+   classes, to tasks that look across components only: where sizes (and odd
+   sketches) allow the similarity, the sets are intersected at once, and what links is
    one component from there on.  A task returns at most one link fewer than
    it has components, never the pairs it looked at.
 
@@ -31,7 +31,8 @@ from driftwood.llm.arrowtext import group_bounds, whole_groups
 from driftwood.llm.components import connected_components, discard, stored
 
 TILE = 2048
-TILE_ITEMS = 2_000_000
+TILE_ITEMS = 400_000
+ITEMS_AT_A_TIME = 256                # of a row that is held against all others
 
 
 def _differing(x: Column, y: Column, words: int) -> Column:
@@ -39,20 +40,47 @@ def _differing(x: Column, y: Column, words: int) -> Column:
                F.bit_count(F.get(x, F.lit(0)).bitwiseXOR(F.get(y, F.lit(0)))))
 
 
-def _check(pairs: DataFrame, info: DataFrame, items: DataFrame, most_odd: int, words: int,
-           percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link: sketches first, then the full sets."""
-    def side(df, name, **cols):
-        return df.select(F.col("cid").alias(name), *[F.col(c).alias(n) for n, c in cols.items()])
+def _near_pairs(pairs: DataFrame, info: DataFrame, most_odd: int, words: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sizes, and sketches if there are any, allow the
+    similarity, with the size of ``b``."""
+    def side(name, n, sketch):
+        return info.select(F.col("cid").alias(name), F.col("n").alias(n), *([F.col("sketch").alias(sketch)] if words else []))
 
-    sized = pairs.join(side(info, "a", na="n", sa="sketch"), "a").join(side(info, "b", nb="n", sb="sketch"), "b")
-    near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & \
-        (_differing(F.col("sa"), F.col("sb"), words) <= most_odd)
-    full = sized.where(near).select("a", "b", "na", "nb") \
-        .join(side(items, "a", xa="items"), "a").join(side(items, "b", xb="items"), "b")
-    both = F.size(F.array_intersect("xa", "xb"))
-    return full.withColumn("i", both).where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))) \
-        .select("a", "b")
+    sized = pairs.join(side("a", "na", "sa"), "a").join(side("b", "nb", "sb"), "b")
+    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    if words:
+        near = near & (_differing(F.col("sa"), F.col("sb"), words) <= most_odd)
+    return sized.where(near).select("a", "b", "nb")
+
+
+def _tiles(m: Column, total: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(m / F.lit(TILE)), F.ceil(total / F.lit(TILE_ITEMS))).cast("int")
+
+
+def _first_links(unpack: Callable, percent: int):
+    """For rows ``tile, member, cid, payload`` sorted by tile and member, of
+    which the first of a tile is the class that the others are held against:
+    the pairs ``a, b`` that link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            tile, cid = table.column(0).to_numpy(), table.column(2).to_numpy()
+            values, n = unpack(table.column(3).combine_chunks())
+            ends = np.cumsum(n)
+            bounds = group_bounds(tile)
+            for s, e in zip(bounds[:-1], bounds[1:]):
+                if e - s < 2:
+                    continue
+                own, others, sizes = values[ends[s] - n[s]:ends[s]], values[ends[s]:ends[e - 1]], n[s + 1:e]
+                own = np.sort(own)
+                at = np.minimum(np.searchsorted(own, others), len(own) - 1)
+                both = np.add.reduceat((own[at] == others).astype(np.int64), np.cumsum(sizes) - sizes)
+                good = np.flatnonzero(100 * both >= percent * (n[s] + sizes - both)) + s + 1
+                if len(good):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(good), cid[s], np.int64)), pa.array(cid[good])],
+                                                     names=["a", "b"])
+
+    return run
 
 
 def _root(root: list[int], x: int) -> int:
@@ -61,17 +89,25 @@ def _root(root: list[int], x: int) -> int:
     return x
 
 
-def _spanning(cid: np.ndarray, half: np.ndarray, label: np.ndarray, n: np.ndarray, sketch: np.ndarray,
-              items: pa.ListArray, most_odd: int, percent: int) -> list[tuple[int, int]]:
+def _spanning(cid: np.ndarray, half: np.ndarray, label: np.ndarray, n: np.ndarray, sketch: np.ndarray | None,
+              items: np.ndarray, most_odd: int, percent: int) -> list[tuple[int, int]]:
     """Links across labels (as row numbers) that join what the similarity
-    joins; rows of different halves are compared, or all if there is one."""
+    joins; rows of different halves are compared, or all if there is one.
+    ``items``: the sets, ``n`` values each, one after the other.
+
+    With sketches a row is held against the rows that they allow; without,
+    the rows that hold its items are counted.
+    """
     _, ids = np.unique(label, return_inverse=True)
     root = list(range(int(ids.max()) + 1))
     # every item as a small number, so that a row is marked and all others are counted against it
-    _, item = np.unique(items.flatten().to_numpy(), return_inverse=True)
+    item = np.unique(items, return_inverse=True)[1].astype(np.int32)
     ends = np.cumsum(n)
     begins = ends - n
     mark = np.zeros(int(item.max(initial=-1)) + 1, bool)
+    if sketch is None:
+        holders = np.repeat(np.arange(len(n), dtype=np.int32), n)[np.argsort(item, kind="stable")]
+        upto = np.cumsum(np.bincount(item)).astype(np.int32)
     links, across = [], bool((half != half[0]).any())
     seekers = np.flatnonzero(half == half.min()) if across else np.arange(len(cid))
     if not across:                                # rows of the largest component are found by the others
@@ -85,14 +121,25 @@ def _spanning(cid: np.ndarray, half: np.ndarray, label: np.ndarray, n: np.ndarra
         near = np.flatnonzero(near)
         if not len(near):
             continue
-        near = near[np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1, dtype=np.int64) <= most_odd]
-        if not len(near):
-            continue
-        mark[item[begins[i]:ends[i]]] = True
-        sizes = n[near]
-        at = np.repeat(begins[near] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        both = np.add.reduceat(mark[item[at]].astype(np.int64), np.cumsum(sizes) - sizes)
-        mark[item[begins[i]:ends[i]]] = False
+        if sketch is None:
+            own = item[begins[i]:ends[i]]
+            sizes = upto[own] - np.where(own > 0, upto[own - 1], 0)
+            both = np.zeros(len(n), np.int64)
+            for c in range(0, len(own), ITEMS_AT_A_TIME):
+                some = sizes[c:c + ITEMS_AT_A_TIME]
+                at = np.repeat(upto[own[c:c + ITEMS_AT_A_TIME]] - np.cumsum(some, dtype=np.int32), some) + \
+                    np.arange(int(some.sum()), dtype=np.int32)
+                both += np.bincount(holders[at], minlength=len(n))
+            both = both[near]
+        else:
+            near = near[np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1, dtype=np.int64) <= most_odd]
+            if not len(near):
+                continue
+            mark[item[begins[i]:ends[i]]] = True
+            sizes = n[near]
+            at = np.repeat(begins[near] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+            both = np.add.reduceat(mark[item[at]].astype(np.int64), np.cumsum(sizes) - sizes)
+            mark[item[begins[i]:ends[i]]] = False
         linked = False
         for j in near[100 * both >= percent * (n[near] + n[i] - both)]:
             a, b = _root(root, int(ids[i])), _root(root, int(ids[j]))
@@ -105,8 +152,8 @@ def _spanning(cid: np.ndarray, half: np.ndarray, label: np.ndarray, n: np.ndarra
     return links
 
 
-def _cross_links(most_odd: int, words: int, percent: int):
-    """For rows ``tile, cid, half, label, n, items, s0…`` sorted by tile: the
+def _cross_links(unpack: Callable, most_odd: int, words: int, percent: int):
+    """For rows ``tile, cid, half, label, payload, s0…`` sorted by tile: the
     spanning links ``a, b`` across labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,11 +162,12 @@ def _cross_links(most_odd: int, words: int, percent: int):
             bounds = group_bounds(tile)
             for s, e in zip(bounds[:-1], bounds[1:]):
                 part = table.slice(s, e - s)
-                cid, half, label, n = (part.column(i).to_numpy() for i in range(1, 5))
+                cid, half, label = (part.column(i).to_numpy() for i in range(1, 4))
                 if (label == label[0]).all():
                     continue
-                sketch = np.stack([part.column(6 + w).to_numpy() for w in range(words)], axis=1).astype(np.uint64)
-                links = _spanning(cid, half, label, n, sketch, part.column(5).combine_chunks(), most_odd, percent)
+                sketch = np.stack([part.column(5 + w).to_numpy() for w in range(words)], axis=1).astype(np.uint64) if words else None
+                values, n = unpack(part.column(4).combine_chunks())
+                links = _spanning(cid, half, label, n, sketch, values, most_odd, percent)
                 if links:
                     a, b = np.array(links).T
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[a], cid[b])), pa.array(np.maximum(cid[a], cid[b]))],
@@ -128,14 +176,16 @@ def _cross_links(most_odd: int, words: int, percent: int):
     return run
 
 
-def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFrame], most_odd: int,
-                    words: int, percent: int) -> DataFrame:
+def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFrame], unpack: Callable, percent: int,
+                    most_odd: int = 0, words: int = 0) -> DataFrame:
     """``id, component`` for all classes that link with another one.
 
     ``classes``: ``cid`` (long; repeated rows do no harm) and ``bands`` (array
-    of long); it is read once.  ``sets_for`` gives ``cid``, ``n``, ``sketch``
-    and ``items`` (the distinct set as array of long) once for each cid of a
-    table; only classes that share a band key are asked for.
+    of long); it is read once.  ``sets_for`` gives ``cid``, ``n`` and
+    ``payload`` (and ``sketch``, if it has ``words`` of 64 bits) once for each
+    cid of a table; only classes that share a band key are asked for.
+    ``unpack`` makes the distinct sets out of an
+    Arrow array of payloads: their values one after the other, and their sizes.
     """
     # one exchange: the rows of a key meet, and keys of one class end there
     keyed = classes.select(F.explode("bands").alias("key"), "cid")
@@ -144,10 +194,20 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
         .where("first < last").select("key", "cid", "first")
     members = stored(shared.distinct(), "members")
     items = stored(sets_for(members.select("cid").distinct()), "items")
-    info = items.select("cid", "n", "sketch")
+    info = items.drop("payload")
 
+    # every class against the first of its buckets: that one is sent once to each part of its partners
     tested = members.where("first <> cid").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct()
-    links = stored(_check(tested, info, items, most_odd, words, percent), "links")
+    near = stored(_near_pairs(tested, info, most_odd, words, percent), "near")
+    firsts = near.groupBy("a").agg(_tiles(F.count(F.lit(1)), F.sum("nb")).alias("parts"))
+    payloads = items.select("cid", "payload")
+    seconds = near.join(firsts, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).alias("tile"),
+                                            F.lit(1).alias("member"), F.col("b").alias("cid"))
+    firsts = firsts.select(F.col("a").alias("cid"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")) \
+        .select(F.xxhash64("cid", "part").alias("tile"), F.lit(0).alias("member"), "cid")
+    held = firsts.unionByName(seconds).join(payloads, "cid").select("tile", "member", "cid", "payload")
+    links = stored(held.repartition("tile").sortWithinPartitions("tile", "member")
+                   .mapInArrow(_first_links(unpack, percent), "a long, b long"), "links")
     labels = connected_components(links)
     named = members.select("key", "cid").join(labels, F.col("cid") == F.col("id"), "left") \
         .select("key", "cid", F.coalesce("component", "cid").alias("label"))
@@ -155,7 +215,7 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
     open_keys = named.join(items.select("cid", "n"), "cid").groupBy("key") \
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")) \
         .where("lo < hi and m > 2").select(F.col("key").alias("k"), "m", "total")
-    tiles = F.greatest(F.ceil(F.col("m") / F.lit(TILE)), F.ceil(F.col("total") / F.lit(TILE_ITEMS))).cast("int")
+    tiles = _tiles(F.col("m"), F.col("total"))
     mine, other = F.pmod(F.xxhash64("cid"), tiles).cast("int"), F.explode(F.sequence(F.lit(0), tiles - 1))
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     dealt = stored(named.join(open_keys, F.col("key") == F.col("k"))
@@ -163,13 +223,13 @@ def near_components(classes: DataFrame, sets_for: Callable[[DataFrame], DataFram
                    .select(F.xxhash64("key", low, high).alias("tile"), "cid", "label",
                            F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("half")), "open")
     rows = dealt.join(items, "cid") \
-        .select("tile", "cid", "half", "label", "n", "items", *[F.get("sketch", F.lit(w)).alias(f"s{w}") for w in range(words)])
+        .select("tile", "cid", "half", "label", "payload", *[F.get("sketch", F.lit(w)).alias(f"s{w}") for w in range(words)])
     found = stored(rows.repartition("tile").sortWithinPartitions("tile")
-                   .mapInArrow(_cross_links(most_odd, words, percent), "a long, b long"), "cross")
+                   .mapInArrow(_cross_links(unpack, most_odd, words, percent), "a long, b long"), "cross")
     if not found.isEmpty():
         first, labels = labels, connected_components(links.unionByName(found))
         discard(first)
-    discard(members, items, links, dealt, found)
+    discard(members, items, near, links, dealt, found)
     return labels
 
 

@@ -83,15 +83,21 @@ def sequence_hashes(items: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.n
 
 
 def distinct_sets(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per text the sorted distinct values, concatenated, and how many."""
+    """Per text the distinct values, those of a text side by side, and how many."""
     text = np.repeat(np.arange(len(counts)), counts)
-    order = np.argsort(values, kind="stable")
-    order = order[np.argsort(text[order], kind="stable")]
-    values, text = values[order], text[order]
+    # one sort by the text's number and as many of the upper bits as fit behind it
+    bits = max(1, int(len(counts)).bit_length())
+    order = np.argsort((text.astype(np.uint64) << np.uint64(64 - bits)) | (values >> np.uint64(bits)))
+    sorted_values, sorted_text = values[order], text[order]
+    same_text = sorted_text[1:] == sorted_text[:-1]
+    new = sorted_values[1:] != sorted_values[:-1]
+    if (same_text & new & ((sorted_values[1:] >> np.uint64(bits)) == (sorted_values[:-1] >> np.uint64(bits)))).any():
+        order = np.lexsort((values, text))                 # values that differ in the lower bits only
+        sorted_values, sorted_text = values[order], text[order]
+        new = sorted_values[1:] != sorted_values[:-1]
     keep = np.ones(len(values), bool)
-    if len(values):
-        keep[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
-    return values[keep], np.bincount(text[keep], minlength=len(counts)).astype(np.int64)
+    keep[1:] = new | (sorted_text[1:] != sorted_text[:-1])
+    return sorted_values[keep], np.bincount(sorted_text[keep], minlength=len(counts)).astype(np.int64)
 
 
 def set_digests(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,18 +111,39 @@ def set_digests(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
     return a, b
 
 
+# values of a set that are hashed side by side, and how many such runs at a time
+LANES, RUNS = 32, 512
+
+
 def signatures(values: np.ndarray, counts: np.ndarray, samples: int, seed: int = 21) -> np.ndarray:
-    """MinHash samples (texts × samples, uint32); all ones for an empty set."""
+    """MinHash samples (texts × samples, uint32); all ones for an empty set.
+
+    A sample is the smallest product of the values' upper halves (which are
+    hashes) with an odd number.  Sets are cut into runs of ``LANES`` values (the
+    last value fills up), which lie in the columns of a matrix: products and
+    minima are taken along whole rows.
+    """
     out = np.full((len(counts), samples), 0xFFFFFFFF, np.uint32)
-    some = counts > 0
-    if not some.any():
+    rows = np.flatnonzero(counts > 0)
+    if not len(rows):
         return out
-    starts = (np.cumsum(counts) - counts)[some]
-    high, low = (values >> np.uint64(32)).astype(np.uint32), values.astype(np.uint32)
-    a, b = _odd(seed, samples, np.uint32), _odd(seed + 1, samples, np.uint32)
-    rows = np.flatnonzero(some)
+    n, starts = counts[rows], (np.cumsum(counts) - counts)[rows]
+    runs = -(-n // LANES)
+    first = np.cumsum(runs) - runs
+    begin = np.repeat(starts - first * LANES, runs) + np.arange(int(runs.sum())) * LANES
+    last = np.repeat(starts + n - 1, runs)
+    odd = _odd(seed, samples, np.uint32)
+    least = np.empty((samples, len(begin)), np.uint32)
+    lanes = np.arange(LANES)[:, None]
+    for c in range(0, len(begin), RUNS):
+        x = values[np.minimum(begin[c:c + RUNS] + lanes, last[c:c + RUNS])]
+        x = (x >> np.uint64(32)).astype(np.uint32)
+        product = np.empty_like(x)
+        for p in range(samples):
+            np.multiply(x, odd[p], out=product)
+            np.minimum.reduce(product, axis=0, out=least[p, c:c + RUNS])
     for p in range(samples):
-        out[rows, p] = np.minimum.reduceat(high * a[p] + low * b[p], starts)
+        out[rows, p] = np.minimum.reduceat(least[p], first)
     return out
 
 
@@ -164,9 +191,14 @@ def char_shingles(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     if not n.sum():
         return np.zeros(0, np.uint64), n
     size = len(points) - k + 1
-    out = np.zeros(size, np.uint64)
-    for j in range(k):
-        out += points[j:j + size] * _PLACE[j]
+    if k == 8:                                    # pairs, then pairs of pairs
+        two = points[:-1] | points[1:] << np.uint64(21)
+        four = two[:-2] * _PLACE[0] + two[2:] * _PLACE[1]
+        out = four[:-4] * _PLACE[2] + four[4:]
+    else:
+        out = np.zeros(size, np.uint64)
+        for j in range(k):
+            out += points[j:j + size] * _PLACE[j]
     begins = np.cumsum(lengths) - lengths
     at = np.arange(int(n.sum())) + np.repeat(begins - (np.cumsum(n) - n), n)
     return mix(out[at]), n

@@ -14,8 +14,9 @@ samples a pair at the similarity of 0.8 is missed with a probability of
 7e-6, a closer one more rarely.
 
 Null text and text without words have an empty set: size 0, linked with
-nothing, own component, kept.  A row with a null id is linked with nothing,
-has a null component and is kept.  Rows that repeat an id are each judged by
+nothing, own component, kept.  In the digest a row with a null id is linked
+with nothing, has a null component and is kept (dropping takes it into the
+groups).  Rows that repeat an id are each judged by
 their own text.  An empty table gives an empty result.  Further columns are
 not read.
 """
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +69,13 @@ def describe(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame
         .mapInArrow(run, "id long, row long, n long, h1 long, h2 long, bands array<long>")
 
 
+def _unpack(payload: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Sets that are kept as lists of their values."""
+    return payload.flatten().to_numpy(), pc.list_value_length(payload).to_numpy().astype(np.int64)
+
+
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``id, n, h1, h2, sketch, items`` for rows ``id, text``."""
+    """``id, n, h1, h2, sketch, payload`` for rows ``id, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,9 +85,9 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
                 sketch = mh.odd_sketches(mh.signatures(values, counts, SKETCH_SAMPLES), SKETCH_WORDS)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts), longs(h1), longs(h2), lists(sketch), ragged(values, counts)],
-                    names=["id", "n", "h1", "h2", "sketch", "items"])
+                    names=["id", "n", "h1", "h2", "sketch", "payload"])
 
-    return docs.mapInArrow(run, "id long, n long, h1 long, h2 long, sketch array<long>, items array<long>")
+    return docs.mapInArrow(run, "id long, n long, h1 long, h2 long, sketch array<long>, payload array<long>")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -101,10 +108,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         mine = maybe_in(mine, F.col("id"), want, "id").where("_dw_hit").join(want.select("id"), "id", "left_semi") \
             .select("id", "text")
         return _sets(mine, shingle).withColumn("cid", node).join(want, ["cid", "id"], "left_semi") \
-            .dropDuplicates(["cid"]).select("cid", "n", "sketch", "items")
+            .dropDuplicates(["cid"]).select("cid", "n", "sketch", "payload")
 
-    labels = near_components(first, sets_for, mh.most_odd_bits(SKETCH_SAMPLES, SKETCH_WORDS, percent / 100),
-                             SKETCH_WORDS, percent)
+    labels = near_components(first, sets_for, _unpack, percent, mh.most_odd_bits(SKETCH_SAMPLES, SKETCH_WORDS, percent / 100),
+                             SKETCH_WORDS)
     linked = classes.join(labels.withColumnRenamed("id", "node"), F.col("cid") == F.col("node"))
     smallest = linked.groupBy("component").agg(F.min("id").alias("component_id"))
     grouped = linked.select("cid", "component").join(smallest, "component").select("cid", "component_id")
@@ -116,17 +123,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       F.coalesce(F.col("id") == mine, F.lit(True)).alias("kept"), "row")
 
 
+# ids of rows without one, while groups are sought: beyond these
+_NO_ID = 1 << 62
+
+
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                          percent: int = PERCENT) -> DataFrame:
-    """The documents (all columns) of which one of each group is left; of rows
-    that repeat id and text one stays."""
-    judged = near_duplicates(docs, doc_id, text, shingle, percent)
-    gone = stored(judged.groupBy(F.col(doc_id).alias("_dw_i"), F.col("row").alias("_dw_r"))
+    """The documents (all columns) of which one of each group is left: the one
+    with the smallest id, one without an id only if none has one.  Of rows that
+    repeat id and text one stays.  Ids are below 2**62."""
+    digest = F.xxhash64(F.col(f"`{text}`"))
+    key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID) + F.pmod(digest, F.lit(_NO_ID - 1)))
+    keyed = docs.withColumn("_dw_id", key).withColumn("_dw_row", digest)
+    judged = near_duplicates(keyed, "_dw_id", text, shingle, percent)
+    gone = stored(judged.groupBy(F.col("_dw_id").alias("_dw_i"), F.col("row").alias("_dw_r"))
                   .agg(F.min("kept").alias("_dw_kept"), F.count(F.lit(1)).alias("m"))
                   .where("not _dw_kept or m > 1").drop("m"), "near-gone")
-    keyed = docs.withColumn("_dw_row", F.xxhash64(F.col(f"`{text}`")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = maybe_in(keyed, F.col("_dw_row"), gone, "_dw_r")
-    left = keyed.where("_dw_hit").join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
-    rest = left.where("_dw_kept is null").select(*[F.col(f"`{c}`") for c in docs.columns])
-    once = left.where("_dw_kept").dropDuplicates(["_dw_i", "_dw_r"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return keyed.where("not _dw_hit").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(rest).unionByName(once)
+    left = keyed.where("_dw_hit").join(gone, (F.col("_dw_id") == F.col("_dw_i")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
+    rest = left.where("_dw_kept is null").select(*columns)
+    once = left.where("_dw_kept").dropDuplicates(["_dw_i", "_dw_r"]).select(*columns)
+    return keyed.where("not _dw_hit").select(*columns).unionByName(rest).unionByName(once)
