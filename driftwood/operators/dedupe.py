@@ -55,8 +55,11 @@ def observed(df: DataFrame, name: str):
 
 def counted(observation) -> int:
     """What an :func:`observed` counter has seen, after its action has run.
-    Where nothing was left to run (an empty relation), no row has passed."""
-    return int(observation.get.get("n_rows") or 0)
+    Where nothing was left to run (an empty relation), no row has passed and
+    the metrics have no schema."""
+    if observation._jo.getRow().schema() is None:
+        return 0
+    return int(observation.get["n_rows"])
 
 
 # names of the operator inventory
