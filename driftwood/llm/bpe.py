@@ -37,7 +37,7 @@ from driftwood.llm.arrowtext import slices_by_chars
 
 # distinct stretches a worker remembers before it starts over, and the text
 # (in characters) that is cut and merged at a time
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 200_000
 CHARS_AT_A_TIME = 4_000_000
 
 # The Unicode property White_Space, as a character class body.
