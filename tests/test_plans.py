@@ -9,7 +9,10 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroup
 SIDE_EFFECT = {"read_with_key", "partition_refresh", "outlier_csv", "model_roundtrip", "elastic_net_score",
                "train_metrics", "job_formatted_orders", "job_reconcile", "job_star", "job_train_predict",
                "job_lookup_load", "job_year_lookup", "job_monthly_drops", "stream_drop_load", "upsert_partitioned",
-               "partition_files", "job_load_counts", "star_publish", "star_pruned", "fact_period_refresh"}
+               "partition_files", "job_load_counts", "star_publish", "star_pruned", "fact_period_refresh",
+               "profile_incremental", "string_index_ranked", "ledger_reports", "job_reconcile_incremental",
+               "elastic_net_closed_form", "train_metrics_closed_form", "stored_table", "job_year_separate",
+               "job_outlier_products"}
 
 
 def test_every_oracle_has_a_query():
