@@ -81,8 +81,3 @@ def lists(x: np.ndarray) -> pa.Array:
     """One list of longs per row of a matrix."""
     offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
     return pa.ListArray.from_arrays(pa.array(offsets), longs(x.reshape(-1)))
-
-
-def ragged(x: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """Lists of longs of the given lengths."""
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), longs(x))

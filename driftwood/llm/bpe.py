@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from driftwood.llm.arrowtext import slices_by_chars
 
-# distinct stretches a worker remembers before it starts over, and the text
+# distinct stretches a worker keeps (twice: after a space, and others), and the text
 # (in characters) that is cut and merged at a time
 CACHE_ENTRIES = 200_000
 CHARS_AT_A_TIME = 4_000_000

@@ -27,12 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwood.llm import minhash as mh
-from driftwood.llm.arrowtext import lists, longs, ragged, slices_by_chars, text_bytes
+from driftwood.llm.arrowtext import lists, longs, slices_by_chars, text_bytes
 from driftwood.llm.components import stored
 from driftwood.llm.linking import maybe_in, near_components
 
@@ -69,9 +68,13 @@ def describe(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame
         .mapInArrow(run, "id long, row long, n long, h1 long, h2 long, bands array<long>")
 
 
-def _unpack(payload: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """Sets that are kept as lists of their values."""
-    return payload.flatten().to_numpy(), pc.list_value_length(payload).to_numpy().astype(np.int64)
+def _unpack(shingle: int):
+    """Sets that are kept as their texts, which shuffle as a third of the hashes' bytes."""
+
+    def sets(payload: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return _shingle_sets(payload, shingle)
+
+    return sets
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -84,10 +87,10 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
                 h1, h2 = mh.set_digests(values, counts)
                 sketch = mh.odd_sketches(mh.signatures(values, counts, SKETCH_SAMPLES), SKETCH_WORDS)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), longs(h1), longs(h2), lists(sketch), ragged(values, counts)],
+                    [part.column(0), pa.array(counts), longs(h1), longs(h2), lists(sketch), part.column(1)],
                     names=["id", "n", "h1", "h2", "sketch", "payload"])
 
-    return docs.mapInArrow(run, "id long, n long, h1 long, h2 long, sketch array<long>, payload array<long>")
+    return docs.mapInArrow(run, "id long, n long, h1 long, h2 long, sketch array<long>, payload string")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -110,7 +113,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return _sets(mine, shingle).withColumn("cid", node).join(want, ["cid", "id"], "left_semi") \
             .dropDuplicates(["cid"]).select("cid", "n", "sketch", "payload")
 
-    labels = near_components(first, sets_for, _unpack, percent, mh.most_odd_bits(SKETCH_SAMPLES, SKETCH_WORDS, percent / 100),
+    labels = near_components(first, sets_for, _unpack(shingle), percent, mh.most_odd_bits(SKETCH_SAMPLES, SKETCH_WORDS, percent / 100),
                              SKETCH_WORDS)
     linked = classes.join(labels.withColumnRenamed("id", "node"), F.col("cid") == F.col("node"))
     smallest = linked.groupBy("component").agg(F.min("id").alias("component_id"))
