@@ -59,4 +59,4 @@ def test_registration():
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLE) <= set(entry.oracle_sql())
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
