@@ -46,6 +46,16 @@ CP1252_CHARS = bytes(CP1252_BYTES).decode("cp1252")
 CP1252_CONTROLS = "".join(map(chr, CP1252_BYTES))
 
 
+def _bound(c: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def _ascii(c: Column) -> Column:
+    """Whether every character takes one byte: such text is damaged nowhere."""
+    return F.octet_length(c) == F.length(c)
+
+
 def _strict_repair(c: Column) -> Column:
     """The text whose UTF-8 bytes were read as Latin-1; null if it is not such."""
     fits = c.rlike(LATIN1_ONLY_PATTERN)
@@ -64,7 +74,8 @@ def repair_mojibake(c) -> Column:
     from raising under ANSI).
     """
     c = _col(c)
-    return F.coalesce(_strict_repair(c), _strict_repair(F.translate(c, CP1252_CHARS, CP1252_CONTROLS)), c)
+    return F.when(_ascii(c), c).otherwise(
+        F.coalesce(_strict_repair(c), _strict_repair(F.translate(c, CP1252_CHARS, CP1252_CONTROLS)), c))
 
 
 # A damaged character is a run of characters that stand for the bytes of one
@@ -82,21 +93,22 @@ _RARE = f"[{_NEXT}&&[^{_COMMON}]]"
 _EVIDENT = f"[\u00C2\u00C3][{_NEXT}]|[\u00C4-\u00DF]{_RARE}" \
            f"|[\u00E0-\u00EF](?:{_RARE}[{_NEXT}]|[{_NEXT}]{_RARE})" \
            f"|[\u00F0-\u00F4](?:{_RARE}[{_NEXT}]{{2}}|[{_NEXT}]{_RARE}[{_NEXT}]|[{_NEXT}]{{2}}{_RARE})"
-_STRETCHES = f"(?s)[{_FIRST}{_NEXT}]+|[^{_FIRST}{_NEXT}]+"
+# The range test ahead of a search is all that most characters meet.
+_DAMAGED = f"(?=[{_FIRST}])(?:{_EVIDENT})"
+_STRETCHES = f"(?s)[\\x00-\\x7F]++|[{_FIRST}{_NEXT}]++|[^\\x00-\\x7F{_FIRST}{_NEXT}]++"
 _UNITS = f"(?s){_UNIT}|."
 
 
 def _repair_once(c: Column) -> Column:
     def unit(u: Column) -> Column:
         bytes_of = F.translate(u, CP1252_CHARS, CP1252_CONTROLS)
-        return F.when(F.length(u) > 1, F.coalesce(_strict_repair(bytes_of), u)).otherwise(u)
+        return F.when(F.length(u) > 1, F.coalesce(_bound(bytes_of, _strict_repair), u)).otherwise(u)
 
     def stretch(s: Column) -> Column:
         units = F.regexp_extract_all(s, F.lit(_UNITS), F.lit(0))
-        return F.when(s.rlike(_EVIDENT), F.array_join(F.transform(units, unit), "")).otherwise(s)
+        return F.when(~_ascii(s) & s.rlike(_DAMAGED), F.array_join(F.transform(units, unit), "")).otherwise(s)
 
-    parts = F.regexp_extract_all(c, F.lit(_STRETCHES), F.lit(0))
-    return F.when(c.rlike(_EVIDENT), F.array_join(F.transform(parts, stretch), "")).otherwise(c)
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_STRETCHES), F.lit(0)), stretch), "")
 
 
 def repair_segments(c) -> Column:
@@ -111,17 +123,29 @@ def repair_segments(c) -> Column:
 
     Text damaged several times is repaired as often: a character that comes
     out of k repairs was 2**k characters, so log2(length) rounds reach the
-    fixpoint.  Text without evident damage costs one pattern search.
+    fixpoint.  They end with the first that changes nothing or leaves no
+    evident damage.  Text without evident damage costs one pattern search,
+    text of ASCII characters alone none.
     """
+    def repaired(text: Column) -> Column:
+        rounds = F.greatest(F.lit(1), F.ceil(F.log2(F.length(text) + F.lit(1.0)))).cast("int")
+
+        def again(state: Column, _) -> Column:
+            return F.when(state["go"], _bound(_repair_once(state["text"]), lambda new: F.struct(
+                new.alias("text"), ((new != state["text"]) & new.rlike(_DAMAGED)).alias("go")))).otherwise(state)
+
+        return F.when(text.rlike(_DAMAGED), F.aggregate(
+            F.sequence(F.lit(1), rounds), F.struct(text.alias("text"), F.lit(True).alias("go")), again,
+            lambda state: state["text"])).otherwise(text)
+
     c = _col(c)
-    rounds = F.greatest(F.lit(1), F.ceil(F.log2(F.length(c) + F.lit(1.0)))).cast("int")
-    return F.when(c.rlike(_EVIDENT), F.aggregate(F.sequence(F.lit(1), rounds), c, lambda text, _: _repair_once(text))) \
-        .otherwise(c)
+    return F.when(_ascii(c), c).otherwise(_bound(c, repaired))
 
 
 def repair_text(c) -> Column:
     """Encoding repair of a whole text, then of its parts."""
-    return repair_segments(repair_mojibake(c))
+    c = _col(c)
+    return F.when(_ascii(c), c).otherwise(repair_segments(repair_mojibake(c)))
 
 
 def damage_as_latin1(c) -> Column:

@@ -104,3 +104,27 @@ def test_cp1252_damage_is_repaired_next_to_clean_text(spark):
     row = spark.createDataFrame([(known, "\u201ca\u2019\r\nb\rc\x07\t")], "a string, b string").select(
         repair_mojibake("a"), without_controls(unix_lines(plain_quotes("b")))).first()
     assert tuple(row) == ("it\u2019s", '"a\'\nb\nc\t')
+
+
+def test_segment_repair_ends_when_no_damage_is_left(spark, monkeypatch):
+    from driftwood.functions import text as tx
+    # a repair that could go on for ever: every round adds a mark
+    monkeypatch.setattr(tx, "_repair_once", lambda c: F.concat(F.lit("x"), F.translate(c, "Ã", "")))
+    df = spark.createDataFrame([("Ã©",), ("é",), ("plain",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(tx.repair_segments("t")).collect()] == ["x©", "é", "plain", "", None]
+
+
+def test_segment_repair_of_mixed_text(spark):
+    from driftwood.functions.text import damage_as_cp1252, repair_segments
+    clean = "x " * 300 + "« LIBERTÉ\u00a0! », là\u00a0», Á\u2019, 日本語 Ωé 😀 Gràcia"
+    df = spark.createDataFrame([(clean,)], "t string")
+    bad = F.concat(damage_as_cp1252(damage_as_cp1252("t")), F.lit(" – 日本 "), F.col("t"), F.lit(" | "), damage_as_latin1("t"))
+    assert df.select(repair_segments(bad)).first()[0] == f"{clean} – 日本 {clean} | {clean}"
+
+
+def test_ascii_text_is_not_searched_for_damage(spark):
+    from driftwood.functions.text import repair_text
+    df = spark.createDataFrame([("abc",), ("a\u00c3\u00a9",), (None,)], "t string")
+    plan = df.select(repair_text("t").alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("octet_length") < plan.index("RLIKE")
+    assert [r.t for r in df.select(repair_text("t").alias("t")).collect()] == ["abc", "a\u00e9", None]
