@@ -27,8 +27,11 @@ def key_from_path(path: Column, key_len: int) -> Column:
     else of the folder that holds it (a drop written as a folder of part
     files); folders further up never count (A2)."""
     digits = r"^\d{%d}" % KEY_DIGITS
-    name = F.regexp_extract(path, r"([^/]+)/*$", 1)
-    folder = F.regexp_extract(path, r"([^/]+)/+[^/]+/*$", 1)
+    slash = F.lit("/")
+    whole = F.rtrim(path, slash)                 # cut from the end: a search would try every start
+    name = F.substring_index(whole, "/", -1)
+    above = F.rtrim(F.left(whole, F.length(whole) - F.length(name)), slash)
+    folder = F.substring_index(above, "/", -1)
     return F.when(name.rlike(digits), F.substring(name, 1, key_len)) \
         .when(folder.rlike(digits), F.substring(folder, 1, key_len))
 

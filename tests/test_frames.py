@@ -126,3 +126,25 @@ def test_period_key_comes_from_the_file_not_from_folders_above(spark):
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     assert {r.p: r.k for r in df.select("p", key_from_path(F.col("p"), 7).alias("k")).collect()} == paths
     assert key_of_name("/lake/2024_landing/2019_05_air.parquet", 7) == "2019_05"
+
+
+def test_key_from_path_takes_time_in_proportion_to_the_path(spark):
+    import re
+    import time
+
+    from driftwood.sources.files import key_from_path
+    forms = ["2020_01_x.parquet", "/2020.parquet", "a/2020_02.parquet/part-0", "a/2020_03//part-0//", "2020/x/part-0",
+             "//2021//p", "x", "", "/", "//", "/2020/", "2020/", "202/p", "a/é2020/p", "é/2020_04é/p", None]
+
+    def expected(p):
+        for pattern in (r"([^/]+)/*$", r"([^/]+)/+[^/]+/*$"):
+            got = re.search(pattern, p or "")
+            if got and re.match(r"\d{4}", got[1]):
+                return got[1][:7]
+
+    df = spark.createDataFrame([(p,) for p in forms], "p string")
+    assert [r.k for r in df.select(key_from_path(F.col("p"), 7).alias("k")).collect()] == [expected(p) for p in forms]
+    long = spark.createDataFrame([("/" + "a" * 20_000 + "/2020_05_x/" + "b" * 20_000,)] * 40, "p string")
+    began = time.time()
+    assert {r.k for r in long.select(key_from_path(F.col("p"), 7).alias("k")).collect()} == {"2020_05"}
+    assert time.time() - began < 20
