@@ -186,14 +186,27 @@ def fuzzy_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
 
 # ------------------------------------------------------------------ D4 --
 
+# types whose minimum Spark keeps in place in a hash table
+_COUNTABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def best_match(pairs: DataFrame, key: str, score: str, tie_break) -> DataFrame:
     """One row per key: highest score, ties broken by ``tie_break`` ascending.
 
     ``max_by``-style aggregate over ``struct(-score, tie_break..., rest)``:
     partial aggregation before the shuffle, no sort of a whole key group.
+
+    Buffers that hold text make Spark sort the rows before it aggregates them.
+    So rows that differ in the first tie break only, as those of one name do,
+    are first cut to the smallest: a number is kept in a hash table.
     """
     tie_break = [tie_break] if isinstance(tie_break, str) else list(tie_break)
     rest = [c for c in pairs.columns if c not in [key, score] + tie_break]
+    if tie_break and tie_break[0] not in (key, score) and isinstance(pairs.schema[tie_break[0]].dataType, _COUNTABLE):
+        columns, first = pairs.columns, F.col(_q(tie_break[0]))
+        smallest = F.when(F.bool_or(first.isNull()), F.lit(None)).otherwise(F.min(first))     # null comes first
+        pairs = pairs.groupBy(*[F.col(_q(c)) for c in columns if c != tie_break[0]]) \
+            .agg(smallest.alias(tie_break[0])).select(*[F.col(_q(c)) for c in columns])
     order = [(-F.col(_q(score))).alias("f0")] + \
         [F.col(_q(c)).alias(f"t{i}") for i, c in enumerate(tie_break)] + \
         [F.col(_q(c)).alias(f"r{i}") for i, c in enumerate(rest)] + \

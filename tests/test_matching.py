@@ -102,3 +102,16 @@ def test_bounded_broadcast_goes_by_known_size_and_runs_nothing(spark):
     spark.sparkContext.setJobGroup(group, group)
     mt.bounded_broadcast(small.groupBy("id").count())
     assert not tracker.getJobIdsForGroup(group)
+
+
+def test_best_match_cuts_repeated_names_without_a_sort(spark):
+    rows = [("a", 3, "x", 0.5), ("a", 2, "x", 0.5), ("a", 2, "w", 0.5), ("a", 1, "x", 0.4), ("b", 5, "y", 0.9), ("b", None, "z", 0.9),
+            ("b", None, "y", 0.9), ("c", 7, None, None), ("c", 8, None, 0.1), (None, 4, "q", 0.3), (None, 3, "q", 0.3)] * 2
+    pairs = spark.createDataFrame(rows, "name string, id long, candidate string, score double")
+    best = mt.best_match(pairs, "name", "score", "id")
+    order = lambda r: tuple((x is not None, x) for x in (None if r[3] is None else -r[3], r[1], r[2]))
+    want = {k: min((r for r in rows if r[0] == k), key=order) for k in ("a", "b", "c", None)}
+    assert best.columns == pairs.columns and {r[0]: tuple(r) for r in best.collect()} == want
+    # what is sorted for the aggregate with text in it has been through a hash table first
+    plan = best._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan[plan.index("SortAggregate"):]
