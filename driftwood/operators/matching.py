@@ -178,7 +178,9 @@ def fuzzy_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
     right_cols = [c for c in right.columns if c != left_col]
     r = right.select(*[F.col(_q(c)).alias(f"_r{i}") for i, c in enumerate(right.columns)])
     rkey = f"_r{right.columns.index(right_col)}"
-    joined = pairs.join(r, F.col("r_name") == F.col(rkey).cast("string"))
+    # rows are streamed past the pairs of their names: files of repeated names are small, so that
+    # Spark would broadcast their rows, or put very many of them into one task to sort
+    joined = pairs.hint("shuffle_hash").join(r, F.col("r_name") == F.col(rkey).cast("string"))
     return joined.select(F.col("l_name").alias(left_col),
                          *[F.col(f"_r{right.columns.index(c)}").alias(c) for c in right_cols],
                          F.col("score").alias(score_col))

@@ -115,3 +115,18 @@ def test_best_match_cuts_repeated_names_without_a_sort(spark):
     # what is sorted for the aggregate with text in it has been through a hash table first
     plan = best._jdf.queryExecution().sparkPlan().toString()
     assert "HashAggregate" in plan[plan.index("SortAggregate"):]
+
+
+def test_fuzzy_join_never_broadcasts_or_sorts_the_rows_of_a_name(spark, tmp_path):
+    left = spark.createDataFrame([("red bolt m5",), ("red bolt m6",), ("blue ring",), (None,)], "name string")
+    rows = [(i, ["red bolt m5", "blue ring x", None, "nut"][i % 4]) for i in range(400)]
+    spark.createDataFrame(rows, "id long, cand string").write.parquet(str(tmp_path / "rows"))
+    joined = mt.fuzzy_join(left, spark.read.parquet(str(tmp_path / "rows")), "name", "cand", 0.3)
+    want = {("red bolt m5", i, "red bolt m5", 1.0) for i, c in rows if c == "red bolt m5"} | \
+        {("red bolt m6", i, "red bolt m5", 0.5) for i, c in rows if c == "red bolt m5"} | \
+        {("blue ring", i, "blue ring x", 2 / 3) for i, c in rows if c == "blue ring x"}
+    got = [tuple(r) for r in joined.collect()]
+    assert len(got) == len(want) and {(a, b, c, round(d, 9)) for a, b, c, d in got} == {(a, b, c, round(d, 9)) for a, b, c, d in want}
+    # the few rows would be broadcast by the size of their file; the pairs are the side that is held
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildLeft" in plan[plan.index("ShuffledHashJoin"):].split("\n")[0]
