@@ -21,12 +21,13 @@ unless they clash with an output name (the output wins).
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,14 @@ def compile_pattern(pattern: str) -> re.Pattern:
     return re.compile(body.replace("\\S", f"[^{WHITE_SPACE}]"))
 
 
+def _sorted_distinct(x: np.ndarray) -> np.ndarray:
+    """``np.unique`` without its cost for many small arrays."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 class RankQueueEncoder:
     """Merges pre-tokens by the hierarchical-bitmap rank queue.
 
@@ -233,7 +242,7 @@ class RankQueueEncoder:
         """Put places into the buckets of their ranks; the new top bits."""
         order = np.argsort(ranks, kind="stable")
         places, ranks = places[order], ranks[order]
-        cuts = np.flatnonzero(np.diff(ranks, prepend=-1)).tolist()
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()] if len(ranks) else []
         for r, s, e in zip(ranks[cuts].tolist(), cuts, cuts[1:] + [len(ranks)]):
             if r in buckets:
                 buckets[r].append(places[s:e])
@@ -259,7 +268,7 @@ class RankQueueEncoder:
             at = at[pair[at] == rank]                      # the others are stale
             if not len(at):
                 continue
-            every = at = np.unique(at)                     # leftmost first
+            every = at = _sorted_distinct(at)              # leftmost first
             chained = np.flatnonzero(after[at[:-1]] == at[1:])
             if len(chained):                               # a run of one token: every other pair
                 starts = np.ones(len(at), bool)
@@ -276,7 +285,7 @@ class RankQueueEncoder:
             after[at] = ahead
             before[ahead[some]] = at[some]
             behind = before[at]
-            changed = np.unique(np.concatenate([at, behind[behind >= 0]]))
+            changed = _sorted_distinct(np.concatenate([at, behind[behind >= 0]]))
             follows = after[changed]
             new = np.where(follows >= 0, self._ranks(ids[changed], ids[follows]), -1)
             if ((early >= 0) & (early <= rank)).any() or ((new >= 0) & (new <= rank)).any():
@@ -303,6 +312,23 @@ _WHITE = re.compile(f"[{WHITE_SPACE}]")
 CUTTABLE = ("'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+",)
 
 
+def _uncollected(method: Callable) -> Callable:
+    """The cyclic garbage collector waits until the call is over: it would walk
+    the remembered stretches again and again, and nothing here makes a cycle."""
+
+    @wraps(method)
+    def run(*args):
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            return method(*args)
+        finally:
+            if was:
+                gc.enable()
+
+    return run
+
+
 class Tokenizer:
     """Encoding and decoding of whole texts, or counting, with a bounded cache.
 
@@ -353,6 +379,7 @@ class Tokenizer:
         pieces = list(set().union(*cut))
         return cut, dict(zip(pieces, self.queue.encode([p.encode("utf-8", "replace") for p in pieces])))
 
+    @_uncollected
     def count_tokens(self, texts: list[str]) -> list[int]:
         """Number of ids of each text."""
         cut = [self.stretches(t) for t in texts]
@@ -409,6 +436,7 @@ class Tokenizer:
         for s, value in self._joined(self._new(known, stretches)):
             known[s] = value
 
+    @_uncollected
     def encode_joined(self, texts: list[str]) -> list[tuple[str, bytes]]:
         """Per text: its ids joined by one space, and those ids decoded."""
         out: list = [None] * len(texts)
