@@ -53,7 +53,7 @@ LEVEL, MIN_MATCH = 6, 3
 MARGIN_BYTES = 1
 MARGIN_SHARE = 0.005
 
-CHARS_AT_A_TIME = 4_000_000
+CHARS_AT_A_TIME = 1_000_000
 
 # marks belong to letters: some scripts write vowels with them
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -139,6 +139,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     """Columns ``keep`` (default: all) plus ``lang_pred``, ``score`` and ``rejected``."""
     added = ["lang_pred", "score", "rejected"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    at = keep.index(text) if text in keep else len(keep)      # a text that is kept anyway travels once
     model = tuple(sorted(dictionaries.items()))
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -147,11 +148,12 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = _classifier(model).classify
         for batch in batches:
-            for part in slices_by_chars(batch, len(keep), CHARS_AT_A_TIME):
-                got = [classify(t) for t in part.column(len(keep)).to_pylist()]
+            for part in slices_by_chars(batch, at, CHARS_AT_A_TIME):
+                got = [classify(t) for t in part.column(at).to_pylist()]
                 cols = [part.column(i) for i in range(len(keep))] + [
                     pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
                     pa.array([g[2] for g in got], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(cols, names=keep + added)
 
-    return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("_dw_text")).mapInArrow(run, schema)
+    extra = [] if at < len(keep) else [docs[f"`{text}`"].alias("_dw_text")]
+    return docs.select(*[docs[f"`{c}`"] for c in keep], *extra).mapInArrow(run, schema)

@@ -43,7 +43,7 @@ PERCENT = 80
 BANDS, ROWS = 22, 4
 TRIMMED = " \t\r"
 _SIGN = 1 << 63
-CHARS_AT_A_TIME = 1_000_000
+CHARS_AT_A_TIME = 250_000
 
 
 def _lines(text: Column) -> Column:
