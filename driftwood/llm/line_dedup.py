@@ -13,6 +13,15 @@ shingle, its whole text, so it repeats only lines equal to it: its class
 needs no band keys.  With ``BANDS`` of ``ROWS`` samples a pair at the
 similarity of 0.8 is missed with a probability of 1e-5, one at 0.85 with 9e-8.
 
+The samples of a line are the smallest hashes of ``ROWS`` passes that each
+deal its shingles out to ``BANDS`` bins.  A set too small for that many bins
+has samples over all of it instead.  Which of the two is told by the bins that
+the set fills: below ``FULL`` of them it gets samples over all of it, from
+``FILLED`` on those of its bins, in between both.  Similar sets fill nearly
+the same bins: one below ``FILLED`` cannot well be similar to one from ``FULL``
+on (at about 38 shingles, 15 bins would have to be filled by 10 more shingles,
+which fill 6 on average).
+
 Line digests have 64 bits, like shingle hashes.  Null text has no lines;
 empty text has one empty line.  Rows that repeat both id and text count as
 one row, in both places; null ids come first in the order.  Empty tables
@@ -36,14 +45,15 @@ from driftwood.llm import minhash as mh
 from driftwood.llm.arrowtext import lists, slices_by_chars
 from driftwood.llm.bitmaps import broadcast_bitmap, has
 from driftwood.llm.components import stored
-from driftwood.llm.linking import maybe_in, near_components
+from driftwood.llm.linking import PACKED, key_packer, maybe_in, near_components
 
 SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 22, 4
+FILLED, FULL = 72, 86                 # of BANDS * ROWS bins
 TRIMMED = " \t\r"
 _SIGN = 1 << 63
-CHARS_AT_A_TIME = 250_000
+CHARS_AT_A_TIME = 125_000
 
 
 def _lines(text: Column) -> Column:
@@ -78,8 +88,20 @@ def line_digests(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         .mapInArrow(run, schema)
 
 
-def _banded(texts: DataFrame) -> DataFrame:
-    """``cid, bands`` for the lines of rows ``text``; lines a task has just seen are left out."""
+def _bands(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of ``lines`` and their band keys; together every line once or twice."""
+    values, counts = mh.char_shingles(lines, SHINGLE)
+    sig = mh.binned_signatures(values, counts, BANDS, ROWS)
+    filled = (sig != 0xFFFFFFFF).sum(axis=1)
+    wide = np.flatnonzero(filled >= FILLED)
+    yield wide, mh.band_keys(sig[wide], BANDS, ROWS, seed=33)
+    small = filled < FULL
+    yield np.flatnonzero(small), mh.band_keys(mh.signatures(values[np.repeat(small, counts)], counts[small], BANDS * ROWS), BANDS, ROWS)
+
+
+def _banded(texts: DataFrame, pack=None) -> DataFrame:
+    """``cid, bands`` for the lines of rows ``text``, as ``pack`` packs them;
+    lines a task has just seen are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -94,11 +116,14 @@ def _banded(texts: DataFrame) -> DataFrame:
                             seen.add(cid)
                             lines[cid] = x
                 if lines:
-                    values, counts = mh.char_shingles(list(lines.values()), SHINGLE)
-                    keys = mh.band_keys(mh.signatures(values, counts, BANDS * ROWS), BANDS, ROWS)
-                    yield pa.RecordBatch.from_arrays([pa.array(list(lines), pa.int64()), lists(keys)], names=["cid", "bands"])
+                    cids = pa.array(list(lines), pa.int64())
+                    for at, keys in _bands(list(lines.values())):
+                        if len(at):
+                            yield pa.RecordBatch.from_arrays([cids.take(pa.array(at)), lists(keys)], names=["cid", "bands"])
 
-    return texts.mapInArrow(run, "cid long, bands array<long>")
+    if pack is None:
+        return texts.mapInArrow(run, "cid long, bands array<long>")
+    return texts.mapInArrow(lambda batches: pack(run(batches)), PACKED)
 
 
 def _wanted_lines(texts: DataFrame, wanted) -> DataFrame:
@@ -120,7 +145,7 @@ def _wanted_lines(texts: DataFrame, wanted) -> DataFrame:
 
 def _unpack(payload: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Sets that are kept as their lines, which take an eighth of the shingles' space."""
-    return mh.distinct_sets(*mh.char_shingles(payload.to_pylist(), SHINGLE))
+    return mh.char_shingles(payload.to_pylist(), SHINGLE)
 
 
 def _sets(lines: DataFrame) -> DataFrame:
@@ -129,7 +154,7 @@ def _sets(lines: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices_by_chars(batch, 1, CHARS_AT_A_TIME):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_unpack(part.column(1))[1]), part.column(1)],
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(mh.distinct_sets(*_unpack(part.column(1)))[1]), part.column(1)],
                                                  names=["cid", "n", "payload"])
 
     return lines.mapInArrow(run, "cid long, n long, payload string")
@@ -144,7 +169,7 @@ def line_components(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         mine = _wanted_lines(texts, broadcast_bitmap(want, "cid")).groupBy("cid").agg(F.first("line").alias("line"))
         return _sets(mine.join(want, "cid", "left_semi").select("cid", "line"))
 
-    return near_components(_banded(texts), sets_for, _unpack, percent)
+    return near_components(_banded(texts, key_packer(docs.sparkSession)), sets_for, _unpack, percent)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -152,15 +177,18 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     t = F.col(f"`{text}`")
     places = stored(line_digests(docs, doc_id, text), "line-places") \
         .select("id", "row", F.posexplode("digests").alias("no", "cid")).where("cid is not null")
-    first = places.groupBy("cid").agg(F.min(F.struct("id", "no", "row")).alias("first"), F.count(F.lit(1)).alias("m"))
     labels = stored(line_components(docs, text, percent), "line-labels")
+    # lines that repeat, or link with another one, and their places
+    concerned = stored(places.groupBy("cid").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("cid")
+                       .unionByName(labels.select(F.col("id").alias("cid"))).distinct(), "line-concerned")
+    hits = stored(maybe_in(places, F.col("cid"), concerned, "cid").where("_dw_hit").drop("_dw_hit").join(concerned, "cid"), "line-hits")
     # the place that stays: per linked component, and per line that only repeats itself
-    linked = first.join(labels, F.col("cid") == F.col("id")).select("cid", "component", "first")
-    keeper = linked.groupBy("component").agg(F.min("first").alias("keep"))
-    keep = stored(linked.select("cid", "component").join(keeper, "component").select("cid", "keep")
-                  .unionByName(first.where("m > 1").join(labels, F.col("cid") == F.col("id"), "left_anti")
-                               .select("cid", F.col("first").alias("keep"))), "line-keep")
-    gone = stored(maybe_in(places, F.col("cid"), keep, "cid").where("_dw_hit").join(keep, "cid")
+    first = hits.groupBy("cid").agg(F.min(F.struct("id", "no", "row")).alias("first"))
+    named = stored(first.join(labels, F.col("cid") == F.col("id"), "left")
+                   .select("cid", F.coalesce("component", "cid").alias("component"), "first"), "line-named")
+    keeper = named.groupBy("component").agg(F.min("first").alias("keep"))
+    keep = named.select("cid", "component").join(keeper, "component").select("cid", "keep")
+    gone = stored(hits.join(keep, "cid")
                   .where(~F.struct("id", "no", "row").eqNullSafe(F.col("keep")))
                   .groupBy("id", "row").agg(F.collect_set("no").alias("gone")), "line-gone")
     keyed = docs.withColumn("_dw_row", F.xxhash64(t))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from driftwood.llm import minhash as mh
 from driftwood.llm.arrowtext import lists, longs, slices_by_chars, text_bytes
 from driftwood.llm.components import stored
-from driftwood.llm.linking import maybe_in, near_components
+from driftwood.llm.linking import PACKED, key_packer, maybe_in, near_components
 
 SHINGLE = 5
 PERCENT = 80
@@ -44,10 +44,14 @@ SKETCH_SAMPLES, SKETCH_WORDS = 2048, 32
 BYTES_AT_A_TIME = 1_500_000
 
 
-def _shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     raw, offsets = text_bytes(column)
     words, counts = mh.word_hashes(raw, offsets)
-    return mh.distinct_sets(*mh.sequence_hashes(words, counts, k))
+    return mh.sequence_hashes(words, counts, k)
+
+
+def _shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return mh.distinct_sets(*_shingles(column, k))
 
 
 def describe(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
@@ -72,7 +76,7 @@ def _unpack(shingle: int):
     """Sets that are kept as their texts, which shuffle as a third of the hashes' bytes."""
 
     def sets(payload: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        return _shingle_sets(payload, shingle)
+        return _shingles(payload, shingle)
 
     return sets
 
@@ -103,7 +107,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = rows.where("n > 0 and id is not null").withColumn("cid", node)
     classes = stored(named.groupBy("cid").agg(F.min("id").alias("id")), "near-classes")
     first = named.join(classes, ["cid", "id"], "left_semi") \
-        .select("cid", "bands")
+        .select("cid", "bands").mapInArrow(key_packer(docs.sparkSession), PACKED)
 
     def sets_for(cids: DataFrame) -> DataFrame:
         want = stored(classes.join(cids, "cid", "left_semi"), "near-wanted")
