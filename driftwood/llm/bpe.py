@@ -39,7 +39,7 @@ from driftwood.llm.arrowtext import slices_by_chars
 # distinct stretches a worker keeps (twice: after a space, and others), and the text
 # (in characters) that is cut and merged at a time
 CACHE_ENTRIES = 200_000
-CHARS_AT_A_TIME = 4_000_000
+CHARS_AT_A_TIME = 1_000_000
 
 # The Unicode property White_Space, as a character class body.
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -117,6 +117,7 @@ class RankQueueEncoder:
     """
 
     WORD = 256                                             # ranks per bitmap word
+    BYTES = 250_000                                        # of pre-tokens that are merged at a time: 300 bytes of memory each
     MANY, LARGE, PATIENCE = 20_000, 24, 64                 # bytes, bucket entries, small buckets in a row
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -146,9 +147,14 @@ class RankQueueEncoder:
             out.append([rank])
             if rank < 0:
                 long.append(len(out) - 1)
-        if long:
-            for i, ids in zip(long, self._merge([pieces[i] for i in long])):
+        ends = np.cumsum([len(pieces[i]) for i in long])
+        start = 0
+        while start < len(long):                           # runs of at most BYTES, or one longer pre-token
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + self.BYTES, side="right")))
+            for i, ids in zip(long[start:stop], self._merge([pieces[i] for i in long[start:stop]])):
                 out[i] = ids
+            start = stop
         return out
 
     def _merge(self, pieces: list[bytes]) -> Iterator[list[int]]:
