@@ -33,6 +33,7 @@ columns of these names).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -66,26 +67,21 @@ def _plain(text: str) -> list[str]:
 
 
 def _digest(line: str) -> int:
-    """Signed 64-bit digest of a trimmed line."""
+    """Signed 64-bit digest of a trimmed line, as Spark's ``xxhash64`` has it."""
     return (xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42) ^ _SIGN) - _SIGN
 
 
 def line_digests(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``id, row, digests`` of every text: the digests of its lines, null for
     blank ones (``row``: digest of the text)."""
-    schema = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("row", T.LongType()),
-                           T.StructField("digests", T.ArrayType(T.LongType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices_by_chars(batch, 2, CHARS_AT_A_TIME):
-                digests = [[_digest(x) if x else None for x in _plain(t)] for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(digests, pa.list_(pa.int64()))],
-                                                 names=["id", "row", "digests"])
+    def digest(line: Column) -> Column:
+        ends = [test(line, F.lit(c)) for c in TRIMMED for test in (F.startswith, F.endswith)]
+        plain = F.when(reduce(Column.__or__, ends), F.btrim(line, F.lit(TRIMMED))).otherwise(line)
+        return F.when(plain != "", F.xxhash64(plain))
 
     t = F.col(f"`{text}`")
-    return docs.where(t.isNotNull()).select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(t).alias("row"), t.alias("text")) \
-        .mapInArrow(run, schema)
+    return docs.where(t.isNotNull()) \
+        .select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(t).alias("row"), F.transform(_lines(t), digest).alias("digests"))
 
 
 def _bands(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -154,7 +150,7 @@ def _sets(lines: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices_by_chars(batch, 1, CHARS_AT_A_TIME):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(mh.distinct_sets(*_unpack(part.column(1)))[1]), part.column(1)],
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(mh.distinct_counts(*_unpack(part.column(1)))), part.column(1)],
                                                  names=["cid", "n", "payload"])
 
     return lines.mapInArrow(run, "cid long, n long, payload string")
@@ -193,7 +189,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
                   .groupBy("id", "row").agg(F.collect_set("no").alias("gone")), "line-gone")
     keyed = docs.withColumn("_dw_row", F.xxhash64(t))
     keyed = maybe_in(keyed, F.col("_dw_row"), gone, "row")
-    changed = keyed.where("_dw_hit").join(gone.select(F.col("id").alias("_dw_id"), F.col("row").alias("_dw_r"), F.col("gone").alias("_dw_gone")),
+    # the numbers of a partition are looked up, so that whole texts need no sort
+    changed = keyed.where("_dw_hit").join(gone.select(F.col("id").alias("_dw_id"), F.col("row").alias("_dw_r"), F.col("gone").alias("_dw_gone")).hint("shuffle_hash"),
                                     F.col(f"`{doc_id}`").eqNullSafe(F.col("_dw_id")) & (F.col("_dw_row") == F.col("_dw_r")), "left")
     lines = F.when(t.isNull(), F.lit(0)).otherwise(F.size(_lines(t))).cast("long")
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
